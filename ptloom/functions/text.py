@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes every Unicode white-space code point plus the
-# four ASCII separators 0x1c-0x1f; Spark's trim() only removes spaces.
-_STRIP_RE = r"(?U)^[\s\x1c-\x1f\x85]+|[\s\x1c-\x1f\x85]+$"
+# The 29 code points Python's str.strip() removes (str.isspace):
+# U+0009-U+000D, U+001C-U+001F, U+0020, U+0085, U+00A0, U+1680,
+# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+# Spark's one-argument trim() removes only the space character.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_ws(c: Column) -> Column:
-    """``str.strip()`` on a string column (null stays null)."""
-    return F.regexp_replace(c, _STRIP_RE, "")
+    """``str.strip()`` on a string column (null stays null); a plain trim, no regex."""
+    return F.trim(c, F.lit(PY_WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:

@@ -43,3 +43,184 @@ def pref_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(
         "tool", "rejected_type", "n", F.round(F.col("n") / F.sum("n").over(w), 6).alias("share"), "n_errors"
     )
+
+
+# ------------------------------------------------------------ preference data
+@query
+def toolcalls_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-1/P-3/P-12, U-2: tool-call prompts and chosen answers from five tables."""
+    return derived.toolcalls(Tables(spark, sf_dir))
+
+
+@query
+def tool_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-3: registry lookup (broadcast of the five-row registry) and unknown-tool report."""
+    tc = derived.toolcalls(Tables(spark, sf_dir))
+    reg = build.tool_registry(spark)
+    per_tool = tc.groupBy("tool").agg(F.count(F.lit(1)).cast("bigint").alias("n_prompts"))
+    known = per_tool.join(F.broadcast(reg), "tool", "inner").select(
+        "tool", "description", F.size("arg_keys").cast("bigint").alias("n_arg_keys"), "n_prompts",
+        F.lit(False).alias("unknown"),
+    )
+    unknown = build.check_tools(per_tool, reg).select(
+        "tool", F.lit(None).cast("string").alias("description"), F.lit(None).cast("bigint").alias("n_arg_keys"),
+        "n_prompts", F.lit(True).alias("unknown"),
+    )
+    return known.unionByName(unknown)
+
+
+@query
+def pref_pairs_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-4..P-11, J-4, SRC-6: every pair as its JSONL record text."""
+    recs = build.preference_record(derived.pairs(Tables(spark, sf_dir)))
+    return recs.select("pair_id", "key", "variant", "rejected", build.preference_json_line(recs).alias("record"))
+
+
+@query
+def rejected_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-3, A-4, W-1: rejected-type counts, bar length and maximum over all pairs."""
+    p = classify.classify_rejected(derived.pairs(Tables(spark, sf_dir)), "rejected")
+    return classify.type_distribution(p)
+
+
+@query
+def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-12: the rejected types are not all one type."""
+    p = classify.classify_rejected(derived.pairs(Tables(spark, sf_dir)), "rejected")
+    return classify.class_balance(p)
+
+
+def _rules(errors_col: str = "errors") -> F.Column:
+    return F.array_join(F.array_sort(F.transform(errors_col, lambda e: e["rule"])), ",")
+
+
+@query
+def pref_validate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-11..V-17 on damaged JSONL text: per-line errors, warnings and class."""
+    raw = derived.raw_pair_lines(Tables(spark, sf_dir))
+    v = validate.validate_preference(raw)
+    return v.select("line_id", "file", "n_errors", "n_warnings", "rejected_type", _rules().alias("rules"))
+
+
+@query
+def pref_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-2, SRC-8, U-5: examples, errors and warnings per file in one multi-file pass."""
+    raw = derived.raw_pair_lines(Tables(spark, sf_dir))
+    return validate.preference_file_summary(validate.validate_preference(raw))
+
+
+@query
+def pref_string_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-14: string-form preference rows converted to messages form."""
+    p = derived.pairs(Tables(spark, sf_dir)).select(
+        F.col("pair_id").alias("id"), "prompt", F.col("chosen"), F.col("rejected")
+    )
+    m = build.string_to_messages_form(p)
+    return m.select(
+        "id",
+        F.to_json("prompt_messages").alias("prompt_json"),
+        F.to_json("chosen_messages").alias("chosen_json"),
+        F.to_json("rejected_messages").alias("rejected_json"),
+    )
+
+
+# ------------------------------------------------------------------ chat data
+@query
+def chat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-15: conversations grouped into records."""
+    c = derived.chat(Tables(spark, sf_dir))
+    return c.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"),
+                    F.to_json("messages").alias("messages_json"))
+
+
+@query
+def messages_to_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-16: records back to one row per turn (round trip of P-15)."""
+    from ptloom.operators.chat import records_to_turns
+
+    return records_to_turns(derived.chat(Tables(spark, sf_dir)))
+
+
+@query
+def chat_validate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-1..V-10, SRC-1..SRC-4: chat validator on damaged JSONL text."""
+    v = validate.validate_chat(derived.raw_chat_lines(Tables(spark, sf_dir)))
+    return v.select("line_id", "n_errors", _rules().alias("rules"))
+
+
+@query
+def chat_validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1: checked count, failed records, errors, OK/FAILED verdict."""
+    v = validate.validate_chat(derived.raw_chat_lines(Tables(spark, sf_dir)))
+    return validate.chat_summary(v)
+
+
+@query
+def chat_error_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-3: one row per error (rule, message index)."""
+    v = validate.validate_chat(derived.raw_chat_lines(Tables(spark, sf_dir)))
+    e = validate.error_table(v, ["line_id"])
+    return e.groupBy("rule").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                 F.countDistinct("line_id").cast("bigint").alias("n_lines"))
+
+
+@query
+def prompt_only_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-17, V-22: assistant tail dropped; validated with the prompt profile."""
+    from ptloom.operators.chat import prompt_only
+
+    c = derived.chat(Tables(spark, sf_dir))
+    p = c.select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("id"),
+        prompt_only(F.col("messages")).alias("messages"),
+    )
+    lines = p.select("id", "messages", F.to_json(F.struct("id", "messages")).alias("value"))
+    v = validate.validate_chat(lines, require_assistant=False)
+    return v.select("id", F.size("messages").cast("bigint").alias("n_messages"), "n_errors", _rules().alias("rules"))
+
+
+@query
+def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-18, P-19: ChatML rendering, with and without the generation prompt."""
+    from ptloom.operators.chat import prompt_only, render
+
+    c = derived.chat(Tables(spark, sf_dir))
+    full = render(F.col("messages"))
+    gen = render(prompt_only(F.col("messages")), add_generation_prompt=True)
+    return c.select(
+        "conv_id",
+        F.char_length(full).cast("bigint").alias("n_chars"),
+        F.md5(full).alias("text_md5"),
+        F.char_length(gen).cast("bigint").alias("n_chars_prompt"),
+        F.md5(gen).alias("prompt_md5"),
+    )
+
+
+@query
+def sft_records_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-1, P-2, U-1, FN-12: calculator records from orders plus JSON-validator records
+    from event properties, appended."""
+    t = Tables(spark, sf_dir)
+    o = t.orders
+    factor = F.pmod(F.col("o_orderkey"), F.lit(97)) + 2
+    expr = F.concat(F.col("o_custkey").cast("string"), F.lit(" * "), factor.cast("string"))
+    calc = o.select(build.sft_calculator_record(F.col("o_orderkey"), expr,
+                                                (F.col("o_custkey") * factor).cast("string")).alias("r"))
+    js = t.events.select(build.sft_json_validator_record(F.col("event_id"), F.col("props")).alias("r"))
+    u = calc.unionByName(js)
+    return u.select(
+        F.col("r.id").alias("id"), F.col("r.meta.task").alias("task"), F.col("r.meta.answer").alias("answer"),
+        F.to_json("r.messages").alias("messages_json"),
+    )
+
+
+@query
+def reward_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-13: verifiable-reward records derived from SFT calculator records."""
+    t = Tables(spark, sf_dir)
+    o = t.orders
+    factor = F.pmod(F.col("o_orderkey"), F.lit(97)) + 2
+    expr = F.concat(F.col("o_custkey").cast("string"), F.lit(" * "), factor.cast("string"))
+    sft = o.select(build.sft_calculator_record(F.col("o_orderkey"), expr,
+                                               (F.col("o_custkey") * factor).cast("string")).alias("r")).select("r.*")
+    return build.reward_record(sft)

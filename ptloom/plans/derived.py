@@ -131,11 +131,12 @@ def raw_chat_lines(t: Tables) -> DataFrame:
     js = F.when(d == 3, F.to_json(F.struct(F.col("conv_id").alias("id"), msgs.alias("messages"), meta.alias("meta")))).otherwise(
         F.to_json(F.struct(idv.alias("id"), msgs.alias("messages"), meta.alias("meta")))
     )
+    dd = F.col("damage")
     line = (
-        F.when(d == 0, F.expr("left(_js, length(_js) - 1)"))
-        .when(d == 1, F.lit("   "))
-        .when(d == 4, F.concat(F.col("_js"), F.lit(" tail")))
-        .when(d == 5, F.concat(F.lit("["), F.col("_js"), F.lit("]")))
+        F.when(dd == 0, F.expr("left(_js, length(_js) - 1)"))
+        .when(dd == 1, F.lit("   "))
+        .when(dd == 4, F.concat(F.col("_js"), F.lit(" tail")))
+        .when(dd == 5, F.concat(F.lit("["), F.col("_js"), F.lit("]")))
         .otherwise(F.col("_js"))
     )
     return c.select(rid.alias("line_id"), d.alias("damage"), js.alias("_js")).select(
@@ -171,9 +172,10 @@ def raw_pair_lines(t: Tables) -> DataFrame:
     ).otherwise(
         F.to_json(F.struct(F.col("prompt_messages").alias("prompt"), chosen.alias("chosen"), rejected.alias("rejected")))
     )
+    dd = F.col("damage")
     line = (
-        F.when(d == 0, F.expr("left(_js, length(_js) - 1)"))
-        .when(d == 1, F.lit("  "))
+        F.when(dd == 0, F.expr("left(_js, length(_js) - 1)"))
+        .when(dd == 1, F.lit("  "))
         .otherwise(F.col("_js"))
     )
     return p.select(

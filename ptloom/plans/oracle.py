@@ -114,3 +114,278 @@ FROM classified GROUP BY tool, rejected_type
 ORACLE: dict[str, str] = {
     "pref_quality_report": PREF_QUALITY_REPORT,
 }
+
+# ------------------------------------------------------------ preference data
+SYS = sql_str(K.PREFERENCE_SYSTEM_PROMPT)
+MSG_T = "STRUCT(role VARCHAR, content VARCHAR)[]"
+VAL_HEX = "'19999999'"  # ratio_threshold_hex(0.1)
+
+PAIR_CTES = with_ctes(TOOLCALLS, VARIANTS, PAIRS)
+
+ORACLE["toolcalls_build"] = with_ctes(TOOLCALLS) + """
+SELECT key, prompt, tool, arguments_json, answer, chosen FROM toolcalls"""
+
+REGISTRY_VALUES = ", ".join(
+    f"('{name}', {sql_str(desc)}, {len(keys)})" for name, desc, keys in K.TOOLS
+)
+ORACLE["tool_lookup"] = with_ctes(TOOLCALLS) + f"""
+, reg(tool, description, n_arg_keys) AS (VALUES {REGISTRY_VALUES})
+, per_tool AS (SELECT tool, CAST(count(*) AS BIGINT) AS n_prompts FROM toolcalls GROUP BY tool)
+SELECT tool, description, CAST(n_arg_keys AS BIGINT) AS n_arg_keys, n_prompts, false AS unknown
+FROM per_tool JOIN reg USING (tool)
+UNION ALL
+SELECT tool, NULL, NULL, n_prompts, true FROM per_tool WHERE tool NOT IN (SELECT tool FROM reg)"""
+
+ORACLE["pref_pairs_build"] = PAIR_CTES + f"""
+SELECT pair_id, key, variant, rejected,
+       to_json({{'prompt': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': prompt}}],
+                'chosen': [{{'role': 'assistant', 'content': chosen}}],
+                'rejected': [{{'role': 'assistant', 'content': rejected}}]}})::VARCHAR AS record
+FROM pairs"""
+
+ORACLE["rejected_distribution"] = PAIR_CTES + f"""
+, c AS (SELECT {CLASSIFY('rejected')} AS rejected_type, CAST(count(*) AS BIGINT) AS n FROM pairs GROUP BY 1)
+SELECT rejected_type, n, max(n) OVER () AS max_n, CAST(floor(n * 20 / max(n) OVER ()) AS BIGINT) AS bar_len,
+       round(n / sum(n) OVER (), 6) AS share
+FROM c"""
+
+ORACLE["class_balance"] = PAIR_CTES + f"""
+, c AS (SELECT {CLASSIFY('rejected')} AS t, count(*) AS n FROM pairs GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS n_total, CAST(count(*) AS BIGINT) AS n_types,
+       round(max(n) / sum(n), 6) AS max_share, max(n) / sum(n) < 0.5 AS balanced
+FROM c"""
+
+RAW_PAIRS = f"""
+raw_pairs AS (
+  SELECT line_id, tool, damage, file,
+         CASE damage WHEN 0 THEN left(js, length(js) - 1) WHEN 1 THEN '  ' ELSE js END AS value
+  FROM (
+    SELECT line_id, tool, damage, file,
+           CASE WHEN damage = 2 THEN to_json({{'prompt': pm, 'chosen': cm}})
+                ELSE to_json({{'prompt': pm, 'chosen': cm, 'rejected': rm}}) END::VARCHAR AS js
+    FROM (
+      SELECT pair_id AS line_id, tool, d AS damage,
+             CASE WHEN substr(md5('42|' || key), 1, 8) < {VAL_HEX} THEN 'preference_val.jsonl'
+                  ELSE 'preference_train.jsonl' END AS file,
+             [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': prompt}}] AS pm,
+             CASE WHEN d = 3 THEN []::{MSG_T}
+                  WHEN d = 5 THEN [{{'role': 'bot', 'content': chosen}}]
+                  ELSE [{{'role': 'assistant', 'content': chosen}}] END AS cm,
+             CASE WHEN d = 4 THEN [{{'role': 'assistant', 'content': chosen}}]
+                  WHEN d = 6 THEN [{{'role': 'assistant', 'content': ' '}}]
+                  ELSE [{{'role': 'assistant', 'content': rejected}}] END AS rm
+      FROM (SELECT *, {H("'rawpair'", 'pair_id')} % 11 AS d FROM pairs)
+    )
+  )
+)"""
+
+PREF_VALIDATE = f"""
+, lines AS (SELECT line_id, file, {STRIP('value')} AS s FROM raw_pairs WHERE {STRIP('value')} <> '')
+, pj AS (SELECT line_id, file, CASE WHEN json_valid(s) THEN s::JSON END AS j, json_valid(s) AS ok FROM lines)
+, st AS (
+  SELECT line_id, file, j,
+         CASE WHEN NOT ok THEN 'invalid_json'
+              WHEN json_type(j) <> 'OBJECT' THEN 'not_object'
+              WHEN NOT (json_exists(j, '$.prompt') AND json_exists(j, '$.chosen') AND json_exists(j, '$.rejected')) THEN 'missing'
+              ELSE 'checked' END AS stage
+  FROM pj)
+, fields(name) AS (VALUES ('prompt'), ('chosen'), ('rejected'))
+, msgs AS (
+  SELECT line_id, 'prompt' AS name, unnest(json_extract(j, '$.prompt[*]')) AS m
+  FROM st WHERE stage = 'checked' AND json_type(j, '$.prompt') = 'ARRAY'
+  UNION ALL
+  SELECT line_id, 'chosen', unnest(json_extract(j, '$.chosen[*]'))
+  FROM st WHERE stage = 'checked' AND json_type(j, '$.chosen') = 'ARRAY'
+  UNION ALL
+  SELECT line_id, 'rejected', unnest(json_extract(j, '$.rejected[*]'))
+  FROM st WHERE stage = 'checked' AND json_type(j, '$.rejected') = 'ARRAY')
+, errs AS (
+  SELECT line_id, stage AS rule FROM st WHERE stage IN ('invalid_json', 'not_object')
+  UNION ALL SELECT line_id, 'missing_field' FROM st, fields WHERE stage = 'missing' AND NOT json_exists(j, '$.' || name)
+  UNION ALL SELECT line_id, 'not_list' FROM st, fields WHERE stage = 'checked' AND json_type(j, '$.' || name) <> 'ARRAY'
+  UNION ALL SELECT line_id, 'empty_list' FROM st, fields
+            WHERE stage = 'checked' AND json_type(j, '$.' || name) = 'ARRAY' AND json_array_length(j, '$.' || name) = 0
+  UNION ALL SELECT line_id, 'message_not_object' FROM msgs WHERE json_type(m) <> 'OBJECT'
+  UNION ALL SELECT line_id, 'missing_role' FROM msgs WHERE json_type(m) = 'OBJECT' AND NOT json_exists(m, '$.role')
+  UNION ALL SELECT line_id, 'bad_role' FROM msgs
+            WHERE json_type(m) = 'OBJECT' AND json_exists(m, '$.role')
+              AND NOT coalesce(json_type(m, '$.role') = 'VARCHAR' AND (m ->> '$.role') IN ('system', 'user', 'assistant'), false)
+  UNION ALL SELECT line_id, 'missing_content' FROM msgs WHERE json_type(m) = 'OBJECT' AND NOT json_exists(m, '$.content')
+  UNION ALL SELECT line_id, 'content_not_string' FROM msgs
+            WHERE json_type(m) = 'OBJECT' AND json_exists(m, '$.content') AND json_type(m, '$.content') <> 'VARCHAR'
+  UNION ALL SELECT line_id, 'empty_content' FROM msgs
+            WHERE json_type(m) = 'OBJECT' AND json_type(m, '$.content') = 'VARCHAR' AND {STRIP("(m ->> '$.content')")} = ''
+  UNION ALL SELECT line_id, 'chosen_equals_rejected' FROM st
+            WHERE stage = 'checked'
+              AND coalesce(json_extract(j, '$.chosen[#-1].content')::VARCHAR, '""')
+                = coalesce(json_extract(j, '$.rejected[#-1].content')::VARCHAR, '""'))
+, rej AS (
+  SELECT line_id,
+         CASE WHEN json_extract(j, '$.rejected[#-1].content') IS NULL THEN ''
+              WHEN json_type(j, '$.rejected[#-1].content') = 'VARCHAR' THEN json_extract_string(j, '$.rejected[#-1].content')
+         END AS rej_text
+  FROM st WHERE stage = 'checked')
+, per_line AS (
+  SELECT st.line_id, st.file,
+         CAST(count(errs.rule) AS BIGINT) AS n_errors,
+         CAST(count(errs.rule) FILTER (WHERE errs.rule = 'chosen_equals_rejected') AS BIGINT) AS n_warnings,
+         coalesce(string_agg(errs.rule, ',' ORDER BY errs.rule), '') AS rules
+  FROM st LEFT JOIN errs USING (line_id) GROUP BY st.line_id, st.file)
+"""
+
+ORACLE["pref_validate_lines"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, RAW_PAIRS) + PREF_VALIDATE + f"""
+SELECT p.line_id, p.file, p.n_errors, p.n_warnings,
+       CASE WHEN rej.line_id IS NULL THEN NULL ELSE {CLASSIFY('rej.rej_text')} END AS rejected_type, p.rules
+FROM per_line p LEFT JOIN rej USING (line_id)"""
+
+ORACLE["pref_file_summary"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, RAW_PAIRS) + PREF_VALIDATE + """
+SELECT file, CAST(count(*) AS BIGINT) AS n_examples, CAST(sum(n_errors) AS BIGINT) AS n_errors,
+       CAST(sum(n_warnings) AS BIGINT) AS n_warnings
+FROM per_line GROUP BY file"""
+
+ORACLE["pref_string_to_messages"] = PAIR_CTES + """
+SELECT pair_id AS id,
+       to_json([{'role': 'user', 'content': prompt}])::VARCHAR AS prompt_json,
+       to_json([{'role': 'assistant', 'content': chosen}])::VARCHAR AS chosen_json,
+       to_json([{'role': 'assistant', 'content': rejected}])::VARCHAR AS rejected_json
+FROM pairs"""
+
+# ------------------------------------------------------------------ chat data
+CHAT = """
+chat AS (
+  SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS messages
+  FROM conversations GROUP BY conv_id
+)"""
+
+RAW_CHAT = f"""
+raw_chat AS (
+  SELECT line_id, damage,
+         CASE damage WHEN 0 THEN left(js, length(js) - 1) WHEN 1 THEN '   ' WHEN 4 THEN js || ' tail'
+                     WHEN 5 THEN '[' || js || ']' ELSE js END AS value
+  FROM (
+    SELECT line_id, damage,
+           CASE WHEN damage = 3 THEN to_json({{'id': conv_id, 'messages': msgs, 'meta': {{'task': 'chat'}}}})
+                ELSE to_json({{'id': CASE WHEN damage = 9 THEN ' ' ELSE line_id END, 'messages': msgs,
+                               'meta': {{'task': 'chat'}}}}) END::VARCHAR AS js
+    FROM (
+      SELECT conv_id, line_id, damage,
+             CASE WHEN damage = 6 THEN []::{MSG_T}
+                  WHEN damage = 7 THEN list_transform(messages, lambda x, i: {{'role': x.role, 'content': CASE WHEN i = 1 THEN ' ' ELSE x.content END}})
+                  WHEN damage = 8 THEN list_transform(messages, lambda x: {{'role': x.role, 'content': CASE WHEN x.role = 'assistant' THEN '{{"tool": "calculator", "arguments": {{' ELSE x.content END}})
+                  WHEN damage = 2 THEN list_transform(messages, lambda x: {{'role': CASE WHEN x.role = 'user' THEN 'bot' ELSE x.role END, 'content': x.content}})
+                  ELSE messages END AS msgs
+      FROM (SELECT conv_id, 'conv-' || conv_id AS line_id, {H("'raw'", "'conv-' || conv_id")} % 13 AS damage, messages FROM chat)
+    )
+  )
+)"""
+
+
+def chat_validate_sql(lines_cte: str, require_assistant: bool = True) -> str:
+    """Chat validator over a CTE with columns line_id, value (per_line: line_id, n_errors, rules)."""
+    asst = "" if not require_assistant else """
+  UNION ALL SELECT line_id, 'missing_assistant' FROM st
+            WHERE stage = 'checked' AND n_msgs > 0 AND line_id NOT IN (SELECT line_id FROM msgs WHERE is_obj AND role = 'assistant')"""
+    return f"""
+, lines AS (SELECT line_id, value FROM {lines_cte} WHERE {STRIP('value')} <> '')
+, pj AS (SELECT line_id, json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM lines)
+, st AS (
+  SELECT line_id, j,
+         CASE WHEN NOT ok THEN 'invalid_json' WHEN json_type(j) <> 'OBJECT' THEN 'not_object' ELSE 'checked' END AS stage,
+         CASE WHEN json_type(j, '$.messages') = 'ARRAY' THEN json_array_length(j, '$.messages') ELSE 0 END AS n_msgs
+  FROM pj)
+, msgs0 AS (
+  SELECT line_id, unnest(json_extract(j, '$.messages[*]')) AS m
+  FROM st WHERE stage = 'checked' AND json_type(j, '$.messages') = 'ARRAY')
+, msgs AS (
+  SELECT line_id, m, json_type(m) = 'OBJECT' AS is_obj,
+         CASE WHEN json_type(m, '$.role') = 'VARCHAR' THEN m ->> '$.role' END AS role,
+         CASE WHEN json_type(m, '$.content') = 'VARCHAR' THEN m ->> '$.content' END AS content
+  FROM msgs0)
+, errs AS (
+  SELECT line_id, stage AS rule FROM st WHERE stage IN ('invalid_json', 'not_object')
+  UNION ALL SELECT line_id, 'bad_id' FROM st
+            WHERE stage = 'checked' AND NOT coalesce(json_type(j, '$.id') = 'VARCHAR' AND {STRIP("(j ->> '$.id')")} <> '', false)
+  UNION ALL SELECT line_id, 'bad_messages' FROM st WHERE stage = 'checked' AND n_msgs = 0
+  UNION ALL SELECT line_id, 'message_not_object' FROM msgs WHERE NOT is_obj
+  UNION ALL SELECT line_id, 'bad_role' FROM msgs WHERE is_obj AND NOT coalesce(role IN ('system', 'user', 'assistant'), false)
+  UNION ALL SELECT line_id, 'empty_content' FROM msgs WHERE is_obj AND coalesce({STRIP('content')} = '', true)
+  UNION ALL SELECT line_id, 'assistant_json_invalid' FROM msgs
+            WHERE is_obj AND role = 'assistant' AND content IS NOT NULL
+              AND (starts_with({STRIP('content')}, '{{') OR starts_with({STRIP('content')}, '['))
+              AND NOT json_valid(content)
+  UNION ALL SELECT line_id, 'missing_user' FROM st
+            WHERE stage = 'checked' AND n_msgs > 0 AND line_id NOT IN (SELECT line_id FROM msgs WHERE is_obj AND role = 'user')
+  {asst})
+, per_line AS (
+  SELECT st.line_id, CAST(count(errs.rule) AS BIGINT) AS n_errors,
+         coalesce(string_agg(errs.rule, ',' ORDER BY errs.rule), '') AS rules
+  FROM st LEFT JOIN errs USING (line_id) GROUP BY st.line_id)
+"""
+
+
+ORACLE["chat_records"] = with_ctes(CHAT) + """
+SELECT conv_id, CAST(len(messages) AS BIGINT) AS n_messages, to_json(messages)::VARCHAR AS messages_json FROM chat"""
+
+ORACLE["messages_to_turns"] = """
+SELECT conv_id, turn, role, text FROM conversations"""
+
+ORACLE["chat_validate_lines"] = with_ctes(CHAT, RAW_CHAT) + chat_validate_sql("raw_chat") + """
+SELECT line_id, n_errors, rules FROM per_line"""
+
+ORACLE["chat_validate_summary"] = with_ctes(CHAT, RAW_CHAT) + chat_validate_sql("raw_chat") + """
+SELECT CAST(count(*) AS BIGINT) AS n_checked, CAST(count(*) FILTER (WHERE n_errors > 0) AS BIGINT) AS n_failed,
+       CAST(sum(n_errors) AS BIGINT) AS n_errors, CASE WHEN sum(n_errors) = 0 THEN 'OK' ELSE 'FAILED' END AS verdict
+FROM per_line"""
+
+ORACLE["chat_error_table"] = with_ctes(CHAT, RAW_CHAT) + chat_validate_sql("raw_chat") + """
+SELECT rule, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT line_id) AS BIGINT) AS n_lines FROM errs GROUP BY rule"""
+
+PROMPT_ONLY = """
+, last_asst AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS la FROM conversations GROUP BY conv_id)
+, kept AS (
+  SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c JOIN last_asst USING (conv_id)
+  WHERE la IS NULL OR c.turn < la)
+, po AS (
+  SELECT l.conv_id, 'conv-' || l.conv_id AS id,
+         coalesce(list({'role': k.role, 'content': k.text} ORDER BY k.turn) FILTER (WHERE k.turn IS NOT NULL), []::STRUCT(role VARCHAR, content VARCHAR)[]) AS messages
+  FROM last_asst l LEFT JOIN kept k USING (conv_id) GROUP BY l.conv_id)
+"""
+
+ORACLE["prompt_only_records"] = with_ctes(CHAT) + PROMPT_ONLY + """
+, po_lines AS (SELECT id AS line_id, to_json({'id': id, 'messages': messages})::VARCHAR AS value, messages FROM po)
+""" + chat_validate_sql("po_lines", require_assistant=False) + """
+SELECT p.line_id AS id, CAST(len(l.messages) AS BIGINT) AS n_messages, p.n_errors, p.rules
+FROM per_line p JOIN po_lines l USING (line_id)"""
+
+CHATML = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
+ORACLE["chat_render"] = with_ctes(CHAT) + PROMPT_ONLY + f"""
+, full_r AS (SELECT conv_id, string_agg({CHATML}, '' ORDER BY turn) AS t FROM conversations GROUP BY conv_id)
+, gen_r AS (
+  SELECT l.conv_id, coalesce(string_agg({CHATML.replace('role', 'k.role').replace('text', 'k.text')}, '' ORDER BY k.turn), '')
+                    || '<|im_start|>assistant' || chr(10) AS t
+  FROM last_asst l LEFT JOIN kept k USING (conv_id) GROUP BY l.conv_id)
+SELECT f.conv_id, CAST(length(f.t) AS BIGINT) AS n_chars, md5(f.t) AS text_md5,
+       CAST(length(g.t) AS BIGINT) AS n_chars_prompt, md5(g.t) AS prompt_md5
+FROM full_r f JOIN gen_r g USING (conv_id)"""
+
+SFT_SYS = sql_str(K.SFT_SYSTEM_PROMPT)
+CALC_EXPR = "o_custkey || ' * ' || (o_orderkey % 97 + 2)"
+ORACLE["sft_records_build"] = f"""
+SELECT printf('sft_calc_%03d', o_orderkey) AS id, 'calculator' AS task,
+       CAST(o_custkey * (o_orderkey % 97 + 2) AS VARCHAR) AS answer,
+       to_json([{{'role': 'system', 'content': {SFT_SYS}}},
+                {{'role': 'user', 'content': 'Use a tool to calculate: ' || {CALC_EXPR}}},
+                {{'role': 'assistant', 'content': json_object('tool', 'calculator', 'arguments', json_object('expression', {CALC_EXPR}))::VARCHAR}}])::VARCHAR AS messages_json
+FROM orders
+UNION ALL
+SELECT printf('sft_json_%03d', event_id), 'json_validator', NULL,
+       to_json([{{'role': 'system', 'content': {SFT_SYS}}},
+                {{'role': 'user', 'content': 'Validate whether this text is JSON: ' || props}},
+                {{'role': 'assistant', 'content': json_object('tool', 'json_validator', 'arguments', json_object('text', props))::VARCHAR}}])::VARCHAR
+FROM events"""
+
+ORACLE["reward_records"] = f"""
+SELECT printf('sft_calc_%03d', o_orderkey) AS id, 'Use a tool to calculate: ' || {CALC_EXPR} AS prompt,
+       'calculator' AS expected_tool, json_object('expression', {CALC_EXPR})::VARCHAR AS expected_arguments,
+       CAST(o_custkey * (o_orderkey % 97 + 2) AS VARCHAR) AS answer
+FROM orders"""
