@@ -69,7 +69,8 @@ def rejected_variants(
     empty_args = tool_call_json(tool, F.lit("{}"))
     truncated = F.concat(F.lit('{"tool": "'), tool, F.lit('", "arguments": {'))
     texts = [prose, wrong_key, wrong_tool, extra, empty_args, truncated]
-    return F.array(*[F.struct(F.lit(i + 1).alias("variant"), t.alias("text")) for i, t in enumerate(texts)])
+    # named_struct keeps the field names even next to a generator in one projection
+    return F.array(*[F.named_struct(F.lit("variant"), F.lit(i + 1), F.lit("text"), t) for i, t in enumerate(texts)])
 
 
 def expand_pairs(toolcalls: DataFrame, seed: int = K.SEED) -> DataFrame:

@@ -224,3 +224,202 @@ def reward_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     sft = o.select(build.sft_calculator_record(F.col("o_orderkey"), expr,
                                                (F.col("o_custkey") * factor).cast("string")).alias("r")).select("r.*")
     return build.reward_record(sft)
+
+
+# --------------------------------------------------------------------- splits
+@query
+def hash_split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-5: group-safe split of pairs by prompt key (10 % val)."""
+    from ptloom.operators.split import hash_split
+
+    p = derived.pairs(Tables(spark, sf_dir)).select("pair_id", "key")
+    return hash_split(p, "key", 0.1)
+
+
+@query
+def exact_split_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-2: exact-count split of chat records, val = max(1, round_half_even(n*0.2))."""
+    from ptloom.operators.split import exact_split
+
+    c = derived.chat(Tables(spark, sf_dir)).select(F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("line_id"))
+    return exact_split(c, "line_id", 0.2, rounding="half_even")
+
+
+@query
+def exact_split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-3: exact-count split of pairs, val = max(1, int(n*0.1))."""
+    from ptloom.operators.split import exact_split
+
+    p = derived.pairs(Tables(spark, sf_dir)).select("pair_id")
+    return exact_split(p, "pair_id", 0.1, rounding="floor")
+
+
+@query
+def split_check_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-6, U-4: the exact split is a partition (no overlap, nothing lost or added)."""
+    from ptloom.operators.split import exact_split, split_check
+
+    p = derived.pairs(Tables(spark, sf_dir)).select("pair_id")
+    return split_check(exact_split(p, "pair_id", 0.1, rounding="floor"), p, "pair_id")
+
+
+@query
+def seeded_shuffle_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-1, L-6, SRC-14: first 8 pairs of the seeded permutation (the limit is the feature)."""
+    from pyspark.sql import Window
+
+    from ptloom.operators.split import head, seeded_order_key
+
+    p = derived.pairs(Tables(spark, sf_dir)).withColumn("_ord", seeded_order_key("pair_id"))
+    top = head(p, ["_ord", "pair_id"], 8)
+    return top.select("pair_id", "rejected", F.row_number().over(Window.orderBy("_ord", "pair_id")).cast("bigint").alias("pos"))
+
+
+@query
+def contiguous_split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-4: per source, first 90 % of characters (by doc_id) train, rest val."""
+    from ptloom.operators.split import contiguous_split
+
+    d = Tables(spark, sf_dir).documents.select("doc_id", "source", "n_chars")
+    return contiguous_split(d, "source", "doc_id", "n_chars", 0.9).select("doc_id", "source", "split")
+
+
+# ------------------------------------------------------------------ evaluation
+def _scored(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:
+    from ptloom.operators import evaluate as ev
+
+    o = derived.outputs(Tables(spark, sf_dir))
+    return ev.exact_arguments(ev.score(ev.evaluate_output(o, compat=compat)))
+
+
+@query
+def output_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-20, V-21, A-5, FN-13: per-output checks, exact-arguments flag and score."""
+    s = _scored(spark, sf_dir)
+    return s.select("model", "prompt_id", "is_valid_json", "has_tool_key", "tool_correct", "has_arguments",
+                    "args_exact", "score")
+
+
+@query
+def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-6 .. A-9, A-28: per-model mean score, pass rates, answer rate, length."""
+    from ptloom.operators import evaluate as ev
+
+    return ev.model_summary(_scored(spark, sf_dir))
+
+
+@query
+def model_compare_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-2, A-10, SRC-13 detail: per prompt, base vs tuned flags and scores."""
+    from ptloom.operators import evaluate as ev
+
+    return ev.compare_models(_scored(spark, sf_dir), "base", "tuned")
+
+
+@query
+def model_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-6, FN-17: mean scores, difference (3 digits), arrow and signed text."""
+    from ptloom.operators import evaluate as ev
+
+    s = ev.model_summary(_scored(spark, sf_dir)).select("model", "mean_score")
+    p = s.groupBy().pivot("model", ["base", "tuned"]).agg(F.first("mean_score"))
+    diff = F.round(F.col("tuned") - F.col("base"), 3)
+    return p.select(
+        F.col("base").alias("base_mean"), F.col("tuned").alias("tuned_mean"), diff.alias("diff"),
+        ev.arrow(diff).alias("direction"), F.format_string("%+.3f", diff).alias("diff_text"),
+    )
+
+
+@query
+def win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-22, A-24: tuned-vs-base win rate, ties apart; improved / regressed counts."""
+    from ptloom.operators import evaluate as ev
+
+    return ev.win_rate(ev.compare_models(_scored(spark, sf_dir), "base", "tuned"), "base", "tuned")
+
+
+@query
+def improved_regressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-24: the prompts whose score changed, with the size of the change."""
+    from ptloom.operators import evaluate as ev
+
+    c = ev.compare_models(_scored(spark, sf_dir), "base", "tuned")
+    return c.where(F.col("diff_tenths") != 0).select(
+        "prompt_id", "diff_tenths", F.when(F.col("diff_tenths") > 0, "improved").otherwise("regressed").alias("kind")
+    )
+
+
+@query
+def reward_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-5, V-21, A-23: outputs joined to the expected tool/arguments; average
+    exact-match reward and average weighted score per model."""
+    from ptloom.operators import evaluate as ev
+
+    t = Tables(spark, sf_dir)
+    outs = derived.outputs(t).select("model", "prompt_id", "output")
+    expected = derived.toolcalls(t).select(
+        F.col("key").alias("prompt_id"), F.col("tool").alias("expected_tool"),
+        F.col("arguments_json").alias("expected_arguments"),
+    )
+    j = outs.join(expected, "prompt_id", "inner")
+    s = ev.exact_arguments(ev.score(ev.evaluate_output(j)))
+    reward = (F.col("tool_correct") & F.col("args_exact")).cast("double")
+    return s.groupBy("model").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.round(F.avg(reward), 6).alias("avg_reward"),
+        F.round(F.avg("score"), 6).alias("avg_score"),
+    )
+
+
+@query
+def positional_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-1: base and tuned outputs paired by prompt id with a full outer join;
+    unmatched rows are counted instead of silently dropped."""
+    o = derived.outputs(Tables(spark, sf_dir))
+    a = o.where(F.col("model") == "base").select("prompt_id", F.col("output").alias("base_output"))
+    b = o.where(F.col("model") == "tuned").select("prompt_id", F.col("output").alias("tuned_output"))
+    j = a.join(b, "prompt_id", "full_outer")
+    return j.agg(
+        F.sum(F.when(F.col("base_output").isNotNull() & F.col("tuned_output").isNotNull(), 1).otherwise(0)).cast("bigint").alias("n_matched"),
+        F.sum(F.when(F.col("tuned_output").isNull(), 1).otherwise(0)).cast("bigint").alias("n_only_base"),
+        F.sum(F.when(F.col("base_output").isNull(), 1).otherwise(0)).cast("bigint").alias("n_only_tuned"),
+        F.sum(F.when(F.col("base_output") == F.col("tuned_output"), 1).otherwise(0)).cast("bigint").alias("n_same_output"),
+    )
+
+
+@query
+def format_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-18, V-19: JSON validity (no stripping) and tool-call shape, with the key
+    name as a parameter (``tool`` and the stub's ``tool_name``)."""
+    from ptloom.operators.classify import check_json_format, check_tool_call_format
+
+    o = derived.outputs(Tables(spark, sf_dir))
+    o = o.withColumn("json_ok", check_json_format(F.col("output")))
+    o = check_tool_call_format(o, "output", "shape_tool", tool_key="tool")
+    o = check_tool_call_format(o, "output", "shape_tool_name", tool_key="tool_name")
+    rate = lambda c: F.round(F.avg(F.col(c).cast("double")), 6)
+    return o.groupBy("model").agg(rate("json_ok").alias("json_rate"), rate("shape_tool").alias("tool_shape_rate"),
+                                  rate("shape_tool_name").alias("tool_name_shape_rate"))
+
+
+@query
+def output_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-27, A-28, A-29: repetition, length, line breaks, punctuation share and the
+    share of output words known from the document corpus (left-semi join)."""
+    from ptloom.operators import evaluate as ev
+
+    t = Tables(spark, sf_dir)
+    o = ev.text_stats(derived.outputs(t), "output")
+    corpus_words = t.documents.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "").distinct()
+    out_words = o.select("model", F.explode(F.split(F.lower("output"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "")
+    known = out_words.join(corpus_words, "w", "left_semi").groupBy("model").agg(F.count(F.lit(1)).alias("_known"))
+    total = out_words.groupBy("model").agg(F.count(F.lit(1)).alias("_total"))
+    shares = total.join(known, "model", "left").select(
+        "model", F.round(F.coalesce(F.col("_known"), F.lit(0)) / F.col("_total"), 6).alias("known_word_share"))
+    per_model = o.groupBy("model").agg(
+        F.round(F.avg("repetition"), 6).alias("mean_repetition"),
+        F.round(F.avg(F.char_length("output")), 6).alias("mean_len"),
+        F.sum("n_line_breaks").cast("bigint").alias("n_line_breaks"),
+        F.round(F.avg("punct_share"), 6).alias("mean_punct_share"),
+    )
+    return per_model.join(shares, "model", "left")

@@ -195,7 +195,7 @@ def outputs(t: Tables) -> DataFrame:
     tc = toolcalls(t)
     variants = build.rejected_variants(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"))
     model = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(s).alias("share")) for m, s in MODELS]))
-    d = tc.select("*", variants.alias("_vars"), model.alias("_m"))
+    d = tc.select("*", variants.alias("_vars")).select("*", model.alias("_m"))
     h = seeded_hex(F.col("_m.model"), F.col("key"))
     bucket = F.pmod(hex8_to_long(h, 1), F.lit(10))
     pick = (F.pmod(hex8_to_long(h, 9), F.lit(6)) + 1).cast("int")

@@ -389,3 +389,156 @@ SELECT printf('sft_calc_%03d', o_orderkey) AS id, 'Use a tool to calculate: ' ||
        'calculator' AS expected_tool, json_object('expression', {CALC_EXPR})::VARCHAR AS expected_arguments,
        CAST(o_custkey * (o_orderkey % 97 + 2) AS VARCHAR) AS answer
 FROM orders"""
+
+# --------------------------------------------------------------------- splits
+ORACLE["hash_split_pairs"] = PAIR_CTES + f"""
+SELECT pair_id, key, CASE WHEN substr(md5('42|' || key), 1, 8) < {VAL_HEX} THEN 'val' ELSE 'train' END AS split
+FROM pairs"""
+
+ORACLE["exact_split_chat"] = """
+WITH base AS (SELECT DISTINCT 'conv-' || conv_id AS line_id FROM conversations),
+o AS (SELECT line_id, md5('42|' || line_id) AS m FROM base),
+k AS (SELECT greatest(1, round_even(count(*) * 0.2, 0)) AS k FROM o)
+SELECT line_id, CASE WHEN row_number() OVER (ORDER BY m, line_id) <= (SELECT k FROM k) THEN 'val' ELSE 'train' END AS split
+FROM o"""
+
+EXACT_PAIRS = PAIR_CTES + """
+, o AS (SELECT pair_id, md5('42|' || pair_id) AS m FROM pairs)
+, k AS (SELECT greatest(1, floor(count(*) * 0.1)) AS k FROM o)
+, s AS (SELECT pair_id, CASE WHEN row_number() OVER (ORDER BY m, pair_id) <= (SELECT k FROM k) THEN 'val' ELSE 'train' END AS split FROM o)
+"""
+ORACLE["exact_split_pairs"] = EXACT_PAIRS + "SELECT pair_id, split FROM s"
+
+ORACLE["split_check_pairs"] = EXACT_PAIRS + """
+SELECT 'n_train' AS metric, CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS value FROM s
+UNION ALL SELECT 'n_val', CAST(count(*) FILTER (WHERE split = 'val') AS BIGINT) FROM s
+UNION ALL SELECT 'n_overlap_keys', CAST(count(*) AS BIGINT) FROM (
+  SELECT pair_id FROM s WHERE split = 'train' INTERSECT SELECT pair_id FROM s WHERE split = 'val')
+UNION ALL SELECT 'n_lost', CAST(count(*) AS BIGINT) FROM (SELECT pair_id FROM pairs EXCEPT ALL SELECT pair_id FROM s)
+UNION ALL SELECT 'n_extra', CAST(count(*) AS BIGINT) FROM (SELECT pair_id FROM s EXCEPT ALL SELECT pair_id FROM pairs)"""
+
+ORACLE["seeded_shuffle_head"] = PAIR_CTES + """
+SELECT pair_id, rejected, CAST(row_number() OVER (ORDER BY md5('42|' || pair_id), pair_id) AS BIGINT) AS pos
+FROM pairs ORDER BY md5('42|' || pair_id), pair_id LIMIT 8"""
+
+ORACLE["contiguous_split_docs"] = """
+SELECT doc_id, source,
+       CASE WHEN coalesce(sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 < 0.9 * sum(n_chars) OVER (PARTITION BY source) THEN 'train' ELSE 'val' END AS split
+FROM documents"""
+
+# ------------------------------------------------------------------ evaluation
+OUTPUTS = """
+outputs AS (
+  SELECT m.model, t.key AS prompt_id, t.prompt,
+         CASE WHEN (('0x' || substr(md5('42|' || m.model || '|' || t.key), 1, 8))::BIGINT % 10) < m.share
+              THEN t.chosen ELSE v.text END AS output,
+         t.tool AS expected_tool, t.arguments_json AS expected_arguments, t.answer
+  FROM toolcalls t CROSS JOIN (VALUES ('base', 3), ('tuned', 7)) m(model, share)
+  JOIN variants v ON v.key = t.key
+   AND v.variant = (('0x' || substr(md5('42|' || m.model || '|' || t.key), 9, 8))::BIGINT % 6 + 1)
+)"""
+
+
+def scored_sql(src: str = "outputs") -> str:
+    return f"""
+scored AS (
+  SELECT *, CAST(4 * is_valid_json::INT + 2 * has_tool_key::INT + 3 * tool_correct::INT + has_arguments::INT AS DOUBLE) / 10 AS score,
+         coalesce(args_j::VARCHAR = json(expected_arguments)::VARCHAR, false) AS args_exact
+  FROM (
+    SELECT *, j IS NOT NULL AS is_valid_json,
+           coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.tool'), false) AS has_tool_key,
+           coalesce(json_type(j) = 'OBJECT' AND json_type(j, '$.tool') = 'VARCHAR' AND json_extract_string(j, '$.tool') = expected_tool, false) AS tool_correct,
+           coalesce(json_type(j) = 'OBJECT' AND json_type(j, '$.arguments') = 'OBJECT' AND len(json_keys(j, '$.arguments')) > 0, false) AS has_arguments,
+           CASE WHEN json_type(j) = 'OBJECT' THEN json_extract(j, '$.arguments') END AS args_j
+    FROM (SELECT *, CASE WHEN json_valid({STRIP('output')}) THEN {STRIP('output')}::JSON END AS j FROM {src})
+  )
+)"""
+
+
+EVAL_CTES = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS, scored_sql())
+
+ORACLE["output_scores"] = EVAL_CTES + """
+SELECT model, prompt_id, is_valid_json, has_tool_key, tool_correct, has_arguments, args_exact, score FROM scored"""
+
+MODEL_SUMMARY = f"""
+SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg(score), 3) AS mean_score,
+       round(avg(is_valid_json::INT), 6) AS format_acc, round(avg(tool_correct::INT), 6) AS tool_acc,
+       round(avg(has_arguments::INT), 6) AS args_acc,
+       round(avg((is_valid_json AND tool_correct AND has_arguments)::INT), 6) AS overall_acc,
+       round(avg(({STRIP('output')} <> '')::INT), 6) AS answer_rate, round(avg(length(output)), 6) AS mean_len
+FROM scored GROUP BY model"""
+ORACLE["model_summary"] = EVAL_CTES + MODEL_SUMMARY
+
+COMPARE = """
+, cmp AS (
+  SELECT a.prompt_id,
+         a.is_valid_json AS base_is_valid_json, a.has_tool_key AS base_has_tool_key, a.tool_correct AS base_tool_correct,
+         a.has_arguments AS base_has_arguments, a.score AS base_score,
+         b.is_valid_json AS tuned_is_valid_json, b.has_tool_key AS tuned_has_tool_key, b.tool_correct AS tuned_tool_correct,
+         b.has_arguments AS tuned_has_arguments, b.score AS tuned_score,
+         CAST(round((b.score - a.score) * 10) AS BIGINT) AS diff_tenths,
+         CASE WHEN b.score - a.score > 0 THEN '↑' WHEN b.score - a.score < 0 THEN '↓' ELSE '→' END AS direction,
+         CASE WHEN a.is_valid_json THEN '✓' ELSE '✗' END AS tick_a,
+         CASE WHEN b.is_valid_json THEN '✓' ELSE '✗' END AS tick_b
+  FROM scored a JOIN scored b ON a.prompt_id = b.prompt_id AND a.model = 'base' AND b.model = 'tuned')
+"""
+ORACLE["model_compare_detail"] = EVAL_CTES + COMPARE + "SELECT * FROM cmp"
+
+ORACLE["model_diff"] = EVAL_CTES + """
+, ms AS (SELECT model, round(avg(score), 3) AS m FROM scored GROUP BY model)
+, p AS (SELECT max(m) FILTER (WHERE model = 'base') AS base_mean, max(m) FILTER (WHERE model = 'tuned') AS tuned_mean FROM ms)
+SELECT base_mean, tuned_mean, round(tuned_mean - base_mean, 3) AS diff,
+       CASE WHEN round(tuned_mean - base_mean, 3) > 0 THEN '↑' WHEN round(tuned_mean - base_mean, 3) < 0 THEN '↓' ELSE '→' END AS direction,
+       printf('%+.3f', round(tuned_mean - base_mean, 3)) AS diff_text
+FROM p"""
+
+ORACLE["win_rate"] = EVAL_CTES + COMPARE + """
+SELECT CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE tuned_score - base_score > 0) AS BIGINT) AS n_improved,
+       CAST(count(*) FILTER (WHERE tuned_score - base_score < 0) AS BIGINT) AS n_regressed,
+       CAST(count(*) FILTER (WHERE tuned_score - base_score = 0) AS BIGINT) AS n_tied,
+       round(avg(CASE WHEN tuned_score - base_score > 0 THEN 1.0 ELSE 0.0 END), 6) AS win_rate,
+       round(avg(CASE WHEN tuned_score - base_score = 0 THEN 1.0 ELSE 0.0 END), 6) AS tie_rate
+FROM cmp"""
+
+ORACLE["improved_regressed"] = EVAL_CTES + COMPARE + """
+SELECT prompt_id, diff_tenths, CASE WHEN diff_tenths > 0 THEN 'improved' ELSE 'regressed' END AS kind
+FROM cmp WHERE diff_tenths <> 0"""
+
+ORACLE["reward_average"] = EVAL_CTES + """
+SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg((tool_correct AND args_exact)::INT), 6) AS avg_reward,
+       round(avg(score), 6) AS avg_score
+FROM scored GROUP BY model"""
+
+ORACLE["positional_pairing"] = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS) + """
+, a AS (SELECT prompt_id, output AS base_output FROM outputs WHERE model = 'base')
+, b AS (SELECT prompt_id, output AS tuned_output FROM outputs WHERE model = 'tuned')
+SELECT CAST(sum(CASE WHEN base_output IS NOT NULL AND tuned_output IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_matched,
+       CAST(sum(CASE WHEN tuned_output IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_only_base,
+       CAST(sum(CASE WHEN base_output IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_only_tuned,
+       CAST(sum(CASE WHEN base_output = tuned_output THEN 1 ELSE 0 END) AS BIGINT) AS n_same_output
+FROM a FULL OUTER JOIN b USING (prompt_id)"""
+
+ORACLE["format_checks"] = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS) + """
+, f AS (SELECT model, json_valid(output) AS ok, CASE WHEN json_valid(output) THEN output::JSON END AS j FROM outputs)
+SELECT model, round(avg(ok::INT), 6) AS json_rate,
+       round(avg(coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.tool') AND json_exists(j, '$.arguments'), false)::INT), 6) AS tool_shape_rate,
+       round(avg(coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.tool_name') AND json_exists(j, '$.arguments'), false)::INT), 6) AS tool_name_shape_rate
+FROM f GROUP BY model"""
+
+ORACLE["output_text_stats"] = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS) + """
+, w AS (SELECT model, output, list_filter(regexp_split_to_array(lower(output), '\\s+'), lambda x: x <> '') AS words FROM outputs)
+, g AS (SELECT model, output, CASE WHEN len(words) >= 3
+              THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) ELSE [] END AS grams FROM w)
+, per_model AS (
+  SELECT model,
+         round(avg(CASE WHEN len(grams) > 0 THEN 1 - len(list_distinct(grams)) / len(grams) ELSE 0.0 END), 6) AS mean_repetition,
+         round(avg(length(output)), 6) AS mean_len,
+         CAST(sum(length(output) - length(replace(output, chr(10), ''))) AS BIGINT) AS n_line_breaks,
+         round(avg(CASE WHEN length(output) > 0 THEN length(regexp_replace(output, '[^[:punct:]]', '', 'g')) / length(output) ELSE 0.0 END), 6) AS mean_punct_share
+  FROM g GROUP BY model)
+, corpus AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS w FROM documents) WHERE w <> '')
+, ow AS (SELECT model, w FROM (SELECT model, unnest(regexp_split_to_array(lower(output), '[^\\p{L}]+')) AS w FROM outputs) WHERE w <> '')
+, shares AS (SELECT model, round(count(*) FILTER (WHERE w IN (SELECT w FROM corpus)) / count(*), 6) AS known_word_share FROM ow GROUP BY model)
+SELECT * FROM per_model JOIN shares USING (model)"""
