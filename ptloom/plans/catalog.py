@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ptloom import constants as K
 from ptloom.operators import build, classify, validate
 from ptloom.plans import derived
 from ptloom.sources.tables import Tables
@@ -423,3 +424,178 @@ def output_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg("punct_share"), 6).alias("mean_punct_share"),
     )
     return per_model.join(shares, "model", "left")
+
+
+# --------------------------------------------------------------------- tokens
+def _docs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Tables(spark, sf_dir).documents.withColumn("split", derived.doc_split(0.1))
+
+
+@query
+def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-16, SRC-9: character vocabulary of the corpus, frequency and ids."""
+    from ptloom.operators import tokens
+
+    return tokens.char_vocab(Tables(spark, sf_dir).documents)
+
+
+@query
+def encode_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-9, FN-10, FN-11, V-23: vocabulary from the train split, encode every
+    document, decode it back and count documents that do not round-trip."""
+    from ptloom.operators import tokens
+
+    d = _docs_split(spark, sf_dir)
+    vocab = tokens.char_vocab(d.where(F.col("split") == "train")).select("ch", "id")
+    enc = tokens.encode(d, vocab)
+    dec = tokens.decode(enc, vocab)
+    j = d.select("doc_id", "split", "text").join(enc, "doc_id").join(dec, "doc_id")
+    return j.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+        F.sum(F.when(F.col("decoded") == F.col("text"), 1).otherwise(0)).cast("bigint").alias("n_roundtrip_ok"),
+        F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
+        F.sum(F.size(F.filter("ids", lambda x: x.isNull()))).cast("bigint").alias("n_unknown"),
+    )
+
+
+@query
+def token_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-14, A-15: token and word counts per language: mean, max, median, p90."""
+    from ptloom.operators import tokens
+
+    return tokens.length_stats(Tables(spark, sf_dir).documents, "lang")
+
+
+@query
+def overlength_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-24, L-9: documents over 1024 tokens and tokens lost by truncation, per language."""
+    from ptloom.operators import tokens
+
+    d = Tables(spark, sf_dir).documents
+    over, lost = tokens.truncation(F.char_length("text"), 1024)
+    return d.groupBy("lang").agg(
+        F.sum(over.cast("int")).cast("bigint").alias("n_over"),
+        F.sum(lost).cast("bigint").alias("n_lost_tokens"),
+    )
+
+
+@query
+def overlength_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-24: chat samples whose prompt exceeds 512 tokens, whose whole sample exceeds
+    1024, and whether the cut hits or removes the final answer."""
+    from ptloom.operators.chat import prompt_only, render
+
+    c = derived.chat(Tables(spark, sf_dir))
+    full = F.char_length(render(F.col("messages")))
+    prompt = F.char_length(render(prompt_only(F.col("messages"))))
+    d = c.select(full.alias("n_full"), prompt.alias("n_prompt"))
+    return d.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+        F.sum(F.when(F.col("n_prompt") > 512, 1).otherwise(0)).cast("bigint").alias("n_prompt_over"),
+        F.sum(F.when(F.col("n_full") > 1024, 1).otherwise(0)).cast("bigint").alias("n_truncated"),
+        F.sum(F.when((F.col("n_full") > 1024) & (F.col("n_prompt") < 1024), 1).otherwise(0)).cast("bigint").alias("n_answer_cut"),
+        F.sum(F.when(F.col("n_prompt") >= 1024, 1).otherwise(0)).cast("bigint").alias("n_answer_lost"),
+    )
+
+
+@query
+def next_token_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-2: next-token targets as (token, next) counts over the whole corpus."""
+    from ptloom.operators import tokens
+
+    return tokens.next_token_pairs(Tables(spark, sf_dir).documents)
+
+
+@query
+def context_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-3: 256-token context blocks per document with shifted targets."""
+    from ptloom.operators import tokens
+
+    b = tokens.blocks(Tables(spark, sf_dir).documents, 256)
+    return b.select("doc_id", "block_no", "n_tokens", F.md5("input_text").alias("input_md5"),
+                    F.md5("target_text").alias("target_md5"))
+
+
+@query
+def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-10: input ids, labels with prompt turns masked to -100, attention mask."""
+    from ptloom.operators import tokens
+
+    c = derived.chat(Tables(spark, sf_dir))
+    m = c.select("conv_id", tokens.label_mask(F.col("messages")).alias("t"))
+    kept = F.filter("t.labels", lambda x: x != K.IGNORE_INDEX)
+    return m.select(
+        "conv_id",
+        F.size("t.input_ids").cast("bigint").alias("n_tokens"),
+        F.size(kept).cast("bigint").alias("n_label_tokens"),
+        F.aggregate(kept, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("sum_label_ids"),
+        ((F.size("t.input_ids") == F.size("t.labels")) & (F.size("t.labels") == F.size("t.attention_mask"))).alias("lengths_equal"),
+    )
+
+
+def _chat_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ptloom.functions.hashing import seeded_hash
+    from ptloom.operators.chat import render
+
+    c = derived.chat(Tables(spark, sf_dir))
+    key = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"))
+    return c.select(
+        "conv_id", F.pmod(seeded_hash(key), F.lit(4)).alias("bucket"),
+        F.char_length(render(F.col("messages"))).cast("bigint").alias("n_tok"),
+    )
+
+
+@query
+def padding_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-7, L-8: length-sorted batches of 8 inside 4 hash buckets; padding per batch."""
+    from ptloom.operators.ordered import row_number_in_group
+
+    d = row_number_in_group(_chat_lengths(spark, sf_dir), ["bucket"], ["n_tok", "conv_id"], out_col="rn")
+    d = d.withColumn("batch_id", F.floor((F.col("rn") - 1) / 8).cast("bigint"))
+    b = d.groupBy("bucket", "batch_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+        F.max("n_tok").cast("bigint").alias("max_len"),
+        F.sum("n_tok").cast("bigint").alias("sum_len"),
+    )
+    return b.withColumn("n_pad", F.col("n_samples") * F.col("max_len") - F.col("sum_len")).withColumn(
+        "pad_share", F.round(1 - F.col("sum_len") / (F.col("n_samples") * F.col("max_len")), 6)
+    )
+
+
+@query
+def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-7: effective batch = device batch 4 x accumulation 2; steps per epoch."""
+    d = _chat_lengths(spark, sf_dir)
+    eff = 4 * 2
+    return d.agg(F.count(F.lit(1)).cast("bigint").alias("n_samples")).select(
+        "n_samples", F.lit(eff).cast("bigint").alias("effective_batch"),
+        F.ceil(F.col("n_samples") / eff).cast("bigint").alias("steps_per_epoch"),
+    )
+
+
+@query
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-11: concat-and-chunk packing — running token sum inside 8 hash buckets,
+    pack id = floor(tokens before / 4096)."""
+    from ptloom.functions.hashing import seeded_hash
+    from ptloom.operators.ordered import running_aggregate
+
+    d = Tables(spark, sf_dir).documents.select(
+        "doc_id", F.pmod(seeded_hash(F.col("doc_id").cast("string")), F.lit(8)).alias("bucket"),
+        F.col("n_chars").alias("n_tok"),
+    )
+    c = running_aggregate(d, ["bucket"], ["doc_id"], value_col="n_tok", how="sum", out_col="before", inclusive=False)
+    c = c.withColumn("pack_id", F.floor(F.col("before") / 4096).cast("bigint"))
+    return c.groupBy("bucket", "pack_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs_starting"),
+        F.sum("n_tok").cast("bigint").alias("n_tokens_starting"),
+    )
+
+
+@query
+def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-17: the first 10 BPE merges learned on the whole document corpus (iterative:
+    no SQL twin; checked against a brute-force learner in the tests)."""
+    from ptloom.operators.bpe import train_bpe
+
+    return train_bpe(spark, Tables(spark, sf_dir).documents, 10, checkpoint_every=1)

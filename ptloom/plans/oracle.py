@@ -542,3 +542,87 @@ ORACLE["output_text_stats"] = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS) + """
 , ow AS (SELECT model, w FROM (SELECT model, unnest(regexp_split_to_array(lower(output), '[^\\p{L}]+')) AS w FROM outputs) WHERE w <> '')
 , shares AS (SELECT model, round(count(*) FILTER (WHERE w IN (SELECT w FROM corpus)) / count(*), 6) AS known_word_share FROM ow GROUP BY model)
 SELECT * FROM per_model JOIN shares USING (model)"""
+
+# --------------------------------------------------------------------- tokens
+DOC_SPLIT = f"""
+docs AS (SELECT *, CASE WHEN substr(md5('42|' || doc_id), 1, 8) < {VAL_HEX} THEN 'val' ELSE 'train' END AS split FROM documents)"""
+
+ORACLE["char_vocab"] = """
+WITH c AS (SELECT ch, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0) GROUP BY ch)
+SELECT ch, n, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM c"""
+
+ORACLE["encode_decode_roundtrip"] = with_ctes(DOC_SPLIT) + """
+, vocab AS (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM docs WHERE split = 'train' AND length(text) > 0)
+, toks AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM docs WHERE length(text) > 0)
+, unk AS (SELECT doc_id, count(*) AS n_unk FROM toks WHERE ch NOT IN (SELECT ch FROM vocab) GROUP BY doc_id)
+SELECT split, CAST(count(*) AS BIGINT) AS n_docs,
+       CAST(count(*) FILTER (WHERE coalesce(n_unk, 0) = 0) AS BIGINT) AS n_roundtrip_ok,
+       CAST(sum(length(text)) AS BIGINT) AS n_tokens, CAST(sum(coalesce(n_unk, 0)) AS BIGINT) AS n_unknown
+FROM docs LEFT JOIN unk USING (doc_id) GROUP BY split"""
+
+ORACLE["token_length_stats"] = """
+WITH d AS (SELECT lang, length(text) AS n_tok,
+                  len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS n_words FROM documents)
+SELECT lang, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n_tok) AS BIGINT) AS n_tokens, round(avg(n_tok), 6) AS mean_tokens,
+       CAST(max(n_tok) AS BIGINT) AS max_tokens, round(quantile_cont(n_tok, 0.5), 6) AS p50_tokens,
+       round(quantile_cont(n_tok, 0.9), 6) AS p90_tokens, CAST(sum(n_words) AS BIGINT) AS n_words,
+       round(sum(n_tok) / sum(n_words), 6) AS tokens_per_word
+FROM d GROUP BY lang"""
+
+ORACLE["overlength_docs"] = """
+SELECT lang, CAST(count(*) FILTER (WHERE length(text) > 1024) AS BIGINT) AS n_over,
+       CAST(sum(greatest(length(text) - 1024, 0)) AS BIGINT) AS n_lost_tokens
+FROM documents GROUP BY lang"""
+
+ORACLE["overlength_chat"] = with_ctes(CHAT) + PROMPT_ONLY + f"""
+, full_r AS (SELECT conv_id, sum(length({CHATML})) AS n_full FROM conversations GROUP BY conv_id)
+, gen_r AS (SELECT l.conv_id, coalesce(sum(length({CHATML.replace('role', 'k.role').replace('text', 'k.text')})), 0) AS n_prompt
+            FROM last_asst l LEFT JOIN kept k USING (conv_id) GROUP BY l.conv_id)
+SELECT CAST(count(*) AS BIGINT) AS n_samples,
+       CAST(count(*) FILTER (WHERE n_prompt > 512) AS BIGINT) AS n_prompt_over,
+       CAST(count(*) FILTER (WHERE n_full > 1024) AS BIGINT) AS n_truncated,
+       CAST(count(*) FILTER (WHERE n_full > 1024 AND n_prompt < 1024) AS BIGINT) AS n_answer_cut,
+       CAST(count(*) FILTER (WHERE n_prompt >= 1024) AS BIGINT) AS n_answer_lost
+FROM full_r JOIN gen_r USING (conv_id)"""
+
+ORACLE["next_token_pairs"] = """
+WITH t AS (SELECT doc_id, generate_subscripts(c, 1) AS pos, unnest(c) AS ch
+           FROM (SELECT doc_id, string_split(text, '') AS c FROM documents WHERE length(text) > 1)),
+p AS (SELECT ch AS cur, lead(ch) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM t)
+SELECT cur, nxt, CAST(count(*) AS BIGINT) AS n FROM p WHERE nxt IS NOT NULL GROUP BY cur, nxt"""
+
+ORACLE["context_blocks"] = """
+WITH s AS (SELECT doc_id, text, unnest(range(0, length(text), 256)) AS start FROM documents WHERE length(text) > 0)
+SELECT doc_id, CAST(start // 256 AS BIGINT) AS block_no, CAST(least(256, length(text) - start) AS BIGINT) AS n_tokens,
+       md5(substring(text, start + 1, 256)) AS input_md5, md5(substring(text, start + 2, 256)) AS target_md5
+FROM s"""
+
+ORACLE["label_mask"] = f"""
+WITH p AS (SELECT conv_id, role, {CHATML} AS piece FROM conversations),
+t AS (SELECT conv_id, role, unnest(string_split(piece, '')) AS ch FROM p)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_tokens,
+       CAST(count(*) FILTER (WHERE role = 'assistant') AS BIGINT) AS n_label_tokens,
+       CAST(coalesce(sum(unicode(ch)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS sum_label_ids,
+       true AS lengths_equal
+FROM t GROUP BY conv_id"""
+
+CHAT_LENGTHS = f"""
+lens AS (SELECT conv_id, {H("'conv-' || conv_id")} % 4 AS bucket, CAST(sum(length({CHATML})) AS BIGINT) AS n_tok
+         FROM conversations GROUP BY conv_id)"""
+
+ORACLE["padding_batches"] = with_ctes(CHAT_LENGTHS) + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tok, conv_id) AS rn FROM lens)
+, b AS (SELECT bucket, CAST(floor((rn - 1) / 8) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_samples,
+               CAST(max(n_tok) AS BIGINT) AS max_len, CAST(sum(n_tok) AS BIGINT) AS sum_len FROM r GROUP BY 1, 2)
+SELECT *, n_samples * max_len - sum_len AS n_pad, round(1 - sum_len / (n_samples * max_len), 6) AS pad_share FROM b"""
+
+ORACLE["batch_plan"] = with_ctes(CHAT_LENGTHS) + """
+SELECT CAST(count(*) AS BIGINT) AS n_samples, CAST(8 AS BIGINT) AS effective_batch,
+       CAST(ceil(count(*) / 8) AS BIGINT) AS steps_per_epoch FROM lens"""
+
+ORACLE["packing"] = f"""
+WITH d AS (SELECT doc_id, {H('doc_id')} % 8 AS bucket, n_chars AS n_tok FROM documents),
+c AS (SELECT *, coalesce(sum(n_tok) OVER (PARTITION BY bucket ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+SELECT bucket, CAST(floor(before / 4096) AS BIGINT) AS pack_id, CAST(count(*) AS BIGINT) AS n_docs_starting,
+       CAST(sum(n_tok) AS BIGINT) AS n_tokens_starting
+FROM c GROUP BY 1, 2"""
