@@ -599,3 +599,125 @@ def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ptloom.operators.bpe import train_bpe
 
     return train_bpe(spark, Tables(spark, sf_dir).documents, 10, checkpoint_every=1)
+
+
+# ----------------------------------------------------------------------- runs
+def _runlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.runlog(Tables(spark, sf_dir))
+
+
+@query
+def loss_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-18: first / last / best losses per run, total drop and train-val gap."""
+    from ptloom.operators import runs
+
+    return runs.loss_table(_runlog(spark, sf_dir))
+
+
+@query
+def experiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-19: one row per run joined to its parameter table (broadcast, size-checked)."""
+    from ptloom.operators import runs
+
+    rl = _runlog(spark, sf_dir)
+    return runs.experiment_summary(rl, runs.run_params(rl))
+
+
+@query
+def sweep_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-20: mean loss per beta (rows) and split (columns)."""
+    from ptloom.operators import runs
+
+    rl = _runlog(spark, sf_dir)
+    return runs.sweep_pivot(rl, runs.run_params(rl))
+
+
+@query
+def gpu_cost_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-21: GPU hours and cost by stage and GPU with subtotals (rollup)."""
+    from ptloom.operators import runs
+
+    return runs.gpu_cost(derived.gpu_log(Tables(spark, sf_dir)))
+
+
+@query
+def step_time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-30: step time per run for training steps, evaluation steps apart, and the
+    change of each run against the mean over runs."""
+    from ptloom.operators import runs
+
+    return runs.step_time_summary(_runlog(spark, sf_dir))
+
+
+@query
+def loss_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-4, W-5: change since the previous evaluation and new-best flag (skew-safe
+    ordering, previous row by an equi-join on the ordinal)."""
+    from ptloom.operators import runs
+
+    return runs.loss_deltas(_runlog(spark, sf_dir))
+
+
+@query
+def overfit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-6: points where train loss falls while val loss rises."""
+    from ptloom.operators import runs
+
+    return runs.overfit_flags(runs.loss_deltas(_runlog(spark, sf_dir)))
+
+
+@query
+def eval_interval_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-7: every 100th step (logging / evaluation interval)."""
+    rl = _runlog(spark, sf_dir)
+    return rl.where(F.pmod(F.col("step"), F.lit(100)) == 0).select("run_id", "split", "step", "loss")
+
+
+@query
+def dataset_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-11: rows per split file, distinct tools and distinct rejected types."""
+    p = classify.classify_rejected(derived.pairs(Tables(spark, sf_dir)), "rejected")
+    p = p.withColumn("file", derived.preference_split_file("key"))
+    return p.groupBy("file").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+        F.countDistinct("tool").cast("bigint").alias("n_tools"),
+        F.countDistinct("rejected_type").cast("bigint").alias("n_types"),
+    )
+
+
+@query
+def examples_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-13: examples per task (SFT records) and per tool (preference pairs)."""
+    sft = sft_records_build(spark, sf_dir).groupBy(F.col("task").alias("name")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n")).withColumn("kind", F.lit("task"))
+    tools = derived.pairs(Tables(spark, sf_dir)).groupBy(F.col("tool").alias("name")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n")).withColumn("kind", F.lit("tool"))
+    return sft.unionByName(tools)
+
+
+# ---------------------------------------------------------------------- align
+@query
+def dpo_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-25: DPO loss, implicit rewards, margin and accuracy from log-probs (beta 0.1)."""
+    from ptloom.operators import align
+
+    lp = derived.logprobs(Tables(spark, sf_dir))
+    lab = Tables(spark, sf_dir).embeddings.select(F.col("vec_id").alias("pair_id"), "label")
+    return align.dpo_summary(align.dpo_terms(lp.join(lab, "pair_id"), beta=0.1), ["label"])
+
+
+@query
+def token_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-26: mean -ln p per split under the unigram character model of the train split."""
+    from ptloom.operators import align
+
+    d = _docs_split(spark, sf_dir)
+    return align.unigram_cross_entropy(d, "split", "train")
+
+
+@query
+def temperature_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-8: temperature-0.7 softmax over per-document candidate logits, top 5."""
+    from ptloom.operators import align
+
+    return align.temperature_topk(align.char_candidates(Tables(spark, sf_dir).documents), 0.7, 5)

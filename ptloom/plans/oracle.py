@@ -626,3 +626,117 @@ c AS (SELECT *, coalesce(sum(n_tok) OVER (PARTITION BY bucket ORDER BY doc_id RO
 SELECT bucket, CAST(floor(before / 4096) AS BIGINT) AS pack_id, CAST(count(*) AS BIGINT) AS n_docs_starting,
        CAST(sum(n_tok) AS BIGINT) AS n_tokens_starting
 FROM c GROUP BY 1, 2"""
+
+# ----------------------------------------------------------------------- runs
+RUNLOG = """
+runlog AS (
+  SELECT event_type AS run_id, CASE WHEN event_id % 2 = 0 THEN 'train' ELSE 'val' END AS split,
+         CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS BIGINT) AS step,
+         value AS loss, CAST(event_id % 50 + 440 AS DOUBLE) AS ms, event_id
+  FROM events)"""
+
+RUN_PARAMS = f"""
+params AS (
+  SELECT run_id, 'ptloom-run' AS model, CAST({H('run_id')} % 5 + 1 AS DOUBLE) / 10 AS beta,
+         CAST({H('run_id')} % 3 + 1 AS DOUBLE) * CAST(0.00001 AS DOUBLE) AS lr
+  FROM (SELECT DISTINCT run_id FROM runlog))"""
+
+ORACLE["loss_table"] = with_ctes(RUNLOG) + """
+, g AS (
+  SELECT run_id,
+         arg_min(loss, step) FILTER (WHERE split = 'train') AS first_train, arg_max(loss, step) FILTER (WHERE split = 'train') AS last_train,
+         arg_min(loss, step) FILTER (WHERE split = 'val') AS first_val, arg_max(loss, step) FILTER (WHERE split = 'val') AS last_val,
+         min(loss) FILTER (WHERE split = 'val') AS best_val
+  FROM runlog GROUP BY run_id)
+SELECT run_id, round(first_train, 6) AS first_train, round(last_train, 6) AS last_train, round(first_val, 6) AS first_val,
+       round(last_val, 6) AS last_val, round(best_val, 6) AS best_val, round(first_train - last_train, 6) AS total_drop,
+       round(last_val - last_train, 6) AS final_gap
+FROM g"""
+
+ORACLE["experiment_summary"] = with_ctes(RUNLOG, RUN_PARAMS) + """
+, g AS (SELECT run_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(max(step) AS BIGINT) AS steps,
+               round(arg_min(loss, step), 6) AS loss_first, round(arg_max(loss, step), 6) AS loss_last FROM runlog GROUP BY run_id)
+SELECT run_id, model, beta, lr, n_rows, steps, loss_first, loss_last FROM g JOIN params USING (run_id)"""
+
+ORACLE["sweep_pivot"] = with_ctes(RUNLOG, RUN_PARAMS) + """
+SELECT beta, round(avg(loss) FILTER (WHERE split = 'train'), 6) AS train, round(avg(loss) FILTER (WHERE split = 'val'), 6) AS val
+FROM runlog JOIN params USING (run_id) GROUP BY beta"""
+
+GPU_LOG = """
+gpu_log AS (
+  SELECT event_type AS stage, 'gpu-' || (user_id % 3) AS gpu, CAST(user_id % 8 + 1 AS DOUBLE) AS hours,
+         CAST(event_id % 5 + 1 AS DOUBLE) AS price FROM events)"""
+
+ORACLE["gpu_cost_rollup"] = with_ctes(GPU_LOG) + """
+SELECT stage, gpu, sum(hours) AS hours, sum(hours * price) AS cost, CAST(count(*) AS BIGINT) AS n
+FROM gpu_log GROUP BY ROLLUP (stage, gpu)"""
+
+ORACLE["step_time_summary"] = with_ctes(RUNLOG) + """
+, g AS (
+  SELECT run_id, round(avg(ms) FILTER (WHERE split = 'train'), 6) AS train_ms_mean,
+         min(ms) FILTER (WHERE split = 'train') AS train_ms_min, max(ms) FILTER (WHERE split = 'train') AS train_ms_max,
+         round(quantile_cont(ms, 0.5) FILTER (WHERE split = 'train'), 6) AS train_ms_p50,
+         round(avg(ms) FILTER (WHERE split <> 'train'), 6) AS eval_ms_mean,
+         CAST(count(*) FILTER (WHERE split <> 'train') AS BIGINT) AS n_eval
+  FROM runlog GROUP BY run_id)
+SELECT *, round(train_ms_mean - avg(train_ms_mean) OVER (), 6) AS train_ms_vs_mean FROM g"""
+
+LOSS_DELTAS = """
+, o AS (SELECT run_id, split, step, loss, row_number() OVER (PARTITION BY run_id, split ORDER BY step) AS ord FROM runlog)
+, deltas AS (
+  SELECT run_id, split, CAST(ord AS BIGINT) AS ord, step, round(loss, 6) AS loss,
+         round(loss - lag(loss) OVER (PARTITION BY run_id, split ORDER BY ord), 6) AS delta,
+         coalesce(loss < min(loss) OVER (PARTITION BY run_id, split ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new_best
+  FROM o)
+"""
+ORACLE["loss_deltas"] = with_ctes(RUNLOG) + LOSS_DELTAS + "SELECT * FROM deltas"
+
+ORACLE["overfit_flags"] = with_ctes(RUNLOG) + LOSS_DELTAS + """
+SELECT t.run_id, CAST(count(*) AS BIGINT) AS n_aligned,
+       CAST(count(*) FILTER (WHERE t.delta < 0 AND v.delta > 0) AS BIGINT) AS n_overfit
+FROM deltas t JOIN deltas v ON t.run_id = v.run_id AND t.ord = v.ord AND t.split = 'train' AND v.split = 'val'
+GROUP BY t.run_id"""
+
+ORACLE["eval_interval_sample"] = with_ctes(RUNLOG) + """
+SELECT run_id, split, step, loss FROM runlog WHERE step % 100 = 0"""
+
+ORACLE["dataset_card"] = PAIR_CTES + f"""
+SELECT CASE WHEN substr(md5('42|' || key), 1, 8) < {VAL_HEX} THEN 'preference_val.jsonl' ELSE 'preference_train.jsonl' END AS file,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT tool) AS BIGINT) AS n_tools,
+       CAST(count(DISTINCT {CLASSIFY('rejected')}) AS BIGINT) AS n_types
+FROM pairs GROUP BY 1"""
+
+ORACLE["examples_per_task"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS) + """
+SELECT 'calculator' AS name, CAST(count(*) AS BIGINT) AS n, 'task' AS kind FROM orders
+UNION ALL SELECT 'json_validator', CAST(count(*) AS BIGINT), 'task' FROM events
+UNION ALL SELECT tool, CAST(count(*) AS BIGINT), 'tool' FROM pairs GROUP BY tool"""
+
+# ---------------------------------------------------------------------- align
+ORACLE["dpo_loss"] = """
+WITH lp AS (SELECT label, -abs(CAST(embedding[1] AS DOUBLE)) AS pc, -abs(CAST(embedding[2] AS DOUBLE)) AS pr,
+                   -abs(CAST(embedding[3] AS DOUBLE)) AS rc, -abs(CAST(embedding[4] AS DOUBLE)) AS rr FROM embeddings),
+t AS (SELECT label, 0.1 * (pc - rc) AS rwc, 0.1 * (pr - rr) AS rwr FROM lp),
+m AS (SELECT *, rwc - rwr AS margin FROM t)
+SELECT label, CAST(count(*) AS BIGINT) AS n,
+       round(avg(greatest(-margin, 0.0) + ln(1 + exp(-abs(margin)))), 6) AS mean_loss,
+       round(avg(rwc), 6) AS mean_reward_chosen, round(avg(rwr), 6) AS mean_reward_rejected,
+       round(avg(margin), 6) AS mean_margin, round(avg(CASE WHEN rwc > rwr THEN 1.0 ELSE 0.0 END), 6) AS reward_accuracy
+FROM m GROUP BY label"""
+
+ORACLE["token_cross_entropy"] = with_ctes(DOC_SPLIT) + """
+, counts AS (SELECT split, ch, count(*) AS n FROM (SELECT split, unnest(string_split(text, '')) AS ch FROM docs WHERE length(text) > 0) GROUP BY 1, 2)
+, model AS (SELECT ch, -ln(n / sum(n) OVER ()) AS nll FROM counts WHERE split = 'train')
+, per AS (
+  SELECT split, sum(n * nll) FILTER (WHERE nll IS NOT NULL) / sum(n) FILTER (WHERE nll IS NOT NULL) AS ce,
+         CAST(coalesce(sum(n) FILTER (WHERE nll IS NULL), 0) AS BIGINT) AS n_unseen, CAST(sum(n) AS BIGINT) AS n_tokens
+  FROM counts LEFT JOIN model USING (ch) GROUP BY split)
+SELECT split, round(ce, 6) AS cross_entropy, round(exp(ce), 6) AS perplexity, n_tokens, n_unseen FROM per"""
+
+ORACLE["temperature_topk"] = """
+WITH c AS (SELECT doc_id AS prompt, ch AS token, count(*) AS n
+           FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0) GROUP BY 1, 2),
+l AS (SELECT *, ln(CAST(n AS DOUBLE)) AS logit FROM c),
+z AS (SELECT *, exp((logit - max(logit) OVER (PARTITION BY prompt)) / 0.7) AS z FROM l),
+p AS (SELECT *, z / sum(z) OVER (PARTITION BY prompt) AS prob FROM z),
+r AS (SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY prob DESC, token) AS rank FROM p)
+SELECT prompt, token, CAST(rank AS BIGINT) AS rank, round(prob, 6) AS prob FROM r WHERE rank <= 5"""
