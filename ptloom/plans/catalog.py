@@ -721,3 +721,50 @@ def temperature_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ptloom.operators import align
 
     return align.temperature_topk(align.char_candidates(Tables(spark, sf_dir).documents), 0.7, 5)
+
+
+# -------------------------------------------------------------- scans / sinks
+@query
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1, SRC-5, SRC-6, SRC-8, U-5: the damaged preference lines written as two
+    JSONL files (one folder per file name), scanned back as raw text in one multi-file
+    scan, validated, and summarised per file — same result as ``pref_file_summary``."""
+    from ptloom.sources import textio
+
+    raw = derived.raw_pair_lines(Tables(spark, sf_dir))
+    path = textio.scratch_path(spark, "pairs-jsonl")
+    textio.write_text_lines(raw, "value", path, partition_by=["file"])
+    lines = spark.read.text(path)  # partition discovery restores ``file``
+    return validate.preference_file_summary(validate.validate_preference(lines))
+
+
+@query
+def training_curve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-11: the run log written as a CSV history and scanned back with a declared
+    schema; the loss table computed from the scan (same result as ``loss_table``)."""
+    from ptloom.operators import runs
+    from ptloom.sources import textio
+
+    rl = _runlog(spark, sf_dir).select("run_id", "split", "step", "loss", "ms")
+    path = textio.scratch_path(spark, "loss-history")
+    textio.write_csv(rl, path)
+    back = textio.read_csv(spark, path, "run_id string, split string, step bigint, loss double, ms double")
+    return runs.loss_table(back)
+
+
+@query
+def model_outputs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2, SRC-12: model outputs written as JSONL, read back with a typed FAILFAST
+    scan and summarised per model (same result as ``model_summary``)."""
+    from ptloom.operators import evaluate as ev
+    from ptloom.sources import textio
+
+    o = derived.outputs(Tables(spark, sf_dir))
+    path = textio.scratch_path(spark, "outputs-jsonl")
+    textio.write_jsonl(o, path)
+    back = textio.read_jsonl_typed(
+        spark, path,
+        "model string, prompt_id string, prompt string, output string, expected_tool string, "
+        "expected_arguments string, answer string",
+    )
+    return ev.model_summary(ev.exact_arguments(ev.score(ev.evaluate_output(back))))

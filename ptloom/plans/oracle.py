@@ -740,3 +740,8 @@ z AS (SELECT *, exp((logit - max(logit) OVER (PARTITION BY prompt)) / 0.7) AS z
 p AS (SELECT *, z / sum(z) OVER (PARTITION BY prompt) AS prob FROM z),
 r AS (SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY prob DESC, token) AS rank FROM p)
 SELECT prompt, token, CAST(rank AS BIGINT) AS rank, round(prob, 6) AS prob FROM r WHERE rank <= 5"""
+
+# -------------------------------------------------------------- scans / sinks
+ORACLE["jsonl_roundtrip"] = ORACLE["pref_file_summary"]
+ORACLE["training_curve_csv"] = ORACLE["loss_table"]
+ORACLE["model_outputs_jsonl"] = ORACLE["model_summary"]
