@@ -19,14 +19,19 @@ from pyspark.sql import functions as F
 
 
 def _wrapped(s: Column) -> Column:
+    """``[s, xxhash64(s)]`` parsed leniently (VARIANT, null when unparsable)."""
     sentinel = F.xxhash64(s)
-    text = F.concat(F.lit("["), s, F.lit(","), sentinel.cast("string"), F.lit("]"))
-    return F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    return F.try_parse_json(F.concat(F.lit("["), s, F.lit(","), sentinel.cast("string"), F.lit("]")))
 
 
 def _ok_from_wrapped(w: Column, s: Column) -> Column:
+    """Exactly two elements and the second is the sentinel.
+
+    Element probes by path (``$[1]``, ``$[2]``) avoid materialising the
+    wrapper as ``array<variant>`` (which would copy the whole document).
+    """
     return F.coalesce(
-        (F.size(w) == 2) & (F.try_variant_get(w.getItem(1), "$", "bigint") == F.xxhash64(s)),
+        (F.try_variant_get(w, "$[1]", "bigint") == F.xxhash64(s)) & F.try_variant_get(w, "$[2]", "variant").isNull(),
         F.lit(False),
     )
 
@@ -39,7 +44,7 @@ def strict_json(s: Column) -> tuple[Column, Column]:
     """
     w = _wrapped(s)
     ok = _ok_from_wrapped(w, s)
-    return ok, F.when(ok, w.getItem(0))
+    return ok, F.when(ok, F.try_variant_get(w, "$[0]", "variant"))
 
 
 def is_strict_json(s: Column) -> Column:
@@ -57,7 +62,7 @@ def with_strict_json(df: DataFrame, src: str, prefix: str) -> DataFrame:
     return (
         df.withColumn(tmp, _wrapped(s))
         .withColumn(f"{prefix}_ok", _ok_from_wrapped(F.col(tmp), s))
-        .withColumn(f"{prefix}_v", F.when(F.col(f"{prefix}_ok"), F.col(tmp).getItem(0)))
+        .withColumn(f"{prefix}_v", F.when(F.col(f"{prefix}_ok"), F.try_variant_get(F.col(tmp), "$[0]", "variant")))
         .drop(tmp)
     )
 

@@ -133,6 +133,6 @@ def label_mask(messages: Column, pre: str = K.CHATML_PRE, post: str = K.CHATML_P
 
 def pad_to(ids: Column, length: Column, pad_id: int = 0) -> tuple[Column, Column]:
     """L-8: right-pad ids to ``length``; attention mask 1 for real tokens, 0 for padding."""
-    n_pad = F.greatest(length - F.size(ids), F.lit(0))
+    n_pad = F.greatest(length - F.size(ids), F.lit(0)).cast("int")
     return (F.concat(ids, F.array_repeat(F.lit(pad_id), n_pad)),
             F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), n_pad)))

@@ -539,27 +539,37 @@ def _chat_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     c = derived.chat(Tables(spark, sf_dir))
     key = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"))
+    text = render(F.col("messages"))
     return c.select(
         "conv_id", F.pmod(seeded_hash(key), F.lit(4)).alias("bucket"),
-        F.char_length(render(F.col("messages"))).cast("bigint").alias("n_tok"),
+        F.char_length(text).cast("bigint").alias("n_tok"), text.alias("text"),
     )
 
 
 @query
 def padding_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L-7, L-8: length-sorted batches of 8 inside 4 hash buckets; padding per batch."""
+    """L-7, L-8: length-sorted batches of 8 inside 4 hash buckets; every sample is
+    padded to its batch maximum (ids + attention mask) and padding is counted."""
+    from ptloom.operators import tokens
     from ptloom.operators.ordered import row_number_in_group
 
     d = row_number_in_group(_chat_lengths(spark, sf_dir), ["bucket"], ["n_tok", "conv_id"], out_col="rn")
     d = d.withColumn("batch_id", F.floor((F.col("rn") - 1) / 8).cast("bigint"))
-    b = d.groupBy("bucket", "batch_id").agg(
+    # batch maxima: one row per batch of 8, joined back on the (bucket, batch) key
+    mx = d.groupBy("bucket", "batch_id").agg(F.max("n_tok").alias("max_len"))
+    p = d.join(mx, ["bucket", "batch_id"]).withColumn("_pad", F.struct(*[
+        c.alias(n) for c, n in zip(tokens.pad_to(tokens.code_points(F.col("text")), F.col("max_len")),
+                                   ["input_ids", "attention_mask"])]))
+    p = p.select("bucket", "batch_id", "n_tok", "max_len",
+                 F.size("_pad.input_ids").alias("padded_len"),
+                 F.size(F.filter("_pad.attention_mask", lambda x: x == 0)).alias("n_pad_tok"))
+    b = p.groupBy("bucket", "batch_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_samples"),
-        F.max("n_tok").cast("bigint").alias("max_len"),
+        F.max("max_len").cast("bigint").alias("max_len"),
         F.sum("n_tok").cast("bigint").alias("sum_len"),
+        F.sum("n_pad_tok").cast("bigint").alias("n_pad"),
     )
-    return b.withColumn("n_pad", F.col("n_samples") * F.col("max_len") - F.col("sum_len")).withColumn(
-        "pad_share", F.round(1 - F.col("sum_len") / (F.col("n_samples") * F.col("max_len")), 6)
-    )
+    return b.withColumn("pad_share", F.round(F.col("n_pad") / (F.col("n_samples") * F.col("max_len")), 6))
 
 
 @query
@@ -768,3 +778,23 @@ def model_outputs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
         "expected_arguments string, answer string",
     )
     return ev.model_summary(ev.exact_arguments(ev.score(ev.evaluate_output(back))))
+
+
+@query
+def token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10, FN-9: documents encoded with the corpus vocabulary, written as
+    range-partitioned Parquet token shards, scanned back and counted per split."""
+    from ptloom.operators import tokens
+    from ptloom.sources import textio
+
+    d = _docs_split(spark, sf_dir)
+    vocab = tokens.char_vocab(d).select("ch", "id")
+    enc = tokens.encode(d, vocab).join(d.select("doc_id", "split"), "doc_id")
+    path = textio.scratch_path(spark, "token-shards")
+    textio.write_token_shards(enc, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+        F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
+        F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, x: acc + x)).cast("bigint").alias("sum_ids"),
+    )

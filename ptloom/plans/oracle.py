@@ -614,7 +614,7 @@ ORACLE["padding_batches"] = with_ctes(CHAT_LENGTHS) + """
 , r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tok, conv_id) AS rn FROM lens)
 , b AS (SELECT bucket, CAST(floor((rn - 1) / 8) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_samples,
                CAST(max(n_tok) AS BIGINT) AS max_len, CAST(sum(n_tok) AS BIGINT) AS sum_len FROM r GROUP BY 1, 2)
-SELECT *, n_samples * max_len - sum_len AS n_pad, round(1 - sum_len / (n_samples * max_len), 6) AS pad_share FROM b"""
+SELECT *, n_samples * max_len - sum_len AS n_pad, round((n_samples * max_len - sum_len) / (n_samples * max_len), 6) AS pad_share FROM b"""
 
 ORACLE["batch_plan"] = with_ctes(CHAT_LENGTHS) + """
 SELECT CAST(count(*) AS BIGINT) AS n_samples, CAST(8 AS BIGINT) AS effective_batch,
@@ -745,3 +745,11 @@ SELECT prompt, token, CAST(rank AS BIGINT) AS rank, round(prob, 6) AS prob FROM
 ORACLE["jsonl_roundtrip"] = ORACLE["pref_file_summary"]
 ORACLE["training_curve_csv"] = ORACLE["loss_table"]
 ORACLE["model_outputs_jsonl"] = ORACLE["model_summary"]
+
+ORACLE["token_shards"] = with_ctes(DOC_SPLIT) + """
+, toks AS (SELECT split, unnest(string_split(text, '')) AS ch FROM docs WHERE length(text) > 0)
+, vocab AS (SELECT ch, row_number() OVER (ORDER BY ch) - 1 AS id FROM (SELECT DISTINCT ch FROM toks))
+SELECT d.split, CAST(d.n_docs AS BIGINT) AS n_docs, CAST(coalesce(t.n_tokens, 0) AS BIGINT) AS n_tokens,
+       CAST(coalesce(t.sum_ids, 0) AS BIGINT) AS sum_ids
+FROM (SELECT split, count(*) AS n_docs FROM docs GROUP BY split) d
+LEFT JOIN (SELECT split, count(*) AS n_tokens, sum(id) AS sum_ids FROM toks JOIN vocab USING (ch) GROUP BY split) t USING (split)"""
