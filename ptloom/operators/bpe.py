@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ptloom.operators.tokens import chars
-from ptloom.session import ensure_checkpoint_dir
+from ptloom.session import ensure_checkpoint_dir, reliable_checkpoint
 
 
 def word_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,7 +55,7 @@ def train_bpe(spark: SparkSession, docs: DataFrame, n_merges: int, text_col: str
     deterministic.  Stops early only when no adjacent pair is left.
     """
     ensure_checkpoint_dir(spark)
-    words = word_table(docs, text_col).checkpoint(eager=True)
+    words = reliable_checkpoint(word_table(docs, text_col))
     merges = []
     for rank in range(1, n_merges + 1):
         best = pair_counts(words).orderBy(F.desc("count"), "a", "b").limit(1).collect()
@@ -65,5 +65,5 @@ def train_bpe(spark: SparkSession, docs: DataFrame, n_merges: int, text_col: str
         merges.append((rank, a, b, a + b, cnt))
         words = words.select(merge_pair(F.col("symbols"), a, b).alias("symbols"), "freq")
         if rank % checkpoint_every == 0:
-            words = words.checkpoint(eager=True)
+            words = reliable_checkpoint(words)
     return spark.createDataFrame(merges, "rank int, a string, b string, merged string, count bigint")

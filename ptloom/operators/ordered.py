@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ptloom.session import ensure_checkpoint_dir
+from ptloom.session import ensure_checkpoint_dir, reliable_checkpoint
 
 # a per-(partition, group) table up to this many rows is broadcast; above it
 # the join is left to Catalyst (sort-merge / shuffle-hash)
@@ -53,13 +53,12 @@ def running_aggregate(
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     val = F.lit(1).cast("bigint") if how == "count" else F.col(value_col)
-    ranged = (
+    ranged = reliable_checkpoint(
         df.withColumn("_val", val)
         .repartitionByRange(n, *[F.col(c) for c in group_cols + order_cols])
         .sortWithinPartitions(*group_cols, *order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     agg_fn = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[how]
     part_tot = ranged.groupBy("_pid", *group_cols).agg(agg_fn("_val").alias("_ptot"))

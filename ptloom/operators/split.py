@@ -6,12 +6,14 @@ any cluster layout and reproducible in SQL.  ``rand(seed)`` is never used.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ptloom import constants as K
 from ptloom.functions.hashing import ratio_threshold_hex, seeded_hex
 from ptloom.operators.ordered import running_aggregate, row_number_in_group
+from ptloom.session import reliable_checkpoint
 
 _HIST_LIMIT = 1 << 16  # each histogram has at most 65,536 rows (4 hex digits)
 
@@ -68,16 +70,22 @@ def exact_split(df: DataFrame, key_col: str, ratio: float, rounding: str = "half
     third of all rows is split across tasks.
     """
     d = df.withColumn("_m", seeded_order_key(key_col, seed))
-    n = d.count()
-    if n < 2:
-        raise ValueError("need at least 2 rows to split")
-    k = val_count(n, ratio, rounding)
-    h1 = [(r[0], r[1]) for r in d.groupBy(F.substring("_m", 1, 4)).count().collect()]
-    p1, need1 = _boundary(h1, k)
-    h2 = [(r[0], r[1]) for r in d.where(F.substring("_m", 1, 4) == p1).groupBy(F.substring("_m", 5, 4)).count().collect()]
-    p2, need2 = _boundary(h2, need1)
-    b8 = p1 + p2
-    keys = d.where(F.substring("_m", 1, 8) == b8).groupBy("_m", key_col).count().collect()
+    # the boundary search reads only (key, md5): persist that narrow projection once
+    narrow = d.select(key_col, "_m").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        h1 = [(r[0], r[1]) for r in narrow.groupBy(F.substring("_m", 1, 4)).count().collect()]
+        n = sum(c for _, c in h1)
+        if n < 2:
+            raise ValueError("need at least 2 rows to split")
+        k = val_count(n, ratio, rounding)
+        p1, need1 = _boundary(h1, k)
+        h2 = [(r[0], r[1]) for r in
+              narrow.where(F.substring("_m", 1, 4) == p1).groupBy(F.substring("_m", 5, 4)).count().collect()]
+        p2, need2 = _boundary(h2, need1)
+        b8 = p1 + p2
+        keys = narrow.where(F.substring("_m", 1, 8) == b8).groupBy("_m", key_col).count().collect()
+    finally:
+        narrow.unpersist()
     keys = sorted((r[0], r[1], r[2]) for r in keys)
     m_star, key_star, before = None, None, 0
     for m, key, cnt in keys:
@@ -92,7 +100,7 @@ def exact_split(df: DataFrame, key_col: str, ratio: float, rounding: str = "half
     if need_tie >= tie_size:
         tie = tie.withColumn(out_col, F.lit("val"))
     else:
-        salted = tie.checkpoint(eager=True).withColumn("_salt", F.monotonically_increasing_id())
+        salted = reliable_checkpoint(tie).withColumn("_salt", F.monotonically_increasing_id())
         tie = row_number_in_group(salted, [], ["_salt"], out_col="_rn").withColumn(
             out_col, F.when(F.col("_rn") <= need_tie, "val").otherwise("train")
         ).drop("_salt", "_rn")

@@ -48,3 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ptloom-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` to the session's checkpoint folder, computing ``df`` once.
+
+    A reliable checkpoint writes the data in a second job after the first
+    one computed it; persisting first lets the write reuse the computed
+    blocks instead of re-running the lineage.  Never ``localCheckpoint``:
+    its blocks die with the executor.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return p.checkpoint(eager=True)
+    finally:
+        p.unpersist()
