@@ -54,6 +54,21 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
     return enc.unionByName(empty)
 
 
+def encode_long(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """FN-9 in long form: one row per token (id, pos, ch, token id) — the token table.
+
+    One broadcast join, no regrouping: this is the shape token shards and
+    statistics consume at scale."""
+    toks = char_tokens(docs, id_col, text_col)
+    return toks.join(_vocab_side(vocab.select("ch", F.col("id").alias("tok"))), "ch", "left")
+
+
+def decode_long(tokens_long: DataFrame, vocab: DataFrame) -> DataFrame:
+    """FN-10 / FN-11 in long form: token id → token string at each position."""
+    v = vocab.select(F.col("id").alias("tok"), F.col("ch").alias("decoded"))
+    return tokens_long.join(_vocab_side(v), "tok", "left")
+
+
 def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """FN-10 / FN-11: ids → token strings → text; unknown (null) ids are skipped."""
     long = ids.select(id_col, F.posexplode_outer("ids").alias("pos", "id"))

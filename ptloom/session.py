@@ -39,7 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only an unconfigured (test / local) session gets a fresh scratch
     folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's checkpoint setting applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

@@ -29,9 +29,12 @@ def spread(df: DataFrame) -> DataFrame:
     default parallelism the rows are dealt round-robin; at scale (thousands
     of input splits) this is a no-op and adds no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        pass
     return df
 
 

@@ -89,3 +89,11 @@ def test_exact_split_with_duplicate_keys(spark):
         s = split.exact_split(df, "k", ratio, rounding="floor")
         assert s.count() == 900
         assert s.where("split = 'val'").count() == int(900 * ratio)
+
+
+def test_long_form_roundtrip(spark):
+    d = _docs(spark)
+    vocab = tokens.char_vocab(d.where(F.col("doc_id") != 3))  # doc 3 has characters unseen elsewhere
+    dec = tokens.decode_long(tokens.encode_long(d, vocab), vocab)
+    bad = {r.doc_id for r in dec.where(F.col("decoded").isNull() | (F.col("decoded") != F.col("ch"))).collect()}
+    assert bad == {3}
