@@ -32,8 +32,10 @@ def pref_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: build pairs, write them as JSONL text, validate and classify the
     text, report per tool and rejected type (P-3..P-12, SRC-6, V-11..V-17, A-2, A-3, W-1)."""
     t = Tables(spark, sf_dir)
+    from ptloom.sources.textio import as_text_lines
+
     recs = build.preference_record(derived.pairs(t))
-    lines = recs.select("tool", build.preference_json_line(recs).alias("value"))
+    lines = as_text_lines(recs, build.preference_json_line(recs), ["tool"])
     checked = validate.validate_preference(lines)
     agg = checked.groupBy("tool", "rejected_type").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),

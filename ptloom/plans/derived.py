@@ -112,9 +112,13 @@ def raw_chat_lines(t: Tables) -> DataFrame:
     4 trailing text, 5 wrapped in an array, 6 empty messages, 7 first content
     blank, 8 assistant tool call cut short, 9 blank id; others intact.
     """
-    c = chat(t)
+    from ptloom.sources.textio import as_text_lines
+
     rid = F.concat(F.lit("conv-"), _s("conv_id"))
-    d = F.pmod(seeded_hash(F.lit("raw"), rid), F.lit(CHAT_DAMAGE_MOD))
+    # the damage kind is computed once, in its own projection
+    c = chat(t).select("conv_id", "messages", rid.alias("line_id"),
+                       F.pmod(seeded_hash(F.lit("raw"), rid), F.lit(CHAT_DAMAGE_MOD)).alias("damage"))
+    d = F.col("damage")
     m = F.col("messages")
     msgs = (
         F.when(d == 6, F.array().cast("array<struct<role:string,content:string>>"))
@@ -128,21 +132,18 @@ def raw_chat_lines(t: Tables) -> DataFrame:
         .otherwise(m)
     )
     meta = F.struct(F.lit("chat").alias("task"))
-    idv = F.when(d == 9, F.lit(" ")).otherwise(rid)
+    idv = F.when(d == 9, F.lit(" ")).otherwise(F.col("line_id"))
     js = F.when(d == 3, F.to_json(F.struct(F.col("conv_id").alias("id"), msgs.alias("messages"), meta.alias("meta")))).otherwise(
         F.to_json(F.struct(idv.alias("id"), msgs.alias("messages"), meta.alias("meta")))
     )
-    dd = F.col("damage")
     line = (
-        F.when(dd == 0, F.expr("left(_js, length(_js) - 1)"))
-        .when(dd == 1, F.lit("   "))
-        .when(dd == 4, F.concat(F.col("_js"), F.lit(" tail")))
-        .when(dd == 5, F.concat(F.lit("["), F.col("_js"), F.lit("]")))
+        F.when(d == 0, F.expr("left(_js, length(_js) - 1)"))
+        .when(d == 1, F.lit("   "))
+        .when(d == 4, F.concat(F.col("_js"), F.lit(" tail")))
+        .when(d == 5, F.concat(F.lit("["), F.col("_js"), F.lit("]")))
         .otherwise(F.col("_js"))
     )
-    return c.select(rid.alias("line_id"), d.alias("damage"), js.alias("_js")).select(
-        "line_id", "damage", line.alias("value")
-    )
+    return as_text_lines(c.select("line_id", "damage", js.alias("_js")), line, ["line_id", "damage"])
 
 
 PAIR_DAMAGE_MOD = 11
@@ -155,8 +156,14 @@ def raw_pair_lines(t: Tables) -> DataFrame:
     4 rejected equals chosen, 5 chosen role 'bot', 6 blank rejected content;
     others intact.  ``file`` is the group-safe split of the prompt key.
     """
-    p = build.preference_record(pairs(t))
-    d = F.pmod(seeded_hash(F.lit("rawpair"), F.col("pair_id")), F.lit(PAIR_DAMAGE_MOD))
+    from ptloom.sources.textio import as_text_lines
+
+    p = build.preference_record(pairs(t)).select(
+        "pair_id", "tool", "chosen", "prompt_messages", "chosen_messages", "rejected_messages",
+        F.pmod(seeded_hash(F.lit("rawpair"), F.col("pair_id")), F.lit(PAIR_DAMAGE_MOD)).alias("damage"),
+        preference_split_file("key").alias("file"),
+    )
+    d = F.col("damage")
     msg_t = "array<struct<role:string,content:string>>"
     chosen = (
         F.when(d == 3, F.array().cast(msg_t))
@@ -173,15 +180,15 @@ def raw_pair_lines(t: Tables) -> DataFrame:
     ).otherwise(
         F.to_json(F.struct(F.col("prompt_messages").alias("prompt"), chosen.alias("chosen"), rejected.alias("rejected")))
     )
-    dd = F.col("damage")
     line = (
-        F.when(dd == 0, F.expr("left(_js, length(_js) - 1)"))
-        .when(dd == 1, F.lit("  "))
+        F.when(d == 0, F.expr("left(_js, length(_js) - 1)"))
+        .when(d == 1, F.lit("  "))
         .otherwise(F.col("_js"))
     )
-    return p.select(
-        F.col("pair_id").alias("line_id"), "tool", d.alias("damage"), preference_split_file("key").alias("file"), js.alias("_js")
-    ).select("line_id", "tool", "damage", "file", line.alias("value"))
+    keep = ["line_id", "tool", "damage", "file"]
+    return as_text_lines(
+        p.select(F.col("pair_id").alias("line_id"), "tool", "damage", "file", js.alias("_js")), line, keep
+    )
 
 
 MODELS = [("base", 3), ("tuned", 7)]  # model name, chosen share in tenths

@@ -84,6 +84,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def as_text_lines(df: DataFrame, line: "F.Column", keep: list[str] | None = None) -> DataFrame:
+    """Serialised records as a ``value`` column, the way a text scan delivers them.
+
+    The text is emitted by a generator (``explode`` of a one-element array):
+    predicates on ``value`` (blank-line skipping, validators) then stay above
+    it instead of being pushed down with the serialisation inlined into them,
+    which would compute every line twice.
+    """
+    return df.select(*(keep or []), F.explode(F.array(line)).alias("value"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's (shared) checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
