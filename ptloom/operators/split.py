@@ -110,6 +110,8 @@ def exact_split(df: DataFrame, key_col: str, ratio: float, rounding: str = "half
 def split_check(split_df: DataFrame, input_df: DataFrame, key_col: str, split_col: str = "split") -> DataFrame:
     """J-6 / U-4: sizes, key overlap between sides (intersect) and rows lost or
     invented (exceptAll both ways) — a partition gives overlap 0, lost 0, extra 0."""
+    # the split is read five times below: materialise its two narrow columns once
+    split_df = reliable_checkpoint(split_df.select(key_col, split_col))
     tr = split_df.where(F.col(split_col) == "train").select(key_col)
     va = split_df.where(F.col(split_col) == "val").select(key_col)
     inp = input_df.select(key_col)

@@ -395,12 +395,11 @@ def positional_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def format_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V-18, V-19: JSON validity (no stripping) and tool-call shape, with the key
     name as a parameter (``tool`` and the stub's ``tool_name``)."""
-    from ptloom.operators.classify import check_json_format, check_tool_call_format
+    from ptloom.operators.classify import tool_call_shapes
 
     o = derived.outputs(Tables(spark, sf_dir))
-    o = o.withColumn("json_ok", check_json_format(F.col("output")))
-    o = check_tool_call_format(o, "output", "shape_tool", tool_key="tool")
-    o = check_tool_call_format(o, "output", "shape_tool_name", tool_key="tool_name")
+    # one parse per output feeds all three checks
+    o = tool_call_shapes(o, "output", {"shape_tool": "tool", "shape_tool_name": "tool_name"}, ok_col="json_ok")
     rate = lambda c: F.round(F.avg(F.col(c).cast("double")), 6)
     return o.groupBy("model").agg(rate("json_ok").alias("json_rate"), rate("shape_tool").alias("tool_shape_rate"),
                                   rate("shape_tool_name").alias("tool_name_shape_rate"))
@@ -722,8 +721,7 @@ def dpo_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ptloom.operators import align
 
     lp = derived.logprobs(Tables(spark, sf_dir))
-    lab = Tables(spark, sf_dir).embeddings.select(F.col("vec_id").alias("pair_id"), "label")
-    return align.dpo_summary(align.dpo_terms(lp.join(lab, "pair_id"), beta=0.1), ["label"])
+    return align.dpo_summary(align.dpo_terms(lp, beta=0.1), ["label"])
 
 
 @query

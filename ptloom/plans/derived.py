@@ -251,6 +251,7 @@ def logprobs(t: Tables) -> DataFrame:
     el = lambda i: (-F.abs(F.element_at("embedding", i).cast("double")))
     return e.select(
         F.col("vec_id").alias("pair_id"),
+        "label",
         el(1).alias("policy_chosen"),
         el(2).alias("policy_rejected"),
         el(3).alias("ref_chosen"),
