@@ -87,13 +87,16 @@ def tick(flag: Column) -> Column:
     return F.when(flag, "✓").otherwise("✗")
 
 
-def compare_models(scored: DataFrame, a: str, b: str, key_col: str = "prompt_id", model_col: str = "model") -> DataFrame:
+def compare_models(scored: DataFrame, a: str, b: str, key_col: str = "prompt_id", model_col: str = "model",
+                   extra_cols: list[str] | None = None) -> DataFrame:
     """J-2 / A-10 / SRC-13 detail: one row per prompt with both models' flags and
-    scores (pivot on the model, one shuffle on the prompt key)."""
+    scores (pivot on the model, one shuffle on the prompt key).  ``extra_cols``
+    are per-prompt attributes carried along (e.g. the prompt text)."""
     cols = ["is_valid_json", "has_tool_key", "tool_correct", "has_arguments", "score"]
-    p = scored.groupBy(key_col).pivot(model_col, [a, b]).agg(*[F.first(c).alias(c) for c in cols])
+    extra = list(extra_cols or [])
+    p = scored.groupBy(key_col, *extra).pivot(model_col, [a, b]).agg(*[F.first(c).alias(c) for c in cols])
     out = p.select(
-        key_col,
+        key_col, *extra,
         *[F.col(f"{m}_{c}") for m in (a, b) for c in cols],
         (F.col(f"{b}_score") - F.col(f"{a}_score")).alias("_d"),
     )

@@ -347,9 +347,10 @@ def improved_regressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-24: the prompts whose score changed, with the size of the change."""
     from ptloom.operators import evaluate as ev
 
-    c = ev.compare_models(_scored(spark, sf_dir), "base", "tuned")
+    c = ev.compare_models(_scored(spark, sf_dir), "base", "tuned", extra_cols=["prompt"])
     return c.where(F.col("diff_tenths") != 0).select(
-        "prompt_id", "diff_tenths", F.when(F.col("diff_tenths") > 0, "improved").otherwise("regressed").alias("kind")
+        "prompt_id", F.substring("prompt", 1, 50).alias("prompt_preview"),  # FN-16 display prefix
+        "diff_tenths", F.when(F.col("diff_tenths") > 0, "improved").otherwise("regressed").alias("kind")
     )
 
 

@@ -503,8 +503,9 @@ SELECT CAST(count(*) AS BIGINT) AS n,
 FROM cmp"""
 
 ORACLE["improved_regressed"] = EVAL_CTES + COMPARE + """
-SELECT prompt_id, diff_tenths, CASE WHEN diff_tenths > 0 THEN 'improved' ELSE 'regressed' END AS kind
-FROM cmp WHERE diff_tenths <> 0"""
+SELECT prompt_id, substring(t.prompt, 1, 50) AS prompt_preview, diff_tenths,
+       CASE WHEN diff_tenths > 0 THEN 'improved' ELSE 'regressed' END AS kind
+FROM cmp JOIN toolcalls t ON t.key = cmp.prompt_id WHERE diff_tenths <> 0"""
 
 ORACLE["reward_average"] = EVAL_CTES + """
 SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg((tool_correct AND args_exact)::INT), 6) AS avg_reward,
