@@ -59,12 +59,13 @@ def with_strict_json(df: DataFrame, src: str, prefix: str) -> DataFrame:
     """
     tmp = f"__{prefix}_w"
     s = F.col(src)
-    return (
-        df.withColumn(tmp, _wrapped(s))
-        .withColumn(f"{prefix}_ok", _ok_from_wrapped(F.col(tmp), s))
-        .withColumn(f"{prefix}_v", F.when(F.col(f"{prefix}_ok"), F.try_variant_get(F.col(tmp), "$[0]", "variant")))
-        .drop(tmp)
-    )
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    w = df.select(*keep, _wrapped(s).alias(tmp))
+    # two projections: the parse, then both results (the shared ``ok`` test is one
+    # common sub-expression of that projection)
+    ok = _ok_from_wrapped(F.col(tmp), s)
+    return w.select(*keep, ok.alias(f"{prefix}_ok"),
+                    F.when(ok, F.try_variant_get(F.col(tmp), "$[0]", "variant")).alias(f"{prefix}_v"))
 
 
 def json_type(v: Column) -> Column:
