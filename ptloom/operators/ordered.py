@@ -61,11 +61,19 @@ def running_aggregate(
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     agg_fn = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[how]
-    part_tot = ranged.groupBy("_pid", *group_cols).agg(agg_fn("_val").alias("_ptot"))
+    part_tot = ranged.groupBy("_pid", *group_cols).agg(agg_fn("_val").alias("_ptot"), F.min("_mid").alias("_mmin"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.withColumn("_off", agg_fn("_ptot").over(before)).drop("_ptot")
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
+    if how == "count":
+        # rows of a group are contiguous inside a range partition and the ids are
+        # consecutive there, so the local position is arithmetic: no second shuffle
+        local = F.col("_mid") - F.col("_mmin") + (1 if inclusive else 0)
+        res = (F.coalesce(F.col("_off"), F.lit(0)) + local).cast("bigint")
+        joined = ranged.join(offsets, ["_pid", *group_cols], "left")
+        return joined.withColumn(out_col, res).drop("_val", "_pid", "_mid", "_off", "_mmin")
+    offsets = offsets.drop("_mmin")
     frame_end = Window.currentRow if inclusive else -1
     local_w = (
         Window.partitionBy("_pid", *group_cols)
