@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ptloom.operators.tokens import chars
+from ptloom.operators.joins import checked_broadcast
+from ptloom.operators.tokens import VOCAB_BROADCAST_ROWS, chars
 
 R6 = lambda c: F.round(c, 6)
 
@@ -52,7 +53,8 @@ def unigram_cross_entropy(docs: DataFrame, split_col: str, train_value: str, tex
     train = counts.where(F.col(split_col) == train_value)
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over the small per-character table
     model = train.select("ch", (-F.log(F.col("n") / total)).alias("nll"))
-    j = counts.join(F.broadcast(model), "ch", "left")
+    # one row per character of the training split: broadcast only under the checked bound
+    j = counts.join(checked_broadcast(model, VOCAB_BROADCAST_ROWS), "ch", "left")
     per = j.groupBy(split_col).agg(
         (F.sum(F.when(F.col("nll").isNotNull(), F.col("n") * F.col("nll"))) /
          F.sum(F.when(F.col("nll").isNotNull(), F.col("n")))).alias("ce"),

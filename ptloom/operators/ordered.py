@@ -19,9 +19,7 @@ from pyspark.sql import functions as F
 
 from ptloom.session import ensure_checkpoint_dir, reliable_checkpoint
 
-# a per-(partition, group) table up to this many rows is broadcast; above it
-# the join is left to Catalyst (sort-merge / shuffle-hash)
-BROADCAST_ROWS = 200_000
+from ptloom.operators.joins import BROADCAST_ROWS, checked_broadcast  # noqa: E402,F401
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -64,8 +62,7 @@ def running_aggregate(
     part_tot = ranged.groupBy("_pid", *group_cols).agg(agg_fn("_val").alias("_ptot"), F.min("_mid").alias("_mmin"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.withColumn("_off", agg_fn("_ptot").over(before)).drop("_ptot")
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
+    offsets = checked_broadcast(offsets)
     if how == "count":
         # rows of a group are contiguous inside a range partition and the ids are
         # consecutive there, so the local position is arithmetic: no second shuffle

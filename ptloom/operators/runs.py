@@ -7,15 +7,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ptloom.functions.hashing import seeded_hash
-from ptloom.operators.ordered import BROADCAST_ROWS, running_aggregate, row_number_in_group
+from ptloom.operators.joins import checked_broadcast
+from ptloom.operators.ordered import running_aggregate, row_number_in_group
 
 R6 = lambda c: F.round(c, 6)
 
 
-def _checked_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def loss_table(rl: DataFrame) -> DataFrame:
     """A-18: per run — first/last train and val loss, best val, total drop, final gap."""
     tr = F.col("split") == "train"
@@ -55,13 +52,13 @@ def experiment_summary(rl: DataFrame, params: DataFrame) -> DataFrame:
         R6(F.min_by("loss", "step")).alias("loss_first"),
         R6(F.max_by("loss", "step")).alias("loss_last"),
     )
-    return g.join(_checked_broadcast(params), "run_id").select(
+    return g.join(checked_broadcast(params), "run_id").select(
         "run_id", "model", "beta", "lr", "n_rows", "steps", "loss_first", "loss_last")
 
 
 def sweep_pivot(rl: DataFrame, params: DataFrame) -> DataFrame:
     """A-20: mean loss by beta (rows) × split (columns)."""
-    j = rl.join(_checked_broadcast(params.select("run_id", "beta")), "run_id")
+    j = rl.join(checked_broadcast(params.select("run_id", "beta")), "run_id")
     p = j.groupBy("beta").pivot("split", ["train", "val"]).agg(F.avg("loss"))
     return p.select("beta", R6(F.col("train")).alias("train"), R6(F.col("val")).alias("val"))
 

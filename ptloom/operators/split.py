@@ -140,11 +140,9 @@ def contiguous_split(df: DataFrame, group_col: str, order_col: str, length_col:
     cum = running_aggregate(df, [group_col], [order_col], value_col=length_col, how="sum",
                             out_col="_before", inclusive=False)
     totals = df.groupBy(group_col).agg(F.sum(length_col).alias("_total"))
-    from ptloom.operators.ordered import BROADCAST_ROWS
+    from ptloom.operators.joins import checked_broadcast
 
-    if totals.count() <= BROADCAST_ROWS:
-        totals = F.broadcast(totals)
-    j = cum.join(totals, group_col)
+    j = cum.join(checked_broadcast(totals), group_col)
     return j.withColumn(
         out_col, F.when(F.col("_before") < F.lit(ratio) * F.col("_total"), "train").otherwise("val")
     ).drop("_before", "_total")

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ptloom import constants as K
+from ptloom.operators.joins import checked_broadcast
 
-VOCAB_BROADCAST_ROWS = 1_000_000  # a code-point vocabulary is at most ~1.1 M rows
+VOCAB_BROADCAST_ROWS = 1_200_000  # a code-point vocabulary is at most ~1.1 M rows
 
 
 def chars(text: Column) -> Column:
@@ -40,7 +41,7 @@ def char_vocab(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _vocab_side(vocab: DataFrame) -> DataFrame:
-    return F.broadcast(vocab) if vocab.count() <= VOCAB_BROADCAST_ROWS else vocab
+    return checked_broadcast(vocab, VOCAB_BROADCAST_ROWS)
 
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
