@@ -12,6 +12,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# JSON semantics of Python's json.loads: a repeated key is accepted and the last
+# value wins (Spark's variant parser rejects duplicates unless this is on).
+RECOMMENDED_SQL_CONF = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ptloom") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -27,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+    for k, v in RECOMMENDED_SQL_CONF.items():
+        spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -70,3 +70,11 @@ def test_strip_matches_python(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(strip_ws(F.col("s"))).collect()]
     assert got == [v.strip() for v in vals]
+
+
+def test_duplicate_keys_follow_python(spark):
+    # with the recommended setting, a repeated key is valid JSON and the last value wins
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "true"
+    df = spark.createDataFrame([('{"a":1,"a":2}',)], "s string")
+    r = jsonx.with_strict_json(df, "s", "j").select("j_ok", F.try_variant_get("j_v", "$.a", "int").alias("a")).collect()[0]
+    assert r.j_ok is True and r.a == json.loads('{"a":1,"a":2}')["a"]
