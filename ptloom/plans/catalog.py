@@ -416,8 +416,11 @@ def output_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = ev.text_stats(derived.outputs(t), "output")
     corpus_words = t.documents.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "").distinct()
     out_words = o.select("model", F.explode(F.split(F.lower("output"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "")
-    known = out_words.join(corpus_words, "w", "left_semi").groupBy("model").agg(F.count(F.lit(1)).alias("_known"))
-    total = out_words.groupBy("model").agg(F.count(F.lit(1)).alias("_total"))
+    # pre-aggregate before the join: a very common word becomes one row per model
+    # instead of a hot join key
+    word_counts = out_words.groupBy("model", "w").agg(F.count(F.lit(1)).alias("c"))
+    known = word_counts.join(corpus_words, "w", "left_semi").groupBy("model").agg(F.sum("c").alias("_known"))
+    total = word_counts.groupBy("model").agg(F.sum("c").alias("_total"))
     shares = total.join(known, "model", "left").select(
         "model", F.round(F.coalesce(F.col("_known"), F.lit(0)) / F.col("_total"), 6).alias("known_word_share"))
     per_model = o.groupBy("model").agg(
