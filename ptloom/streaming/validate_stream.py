@@ -39,3 +39,24 @@ def start_chat_validation(spark: SparkSession, input_dir: str, output_dir: str,
     w = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def start_preference_validation(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
+                                available_now: bool = True, strict_roles: bool = False) -> StreamingQuery:
+    """Preference files as they arrive: validated and classified per line; clean
+    records, quarantine and a per-batch, per-file summary (examples, errors,
+    warnings) plus the rejected-type counts."""
+    checked = validate.validate_preference(chat_stream(spark, input_dir), strict_roles=strict_roles)
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        b = batch.withColumn("epoch", F.lit(epoch_id))
+        b.where(F.col("ok")).drop("errors").write.mode("append").parquet(f"{output_dir}/clean")
+        b.where(~F.col("ok")).write.mode("append").parquet(f"{output_dir}/quarantine")
+        validate.preference_file_summary(b).withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(
+            f"{output_dir}/summary")
+        b.where(F.col("rejected_type").isNotNull()).groupBy("epoch", "file", "rejected_type").count().write.mode(
+            "append").parquet(f"{output_dir}/rejected_types")
+
+    w = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
