@@ -62,15 +62,13 @@ def tool_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tc = derived.toolcalls(Tables(spark, sf_dir))
     reg = build.tool_registry(spark)
     per_tool = tc.groupBy("tool").agg(F.count(F.lit(1)).cast("bigint").alias("n_prompts"))
-    known = per_tool.join(F.broadcast(reg), "tool", "inner").select(
+    # one left join to the five-row registry: a tool without a registry row is the
+    # unknown-tool report (the reference's KeyError)
+    j = per_tool.join(F.broadcast(reg), "tool", "left")
+    return j.select(
         "tool", "description", F.size("arg_keys").cast("bigint").alias("n_arg_keys"), "n_prompts",
-        F.lit(False).alias("unknown"),
-    )
-    unknown = build.check_tools(per_tool, reg).select(
-        "tool", F.lit(None).cast("string").alias("description"), F.lit(None).cast("bigint").alias("n_arg_keys"),
-        "n_prompts", F.lit(True).alias("unknown"),
-    )
-    return known.unionByName(unknown)
+        F.col("arg_keys").isNull().alias("unknown"),
+    ).withColumn("n_arg_keys", F.when(F.col("unknown"), F.lit(None).cast("bigint")).otherwise(F.col("n_arg_keys")))
 
 
 @query

@@ -113,3 +113,9 @@ def test_wrong_tool_is_never_own_tool(spark):
     pairs = build.expand_pairs(_toolcalls(spark)).where(F.col("variant") == 3)
     for r in pairs.select("tool", "rejected").collect():
         assert json.loads(r.rejected)["tool"] != r.tool
+
+
+def test_unknown_tool_report(spark):
+    df = spark.createDataFrame([("weather",), ("teleport",), ("search",)], "tool string")
+    out = [r.tool for r in build.check_tools(df, build.tool_registry(spark)).collect()]
+    assert out == ["teleport"]
