@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
     "op2_decontaminate": ("decontaminate", "op2"),
+    "op6_perplexity": ("perplexity", "op6"),
+    "op7_token_scan": ("token_scan", "op7"),
     "op8_bpe_codec": ("bpe_codec", "op8"),
     "op9_feistel_shards": ("shards", "op9"),
 }
