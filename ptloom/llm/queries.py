@@ -9,6 +9,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op1_quality_qda": ("quality_qda", "op1"),
     "op2_decontaminate": ("decontaminate", "op2"),
     "op6_perplexity": ("perplexity", "op6"),
     "op7_token_scan": ("token_scan", "op7"),
