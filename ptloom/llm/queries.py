@@ -12,6 +12,7 @@ _MODULES = {
     "op1_quality_qda": ("quality_qda", "op1"),
     "op2_decontaminate": ("decontaminate", "op2"),
     "op4_tag_paths": ("tag_paths", "op4"),
+    "op5_chunk_dedup": ("chunk_dedup", "op5"),
     "op6_perplexity": ("perplexity", "op6"),
     "op7_token_scan": ("token_scan", "op7"),
     "op8_bpe_codec": ("bpe_codec", "op8"),

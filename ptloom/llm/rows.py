@@ -51,9 +51,13 @@ def map_texts(df: DataFrame, text: Column, fn: Callable[[list, dict], dict], res
     return src.mapInArrow(run, schema)
 
 
-def n_cells(df: DataFrame) -> int:
-    """Cells and buckets: a small multiple of the shuffle partitions, which are sized to the input."""
-    return max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def parts(df: DataFrame) -> tuple[int, int]:
+    """Numbers of cells and buckets: they follow the shuffle partitions, which are sized to the input.
+
+    A cell sends a bucket one row, so there are fewer rows than hashes.
+    """
+    n = max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return 2 * n, n
 
 
 def in_cells(df: DataFrame, id_col: str, text_col: str, n: int, row: list[str] | None = None) -> DataFrame:
