@@ -17,6 +17,7 @@ _MODULES = {
     "op7_token_scan": ("token_scan", "op7"),
     "op8_bpe_codec": ("bpe_codec", "op8"),
     "op9_feistel_shards": ("shards", "op9"),
+    "op10_jaccard_join": ("jaccard_join", "op10"),
 }
 
 

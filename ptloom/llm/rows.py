@@ -94,3 +94,14 @@ def table(schema: T.StructType, rows: list[tuple] | None = None, columns: list |
     kind = to_arrow_schema(schema)
     cols = columns if columns is not None else ([list(x) for x in zip(*rows)] if rows else [[] for _ in kind])
     return pa.Table.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the session's shared checkpoint folder and read from there."""
+    import uuid
+
+    from ptloom.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
