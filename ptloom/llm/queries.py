@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _MODULES = {
     "op1_quality_qda": ("quality_qda", "op1"),
     "op2_decontaminate": ("decontaminate", "op2"),
+    "op3_lpf_dedup": ("lpf_dedup", "op3"),
     "op4_tag_paths": ("tag_paths", "op4"),
     "op5_chunk_dedup": ("chunk_dedup", "op5"),
     "op6_perplexity": ("perplexity", "op6"),
