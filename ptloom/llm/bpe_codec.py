@@ -105,10 +105,17 @@ def decode(df: DataFrame, ranks: bytes, pattern: str, *, ids_col: str = "ids", r
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", row: list[str] | None = None) -> DataFrame:
-    """Columns of ``row``, the ids and the bytes they decode to, under ``row``, ``ids`` and ``decoded``."""
-    ranks = load_ranks(path)
-    enc = encode(docs, ranks, pattern, text_col=text_col, row=row).select("row", F.col("res.ids").alias("ids"))
-    return decode(enc, ranks, pattern).select("row.row", "row.ids", "res.decoded")
+    """Columns ``row``, ``ids`` and ``decoded``, the bytes that the ids decode to, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
+
+    def fn(texts, _):
+        enc = encoding(shared.value, pattern)
+        ids = [encode_text(enc, (t or b"").decode("utf-8", "replace")) for t in texts]
+        decoded = [enc.decode_bytes(x) for x in ids]
+        return {"ids": _lists(ids, np.int32).cast(pa.list_(pa.field("element", pa.int32(), False))), "decoded": decoded}
+
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.BinaryType(), False)])
+    return rows.map_texts(docs, docs[text_col], fn, kind, row=row).select("row", "res.ids", "res.decoded")
 
 
 def digests(docs: DataFrame, row: list[str]) -> DataFrame:

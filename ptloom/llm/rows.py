@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,26 @@ from pyspark.sql import types as T
 NULL_ID = np.int64(2**63 - 1)
 
 
+#: bytes of texts and list items that a task turns into Python objects at a time
+SLICE = 4 << 20
+
+
+def sliced(batches):
+    """The batches in slices of about ``SLICE`` bytes (one row at least), whatever the sizes of their rows."""
+    for batch in batches:
+        weight = np.zeros(batch.num_rows, np.int64)
+        for col in batch.columns:
+            if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type):
+                weight += pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            elif pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
+                weight += 8 * pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(weight) - weight) // SLICE
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            if hi > lo:
+                yield batch.slice(lo, hi - lo)
+
+
 def map_texts(df: DataFrame, text: Column, fn: Callable[[list, dict], dict], result: T.StructType,
               row: list[str] | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
     """Narrow pass: ``fn(texts, extra columns)`` gives the result columns of the rows of a batch.
@@ -42,7 +63,7 @@ def map_texts(df: DataFrame, text: Column, fn: Callable[[list, dict], dict], res
 
         kind = to_arrow_schema(schema)
         out = kind.field("res").type
-        for batch in batches:
+        for batch in sliced(batches):
             got = fn(batch.column(1).to_pylist(), {k: batch.column(i + 2).to_pylist() for i, k in enumerate(keys)})
             res = pa.StructArray.from_arrays(
                 [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for f, x in ((f, got[f.name]) for f in out)], fields=list(out))
