@@ -51,7 +51,8 @@ def write(tokens: DataFrame, path: str, order_cols: list[str], *, eod: int = EOD
     """Flat 16-bit little-endian files of the rows' token bytes in order, each row ended by the separator."""
     n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     end = int(eod).to_bytes(2, "little").decode("latin-1")
-    (tokens.repartitionByRange(n, *order_cols, "tokens").sortWithinPartitions(*order_cols, "tokens").select(F.col("tokens").cast("string").alias("value"))
+    # ties by a hash: what the range partitioner samples stays small
+    (tokens.withColumn("tie", F.xxhash64("tokens")).repartitionByRange(n, *order_cols, "tie").sortWithinPartitions(*order_cols, "tie").select(F.col("tokens").cast("string").alias("value"))
         .write.option("encoding", "ISO-8859-1").option("lineSep", end).text(path))
     return path
 
