@@ -18,7 +18,9 @@ leader: within a task, then task leaders among each other, so a list of very
 many members reaches its bucket as one entry per task.  The links are
 verified on the whole sets and give components.  Then only lists that still
 span several components matter: members outside a list's largest component
-are compared with all members of other components.  Any linked pair shares a list, so
+are compared with all members of other components.  A pair is first tried on
+parity bitmaps of about half a bit for each shingle, which bound how much two sets differ, and only
+pairs that pass are verified on their whole sets.  Any linked pair shares a list, so
 it is either in one component already or compared here: no link between
 components is lost.
 
@@ -44,8 +46,8 @@ from ptloom.llm import arrays, rows
 
 SHINGLE = 5
 THRESHOLD = (80, 100)  # intersection * 100 >= union * 80
-SLOTS = 1 << 20
-_BLOCK = 1 << 13
+SLOTS = 1 << 22
+_BLOCK = 1 << 15
 MAX_LIGHT = 14
 _U8 = np.uint64
 
@@ -82,17 +84,26 @@ class Sets:
         self.sig = arrays.mix(total[self.bounds[1:]] - total[self.bounds[:-1]] + self.sizes.astype(_U8))
 
 
+    def bitmaps(self) -> list[bytes]:
+        """Per set the parity of its shingles in each of a power of two of places, about half as many as shingles."""
+        places = 1 << np.clip(np.ceil(np.log2(np.maximum(self.sizes, 1) / 2)), 6, 12).astype(np.int64)
+        begin = np.cumsum(places) - places
+        spot = begin[self.owner] + ((self.hashes >> _U8(20)).astype(np.int64) & (places[self.owner] - 1))
+        odd = np.packbits(np.bincount(spot, minlength=int(places.sum())).astype(np.uint8) & 1, bitorder="little")
+        return [odd[b // 8:(b + n) // 8].tobytes() for b, n in zip(begin.tolist(), places.tolist())]
+
+
 def members(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``sig`` (the class; null for the empty set), a row for each document."""
+    """``doc_id``, ``n_shingles``, ``sig`` (the class; null for the empty set) and ``bits``, a row for each document."""
     def fn(texts, _):
         parts = [Sets(texts[lo:hi]) for lo, hi in arrays.chunks(texts)]
         sizes = np.concatenate([np.zeros(0, np.int64), *(p.sizes for p in parts)])
         sig = np.concatenate([np.zeros(0, _U8), *(p.sig for p in parts)]).view(np.int64)
-        return {"n": sizes, "sig": pa.array(sig, mask=sizes == 0)}
+        return {"n": sizes, "sig": pa.array(sig, mask=sizes == 0), "bits": [x for p in parts for x in p.bitmaps()]}
 
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    got = rows.map_texts(src, src["text"], fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType())]), row=["doc_id"])
-    return got.select("row.doc_id", F.col("res.n").alias("n_shingles"), "res.sig")
+    got = rows.map_texts(src, src["text"], fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("bits", T.BinaryType())]), row=["doc_id"])
+    return got.select("row.doc_id", F.col("res.n").alias("n_shingles"), "res.sig", "res.bits")
 
 
 def sketch(texts: DataFrame) -> np.ndarray:
@@ -100,13 +111,13 @@ def sketch(texts: DataFrame) -> np.ndarray:
     n_blocks = SLOTS // _BLOCK + 1
 
     def count(batches):
-        total = np.zeros(n_blocks * _BLOCK, np.int64)
+        total = np.zeros(n_blocks * _BLOCK, np.uint32)
         for batch in batches:
             part = batch.column(0).to_pylist()
             for lo, hi in arrays.chunks(part):
                 s = Sets(part[lo:hi])
-                total[:SLOTS] += np.bincount((s.hashes & _U8(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-                total[SLOTS:] += np.bincount(np.minimum(s.sizes, _BLOCK - 1), minlength=_BLOCK)
+                np.add.at(total, (s.hashes & _U8(SLOTS - 1)).astype(np.int64), 1)
+                total[SLOTS:] += np.bincount(np.minimum(s.sizes, _BLOCK - 1), minlength=_BLOCK).astype(np.uint32)
         for b in range(n_blocks):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([total[b * _BLOCK:(b + 1) * _BLOCK].tobytes()], pa.binary())], names=["block", "counts"])
 
@@ -114,7 +125,7 @@ def sketch(texts: DataFrame) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[b] = held.get(b, 0) + np.frombuffer(c, np.int64)
+                held[b] = held.get(b, 0) + np.frombuffer(c, np.uint32).astype(np.int64)
         for b, c in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([c.tobytes()], pa.binary())], names=["block", "counts"])
 
@@ -144,9 +155,9 @@ def boundary(counts: np.ndarray) -> int:
     return best
 
 
-def keys(s: Sets, counts: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """List entries: key, index of the set, and rank (the least rank leads a list)."""
-    out_key, out_set, out_rank = [np.zeros(0, _U8)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+def keys(s: Sets, counts: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """List entries: key, index of the set, rank (the least rank leads a list), and place of a shingle in the order."""
+    out_key, out_set, out_rank, out_place = [np.zeros(0, _U8)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], [np.zeros(0, np.uint16)]
     # heavy: the rarest shingles; sets of common shingles lead, as they are the ones that edited copies derive from
     seen = counts[(s.hashes & _U8(SLOTS - 1)).astype(np.int64)]
     order = np.lexsort((s.hashes, seen, s.owner))
@@ -157,6 +168,7 @@ def keys(s: Sets, counts: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray, n
     common = arrays.sum_by(np.log2(1.0 + seen), s.bounds) / np.maximum(s.sizes, 1)
     out_key.append(arrays.mix(s.hashes[order][take] ^ _U8(0x2545F4914F6CDD1D)))
     out_set.append(s.owner[take])
+    out_place.append(np.minimum(place[take], 65535).astype(np.uint16))
     out_rank.append((65535 - np.minimum(common * 1000, 65535)).astype(np.uint16)[s.owner[take]])
     # light: sums of the hashes of all subsets of the needed size, by what they leave out
     element = arrays.mix(s.hashes ^ _U8(0x14057B7EF767814F))
@@ -172,7 +184,8 @@ def keys(s: Sets, counts: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray, n
             out_key.append(key)
             out_set.append(np.repeat(sets, len(out)))
             out_rank.append(np.full(len(key), n, np.uint16))
-    return np.concatenate(out_key), np.concatenate(out_set), np.concatenate(out_rank)
+            out_place.append(np.zeros(len(key), np.uint16))
+    return np.concatenate(out_key), np.concatenate(out_set), np.concatenate(out_rank), np.concatenate(out_place)
 
 
 def _lead(key: np.ndarray, rank: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,27 +196,28 @@ def _lead(key: np.ndarray, rank: np.ndarray, sig: np.ndarray) -> tuple[np.ndarra
     return order, np.repeat(start, np.diff(np.append(start, len(k))))
 
 
-_ENTRIES = T.StructType([T.StructField("bucket", T.IntegerType())] + [T.StructField(c, T.BinaryType()) for c in ("key", "sig", "n", "rank", "led")])
-_LISTS = T.StructType([T.StructField("list", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("leader", T.LongType()),
+_ENTRIES = T.StructType([T.StructField("bucket", T.IntegerType())] + [T.StructField(c, T.BinaryType()) for c in ("key", "sig", "n", "place", "rank", "led")])
+_LISTS = T.StructType([T.StructField("list", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("place", T.IntegerType()),
+                       T.StructField("leader", T.LongType()),
                        T.StructField("leader_n", T.IntegerType())])
 
 
 def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
-    """Lists of two sets or more: ``list``, ``sig``, ``n`` and the leader that each member is compared with."""
+    """Lists of two sets or more: ``list``, ``sig``, ``n``, ``place`` and the leader that each member is compared with."""
     n_buckets = rows.parts(texts)[1]
     shared = texts.sparkSession.sparkContext.broadcast(counts[:SLOTS])
 
     def emit(batches):
-        held = [[np.zeros(0, _U8)], [np.zeros(0, _U8)], [np.zeros(0, np.uint16)], [np.zeros(0, np.uint16)]]
+        held = [[np.zeros(0, _U8)], [np.zeros(0, _U8)], *([np.zeros(0, np.uint16)] for _ in range(3))]
         seen: set[int] = set()
 
         def send():
-            key, sig, n, rank = (np.concatenate(h) for h in held)
+            key, sig, n, rank, place = (np.concatenate(h) for h in held)
             for h in held:
                 del h[1:]
             seen.clear()
             order, lead = _lead(key, rank, sig)
-            key, sig, n, rank = key[order], sig[order], n[order], rank[order]
+            key, sig, n, rank, place = key[order], sig[order], n[order], rank[order], place[order]
             own = np.arange(len(key)) == lead
             several = np.bincount(lead, minlength=len(lead))[lead] > 1
             led = np.where(own, np.where(several, 1, 0), 2).astype(np.uint8)
@@ -211,26 +225,26 @@ def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
             bucket = np.where(own, rows.by_bucket(key, n_buckets), rows.by_bucket(sig, n_buckets))
             lead_col = np.where(own, rank.astype(_U8), sig[lead])
             n_col = np.where(own, n.astype(np.uint32), (n.astype(np.uint32) << np.uint32(16)) | n[lead].astype(np.uint32))
-            for at, cols in rows.packed(bucket, n_buckets, [key, sig, n_col, led]):
+            for at, cols in rows.packed(bucket, n_buckets, [key, sig, n_col, place, led]):
                 part = bucket == at
                 follower = led[part] == 2
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([at], pa.int32()), pa.array([cols[0]]), pa.array([cols[1]]), pa.array([cols[2]]),
-                     pa.array([rank[part][~follower].tobytes() + lead_col[part][follower].tobytes()]), pa.array([cols[3]])], names=_ENTRIES.names)
+                    [pa.array([at], pa.int32()), pa.array([cols[0]]), pa.array([cols[1]]), pa.array([cols[2]]), pa.array([cols[3]]),
+                     pa.array([rank[part][~follower].tobytes() + lead_col[part][follower].tobytes()]), pa.array([cols[4]])], names=_ENTRIES.names)
 
         size = 0
         for batch in batches:
             part = batch.column(0).to_pylist()
             for lo, hi in arrays.chunks(part):
                 s = Sets(part[lo:hi])
-                key, own, rank = keys(s, shared.value, b)
+                key, own, rank, place = keys(s, shared.value, b)
                 new = np.zeros(len(s.sig), bool)
                 for i, x in enumerate(s.sig.tolist()):
                     if x not in seen:
                         seen.add(x)
                         new[i] = True
                 keep = new[own]
-                for h, x in zip(held, (key[keep], s.sig[own[keep]], np.minimum(s.sizes[own[keep]], 65535).astype(np.uint16), rank[keep])):
+                for h, x in zip(held, (key[keep], s.sig[own[keep]], np.minimum(s.sizes[own[keep]], 65535).astype(np.uint16), rank[keep], place[keep])):
                     h.append(x)
                 size += int(keep.sum())
                 if size > 2_000_000:
@@ -240,56 +254,91 @@ def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
 
     def meet(t):
         led = rows.joined(t.column("led").to_pylist(), np.uint8)
-        key, sig, n = (rows.joined(t.column(c).to_pylist(), k) for c, k in (("key", _U8), ("sig", _U8), ("n", np.uint32)))
+        key, sig, n, place = (rows.joined(t.column(c).to_pylist(), k) for c, k in (("key", _U8), ("sig", _U8), ("n", np.uint32), ("place", np.uint16)))
         ranks, leaders = [np.zeros(0, np.uint16)], [np.zeros(0, _U8)]
         for blob, flags in zip(t.column("rank").to_pylist(), t.column("led").to_pylist()):
             k = 2 * int((np.frombuffer(flags, np.uint8) != 2).sum())
             ranks.append(np.frombuffer(blob[:k], np.uint16))
             leaders.append(np.frombuffer(blob[k:], _U8))
         follow = led == 2
-        out = [(key[follow], sig[follow], n[follow] >> np.uint32(16), np.concatenate(leaders), n[follow] & np.uint32(0xFFFF))]
-        key, sig, n, led, rank = key[~follow], sig[~follow], n[~follow], led[~follow], np.concatenate(ranks)
+        out = [(key[follow], sig[follow], n[follow] >> np.uint32(16), place[follow], np.concatenate(leaders), n[follow] & np.uint32(0xFFFF))]
+        key, sig, n, place, led, rank = key[~follow], sig[~follow], n[~follow], place[~follow], led[~follow], np.concatenate(ranks)
         order, lead = _lead(key, rank, sig)
-        key, sig, n, led = key[order], sig[order], n[order], led[order]
+        key, sig, n, place, led = key[order], sig[order], n[order], place[order], led[order]
         # one entry for each set: tasks may have sent the same set
         new = np.append(True, (key[1:] != key[:-1]) | (sig[1:] != sig[:-1]))[: len(key)]
         distinct = np.bincount(lead, weights=new, minlength=len(lead))[lead] > 1
         any_led = np.bincount(lead, weights=led, minlength=len(lead))[lead] > 0
         keep = new & (distinct | any_led)
-        out.append((key[keep], sig[keep], n[keep], sig[lead][keep], n[lead][keep]))
-        key, sig, n, leader, leader_n = (np.concatenate(x) for x in zip(*out))
-        return rows.table(_LISTS, columns=[key.view(np.int64), sig.view(np.int64), n.astype(np.int32), leader.view(np.int64), leader_n.astype(np.int32)])
+        out.append((key[keep], sig[keep], n[keep], place[keep], sig[lead][keep], n[lead][keep]))
+        key, sig, n, place, leader, leader_n = (np.concatenate(x) for x in zip(*out))
+        return rows.table(_LISTS, columns=[key.view(np.int64), sig.view(np.int64), n.astype(np.int32), place.astype(np.int32), leader.view(np.int64), leader_n.astype(np.int32)])
 
     return texts.mapInArrow(emit, _ENTRIES).groupBy("bucket").applyInArrow(meet, _LISTS)
 
 
-def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``sig`` and ``hashes`` (packed, sorted) of the wanted classes; a class travels once per task."""
-    n_cells = rows.parts(texts)[0]
+FILTER_BITS = 1 << 26
 
-    def first(batches):
-        seen: set[int] = set()
+
+def _bloom(ids: DataFrame) -> np.ndarray:
+    """Bitmap of ``FILTER_BITS`` bits of the ids: of fixed size, so more ids only let more documents pass."""
+    part = 1 << 15
+    spot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = ids.select(spot.alias("spot")).groupBy(F.shiftright("spot", 15).alias("block")).agg(F.collect_set((F.col("spot") % part).cast("int")).alias("at"))
+
+    def pack(batches):
         for batch in batches:
-            part = batch.column(0).to_pylist()
-            for lo, hi in arrays.chunks(part):
-                sigs = Sets(part[lo:hi]).sig.view(np.int64).tolist()
-                new = [i for i, x in enumerate(sigs) if x not in seen and not seen.add(x)]
-                if new:
-                    yield pa.RecordBatch.from_arrays([pa.array([sigs[i] for i in new], pa.int64()), pa.array([part[lo + i] or b"" for i in new], pa.binary())], names=["sig", "text"])
-
-    def pick(t, wanted):
-        want = set(wanted.column("sig").to_pylist())
-        got = dict((s, x) for s, x in zip(t.column("sig").to_pylist(), t.column("text").to_pylist()) if s in want)
-        sigs, part = list(got), list(got.values())
-        hashes = []
-        for lo, hi in arrays.chunks(part):
-            s = Sets(part[lo:hi])
-            hashes += [s.hashes[s.bounds[i]:s.bounds[i + 1]].tobytes() for i in range(hi - lo)]
-        return rows.table(T.StructType([T.StructField("sig", T.LongType()), T.StructField("hashes", T.BinaryType())]), columns=[sigs, hashes])
-
-    cell = F.pmod(F.xxhash64("sig"), F.lit(n_cells)).alias("cell")
-    left = texts.mapInArrow(first, "sig long, text binary").select(cell, "sig", "text")
-    return left.groupBy("cell").cogroup(wanted.select(cell, "sig").groupBy("cell")).applyInArrow(pick, "sig long, hashes binary")
+            out = []
+            for at in batch.column(1):
+                bits = np.zeros(part, np.uint8)
+                bits[at.values.to_numpy()] = 1
+                out.append(np.packbits(bits, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["block", "bits"])
+
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in words.mapInArrow(pack, "block long, bits binary").toLocalIterator():
+        bits[r["block"] * part // 8:(r["block"] + 1) * part // 8] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """``sig`` and ``hashes`` (packed, sorted) of the wanted classes, from their documents of least id.
+
+    A bitmap of fixed size keeps most other documents from being read into sets at all.
+    """
+    ids = classes.join(wanted, "sig", "left_semi").select(F.coalesce("least", F.lit(int(rows.NULL_ID))).alias("id"))
+    shared = docs.sparkSession.sparkContext.broadcast(_bloom(ids))
+    ident = F.coalesce(docs[id_col].cast("long"), F.lit(int(rows.NULL_ID)))
+    src = docs.select(F.pmod(F.xxhash64(ident), F.lit(FILTER_BITS)).alias("spot"), docs[text_col].cast("binary").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            spot = batch.column(0).to_numpy()
+            batch = batch.filter(pa.array((shared.value[spot >> 3] >> (spot & 7)) & 1 == 1, pa.bool_()))
+            for piece in rows.sliced([batch]):
+                s = Sets(piece.column(1).to_pylist())
+                hashes = [s.hashes[a:z].tobytes() for a, z in zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(s.sig.view(np.int64)), pa.array(hashes, pa.binary())], names=["sig", "hashes"])
+
+    return src.mapInArrow(run, "sig long, hashes binary").join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
+
+
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps do not rule out a link: each place where they differ is a shingle that only one set has."""
+    both = pairs.join(classes.select(F.col("sig").alias("a"), F.col("n_shingles").alias("n"), F.col("bits").alias("x")), "a") \
+        .join(classes.select(F.col("sig").alias("b"), F.col("n_shingles").alias("m"), F.col("bits").alias("y")), "b")
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, x, m, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                size = min(len(x), len(y))
+                differ = np.bitwise_xor.reduce(np.concatenate((x, y)).reshape(-1, size), axis=0)
+                keep.append(int(np.bitwise_count(differ).sum()) <= n + m - 2 * overlap(n, m) and compatible(n, m))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "n", "x", "m", "y").mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -337,31 +386,44 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("sig"), F.col("v").alias("root")).union(e.select(F.col("v").alias("sig"), F.col("v").alias("root")).distinct())
 
 
-def links(texts: DataFrame) -> DataFrame:
+def _reaches(n: str, place: str, other: str):
+    """A set's shingles from this place on can make up the overlap, as they must where two sets meet first."""
+    num, den = THRESHOLD
+    return (F.col(n) - F.col(place)) * (num + den) >= F.lit(num) * (F.col(n) + F.col(other))
+
+
+def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified links between classes that connect every component: ``a``, ``b``."""
+    texts = docs.select(docs[text_col].cast("binary").alias("text"))
+
+    def confirmed(pairs):
+        pairs = rows.stored(plausible(pairs, classes))
+        wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+        return rows.stored(verify(pairs, rows.stored(whole_sets(docs, wanted, classes, id_col=id_col, text_col=text_col))))
+
     counts = sketch(texts)
     found = rows.stored(lists(texts, counts, boundary(counts)))
-    sets = rows.stored(whole_sets(texts, found.select("sig").distinct()))
-    to_leader = found.where((F.col("sig") != F.col("leader")) & _size_fits("n", "leader_n")).select(F.col("sig").alias("a"), F.col("leader").alias("b")).distinct()
-    one = rows.stored(verify(to_leader, sets))
+    one = confirmed(found.where((F.col("sig") != F.col("leader")) & _size_fits("n", "leader_n"))
+                    .select(F.least("sig", "leader").alias("a"), F.greatest("sig", "leader").alias("b")).distinct())
     # lists that still span components: members outside the largest one against all others
-    part = found.select("list", "sig", "n").distinct().join(components(one), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    part = found.groupBy("list", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place")) \
+        .join(components(one), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     spans = part.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
     mixed = rows.stored(part.join(spans, "list", "left_semi"))
     largest = mixed.groupBy("list", "root").count().groupBy("list").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    few = mixed.join(largest, "list").where("root <> main").select("list", F.col("sig").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
-    pairs = mixed.join(few, "list").where((F.col("root") != F.col("a_root")) & _size_fits("n", "a_n")) \
+    few = mixed.join(largest, "list").select("list", F.col("sig").alias("a"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("a_root"), "main").where("a_root <> main")
+    first = (_reaches("n", "place", "m") & _reaches("m", "spot", "n")) | (F.greatest("n", "m") == 65535)
+    pairs = mixed.join(few, "list").where((F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("sig"))) & _size_fits("n", "m") & first) \
         .select(F.least("a", "sig").alias("a"), F.greatest("a", "sig").alias("b")).distinct()
-    return one.union(rows.stored(verify(pairs, sets)))
+    return one.union(confirmed(pairs))
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``: a row for each document."""
-    texts = docs.select(docs[text_col].cast("binary").alias("text"))
     who = rows.stored(members(docs, id_col=id_col, text_col=text_col))
-    group = components(links(texts))
-    classes = who.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    rooted = classes.join(group, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    classes = rows.stored(who.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
+    group = components(links(docs, classes, id_col=id_col, text_col=text_col))
+    rooted = classes.select("sig", "least").join(group, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     name = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sig", "component_id")
     return who.join(name, "sig", "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("sig").isNotNull(), F.col("component_id")), F.col("doc_id")).alias("component_id"))
 
