@@ -205,7 +205,7 @@ _LISTS = T.StructType([T.StructField("list", T.LongType()), T.StructField("sig",
 def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
     """Lists of two sets or more: ``list``, ``sig``, ``n``, ``place`` and the leader that each member is compared with."""
     n_buckets = rows.parts(texts)[1]
-    shared = texts.sparkSession.sparkContext.broadcast(counts[:SLOTS])
+    shared = texts.sparkSession.sparkContext.broadcast(np.minimum(counts[:SLOTS], 2**32 - 1).astype(np.uint32))
 
     def emit(batches):
         held = [[np.zeros(0, _U8)], [np.zeros(0, _U8)], *([np.zeros(0, np.uint16)] for _ in range(3))]
@@ -247,7 +247,7 @@ def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
                 for h, x in zip(held, (key[keep], s.sig[own[keep]], np.minimum(s.sizes[own[keep]], 65535).astype(np.uint16), rank[keep], place[keep])):
                     h.append(x)
                 size += int(keep.sum())
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield from send()
                     size = 0
         yield from send()
