@@ -11,8 +11,8 @@ make one *segment* of at most ``2 * length - GRAM`` bytes.
 
 1. Cells of documents send their distinct anchors to buckets; a bucket
    answers with those that several documents hold.
-2. Cells send the segments of shared anchors, equal ones once with their
-   first document.  A bucket puts equal segments together, sorts the window
+2. Cells send the segments of shared anchors (compressed), equal ones once
+   with their first document.  A bucket puts equal segments together, sorts the window
    suffixes of the distinct segments of an anchor, takes longest common
    prefixes of neighbours in that order, and with the previous and the next smaller document
    in suffix order the longest previous factor of each window start.  A factor of ``length``
@@ -32,6 +32,7 @@ columns are carried.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,7 +91,7 @@ def _segments(texts: list[bytes], length: int):
 _SENT = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("cell", T.IntegerType()), T.StructField("anchor", T.BinaryType()), T.StructField("docs", T.BinaryType())])
 _SHARED = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("anchor", T.BinaryType()), T.StructField("hot", T.BinaryType())])
 _SEGMENTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("cell", T.IntegerType())]
-                         + [T.StructField(c, T.BinaryType()) for c in ("content", "first", "size", "anchor", "bytes")])
+                         + [T.StructField(c, T.BinaryType()) for c in ("first", "size", "anchor", "bytes")])
 _VERDICT = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("content", T.BinaryType()), T.StructField("least", T.BinaryType()), T.StructField("mask", T.BinaryType())])
 RESULT = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
@@ -166,7 +167,7 @@ def _ask(n_buckets: int, length: int):
             own = first[np.searchsorted(bucket, b, "left"):np.searchsorted(bucket, b, "right")]
             size = (windows[own] + length - 1).astype(np.uint16)
             data = b"".join(texts[o][s:s + n] for o, s, n in zip(owner[own].tolist(), start[own].tolist(), size.tolist()))
-            out.append((b, cell, content[own].tobytes(), ids[owner[own]].tobytes(), size.tobytes(), route[own].tobytes(), data))
+            out.append((b, cell, ids[owner[own]].tobytes(), size.tobytes(), route[own].astype(np.uint32).tobytes(), pa.compress(data, "zstd", asbytes=True)))
         return rows.table(_SEGMENTS, out)
 
     return fn
@@ -218,10 +219,14 @@ def longest_previous_factor(suffix: np.ndarray, group: np.ndarray, doc: np.ndarr
 
 def _judge(length: int):
     def fn(t):
-        counts = [len(x.as_py()) // 8 for x in t.column("content")]
-        cells = np.repeat(t.column("cell").to_numpy(), counts)
-        content, first, size, anchor = (rows.joined(t.column(c).to_pylist(), k) for c, k in (("content", _U8), ("first", np.int64), ("size", np.uint16), ("anchor", _U8)))
-        text = rows.joined(t.column("bytes").to_pylist(), np.uint8)
+        sizes = [np.frombuffer(x, np.uint16) for x in t.column("size").to_pylist()]
+        size = np.concatenate(sizes)
+        cells = np.repeat(t.column("cell").to_numpy(), [len(x) for x in sizes])
+        first, anchor = (rows.joined(t.column(c).to_pylist(), k) for c, k in (("first", np.int64), ("anchor", np.uint32)))
+        texts = [pa.decompress(x, int(n.sum()), "zstd", asbytes=True) for x, n in zip(t.column("bytes").to_pylist(), sizes)]
+        content = np.concatenate([arrays.span_hashes(np.frombuffer(x, np.uint8), (e := np.cumsum(n, dtype=np.int64)) - n, e) for x, n in zip(texts, sizes)])
+        text = np.frombuffer(b"".join(texts), np.uint8)
+        del texts
         begin = np.cumsum(size, dtype=np.int64) - size
         # equal segments are one, of their first document
         order = np.lexsort((first, content))
@@ -249,9 +254,11 @@ def _judge(length: int):
                 long = longest_previous_factor(suffix, kind[seg], first[lead[seg]]) >= length
                 np.bitwise_or.at(mask, seg[long], _U8(1) << offset[long].astype(_U8))
                 lo = int(edges[e])
-        known, at = np.unique(cells, return_inverse=True)
         # what later documents than the first lose of a segment is all of it; the first one loses the masked windows
-        sent = rows.packed(at, len(known), [content, first[lead][index], mask[index]])
+        least, lost = first[lead][index], mask[index]
+        told = (least < first) | (lost > 0)
+        known, at = np.unique(cells[told], return_inverse=True)
+        sent = rows.packed(at, len(known), [content[told], least[told], lost[told]])
         return rows.table(_VERDICT, [(int(known[i]), *cols) for i, cols in sent])
 
     return fn
@@ -266,8 +273,16 @@ def _apply(length: int, result: T.StructType):
         known, least, mask = (rows.joined(verdict.column(c).to_pylist(), k) for c, k in (("content", _U8), ("least", np.int64), ("mask", _U8)))
         order = np.argsort(known)
         known, least, mask = known[order], least[order], mask[order]
-        at = np.searchsorted(known, content)
+        # the first document of a segment: here, unless the bucket knows an earlier one
         own_id = ids[owner]
+        kinds, kind = np.unique(content, return_inverse=True)
+        before = np.full(len(kinds), rows.NULL_ID)
+        np.minimum.at(before, kind, own_id)
+        lost = np.zeros(len(kinds), _U8)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
+            hit = known[at] == kinds
+            before, lost = np.where(hit, least[at], before), np.where(hit, mask[at], lost)
         out = []
         bounds = np.searchsorted(owner, np.arange(len(texts) + 1)) if len(owner) and (np.diff(owner) >= 0).all() else None
         by_owner = None if bounds is not None else {o: np.flatnonzero(owner == o) for o in np.unique(owner).tolist()}
@@ -276,11 +291,11 @@ def _apply(length: int, result: T.StructType):
             gone = np.zeros(len(text) + 1, np.int32)
             for j in own.tolist():
                 a, w = int(start[j]), int(windows[j])
-                if least[at[j]] < own_id[j]:
+                if before[kind[j]] < own_id[j]:
                     gone[a] += 1
                     gone[a + w + length - 1] -= 1
-                elif mask[at[j]]:
-                    m = int(mask[at[j]])
+                elif lost[kind[j]]:
+                    m = int(lost[kind[j]])
                     while m:
                         k = (m & -m).bit_length() - 1
                         gone[a + k] += 1
