@@ -90,7 +90,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, *, text_col: str = "text
         ids = _lists([encode_text(enc, (t or b"").decode("utf-8", "replace")) for t in texts], np.int32)
         return {"ids": ids.cast(pa.list_(pa.field("element", pa.int32(), False)))}
 
-    return rows.map_texts(docs, docs[text_col], fn, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]), row=row)
+    return rows.map_texts(docs, text_col, fn, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]), row=row)
 
 
 def decode(df: DataFrame, ranks: bytes, pattern: str, *, ids_col: str = "ids", row: list[str] | None = None) -> DataFrame:
@@ -115,7 +115,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, *, text_col: str = "tex
         return {"ids": _lists(ids, np.int32).cast(pa.list_(pa.field("element", pa.int32(), False))), "decoded": decoded}
 
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.BinaryType(), False)])
-    return rows.map_texts(docs, docs[text_col], fn, kind, row=row).select("row", "res.ids", "res.decoded")
+    return rows.map_texts(docs, text_col, fn, kind, row=row).select("row", "res.ids", "res.decoded")
 
 
 def digests(docs: DataFrame, row: list[str]) -> DataFrame:

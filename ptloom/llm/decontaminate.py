@@ -117,13 +117,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
             return _scan(index.value, last)(texts, extra)
 
         if out is None:
-            src, extra, names, text = docs, {}, row, docs[text_col]
+            src, extra, names, text = docs, {}, row, text_col
         else:
             src = reliable_checkpoint(out.select("row", "text", "res"))
-            extra, names, text = {"hit": src["res.hit_words"], "items": src["res.items"]}, ["row", "text"], src["text"]
+            extra, names, text = {"hit": src["res.hit_words"], "items": src["res.items"]}, ["row", "text"], "text"
         if n_blocks > 1 and out is None:
             src = docs.select(F.struct(*[docs[c] for c in (row or docs.columns)]).alias("row"), docs[text_col].cast("binary").alias("text"))
-            names, text = ["row", "text"], src["text"]
+            names, text = ["row", "text"], "text"
         out = rows.map_texts(src, text, fn, RESULT, row=names, extra=extra)
         if n_blocks > 1:
             out = out.select(F.col("row.row").alias("row"), F.col("row.text").alias("text"), "res")

@@ -102,7 +102,7 @@ def members(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         return {"n": sizes, "sig": pa.array(sig, mask=sizes == 0), "bits": [x for p in parts for x in p.bitmaps()]}
 
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    got = rows.map_texts(src, src["text"], fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("bits", T.BinaryType())]), row=["doc_id"])
+    got = rows.map_texts(src, "text", fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("bits", T.BinaryType())]), row=["doc_id"])
     return got.select("row.doc_id", F.col("res.n").alias("n_shingles"), "res.sig", "res.bits")
 
 
@@ -112,7 +112,7 @@ def sketch(texts: DataFrame) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(n_blocks * _BLOCK, np.uint32)
-        for batch in batches:
+        for batch in rows.sliced(batches):
             part = batch.column(0).to_pylist()
             for lo, hi in arrays.chunks(part):
                 s = Sets(part[lo:hi])
@@ -233,7 +233,7 @@ def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
                      pa.array([rank[part][~follower].tobytes() + lead_col[part][follower].tobytes()]), pa.array([cols[4]])], names=_ENTRIES.names)
 
         size = 0
-        for batch in batches:
+        for batch in rows.sliced(batches):
             part = batch.column(0).to_pylist()
             for lo, hi in arrays.chunks(part):
                 s = Sets(part[lo:hi])

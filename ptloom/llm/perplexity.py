@@ -196,7 +196,7 @@ def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(c[part])], names=["lang", "gram", "n"])
             held.clear()
 
-        for batch in batches:
+        for batch in rows.sliced(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in dict.fromkeys(langs):
                 own = [t for x, t in zip(langs, texts) if x == lang]
@@ -228,13 +228,13 @@ def models(counts: DataFrame):
 
 
 MEASURES = T.StructType([T.StructField(c, T.LongType(), False) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams")]
-                        + [T.StructField("log_perplexity", T.DoubleType(), False)])
+                        + [T.StructField("log_perplexity", T.DoubleType(), False), T.StructField("lang", T.StringType(), False)])
 
 
 def _measure(shared):
     def fn(texts, extra):
         model = shared.value
-        out: dict[str, list] = {f.name: [np.zeros(0, np.float64 if f.name == "log_perplexity" else np.int64)] for f in MEASURES}
+        out: dict[str, list] = {f.name: [np.zeros(0, np.float64 if f.name == "log_perplexity" else np.int64)] for f in MEASURES if f.name != "lang"}
         dense = np.zeros(NGRAMS, np.float32)
         for lo, hi in arrays.chunks(texts):
             part, langs = texts[lo:hi], extra["lang"][lo:hi]
@@ -249,7 +249,7 @@ def _measure(shared):
             got |= {"n_grams": n, "log_perplexity": -total / np.maximum(n, 1)}
             for k, v in got.items():
                 out[k].append(v)
-        return {k: np.concatenate(v) for k, v in out.items()}
+        return {k: np.concatenate(v) for k, v in out.items()} | {"lang": extra["lang"]}
 
     return fn
 
@@ -262,7 +262,7 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, float, float]]:
     """Lower quartile, upper quartile and reach per language, by an exact histogram of log-perplexity."""
     hist: dict[str, list[tuple[int, int]]] = {}
     at = F.floor(F.col("res.log_perplexity") * BIN).cast("int").alias("at")
-    for r in measured.where(~base_failed()).groupBy("lang", at).agg(F.count("*").alias("n")).collect():
+    for r in measured.where(~base_failed()).groupBy(F.col("res.lang").alias("lang"), at).agg(F.count("*").alias("n")).collect():
         hist.setdefault(r["lang"], []).append((r["at"], r["n"]))
     out = {}
     for lang, h in hist.items():
@@ -289,7 +289,7 @@ def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", r
             own = docs.where(lang.isin(langs) if langs else unknown)
             if langs is None and known:
                 own = own.where(F.coalesce(F.length(docs[text_col].cast("binary")), F.lit(0)) == 0)  # languages without any text
-            parts.append(_with_lang(own, names, text_col, lang_col, _blank if langs is None else _measure(model)))
+            parts.append(rows.map_texts(own, text_col, _blank if langs is None else _measure(model), MEASURES, row=names, extra={"lang": _lang(own, lang_col)}))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -297,20 +297,14 @@ def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", r
 
     limits = bands(measured([]))
     table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double, reach double")
-    got = measured(row if row is not None else docs.columns).join(F.broadcast(table), "lang", "left")
+    got = measured(row if row is not None else docs.columns).join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
     lp, wide = F.col("res.log_perplexity"), F.col("reach") * F.sqrt(1 + SHORT / F.greatest(F.col("res.n_grams"), F.lit(1)))
     within = F.coalesce((lp >= F.col("low") - wide) & (lp <= F.col("high") + wide), F.lit(True))
     return got.select("row", "res", base_failed().alias("base_failed"), (~base_failed() & within).alias("kept"))
 
 
 def _blank(texts, extra):
-    return {f.name: np.zeros(len(texts), np.float64 if f.name == "log_perplexity" else np.int64) for f in MEASURES}
-
-
-def _with_lang(own: DataFrame, names: list[str], text_col: str, lang_col: str, fn) -> DataFrame:
-    src = own.select(F.struct(*[own[c] for c in names], F.lit(0).alias("_")).alias("row"), _lang(own, lang_col).alias("lang"), own[text_col].alias("text"))
-    got = rows.map_texts(src, src["text"], fn, MEASURES, row=["row", "lang"], extra={"lang": src["lang"]})
-    return got.select("row.row", "row.lang", "res")
+    return {f.name: np.zeros(len(texts), np.float64 if f.name == "log_perplexity" else np.int64) for f in MEASURES if f.name != "lang"} | {"lang": extra["lang"]}
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def measure(docs: DataFrame, *, text_col: str = "text", row: list[str] | None =
     def fn(texts, _):
         return {"x": list(statistics(texts))}
 
-    return rows.map_texts(docs, docs[text_col], fn, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType(), False), False)]), row=row)
+    return rows.map_texts(docs, text_col, fn, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType(), False), False)]), row=row)
 
 
 def moments(labelled: DataFrame, d: int = len(FEATURES)) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
@@ -156,7 +156,7 @@ def score(docs: DataFrame, model: Discriminant, *, text_col: str = "text", row:
     def fn(texts, _):
         return {"score": shared.value.score(statistics(texts))}
 
-    return rows.map_texts(docs, docs[text_col], fn, T.StructType([T.StructField("score", T.DoubleType(), False)]), row=row)
+    return rows.map_texts(docs, text_col, fn, T.StructType([T.StructField("score", T.DoubleType(), False)]), row=row)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

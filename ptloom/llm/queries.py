@@ -22,8 +22,15 @@ _MODULES = {
 }
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import the package from where the driver has it (a no-op where it is installed)."""
+#: rows and bytes that Spark hands a Python worker at a time, where the session has Spark's own defaults (10,000 rows, 64 MB)
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b")}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Small batches for Python workers, which hold texts, and the package on their path (a no-op where it is installed)."""
+    for key, (default, value) in BATCHES.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -35,7 +42,7 @@ def _query(module: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = getattr(import_module(f"ptloom.llm.{module}"), name)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        importable(spark)
+        prepare(spark)
         return fn(spark, sf_dir.rstrip("/"))
 
     return run

@@ -27,11 +27,14 @@ NULL_ID = np.int64(2**63 - 1)
 SLICE = 4 << 20
 
 
-def sliced(batches):
-    """The batches in slices of about ``SLICE`` bytes (one row at least), whatever the sizes of their rows."""
+def sliced(batches, within: int | None = None):
+    """The batches in slices of about ``SLICE`` bytes (one row at least), whatever the sizes of their rows.
+
+    ``within`` names a field of the first column, a struct, that counts too.
+    """
     for batch in batches:
         weight = np.zeros(batch.num_rows, np.int64)
-        for col in batch.columns:
+        for col in [*batch.columns, *([batch.column(0).flatten()[within].cast(pa.binary())] if within is not None else [])]:
             if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type):
                 weight += pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             elif pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
@@ -43,18 +46,21 @@ def sliced(batches):
                 yield batch.slice(lo, hi - lo)
 
 
-def map_texts(df: DataFrame, text: Column, fn: Callable[[list, dict], dict], result: T.StructType,
+def map_texts(df: DataFrame, text: Column | str, fn: Callable[[list, dict], dict], result: T.StructType,
               row: list[str] | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
     """Narrow pass: ``fn(texts, extra columns)`` gives the result columns of the rows of a batch.
 
     Returns the columns ``row`` (struct of the input columns named, all by
     default) and ``res`` (struct of ``result``), so an input column may bear
-    the name of a result column.  Texts reach ``fn`` as bytes, null as None.
+    the name of a result column.  Texts reach ``fn`` as bytes, null as None;
+    a text column that is in ``row`` travels once.
     """
     names = row if row is not None else df.columns
     extra = extra or {}
-    src = df.select(F.struct(*[df[c] for c in names]).alias("row"), text.cast("binary").alias("text"),
-                    *[c.alias(f"x_{k}") for k, c in extra.items()])
+    within = names.index(text) if isinstance(text, str) and text in names and df.schema[text].dataType in (T.StringType(), T.BinaryType()) else None
+    text = df[text] if isinstance(text, str) else text
+    src = df.select(F.struct(*([df[c] for c in names] or [F.lit(0).alias("_")])).alias("row"),
+                    (F.lit(None) if within is not None else text).cast("binary").alias("text"), *[c.alias(f"x_{k}") for k, c in extra.items()])
     keys = list(extra)
     schema = T.StructType([src.schema["row"], T.StructField("res", result, False)])
 
@@ -63,8 +69,9 @@ def map_texts(df: DataFrame, text: Column, fn: Callable[[list, dict], dict], res
 
         kind = to_arrow_schema(schema)
         out = kind.field("res").type
-        for batch in sliced(batches):
-            got = fn(batch.column(1).to_pylist(), {k: batch.column(i + 2).to_pylist() for i, k in enumerate(keys)})
+        for batch in sliced(batches, within):
+            texts = batch.column(1) if within is None else batch.column(0).flatten()[within].cast(pa.binary())
+            got = fn(texts.to_pylist(), {k: batch.column(i + 2).to_pylist() for i, k in enumerate(keys)})
             res = pa.StructArray.from_arrays(
                 [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for f, x in ((f, got[f.name]) for f in out)], fields=list(out))
             yield pa.RecordBatch.from_arrays([batch.column(0), res], names=["row", "res"])

@@ -201,7 +201,7 @@ def main_text(pages: DataFrame, *, html_col: str = "html", row: list[str] | None
     def fn(texts, _):
         return {"text": [extract((t or b"").decode("utf-8", "replace")) for t in texts]}
 
-    return rows.map_texts(pages, pages[html_col], fn, T.StructType([T.StructField("text", T.StringType(), False)]), row=row)
+    return rows.map_texts(pages, html_col, fn, T.StructType([T.StructField("text", T.StringType(), False)]), row=row)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

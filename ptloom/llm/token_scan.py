@@ -43,7 +43,7 @@ def word_ids(docs: DataFrame, order_cols: list[str], *, text_col: str = "text")
             out += [ids[words.first[i]:words.first[i + 1]].tobytes() for i in range(hi - lo)]
         return {"tokens": out}
 
-    got = rows.map_texts(docs, docs[text_col], fn, T.StructType([T.StructField("tokens", T.BinaryType(), False)]), row=order_cols)
+    got = rows.map_texts(docs, text_col, fn, T.StructType([T.StructField("tokens", T.BinaryType(), False)]), row=order_cols)
     return got.select(*[F.col(f"row.{c}") for c in order_cols], "res.tokens")
 
 
