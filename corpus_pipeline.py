@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ptloom.llm import bpe_codec, chunk_dedup, decontaminate, jaccard_join, perplexity
-from ptloom.llm.queries import importable
+from ptloom.llm.queries import prepare
 from ptloom.llm.rows import stored
 
 #: stage 5 and the perplexity bands have no SQL form; the tests hold each stage against a plain version
@@ -21,19 +21,19 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the perplexity band of their language."""
-    importable(spark)
+    prepare(spark)
     return perplexity.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id."""
-    importable(spark)
+    prepare(spark)
     return jaccard_join.representatives(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut; ``n_chars`` follows the text."""
-    importable(spark)
+    prepare(spark)
     out = chunk_dedup.shorten(docs)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out
@@ -41,13 +41,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by ``benchmark``."""
-    importable(spark)
+    prepare(spark)
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, hashed, and the hash of what they decode to, beside the document's id."""
-    importable(spark)
+    prepare(spark)
     return bpe_codec.digests(docs, ["doc_id"])
 
 
