@@ -337,8 +337,8 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
 
 def shorten(docs: DataFrame, *, text_col: str = "text", **kw) -> DataFrame:
-    """The documents without the repeated strings (bytes of a cut character are dropped from the text)."""
+    """The documents without the repeated strings (what is left of a cut character becomes U+FFFD)."""
     got = dedup(docs, text_col=text_col, **kw)
     cut = F.col("res.n_removed") > 0
-    return got.select(*[F.when(cut, F.decode("res.kept", F.lit("utf-8"))).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text_col else F.col(f"row.`{c}`")
+    return got.select(*[F.when(cut, F.make_valid_utf8(F.col("res.kept").cast("string"))).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text_col else F.col(f"row.`{c}`")
                         for c in docs.columns])

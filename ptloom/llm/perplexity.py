@@ -10,7 +10,8 @@ hashes of its n-grams beside their log-probabilities and back-off weights.
 Languages are scored in blocks whose models hold ``BLOCK_NGRAMS`` n-grams
 together (one language at least).
 
-A document is rejected if its log-perplexity lies outside the band of its
+A document's log-perplexity is the mean over blocks of its characters,
+without the costlier half of the blocks.  It is rejected if that lies outside the band of its
 language: the quartiles, widened by ``BAND`` times their distance (and by
 ``FLOOR`` at least), more for short texts.  Quartiles come from an exact
 histogram over all documents that pass the base rules.
@@ -36,6 +37,8 @@ BLOCK_NGRAMS = 5_200_000
 #: share of the interquartile range that a band reaches beyond the quartiles, its least reach, and the length at which a text gets sqrt(2) of it
 BAND, FLOOR, SHORT = 2.5, 0.03, 500
 BIN = 1000
+#: blocks of characters of which a text's costliest share is left out: quotations, addresses, a passage in another language
+BLOCK, TRIM = 64, 0.5
 
 _SYMBOL_CHARS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
@@ -231,6 +234,21 @@ MEASURES = T.StructType([T.StructField(c, T.LongType(), False) for c in ("n_word
                         + [T.StructField("log_perplexity", T.DoubleType(), False), T.StructField("lang", T.StringType(), False)])
 
 
+def trimmed(cost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Mean cost per character of each text over its blocks of ``BLOCK`` characters, but for the share ``TRIM`` of the costliest."""
+    n = np.diff(bounds)
+    blocks = -(-n // BLOCK)
+    first = np.cumsum(blocks) - blocks
+    own = np.repeat(np.arange(len(n)), blocks)
+    begin = bounds[own] + (np.arange(len(own)) - first[own]) * BLOCK
+    size = np.minimum(BLOCK, bounds[own + 1] - begin)
+    total = np.add.reduceat(cost, begin) if len(begin) else np.zeros(0)
+    order = np.lexsort((total / size, own))
+    keep = np.arange(len(own)) - first[own] < (blocks - (blocks * TRIM).astype(np.int64))[own]
+    kept = order[keep]
+    return np.bincount(own[kept], total[kept], len(n)) / np.maximum(np.bincount(own[kept], size[kept], len(n)), 1)
+
+
 def _measure(shared):
     def fn(texts, extra):
         model = shared.value
@@ -245,8 +263,8 @@ def _measure(shared):
                 key, bounds = grams([part[i] for i in own])
                 seen = np.unique(key) if len(key) < 20_000 else np.flatnonzero(np.bincount(key))
                 dense[seen] = model[lang].log_p(seen)
-                total[own], n[own] = arrays.sum_by(dense[key].astype(np.float64), bounds), np.diff(bounds)
-            got |= {"n_grams": n, "log_perplexity": -total / np.maximum(n, 1)}
+                total[own], n[own] = trimmed(-dense[key].astype(np.float64), bounds), np.diff(bounds)
+            got |= {"n_grams": n, "log_perplexity": total}
             for k, v in got.items():
                 out[k].append(v)
         return {k: np.concatenate(v) for k, v in out.items()} | {"lang": extra["lang"]}
