@@ -51,12 +51,26 @@ def is_strict_json(s: Column) -> Column:
     return strict_json(s)[0]
 
 
+#: the parser gives up on values of more bytes, and on more nested levels, than these
+PARSER_BYTES, PARSER_DEPTH = 1 << 24, 1000
+
+
+def beyond_parser(s: Column) -> Column:
+    """Whether a text that failed to parse is one that the parser may refuse by size or depth,
+    so that nothing is known about it.  The brackets are counted only for texts that could nest so deep."""
+    n = F.octet_length(s)
+    opened = F.char_length(F.regexp_replace(s, r"[^\[{]", ""))
+    return F.when(n > PARSER_BYTES, True).when(n >= PARSER_DEPTH, opened >= PARSER_DEPTH - 1).otherwise(False)
+
+
 def with_strict_json(df: DataFrame, src: str, prefix: str) -> DataFrame:
     """Add ``{prefix}_ok`` (boolean) and ``{prefix}_v`` (variant) columns.
 
     The wrapped parse is materialised in its own projection and referenced
-    twice, so the plan contains a single ``try_parse_json`` per row.
+    twice, so the plan contains a single ``try_parse_json`` per row.  A
+    repeated key is accepted whatever the session says (the setting is made here).
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     tmp = f"__{prefix}_w"
     s = F.col(src)
     keep = [F.col(f"`{c}`") for c in df.columns]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ptloom.operators.joins import checked_broadcast
+from ptloom.session import reliable_checkpoint
 from ptloom.operators.tokens import VOCAB_BROADCAST_ROWS, chars
 
 R6 = lambda c: F.round(c, 6)
@@ -50,6 +51,7 @@ def unigram_cross_entropy(docs: DataFrame, split_col: str, train_value: str, tex
     """
     counts = docs.select(split_col, F.explode(chars(F.col(text_col))).alias("ch")).groupBy(split_col, "ch").agg(
         F.count(F.lit(1)).alias("n"))
+    counts = reliable_checkpoint(counts)  # one row per (split, character): the corpus is read once
     train = counts.where(F.col(split_col) == train_value)
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over the small per-character table
     model = train.select("ch", (-F.log(F.col("n") / total)).alias("nll"))

@@ -17,14 +17,14 @@ from ptloom.functions.hashing import seeded_hash
 
 
 def json_string(c: Column) -> Column:
-    """JSON string literal of a text column (quotes and escapes by to_json)."""
+    """JSON string literal of a text column (quotes and escapes by to_json); null gives JSON null."""
     arr = F.to_json(F.array(c))
-    return F.regexp_extract(arr, r"(?s)^\[(.*)\]$", 1)
+    return F.substring(arr, F.lit(2), F.char_length(arr) - 2)
 
 
 def tool_call_json(tool: Column, args_json: Column) -> Column:
-    """``{"tool": <tool>, "arguments": <args>}`` (P-3) from a JSON arguments text."""
-    return F.concat(F.lit('{"tool":'), json_string(tool), F.lit(',"arguments":'), args_json, F.lit("}"))
+    """``{"tool": <tool>, "arguments": <args>}`` (P-3) from a JSON arguments text; null gives JSON null."""
+    return F.concat(F.lit('{"tool":'), json_string(tool), F.lit(',"arguments":'), F.coalesce(args_json, F.lit("null")), F.lit("}"))
 
 
 def tool_registry(spark: SparkSession) -> DataFrame:
@@ -47,7 +47,7 @@ def wrong_tool_choice(key: Column, tool: Column, tools: list[str] | None = None,
     no join is needed for a registry of fixed size.
     """
     names = F.array(*[F.lit(t) for t in (tools or K.TOOL_NAMES)])
-    others = F.filter(names, lambda t: t != tool)
+    others = F.filter(names, lambda t: ~t.eqNullSafe(tool))
     pick = F.pmod(seeded_hash(key, F.lit("wrong_tool"), seed=seed), F.size(others)) + 1
     return F.when(F.size(others) > 0, F.element_at(others, pick.cast("int")))
 
@@ -58,8 +58,11 @@ def rejected_variants(
     """The six rejected answers of one prompt (P-4 .. P-9) as array<struct<variant,text>>.
 
     1 prose with a seeded number, 2 wrong key names, 3 another tool, 4 prose
-    around the correct JSON, 5 empty arguments, 6 truncated JSON.
+    around the correct JSON, 5 empty arguments, 6 truncated JSON.  Null
+    arguments are JSON null; only variant 3 can be null (no other tool).
     """
+    args_json = F.coalesce(args_json, F.lit("null"))
+    chosen = F.coalesce(chosen, tool_call_json(tool, args_json))
     rnd = F.pmod(seeded_hash(key, F.lit("prose"), seed=seed), K.RANDOM_INT_HIGH - K.RANDOM_INT_LOW + 1) + K.RANDOM_INT_LOW
     prose = F.format_string(K.REJECT_PROSE_TEMPLATE, rnd)
     wrong_key = F.concat(F.lit('{"function":'), json_string(tool), F.lit(',"params":'), args_json, F.lit("}"))
@@ -67,7 +70,7 @@ def rejected_variants(
     wrong_tool = F.when(other.isNotNull(), tool_call_json(other, args_json))
     extra = F.concat(F.lit(K.REJECT_EXTRA_TEXT_PREFIX), chosen, F.lit(K.REJECT_EXTRA_TEXT_SUFFIX))
     empty_args = tool_call_json(tool, F.lit("{}"))
-    truncated = F.concat(F.lit('{"tool": "'), tool, F.lit('", "arguments": {'))
+    truncated = F.concat(F.lit('{"tool": "'), F.coalesce(tool, F.lit("")), F.lit('", "arguments": {'))
     texts = [prose, wrong_key, wrong_tool, extra, empty_args, truncated]
     # named_struct keeps the field names even next to a generator in one projection
     return F.array(*[F.named_struct(F.lit("variant"), F.lit(i + 1), F.lit("text"), t) for i, t in enumerate(texts)])
@@ -83,7 +86,7 @@ def expand_pairs(toolcalls: DataFrame, seed: int = K.SEED) -> DataFrame:
     v = rejected_variants(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"), seed=seed)
     return (
         toolcalls.select("*", F.explode(v).alias("_v"))
-        .where(F.col("_v.text").isNotNull())
+        .where(F.col("_v.text").isNotNull() | (F.col("_v.variant") != 3))
         .select(
             "*",
             F.col("_v.variant").alias("variant"),

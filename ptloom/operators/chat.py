@@ -14,7 +14,7 @@ def turns_to_records(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
 
     A record is one conversation, so the group is the output row itself;
     statistics that do not need the record (validation counts, lengths) are
-    computed on the long form instead (see ``turn_stats``).
+    computed on the long form instead.
     """
     return turns.groupBy(conv_col).agg(
         F.sort_array(F.collect_list(F.struct(turn_col, role_col, text_col))).alias("_t")

@@ -63,15 +63,23 @@ def exact_arguments(df: DataFrame, expected_args_col: str = "expected_arguments"
 
 def model_summary(scored: DataFrame, model_col: str = "model") -> DataFrame:
     """A-6 .. A-9, A-28: mean score (3 digits), pass rates, overall accuracy,
-    answered rate and mean output length per model."""
+    answered rate and mean output length per model.
+
+    ``args_acc`` is the share whose arguments equal the expected ones and
+    ``overall_acc`` that of valid JSON, right tool and right arguments; both
+    are null without ``args_exact`` (see ``exact_arguments``).
+    ``has_args_rate`` is the share of non-empty arguments.
+    """
+    exact = F.col("args_exact") if "args_exact" in scored.columns else F.lit(None).cast("boolean")
     rate = lambda c: F.round(F.avg(c.cast("double")), 6)
     return scored.groupBy(model_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.round(F.avg("score"), K.MEAN_SCORE_DIGITS).alias("mean_score"),
         rate(F.col("is_valid_json")).alias("format_acc"),
         rate(F.col("tool_correct")).alias("tool_acc"),
-        rate(F.col("has_arguments")).alias("args_acc"),
-        rate(F.col("is_valid_json") & F.col("tool_correct") & F.col("has_arguments")).alias("overall_acc"),
+        rate(F.col("has_arguments")).alias("has_args_rate"),
+        rate(exact).alias("args_acc"),
+        rate(exact & F.col("is_valid_json") & F.col("tool_correct")).alias("overall_acc"),
         rate(strip_ws(F.col("output")) != "").alias("answer_rate"),
         F.round(F.avg(F.char_length("output")), 6).alias("mean_len"),
     )
@@ -90,14 +98,20 @@ def tick(flag: Column) -> Column:
 def compare_models(scored: DataFrame, a: str, b: str, key_col: str = "prompt_id", model_col: str = "model",
                    extra_cols: list[str] | None = None) -> DataFrame:
     """J-2 / A-10 / SRC-13 detail: one row per prompt with both models' flags and
-    scores (pivot on the model, one shuffle on the prompt key).  ``extra_cols``
-    are per-prompt attributes carried along (e.g. the prompt text)."""
-    cols = ["is_valid_json", "has_tool_key", "tool_correct", "has_arguments", "score"]
+    scores, outputs and answered flags (pivot on the model, one shuffle on the
+    prompt key).  ``extra_cols`` are per-prompt attributes carried along (e.g.
+    the prompt text).  A model with several outputs for a prompt shows the
+    best-scored one (ties: least text), and ``{model}_n_outputs`` counts them."""
+    cols = ["is_valid_json", "has_tool_key", "tool_correct", "has_arguments", "score", "output", "answered"]
     extra = list(extra_cols or [])
-    p = scored.groupBy(key_col, *extra).pivot(model_col, [a, b]).agg(*[F.first(c).alias(c) for c in cols])
+    d = scored.withColumn("answered", F.coalesce(strip_ws(F.col("output")) != "", F.lit(False)))
+    best = F.min_by(F.struct(*cols), F.struct(-F.col("score"), "output"))
+    p = d.groupBy(key_col, *extra).pivot(model_col, [a, b]).agg(best.alias("best"), F.count(F.lit(1)).alias("n_outputs"))
+    p = p.select(key_col, *extra, *[F.col(f"{m}_best.{c}").alias(f"{m}_{c}") for m in (a, b) for c in cols],
+                 *[F.coalesce(f"{m}_n_outputs", F.lit(0)).cast("bigint").alias(f"{m}_n_outputs") for m in (a, b)])
     out = p.select(
         key_col, *extra,
-        *[F.col(f"{m}_{c}") for m in (a, b) for c in cols],
+        *[F.col(f"{m}_{c}") for m in (a, b) for c in [*cols, "n_outputs"]],
         (F.col(f"{b}_score") - F.col(f"{a}_score")).alias("_d"),
     )
     return out.withColumn("diff_tenths", F.round(F.col("_d") * 10).cast("bigint")).withColumn(

@@ -28,6 +28,15 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``cols`` in which null equals null; the key columns come from ``left``."""
+    r = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & left[c].eqNullSafe(r[f"_r_{c}"])
+    return left.join(r, on, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def running_aggregate(
     df: DataFrame,
     group_cols: list[str],
@@ -41,7 +50,7 @@ def running_aggregate(
     """Running ``count`` / ``sum`` / ``min`` / ``max`` of ``value_col`` inside each group.
 
     ``order_cols`` must give a total order inside a group for the result to
-    be deterministic.  ``how='count'`` with ``inclusive=True`` is
+    be deterministic.  A null group key is a group like any other.  ``how='count'`` with ``inclusive=True`` is
     ``row_number()``.  ``inclusive=False`` gives the aggregate over the rows
     strictly before (null for the first row of a group with min/max).
     """
@@ -61,13 +70,14 @@ def running_aggregate(
     part_tot = ranged.groupBy("_pid", *group_cols).agg(agg_fn("_val").alias("_ptot"), F.min("_mid").alias("_mmin"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part_tot.withColumn("_off", agg_fn("_ptot").over(before)).drop("_ptot")
+    # the caller's names are kept; the size check decides between broadcast and shuffle
     offsets = checked_broadcast(offsets)
     if how == "count":
         # rows of a group are contiguous inside a range partition and the ids are
         # consecutive there, so the local position is arithmetic: no second shuffle
         local = F.col("_mid") - F.col("_mmin") + (1 if inclusive else 0)
         res = (F.coalesce(F.col("_off"), F.lit(0)) + local).cast("bigint")
-        joined = ranged.join(offsets, ["_pid", *group_cols], "left")
+        joined = join_null_safe(ranged, offsets, ["_pid", *group_cols])
         return joined.withColumn(out_col, res).drop("_val", "_pid", "_mid", "_off", "_mmin")
     offsets = offsets.drop("_mmin")
     frame_end = Window.currentRow if inclusive else -1
@@ -76,7 +86,7 @@ def running_aggregate(
         .orderBy("_mid")
         .rowsBetween(Window.unboundedPreceding, frame_end)
     )
-    joined = ranged.join(offsets, ["_pid", *group_cols], "left").withColumn("_loc", agg_fn("_val").over(local_w))
+    joined = join_null_safe(ranged, offsets, ["_pid", *group_cols]).withColumn("_loc", agg_fn("_val").over(local_w))
     if how in ("count", "sum"):
         res = F.coalesce(F.col("_loc"), F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0))
         if how == "count":

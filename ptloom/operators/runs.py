@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ptloom.functions.hashing import seeded_hash
 from ptloom.operators.joins import checked_broadcast
-from ptloom.operators.ordered import running_aggregate, row_number_in_group
+from ptloom.operators.ordered import join_null_safe, running_aggregate, row_number_in_group
 
 R6 = lambda c: F.round(c, 6)
 
@@ -92,7 +92,7 @@ def loss_deltas(rl: DataFrame) -> DataFrame:
     it) and the new-best flag (skew-safe running minimum of earlier points)."""
     o = row_number_in_group(rl.select("run_id", "split", "step", "loss"), ["run_id", "split"], ["step"], out_col="ord")
     prev = o.select("run_id", "split", (F.col("ord") + 1).alias("ord"), F.col("loss").alias("prev_loss"))
-    j = o.join(prev, ["run_id", "split", "ord"], "left")
+    j = join_null_safe(o, prev, ["run_id", "split", "ord"])
     best = running_aggregate(j, ["run_id", "split"], ["ord"], value_col="loss", how="min", out_col="best_before",
                              inclusive=False)
     return best.select(
@@ -106,7 +106,7 @@ def overfit_flags(deltas: DataFrame) -> DataFrame:
     """W-6: align the i-th train and val point of a run; flag train falling while val rises."""
     t = deltas.where(F.col("split") == "train").select("run_id", "ord", F.col("delta").alias("d_train"))
     v = deltas.where(F.col("split") == "val").select("run_id", "ord", F.col("delta").alias("d_val"))
-    j = t.join(v, ["run_id", "ord"])
+    j = join_null_safe(t, v, ["run_id", "ord"], "inner")
     return j.groupBy("run_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_aligned"),
         F.sum(F.when((F.col("d_train") < 0) & (F.col("d_val") > 0), 1).otherwise(0)).cast("bigint").alias("n_overfit"),

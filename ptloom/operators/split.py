@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 
 from ptloom import constants as K
 from ptloom.functions.hashing import ratio_threshold_hex, seeded_hex
-from ptloom.operators.ordered import running_aggregate, row_number_in_group
+from ptloom.operators.ordered import join_null_safe, running_aggregate, row_number_in_group
 from ptloom.session import reliable_checkpoint
 
-_HIST_LIMIT = 1 << 16  # each histogram has at most 65,536 rows (4 hex digits)
-
 
 def seeded_order_key(key_col: str, seed: int = K.SEED) -> F.Column:
     return seeded_hex(F.col(key_col).cast("string"), seed=seed)
@@ -86,47 +84,43 @@ def exact_split(df: DataFrame, key_col: str, ratio: float, rounding: str = "half
         keys = narrow.where(F.substring("_m", 1, 8) == b8).groupBy("_m", key_col).count().collect()
     finally:
         narrow.unpersist()
-    keys = sorted((r[0], r[1], r[2]) for r in keys)
+    # null keys come first inside a hash, as everywhere below
+    keys = sorted(((r[0], r[1], r[2]) for r in keys), key=lambda x: (x[0], x[1] is not None, x[1] if x[1] is not None else 0))
     m_star, key_star, before = None, None, 0
     for m, key, cnt in keys:
         if before + cnt >= need2:
             m_star, key_star, need_tie, tie_size = m, key, need2 - before, cnt
             break
         before += cnt
-    lt = (F.col("_m") < F.lit(m_star)) | ((F.col("_m") == F.lit(m_star)) & (F.col(key_col) < F.lit(key_star)))
-    is_tie = (F.col("_m") == F.lit(m_star)) & (F.col(key_col) == F.lit(key_star))
+    key = F.col(key_col)
+    below = F.lit(False) if key_star is None else F.coalesce(key < F.lit(key_star), F.lit(True))
+    lt = (F.col("_m") < F.lit(m_star)) | ((F.col("_m") == F.lit(m_star)) & below)
+    is_tie = (F.col("_m") == F.lit(m_star)) & key.eqNullSafe(F.lit(key_star))
+    if need_tie >= tie_size:  # always so for unique keys: one narrow pass
+        return d.withColumn(out_col, F.when(lt | is_tie, "val").otherwise("train")).drop("_m")
     rest = d.where(~is_tie).withColumn(out_col, F.when(lt, "val").otherwise("train"))
-    tie = d.where(is_tie)
-    if need_tie >= tie_size:
-        tie = tie.withColumn(out_col, F.lit("val"))
-    else:
-        salted = reliable_checkpoint(tie).withColumn("_salt", F.monotonically_increasing_id())
-        tie = row_number_in_group(salted, [], ["_salt"], out_col="_rn").withColumn(
-            out_col, F.when(F.col("_rn") <= need_tie, "val").otherwise("train")
-        ).drop("_salt", "_rn")
+    salted = reliable_checkpoint(d.where(is_tie)).withColumn("_salt", F.monotonically_increasing_id())
+    tie = row_number_in_group(salted, [], ["_salt"], out_col="_rn").withColumn(
+        out_col, F.when(F.col("_rn") <= need_tie, "val").otherwise("train")
+    ).drop("_salt", "_rn")
     return rest.unionByName(tie).drop("_m")
 
 
 def split_check(split_df: DataFrame, input_df: DataFrame, key_col: str, split_col: str = "split") -> DataFrame:
-    """J-6 / U-4: sizes, key overlap between sides (intersect) and rows lost or
-    invented (exceptAll both ways) — a partition gives overlap 0, lost 0, extra 0."""
-    # the split is read five times below: materialise its two narrow columns once
-    split_df = reliable_checkpoint(split_df.select(key_col, split_col))
-    tr = split_df.where(F.col(split_col) == "train").select(key_col)
-    va = split_df.where(F.col(split_col) == "val").select(key_col)
-    inp = input_df.select(key_col)
-    out = split_df.select(key_col)
-
-    def metric(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit(name).alias("metric"), "value")
-
-    return (
-        metric("n_train", tr)
-        .unionByName(metric("n_val", va))
-        .unionByName(metric("n_overlap_keys", tr.intersect(va)))
-        .unionByName(metric("n_lost", inp.exceptAll(out)))
-        .unionByName(metric("n_extra", out.exceptAll(inp)))
-    )
+    """J-6 / U-4: sizes, keys on both sides, and rows lost or invented, as
+    (metric, value) — a partition gives overlap 0, lost 0, extra 0.
+
+    One group-by of the key counts its rows in the input and on each side
+    (multiset semantics; null is a key)."""
+    side = F.col(split_col)
+    both = input_df.select(F.col(key_col).alias("k"), F.lit(1).alias("i"), F.lit(0).alias("t"), F.lit(0).alias("v"), F.lit(0).alias("o")).unionByName(
+        split_df.select(F.col(key_col).alias("k"), F.lit(0).alias("i"), F.coalesce((side == "train").cast("int"), F.lit(0)).alias("t"),
+                        F.coalesce((side == "val").cast("int"), F.lit(0)).alias("v"), F.lit(1).alias("o")))
+    n = both.groupBy("k").agg(*[F.sum(c).alias(c) for c in "itvo"])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    m = n.agg(total("t").alias("n_train"), total("v").alias("n_val"), total(((F.col("t") > 0) & (F.col("v") > 0)).cast("int")).alias("n_overlap_keys"),
+              total(F.greatest(F.col("i") - F.col("o"), F.lit(0))).alias("n_lost"), total(F.greatest(F.col("o") - F.col("i"), F.lit(0))).alias("n_extra"))
+    return m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in m.columns])).alias("x")).select("x.*")
 
 
 def contiguous_split(df: DataFrame, group_col: str, order_col: str, length_col: str,
@@ -142,17 +136,12 @@ def contiguous_split(df: DataFrame, group_col: str, order_col: str, length_col:
     totals = df.groupBy(group_col).agg(F.sum(length_col).alias("_total"))
     from ptloom.operators.joins import checked_broadcast
 
-    j = cum.join(checked_broadcast(totals), group_col)
+    j = join_null_safe(cum, checked_broadcast(totals), [group_col], "inner")
     return j.withColumn(
         out_col, F.when(F.col("_before") < F.lit(ratio) * F.col("_total"), "train").otherwise("val")
     ).drop("_before", "_total")
 
 
-def group_safe_ratio_check(split_df: DataFrame, group_col: str, split_col: str = "split") -> DataFrame:
-    """Keys that appear on both sides (must be empty for L-5)."""
-    return split_df.groupBy(group_col).agg(F.countDistinct(split_col).alias("n_sides")).where(F.col("n_sides") > 1)
-
-
 __all__ = [
     "hash_split", "seeded_shuffle", "head", "val_count", "exact_split", "split_check", "contiguous_split",
 ]

@@ -115,17 +115,31 @@ def next_token_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def blocks(docs: DataFrame, block_size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """W-3: fixed-size context blocks per document with the shifted targets.
 
-    Empty documents are dropped first (``sequence(0, -1, k)`` would fail).
+    The text is cut once, in one pass over it; a block's targets are its own
+    characters from the second on and the first of the next block.  Empty
+    documents have no blocks.
     """
-    n = F.char_length(text_col)
-    d = docs.where(n > 0).select(id_col, text_col, F.explode(F.sequence(F.lit(0), n - 1, F.lit(block_size))).alias("start"))
-    return d.select(
-        id_col,
-        (F.col("start") / block_size).cast("bigint").alias("block_no"),
-        F.least(F.lit(block_size), F.char_length(text_col) - F.col("start")).cast("bigint").alias("n_tokens"),
-        F.substring(F.col(text_col), F.col("start") + 1, F.lit(block_size)).alias("input_text"),
-        F.substring(F.col(text_col), F.col("start") + 2, F.lit(block_size)).alias("target_text"),
-    )
+    d = docs.select(id_col, F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{int(block_size)}}}"), F.lit(0)).alias("b"))
+    shifted = F.transform("b", lambda x, i: F.concat(F.substring(x, 2, block_size), F.coalesce(F.substring(F.get("b", i + 1), 1, 1), F.lit(""))))
+    d = d.select(id_col, F.posexplode(F.arrays_zip(F.col("b").alias("x"), shifted.alias("y"))).alias("i", "p"))
+    return d.select(id_col, F.col("i").cast("bigint").alias("block_no"), F.char_length("p.x").cast("bigint").alias("n_tokens"),
+                    F.col("p.x").alias("input_text"), F.col("p.y").alias("target_text"))
+
+
+def pack(docs: DataFrame, size: int, bucket_col: str, order_col: str, length_col: str) -> DataFrame:
+    """L-11: concat-and-chunk packing, a row (bucket, pack_id, order column, start, end) for
+    each pack that a document touches; ``start`` and ``end`` are token places in the document.
+
+    The running sum is skew-safe; documents without tokens touch no pack.
+    """
+    from ptloom.operators.ordered import running_aggregate
+
+    c = running_aggregate(docs.where(F.col(length_col) > 0), [bucket_col], [order_col], value_col=length_col, how="sum", out_col="_before", inclusive=False)
+    first, last = F.floor(F.col("_before") / size), F.floor((F.col("_before") + F.col(length_col) - 1) / size)
+    c = c.select(bucket_col, order_col, length_col, "_before", F.explode(F.sequence(first, last)).alias("pack_id"))
+    return c.select(bucket_col, "pack_id", order_col,
+                    F.greatest(F.col("pack_id") * size - F.col("_before"), F.lit(0)).cast("bigint").alias("start"),
+                    F.least((F.col("pack_id") + 1) * size - F.col("_before"), F.col(length_col)).cast("bigint").alias("end"))
 
 
 def code_points(text: Column) -> Column:

@@ -218,14 +218,15 @@ def sft_records_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reward_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P-13: verifiable-reward records derived from SFT calculator records."""
+    """P-13: verifiable-reward records derived from the SFT records of both tasks."""
     t = Tables(spark, sf_dir)
     o = t.orders
     factor = F.pmod(F.col("o_orderkey"), F.lit(97)) + 2
     expr = F.concat(F.col("o_custkey").cast("string"), F.lit(" * "), factor.cast("string"))
     sft = o.select(build.sft_calculator_record(F.col("o_orderkey"), expr,
-                                               (F.col("o_custkey") * factor).cast("string")).alias("r")).select("r.*")
-    return build.reward_record(sft)
+                                               (F.col("o_custkey") * factor).cast("string")).alias("r"))
+    js = t.events.select(build.sft_json_validator_record(F.col("event_id"), F.col("props")).alias("r"))
+    return build.reward_record(sft.unionByName(js).select("r.*"))
 
 
 # --------------------------------------------------------------------- splits
@@ -312,10 +313,10 @@ def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_compare_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-2, A-10, SRC-13 detail: per prompt, base vs tuned flags and scores."""
+    """J-2, A-10, SRC-13 detail: per prompt, base vs tuned flags, scores, outputs and answered flags."""
     from ptloom.operators import evaluate as ev
 
-    return ev.compare_models(_scored(spark, sf_dir), "base", "tuned")
+    return ev.compare_models(_scored(spark, sf_dir), "base", "tuned", extra_cols=["prompt", "expected_tool"])
 
 
 @query
@@ -342,14 +343,14 @@ def win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def improved_regressed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A-24: the prompts whose score changed, with the size of the change."""
+    """A-24: the prompts whose score changed, largest change first."""
     from ptloom.operators import evaluate as ev
 
     c = ev.compare_models(_scored(spark, sf_dir), "base", "tuned", extra_cols=["prompt"])
     return c.where(F.col("diff_tenths") != 0).select(
         "prompt_id", F.substring("prompt", 1, 50).alias("prompt_preview"),  # FN-16 display prefix
         "diff_tenths", F.when(F.col("diff_tenths") > 0, "improved").otherwise("regressed").alias("kind")
-    )
+    ).orderBy(F.abs("diff_tenths").desc(), "prompt_id")
 
 
 @query
@@ -425,6 +426,7 @@ def output_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg("repetition"), 6).alias("mean_repetition"),
         F.round(F.avg(F.char_length("output")), 6).alias("mean_len"),
         F.sum("n_line_breaks").cast("bigint").alias("n_line_breaks"),
+        F.sum("n_speaker_lines").cast("bigint").alias("n_speaker_lines"),
         F.round(F.avg("punct_share"), 6).alias("mean_punct_share"),
     )
     return per_model.join(shares, "model", "left")
@@ -596,20 +598,20 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L-11: concat-and-chunk packing — running token sum inside 8 hash buckets,
-    pack id = floor(tokens before / 4096)."""
+    """L-11: concat-and-chunk packing in 8 hash buckets: every pack of 4096 tokens with
+    the documents it touches, those that start in it and its tokens (all packs are
+    full but the last of a bucket)."""
     from ptloom.functions.hashing import seeded_hash
-    from ptloom.operators.ordered import running_aggregate
+    from ptloom.operators import tokens
 
     d = Tables(spark, sf_dir).documents.select(
         "doc_id", F.pmod(seeded_hash(F.col("doc_id").cast("string")), F.lit(8)).alias("bucket"),
         F.col("n_chars").alias("n_tok"),
     )
-    c = running_aggregate(d, ["bucket"], ["doc_id"], value_col="n_tok", how="sum", out_col="before", inclusive=False)
-    c = c.withColumn("pack_id", F.floor(F.col("before") / 4096).cast("bigint"))
-    return c.groupBy("bucket", "pack_id").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_docs_starting"),
-        F.sum("n_tok").cast("bigint").alias("n_tokens_starting"),
+    return tokens.pack(d, 4096, "bucket", "doc_id", "n_tok").groupBy("bucket", "pack_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+        F.sum((F.col("start") == 0).cast("int")).cast("bigint").alias("n_docs_starting"),
+        F.sum(F.col("end") - F.col("start")).cast("bigint").alias("n_tokens"),
     )
 
 

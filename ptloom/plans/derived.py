@@ -15,7 +15,7 @@ from ptloom import constants as K
 from ptloom.functions.hashing import hex8_to_long, ratio_threshold_hex, seeded_hash, seeded_hex
 from ptloom.operators import build
 from ptloom.operators.ordered import row_number_in_group
-from ptloom.sources.tables import Tables, spread
+from ptloom.sources.tables import Tables
 
 TOOLCALL_COLS = ["key", "prompt", "tool", "arguments_json", "answer"]
 
@@ -91,14 +91,9 @@ def chat(t: Tables) -> DataFrame:
     The only shuffle is the group by ``conv_id``; the record *is* the group,
     so its size is that of one conversation.
     """
-    conv = t.conversations
-    recs = conv.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_t")
-    ).select(
-        "conv_id",
-        F.transform("_t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages"),
-    )
-    return spread(recs)
+    from ptloom.operators.chat import turns_to_records
+
+    return turns_to_records(t.conversations)
 
 
 # damage kinds of raw chat lines, by pmod(seeded hash, 13)

@@ -388,7 +388,11 @@ ORACLE["reward_records"] = f"""
 SELECT printf('sft_calc_%03d', o_orderkey) AS id, 'Use a tool to calculate: ' || {CALC_EXPR} AS prompt,
        'calculator' AS expected_tool, json_object('expression', {CALC_EXPR})::VARCHAR AS expected_arguments,
        CAST(o_custkey * (o_orderkey % 97 + 2) AS VARCHAR) AS answer
-FROM orders"""
+FROM orders
+UNION ALL
+SELECT printf('sft_json_%03d', event_id), 'Validate whether this text is JSON: ' || props, 'json_validator',
+       json_object('text', props)::VARCHAR, NULL
+FROM events"""
 
 # --------------------------------------------------------------------- splits
 ORACLE["hash_split_pairs"] = PAIR_CTES + f"""
@@ -442,7 +446,7 @@ outputs AS (
 
 def scored_sql(src: str = "outputs") -> str:
     return f"""
-scored AS (
+scored AS MATERIALIZED (
   SELECT *, CAST(4 * is_valid_json::INT + 2 * has_tool_key::INT + 3 * tool_correct::INT + has_arguments::INT AS DOUBLE) / 10 AS score,
          coalesce(args_j::VARCHAR = json(expected_arguments)::VARCHAR, false) AS args_exact
   FROM (
@@ -464,15 +468,17 @@ SELECT model, prompt_id, is_valid_json, has_tool_key, tool_correct, has_argument
 MODEL_SUMMARY = f"""
 SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg(score), 3) AS mean_score,
        round(avg(is_valid_json::INT), 6) AS format_acc, round(avg(tool_correct::INT), 6) AS tool_acc,
-       round(avg(has_arguments::INT), 6) AS args_acc,
-       round(avg((is_valid_json AND tool_correct AND has_arguments)::INT), 6) AS overall_acc,
+       round(avg(has_arguments::INT), 6) AS has_args_rate, round(avg(args_exact::INT), 6) AS args_acc,
+       round(avg((is_valid_json AND tool_correct AND args_exact)::INT), 6) AS overall_acc,
        round(avg(({STRIP('output')} <> '')::INT), 6) AS answer_rate, round(avg(length(output)), 6) AS mean_len
 FROM scored GROUP BY model"""
 ORACLE["model_summary"] = EVAL_CTES + MODEL_SUMMARY
 
 COMPARE = """
 , cmp AS (
-  SELECT a.prompt_id,
+  SELECT a.prompt_id, a.prompt, a.expected_tool, a.output AS base_output, b.output AS tuned_output,
+         regexp_replace(a.output, '\\s', '', 'g') <> '' AS base_answered, regexp_replace(b.output, '\\s', '', 'g') <> '' AS tuned_answered,
+         CAST(1 AS BIGINT) AS base_n_outputs, CAST(1 AS BIGINT) AS tuned_n_outputs,
          a.is_valid_json AS base_is_valid_json, a.has_tool_key AS base_has_tool_key, a.tool_correct AS base_tool_correct,
          a.has_arguments AS base_has_arguments, a.score AS base_score,
          b.is_valid_json AS tuned_is_valid_json, b.has_tool_key AS tuned_has_tool_key, b.tool_correct AS tuned_tool_correct,
@@ -537,6 +543,7 @@ ORACLE["output_text_stats"] = with_ctes(TOOLCALLS, VARIANTS, OUTPUTS) + """
          round(avg(CASE WHEN len(grams) > 0 THEN 1 - len(list_distinct(grams)) / len(grams) ELSE 0.0 END), 6) AS mean_repetition,
          round(avg(length(output)), 6) AS mean_len,
          CAST(sum(length(output) - length(replace(output, chr(10), ''))) AS BIGINT) AS n_line_breaks,
+         CAST(sum(len(regexp_extract_all(chr(10) || output, '\\n[A-Z][A-Za-z]*:'))) AS BIGINT) AS n_speaker_lines,
          round(avg(CASE WHEN length(output) > 0 THEN length(regexp_replace(output, '[^[:punct:]]', '', 'g')) / length(output) ELSE 0.0 END), 6) AS mean_punct_share
   FROM g GROUP BY model)
 , corpus AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS w FROM documents) WHERE w <> '')
@@ -623,10 +630,13 @@ SELECT CAST(count(*) AS BIGINT) AS n_samples, CAST(8 AS BIGINT) AS effective_bat
 
 ORACLE["packing"] = f"""
 WITH d AS (SELECT doc_id, {H('doc_id')} % 8 AS bucket, n_chars AS n_tok FROM documents),
-c AS (SELECT *, coalesce(sum(n_tok) OVER (PARTITION BY bucket ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
-SELECT bucket, CAST(floor(before / 4096) AS BIGINT) AS pack_id, CAST(count(*) AS BIGINT) AS n_docs_starting,
-       CAST(sum(n_tok) AS BIGINT) AS n_tokens_starting
-FROM c GROUP BY 1, 2"""
+c AS (SELECT *, coalesce(sum(n_tok) OVER (PARTITION BY bucket ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+p AS (
+  SELECT *, unnest(range(CAST(floor(before / 4096) AS BIGINT), CAST(floor((before + n_tok - 1) / 4096) AS BIGINT) + 1)) AS pack_id FROM c WHERE n_tok > 0)
+SELECT bucket, pack_id, CAST(count(*) AS BIGINT) AS n_docs,
+       CAST(count(*) FILTER (WHERE pack_id = CAST(floor(before / 4096) AS BIGINT)) AS BIGINT) AS n_docs_starting,
+       CAST(sum(least(before + n_tok, (pack_id + 1) * 4096) - greatest(before, pack_id * 4096)) AS BIGINT) AS n_tokens
+FROM p GROUP BY 1, 2"""
 
 # ----------------------------------------------------------------------- runs
 RUNLOG = """

@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PTLOOM_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ptloom.scanPartitions", os.environ.get("PTLOOM_SCAN_PARTITIONS", "8"))
         .getOrCreate()
     )
     for k, v in RECOMMENDED_SQL_CONF.items():
@@ -43,18 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only an unconfigured (test / local) session gets a fresh scratch
-    folder.
+    as is.  Only an unconfigured local session gets a fresh scratch folder; on
+    a cluster an unset folder is an error, since a driver-local path is not
+    shared with the executors.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server's checkpoint setting applies
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="ptloom-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -21,25 +21,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 DIMENSIONS = {"region", "nation", "supplier"}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work at least one partition per core.
+#: partitions that a session asks table scans to be dealt into (unset: as the file splits give)
+SCAN_PARTITIONS = "spark.ptloom.scanPartitions"
 
-    A small file (one row group) scans as a single partition, so the parsing
-    and validation after it would run in one task.  Below the cluster's
-    default parallelism the rows are dealt round-robin; at scale (thousands
-    of input splits) this is a no-op and adds no shuffle.
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt round-robin into as many partitions as the session asks for, as scanned otherwise.
+
+    For local runs on tables of one row group, where a scan is one task.  The
+    number is a setting; nothing is executed or inspected to find it.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        pass
-    return df
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, dir).orders`` is a DataFrame (spread over the cores)."""
+    """Lazy accessor: ``Tables(spark, dir).orders`` is a DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -48,5 +45,5 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             df = read_table(self.spark, self.sf_dir, name)
-            return df if name in DIMENSIONS else spread(df)
+            return df if name in DIMENSIONS else dealt(df)
         raise AttributeError(name)

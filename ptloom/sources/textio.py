@@ -17,15 +17,23 @@ from pyspark.sql.types import StructType
 from ptloom.session import ensure_checkpoint_dir
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """SRC-1 / SRC-5 / SRC-8: one row per line (``value``) with its ``file`` name.
-
-    Several files are one scan (U-5); the file name comes from the hidden
-    ``_metadata`` column, so grouping by file needs no extra pass.
+def read_lines(spark: SparkSession, paths: str | list[str], line_numbers: bool = False) -> DataFrame:
+    """SRC-1 / SRC-5 / SRC-8: one row per line (``value``) with its ``file`` (full path) and
+    ``line_key`` (sha2 of path and text), so that a bad line can be named.
+
+    Several files are one scan (U-5); the path comes from the hidden
+    ``_metadata`` column, so files of one name in two folders stay apart.
+    ``line_numbers`` adds the 1-based ``line_no`` in the file, by a skew-safe
+    numbering of splits in file order (a shuffle of the lines).
     """
     ps = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.text(ps)
-    return df.select("value", F.col("_metadata.file_name").alias("file"))
+    df = spark.read.text(ps).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"))
+    df = df.withColumn("line_key", F.sha2(F.concat_ws("\n", "file", "value"), 256))
+    if line_numbers:
+        from ptloom.operators.ordered import row_number_in_group
+
+        df = row_number_in_group(df.withColumn("_at", F.monotonically_increasing_id()), ["file"], ["_start", "_at"], out_col="line_no").drop("_at")
+    return df.drop("_start")
 
 
 def read_jsonl_typed(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:

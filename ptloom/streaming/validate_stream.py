@@ -3,9 +3,10 @@
 The reference reads its files line by line; every validation rule is a
 stateless projection, so the same column expressions run on
 ``readStream.text``.  Each micro-batch is split into clean records and a
-quarantine (with the error array) and appended to two Parquet folders; a
-per-batch summary row goes to a third.  The checkpoint location makes the
-query restartable with exactly-once file output.
+quarantine (with the error array) in two Parquet tables, and a per-batch
+summary in a third, each with a partition folder per epoch.  A batch that is
+replayed after a failure overwrites its own epoch's folders, so it is not
+counted twice.
 """
 
 from __future__ import annotations
@@ -17,11 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 from ptloom.operators import validate
 
 
+def _put(df: DataFrame, folder: str, epoch_id: int) -> None:
+    """Write one epoch's rows; a replay of the epoch replaces them."""
+    df.drop("epoch").write.mode("overwrite").parquet(f"{folder}/epoch={epoch_id}")
+
+
 def chat_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
-    """Streaming source of raw lines with their file name."""
+    """Streaming source of raw lines with the path of their file."""
     return (
         spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir)
-        .select("value", F.col("_metadata.file_name").alias("file"))
+        .select("value", F.col("_metadata.file_path").alias("file"))
     )
 
 
@@ -31,10 +37,13 @@ def start_chat_validation(spark: SparkSession, input_dir: str, output_dir: str,
     checked = validate.validate_chat(chat_stream(spark, input_dir), require_assistant=require_assistant)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.withColumn("epoch", F.lit(epoch_id))
-        b.where(F.col("ok")).drop("errors").write.mode("append").parquet(f"{output_dir}/clean")
-        b.where(~F.col("ok")).write.mode("append").parquet(f"{output_dir}/quarantine")
-        validate.chat_summary(b, ["epoch"]).write.mode("append").parquet(f"{output_dir}/summary")
+        b = batch.persist()
+        try:
+            _put(b.where(F.col("ok")).drop("errors"), f"{output_dir}/clean", epoch_id)
+            _put(b.where(~F.col("ok")), f"{output_dir}/quarantine", epoch_id)
+            _put(validate.chat_summary(b), f"{output_dir}/summary", epoch_id)
+        finally:
+            b.unpersist()
 
     w = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -49,13 +58,14 @@ def start_preference_validation(spark: SparkSession, input_dir: str, output_dir:
     checked = validate.validate_preference(chat_stream(spark, input_dir), strict_roles=strict_roles)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.withColumn("epoch", F.lit(epoch_id))
-        b.where(F.col("ok")).drop("errors").write.mode("append").parquet(f"{output_dir}/clean")
-        b.where(~F.col("ok")).write.mode("append").parquet(f"{output_dir}/quarantine")
-        validate.preference_file_summary(b).withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(
-            f"{output_dir}/summary")
-        b.where(F.col("rejected_type").isNotNull()).groupBy("epoch", "file", "rejected_type").count().write.mode(
-            "append").parquet(f"{output_dir}/rejected_types")
+        b = batch.persist()
+        try:
+            _put(b.where(F.col("ok")).drop("errors"), f"{output_dir}/clean", epoch_id)
+            _put(b.where(~F.col("ok")), f"{output_dir}/quarantine", epoch_id)
+            _put(validate.preference_file_summary(b), f"{output_dir}/summary", epoch_id)
+            _put(b.where(F.col("rejected_type").isNotNull()).groupBy("file", "rejected_type").count(), f"{output_dir}/rejected_types", epoch_id)
+        finally:
+            b.unpersist()
 
     w = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -24,7 +24,7 @@ def test_multi_file_scan_keeps_file_names(spark):
         with open(os.path.join(d, name), "w") as f:
             f.write("\n".join(lines) + "\n")
     df = textio.read_lines(spark, [os.path.join(d, "a.jsonl"), os.path.join(d, "b.jsonl")])
-    got = sorted((r.file, r.value) for r in df.collect())
+    got = sorted((os.path.basename(r.file), r.value) for r in df.collect())
     assert got == [("a.jsonl", ""), ("a.jsonl", '{"x":1}'), ("b.jsonl", '{"x":2}')]
 
 

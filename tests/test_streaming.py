@@ -35,7 +35,7 @@ def test_stream_preference_summary(spark):
         f.write(json.dumps(rec) + "\n")
     q = start_preference_validation(spark, inp, os.path.join(base, "out"), os.path.join(base, "ckpt"))
     q.awaitTermination(120)
-    s = {r.file: (r.n_examples, r.n_errors) for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
+    s = {os.path.basename(r.file): (r.n_examples, r.n_errors) for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
     assert s == {"train.jsonl": (2, 1), "val.jsonl": (1, 0)}
     t = spark.read.parquet(os.path.join(base, "out", "rejected_types")).collect()
     assert sorted((r.file, r.rejected_type, r["count"]) for r in t) == [
