@@ -38,5 +38,5 @@ def test_stream_preference_summary(spark):
     s = {os.path.basename(r.file): (r.n_examples, r.n_errors) for r in spark.read.parquet(os.path.join(base, "out", "summary")).collect()}
     assert s == {"train.jsonl": (2, 1), "val.jsonl": (1, 0)}
     t = spark.read.parquet(os.path.join(base, "out", "rejected_types")).collect()
-    assert sorted((r.file, r.rejected_type, r["count"]) for r in t) == [
+    assert sorted((os.path.basename(r.file), r.rejected_type, r["count"]) for r in t) == [
         ("train.jsonl", "empty_arguments", 1), ("val.jsonl", "empty_arguments", 1)]
