@@ -251,6 +251,7 @@ def lists(texts: DataFrame, counts: np.ndarray, b: int) -> DataFrame:
                     yield from send()
                     size = 0
         yield from send()
+        pa.default_memory_pool().release_unused()
 
     def meet(t):
         led = rows.joined(t.column("led").to_pylist(), np.uint8)

@@ -206,9 +206,10 @@ def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
                 if lang not in held and len(held) >= 8:
                     yield from given()
                 total = held.setdefault(lang, np.zeros(NGRAMS, np.int64))
-                for lo, hi in arrays.chunks(own, 4 << 20):
+                for lo, hi in arrays.chunks(own):
                     total += np.bincount(grams(own[lo:hi])[0], minlength=NGRAMS)
         yield from given()
+        pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 

@@ -75,6 +75,7 @@ def map_texts(df: DataFrame, text: Column | str, fn: Callable[[list, dict], dict
             res = pa.StructArray.from_arrays(
                 [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for f, x in ((f, got[f.name]) for f in out)], fields=list(out))
             yield pa.RecordBatch.from_arrays([batch.column(0), res], names=["row", "res"])
+        pa.default_memory_pool().release_unused()  # the worker stays, for other stages
 
     return src.mapInArrow(run, schema)
 
