@@ -368,17 +368,15 @@ def _size_fits(a: str, b: str):
 
 def components(edges: DataFrame) -> DataFrame:
     """``sig`` and ``root``, the least of its component, by alternating large and small stars."""
-    def signature(e):
-        r = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        return r["n"], r["h"]
+    def settled(e):  # stars only: each node is below one other at most, and that one below none
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(e.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("x").agg(F.sum("below").alias("b"), F.max("above").alias("a")).where("b > 1 OR (b = 1 AND a = 1)").isEmpty()
 
     def hub(e):  # the least of each node and its neighbours
         return e.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
 
     e = rows.stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while (now := signature(e)) != before:
-        before = now
+    while not settled(e):
         sym = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = sym.join(hub(sym), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = hub(large)
@@ -394,7 +392,7 @@ def _reaches(n: str, place: str, other: str):
 
 
 def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified links between classes that connect every component: ``a``, ``b``."""
+    """Edges ``a``, ``b`` that connect every component: stars of the components that the first links give, and the later links."""
     texts = docs.select(docs[text_col].cast("binary").alias("text"))
 
     def confirmed(pairs):
@@ -407,8 +405,9 @@ def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_c
     one = confirmed(found.where((F.col("sig") != F.col("leader")) & _size_fits("n", "leader_n"))
                     .select(F.least("sig", "leader").alias("a"), F.greatest("sig", "leader").alias("b")).distinct())
     # lists that still span components: members outside the largest one against all others
+    first_roots = components(one)
     part = found.groupBy("list", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place")) \
-        .join(components(one), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        .join(first_roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     spans = part.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
     mixed = rows.stored(part.join(spans, "list", "left_semi"))
     largest = mixed.groupBy("list", "root").count().groupBy("list").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
@@ -416,7 +415,7 @@ def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_c
     first = (_reaches("n", "place", "m") & _reaches("m", "spot", "n")) | (F.greatest("n", "m") == 65535)
     pairs = mixed.join(few, "list").where((F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("sig"))) & _size_fits("n", "m") & first) \
         .select(F.least("a", "sig").alias("a"), F.greatest("a", "sig").alias("b")).distinct()
-    return one.union(confirmed(pairs))
+    return first_roots.select(F.col("sig").alias("a"), F.col("root").alias("b")).union(confirmed(pairs))
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
