@@ -131,8 +131,9 @@ def sketch(texts: DataFrame) -> np.ndarray:
 
     kind = "block int, counts binary"
     out = np.zeros(n_blocks * _BLOCK, np.int64)
-    for r in texts.mapInArrow(count, kind).repartition(rows.parts(texts)[1], "block").mapInArrow(add, kind).toLocalIterator():
-        out[r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(r["counts"], np.int64)
+    got = texts.mapInArrow(count, kind).repartition(rows.parts(texts)[1], "block").mapInArrow(add, kind).toArrow()  # of fixed size, in one job
+    for b, c in zip(got.column(0).to_pylist(), got.column(1)):
+        out[b * _BLOCK:(b + 1) * _BLOCK] = np.frombuffer(c.as_buffer(), np.int64)
     return out
 
 
@@ -297,8 +298,9 @@ def _bloom(ids: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["block", "bits"])
 
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in words.mapInArrow(pack, "block long, bits binary").toLocalIterator():
-        bits[r["block"] * part // 8:(r["block"] + 1) * part // 8] = np.frombuffer(r["bits"], np.uint8)
+    got = words.mapInArrow(pack, "block long, bits binary").toArrow()  # of fixed size, in one job
+    for b, x in zip(got.column(0).to_pylist(), got.column(1)):
+        bits[b * part // 8:(b + 1) * part // 8] = np.frombuffer(x.as_buffer(), np.uint8)
     return bits
 
 
