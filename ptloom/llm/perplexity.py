@@ -14,7 +14,9 @@ A document's log-perplexity is the mean over blocks of its characters,
 without the costlier half of the blocks.  It is rejected if that lies outside the band of its
 language: the quartiles, widened by ``BAND`` times their distance (and by
 ``FLOOR`` at least), more for short texts.  Quartiles come from an exact
-histogram over all documents that pass the base rules.
+histogram over the texts of all documents that pass the base rules.  Both
+the model and the quartiles count a text of a language once, whatever the
+number of its copies; every row is read and judged.
 
 Cases: null and empty texts have no words and fail the base rules; a null
 language is a language of its own; a text without characters has perplexity
@@ -183,7 +185,7 @@ def _lang(df: DataFrame, lang_col: str):
 
 
 def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every document."""
+    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every distinct text."""
     src = docs.select(_lang(docs, lang_col).alias("lang"), docs[text_col].cast("binary").alias("text"))
 
     def run(batches):
@@ -214,6 +216,12 @@ def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
     return src.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def distinct_texts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang`` and ``text`` of every distinct text of a language, once; copies meet in their task before they travel."""
+    src = docs.select(_lang(docs, lang_col).alias("lang"), docs[text_col].cast("binary").alias("text")).where("length(text) > 0")
+    return src.withColumn("digest", F.sha2("text", 256)).dropDuplicates(["lang", "digest"]).select("lang", "text")
+
+
 def models(counts: DataFrame):
     """Blocks of models by language; a language has ``NGRAMS`` n-grams at most."""
     sizes = {r["lang"]: r["k"] for r in counts.groupBy("lang").agg(F.count("*").alias("k")).collect()}
@@ -273,15 +281,22 @@ def _measure(shared):
     return fn
 
 
+_DIGEST = "digest of the text"
+
+
 def base_failed():
     return (F.col("res.n_words") < 20) | (F.lit(100) * F.col("res.n_repeat_words") > F.lit(30) * F.col("res.n_words"))
 
 
 def bands(measured: DataFrame) -> dict[str, tuple[float, float, float]]:
-    """Lower quartile, upper quartile and reach per language, by an exact histogram of log-perplexity."""
+    """Lower quartile, upper quartile and reach per language, by an exact histogram of log-perplexity.
+
+    ``measured`` has the text's digest in its ``row``: a text counts once, however many copies it has.
+    """
     hist: dict[str, list[tuple[int, int]]] = {}
     at = F.floor(F.col("res.log_perplexity") * BIN).cast("int").alias("at")
-    for r in measured.where(~base_failed()).groupBy(F.col("res.lang").alias("lang"), at).agg(F.count("*").alias("n")).collect():
+    once = measured.where(~base_failed()).select(F.col("res.lang").alias("lang"), at, f"row.{_DIGEST}").distinct()
+    for r in once.groupBy("lang", "at").agg(F.count("*").alias("n")).collect():
         hist.setdefault(r["lang"], []).append((r["at"], r["n"]))
     out = {}
     for lang, h in hist.items():
@@ -295,10 +310,11 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, float, float]]:
 def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", row: list[str] | None = None) -> DataFrame:
     """Columns ``row``, ``res`` (measures), ``base_failed`` and ``kept``, a row for each document."""
     spark = docs.sparkSession
-    counts = count(docs, text_col=text_col, lang_col=lang_col).persist()
+    counts = count(distinct_texts(docs, text_col=text_col, lang_col=lang_col)).persist()
     known: list[tuple[list[str], object]] = [(list(m), spark.sparkContext.broadcast(m)) for m in models(counts)]
     counts.unpersist()
     empty = spark.sparkContext.broadcast({})
+    docs = docs.withColumn(_DIGEST, F.sha2(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")), 256))
     lang = _lang(docs, lang_col)
     unknown = ~lang.isin([x for langs, _ in known for x in langs]) if known else F.lit(True)
 
@@ -314,9 +330,9 @@ def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", r
             out = out.unionByName(p)
         return out
 
-    limits = bands(measured([]))
+    limits = bands(measured([_DIGEST]))
     table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double, reach double")
-    got = measured(row if row is not None else docs.columns).join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
+    got = measured(row if row is not None else [c for c in docs.columns if c != _DIGEST]).join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
     lp, wide = F.col("res.log_perplexity"), F.col("reach") * F.sqrt(1 + SHORT / F.greatest(F.col("res.n_grams"), F.lit(1)))
     within = F.coalesce((lp >= F.col("low") - wide) & (lp <= F.col("high") + wide), F.lit(True))
     return got.select("row", "res", base_failed().alias("base_failed"), (~base_failed() & within).alias("kept"))

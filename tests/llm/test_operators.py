@@ -262,6 +262,20 @@ def test_counts_and_kneser_ney_against_a_plain_model(llm):
     assert abs(sum(own) - 1) < 1e-6
 
 
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.8])
+def test_copies_move_no_band(llm, share):
+    pairs = [(i, words(("clean", i), 150)) for i in range(60)]
+    copies = [(1000 + i, pairs[0][1]) for i in range(round(60 * share / (1 - share)))]
+    schema = "doc_id long, text string, lang string"
+    alone = llm.createDataFrame([(*p, "en") for p in pairs], schema)
+    heaped = llm.createDataFrame([(*p, "en") for p in pairs + copies], schema).repartition(5)
+    want = {r.row.doc_id: (round(r.res.log_perplexity, 6), r.kept) for r in perplexity.assess(alone).collect()}
+    got = perplexity.assess(heaped).collect()
+    assert len(got) == len(pairs) + len(copies)
+    assert {r.row.doc_id: (round(r.res.log_perplexity, 6), r.kept) for r in got if r.row.doc_id < 1000} == want
+    assert {r.kept for r in got if r.row.doc_id >= 1000} == {want[0][1]}
+
+
 # ---- 7
 
 @pytest.mark.parametrize("block", [1 << 20, 7])
