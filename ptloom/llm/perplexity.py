@@ -1,14 +1,14 @@
 """Operator 6, quality rules: base rules, then perplexity bands of a modified Kneser-Ney model.
 
-The model is of order ``ORDER`` over ``SYMBOLS`` character classes: the 26
-lower-case letters, space, line feed, digits, upper case, single classes of
-punctuation, and one class per length of a non-ASCII character.  So a
-language has at most 40 ** 4 = 2.56 million n-grams, which bounds its model
-whatever the size of the corpus, while the counts are taken by Spark over
-every character of every document.  A model keeps, per order, the sorted
-hashes of its n-grams beside their log-probabilities and back-off weights.
-Languages are scored in blocks whose models hold ``BLOCK_NGRAMS`` n-grams
-together (one language at least).
+The model is of order ``ORDER`` over characters: ASCII by ``SYMBOLS``
+classes (the 26 lower-case letters, space, line feed, digits, upper case,
+single classes of punctuation), every other character by its own code point.
+So a language's n-grams grow with its text.  Spark takes the counts over
+every character of every distinct text; a task sends what it counted once it
+holds ``HELD`` n-grams.  A model keeps, per order, the sorted hashes of its
+n-grams beside their log-probabilities and back-off weights.  Languages are
+scored in blocks whose models hold ``BLOCK_NGRAMS`` n-grams together (one
+language at least).
 
 A document's log-perplexity is the mean over blocks of its characters,
 without the costlier half of the blocks.  It is rejected if that lies outside the band of its
@@ -34,8 +34,11 @@ from ptloom.llm import arrays, rows
 
 ORDER = 4
 SYMBOLS = 40
-NGRAMS = SYMBOLS**ORDER
+#: symbols of the registered model: the classes of ASCII, then every other character by its own code point
+POINTS = 1 << 15
 BLOCK_NGRAMS = 5_200_000
+#: n-grams that a task counts before it sends them
+HELD = 4_000_000
 #: share of the interquartile range that a band reaches beyond the quartiles, its least reach, and the length at which a text gets sqrt(2) of it
 BAND, FLOOR, SHORT = 2.5, 0.03, 500
 BIN = 1000
@@ -63,21 +66,38 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
-def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+def _points(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the lead bytes of the characters beyond ASCII, and a symbol for each, by its code point.
+
+    Code points that are ``POINTS - SYMBOLS`` apart share a symbol; no script is that long.
+    """
+    at = np.flatnonzero(flat >= 0xC0)
+    more = np.concatenate((flat, np.zeros(3, np.uint8))).astype(np.int64)
+    lead = more[at]
+    point = np.where(lead < 0xE0, lead & 0x1F, np.where(lead < 0xF0, lead & 0x0F, lead & 0x07))
+    for j, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+        point = np.where(lead >= least, point << 6 | more[at + j] & 0x3F, point)
+    return at, SYMBOLS + (point - 0x80) % (POINTS - SYMBOLS)
+
+
+def grams(texts: list[bytes | None], symbols: int = SYMBOLS) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the n-grams that end at each character, and the bounds of each text among them."""
     pad = ORDER - 1
     flat = np.frombuffer(b"".join(b"\0" * pad + (t or b"") for t in texts), np.uint8)
     sizes = np.array([len(t or b"") for t in texts], np.int64)
     begin = np.cumsum(np.concatenate(([0], sizes + pad)))
-    symbol = _CLASS[flat].astype(np.int32)
+    symbol = _CLASS[flat].astype(np.int64)
+    if symbols > SYMBOLS:
+        at, own = _points(flat)
+        symbol[at] = own
     for j in range(pad):
         symbol[begin[:-1] + j] = 0
     keep = (flat & 0xC0) != 0x80  # one symbol for each character
     before = np.concatenate(([0], np.cumsum(keep)))
     symbol = symbol[keep]
-    key = np.zeros(len(symbol), np.int32)
+    key = np.zeros(len(symbol), np.int64)
     for j in range(ORDER):
-        key = key * SYMBOLS + np.concatenate((np.zeros(min(pad - j, len(symbol)), np.int32), symbol[: max(0, len(symbol) - (pad - j))]))
+        key = key * symbols + np.concatenate((np.zeros(min(pad - j, len(symbol)), np.int64), symbol[: max(0, len(symbol) - (pad - j))]))
     real = symbol != 0
     return key[real], np.concatenate(([0], np.cumsum(real)))[before[begin]]
 
@@ -115,11 +135,12 @@ def base_rules(words: arrays.Words, texts: list[bytes | None]) -> dict[str, np.n
 class KneserNey:
     """Interpolated modified Kneser-Ney model in sorted hash arrays, from the counts of its highest order."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, symbols: int = SYMBOLS):
+        self.symbols = symbols
         keys, counts = np.asarray(keys, np.int64), np.asarray(counts, np.int64)
         levels = [(keys, counts)]
         for n in range(ORDER - 1, 0, -1):  # continuation counts: how many characters precede each shorter n-gram
-            k, c = np.unique(levels[0][0] % SYMBOLS**n, return_counts=True)
+            k, c = np.unique(levels[0][0] % symbols**n, return_counts=True)
             levels.insert(0, (k, c))
         self.order: list[tuple[np.ndarray, np.ndarray]] = []
         self.backoff: list[tuple[np.ndarray, np.ndarray]] = []
@@ -127,12 +148,12 @@ class KneserNey:
         for n, (k, c) in enumerate(levels, 1):
             k, c = np.asarray(k, np.int64), np.asarray(c, np.float64)
             d = self._discounts(c)[np.minimum(c, 3).astype(int)]
-            context, first = np.unique(k // SYMBOLS, return_index=True)
+            context, first = np.unique(k // symbols, return_index=True)
             bounds = np.append(first, len(k))
             total, cut = arrays.sum_by(c, bounds), arrays.sum_by(d, bounds)
             gamma = cut / np.maximum(total, 1e-300)
             own = np.repeat(np.arange(len(context)), np.diff(bounds))
-            rest = np.full(len(k), 1 / SYMBOLS) if lower is None else lower[1][np.searchsorted(lower[0], k % SYMBOLS ** (n - 1))]
+            rest = np.full(len(k), 1 / symbols) if lower is None else lower[1][np.searchsorted(lower[0], k % symbols ** (n - 1))]
             p = (c - d) / total[own] + gamma[own] * rest if len(k) else np.zeros(0)
             lower = (k, p)
             for kept, ident, value in ((self.order, k, np.log(p)), (self.backoff, context, np.log(np.maximum(gamma, 1e-30)))):
@@ -169,14 +190,14 @@ class KneserNey:
         out = np.zeros(len(keys))
         todo = np.arange(len(keys))
         for n in range(ORDER, 0, -1):
-            k = keys[todo] % SYMBOLS**n
+            k = keys[todo] % self.symbols**n
             hit, value = self._find(self.order[n - 1], self._hash(k, n))
             out[todo[hit]] += value[hit]
             todo, k = todo[~hit], k[~hit]
             if not len(todo):
                 return out
-            out[todo] += self._find(self.backoff[n - 1], self._hash(k // SYMBOLS, n))[1]
-        out[todo] += np.log(1 / SYMBOLS)
+            out[todo] += self._find(self.backoff[n - 1], self._hash(k // self.symbols, n))[1]
+        out[todo] += np.log(1 / self.symbols)
         return out
 
 
@@ -184,36 +205,47 @@ def _lang(df: DataFrame, lang_col: str):
     return F.coalesce(df[lang_col].cast("string"), F.lit("")) if lang_col in df.columns else F.lit("")
 
 
-def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every distinct text."""
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the parts, and their counts added up."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], arrays.sum_by(counts, np.append(first, len(keys)))
+
+
+def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", symbols: int = SYMBOLS) -> DataFrame:
+    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every document."""
     src = docs.select(_lang(docs, lang_col).alias("lang"), docs[text_col].cast("binary").alias("text"))
 
     def run(batches):
         import pyarrow as pa
 
-        held: dict[str, np.ndarray] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def given():
-            for lang, c in held.items():
-                k = np.flatnonzero(c)
+            for lang, parts in held.items():
+                k, c = _added(parts)
                 for i in range(0, len(k), 100_000):
                     part = k[i:i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(c[part])], names=["lang", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part), pa.array(c[i:i + 100_000])], names=["lang", "gram", "n"])
             held.clear()
 
         for batch in rows.sliced(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in dict.fromkeys(langs):
                 own = [t for x, t in zip(langs, texts) if x == lang]
-                if lang not in held and len(held) >= 8:
-                    yield from given()
-                total = held.setdefault(lang, np.zeros(NGRAMS, np.int64))
+                parts = held.setdefault(lang, [])
                 for lo, hi in arrays.chunks(own):
-                    total += np.bincount(grams(own[lo:hi])[0], minlength=NGRAMS)
+                    parts.append(np.unique(grams(own[lo:hi], symbols)[0], return_counts=True))
+                    if sum(len(k) for k, _ in parts[1:]) > max(500_000, len(parts[0][0])):
+                        parts[:] = [_added(parts)]
+            if sum(len(k) for parts in held.values() for k, _ in parts) > HELD:
+                yield from given()
         yield from given()
         pa.default_memory_pool().release_unused()
 
-    return src.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def distinct_texts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -223,7 +255,7 @@ def distinct_texts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
 
 
 def models(counts: DataFrame):
-    """Blocks of models by language; a language has ``NGRAMS`` n-grams at most."""
+    """Blocks of models by language, of ``BLOCK_NGRAMS`` n-grams together or of one language."""
     sizes = {r["lang"]: r["k"] for r in counts.groupBy("lang").agg(F.count("*").alias("k")).collect()}
     block: list[str] = []
     for i, lang in enumerate(langs := sorted(sizes)):
@@ -234,7 +266,7 @@ def models(counts: DataFrame):
                 t = counts.where(F.col("lang") == x).select("gram", "n").toArrow()
                 k, c = t.column(0).to_numpy(), t.column(1).to_numpy()
                 at = np.argsort(k)
-                got[x] = KneserNey(k[at], c[at])
+                got[x] = KneserNey(k[at], c[at], POINTS)
             yield got
             block = []
 
@@ -262,17 +294,16 @@ def _measure(shared):
     def fn(texts, extra):
         model = shared.value
         out: dict[str, list] = {f.name: [np.zeros(0, np.float64 if f.name == "log_perplexity" else np.int64)] for f in MEASURES if f.name != "lang"}
-        dense = np.zeros(NGRAMS, np.float32)
         for lo, hi in arrays.chunks(texts):
             part, langs = texts[lo:hi], extra["lang"][lo:hi]
             got = base_rules(arrays.Words(part, arrays.NOT_SPACE), part)
             total, n = np.zeros(hi - lo), np.zeros(hi - lo, np.int64)
             for lang in dict.fromkeys(langs):
                 own = [i for i, x in enumerate(langs) if x == lang]
-                key, bounds = grams([part[i] for i in own])
-                seen = np.unique(key) if len(key) < 20_000 else np.flatnonzero(np.bincount(key))
-                dense[seen] = model[lang].log_p(seen)
-                total[own], n[own] = trimmed(-dense[key].astype(np.float64), bounds), np.diff(bounds)
+                key, bounds = grams([part[i] for i in own], POINTS)
+                seen = np.unique(key)  # looked up once each
+                cost = -model[lang].log_p(seen)[np.searchsorted(seen, key)]
+                total[own], n[own] = trimmed(cost, bounds), np.diff(bounds)
             got |= {"n_grams": n, "log_perplexity": total}
             for k, v in got.items():
                 out[k].append(v)
@@ -310,7 +341,7 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, float, float]]:
 def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", row: list[str] | None = None) -> DataFrame:
     """Columns ``row``, ``res`` (measures), ``base_failed`` and ``kept``, a row for each document."""
     spark = docs.sparkSession
-    counts = count(distinct_texts(docs, text_col=text_col, lang_col=lang_col)).persist()
+    counts = count(distinct_texts(docs, text_col=text_col, lang_col=lang_col), symbols=POINTS).persist()
     known: list[tuple[list[str], object]] = [(list(m), spark.sparkContext.broadcast(m)) for m in models(counts)]
     counts.unpersist()
     empty = spark.sparkContext.broadcast({})

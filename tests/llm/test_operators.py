@@ -1,6 +1,7 @@
 """Each operator against a plain version of its definition, on the edge cases of ``conftest.texts`` and on sf0.001."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -276,6 +277,18 @@ def test_copies_move_no_band(llm, share):
     assert {r.kept for r in got if r.row.doc_id >= 1000} == {want[0][1]}
 
 
+@pytest.mark.parametrize("first", [0x430, 0xE01, 0x4E00])
+def test_characters_beyond_ascii_are_told_apart(llm, first):
+    r = random.Random(5)
+    vocabulary = ["".join(chr(first + r.randrange(40)) for _ in range(r.randint(2, 7))) for _ in range(50)]
+    pairs = [(i, " ".join(r.choice(vocabulary) for _ in range(200))) for i in range(60)]
+    letters = [c for c in pairs[0][1] if c != " "]
+    r.shuffle(letters)
+    shuffled = "".join(c if c == " " else letters.pop() for c in pairs[0][1])
+    got = {x.row.doc_id: x.kept for x in perplexity.assess(llm.createDataFrame([(i, t, "xx") for i, t in [*pairs, (999, shuffled)]], "doc_id long, text string, lang string")).collect()}
+    assert sum(got[i] for i in range(60)) >= 57 and not got[999]
+
+
 # ---- 7
 
 @pytest.mark.parametrize("block", [1 << 20, 7])
