@@ -10,8 +10,9 @@ n-grams beside their log-probabilities and back-off weights.  Languages are
 scored in blocks whose models hold ``BLOCK_NGRAMS`` n-grams together (one
 language at least).
 
-A document's log-perplexity is the mean over blocks of its characters,
-without the costlier half of the blocks.  It is rejected if that lies outside the band of its
+A document's log-perplexity is the mean over all of its characters, its
+core the mean without the costliest ``QUOTED`` of its blocks of ``BLOCK``
+characters.  It is rejected if both lie outside the bands of its
 language: the quartiles, widened by ``BAND`` times their distance (and by
 ``FLOOR`` at least), more for short texts.  Quartiles come from an exact
 histogram over the texts of all documents that pass the base rules.  Both
@@ -42,8 +43,8 @@ HELD = 4_000_000
 #: share of the interquartile range that a band reaches beyond the quartiles, its least reach, and the length at which a text gets sqrt(2) of it
 BAND, FLOOR, SHORT = 2.5, 0.03, 500
 BIN = 1000
-#: blocks of characters of which a text's costliest share is left out: quotations, addresses, a passage in another language
-BLOCK, TRIM = 64, 0.5
+#: blocks of characters, and the costliest share of a text's that may be a quotation, an address, a passage in another language
+BLOCK, QUOTED = 64, 0.1
 
 _SYMBOL_CHARS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
@@ -272,11 +273,11 @@ def models(counts: DataFrame):
 
 
 MEASURES = T.StructType([T.StructField(c, T.LongType(), False) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams")]
-                        + [T.StructField("log_perplexity", T.DoubleType(), False), T.StructField("lang", T.StringType(), False)])
+                        + [T.StructField(c, T.DoubleType(), False) for c in ("log_perplexity", "core")] + [T.StructField("lang", T.StringType(), False)])
 
 
-def trimmed(cost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Mean cost per character of each text over its blocks of ``BLOCK`` characters, but for the share ``TRIM`` of the costliest."""
+def core(cost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Mean cost per character of each text over its blocks of ``BLOCK`` characters, but for the share ``QUOTED`` of the costliest."""
     n = np.diff(bounds)
     blocks = -(-n // BLOCK)
     first = np.cumsum(blocks) - blocks
@@ -285,7 +286,7 @@ def trimmed(cost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     size = np.minimum(BLOCK, bounds[own + 1] - begin)
     total = np.add.reduceat(cost, begin) if len(begin) else np.zeros(0)
     order = np.lexsort((total / size, own))
-    keep = np.arange(len(own)) - first[own] < (blocks - (blocks * TRIM).astype(np.int64))[own]
+    keep = np.arange(len(own)) - first[own] < (blocks - (blocks * QUOTED).astype(np.int64))[own]
     kept = order[keep]
     return np.bincount(own[kept], total[kept], len(n)) / np.maximum(np.bincount(own[kept], size[kept], len(n)), 1)
 
@@ -293,18 +294,19 @@ def trimmed(cost: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _measure(shared):
     def fn(texts, extra):
         model = shared.value
-        out: dict[str, list] = {f.name: [np.zeros(0, np.float64 if f.name == "log_perplexity" else np.int64)] for f in MEASURES if f.name != "lang"}
+        out: dict[str, list] = {f.name: [np.zeros(0, np.float64 if f.dataType == T.DoubleType() else np.int64)] for f in MEASURES if f.name != "lang"}
         for lo, hi in arrays.chunks(texts):
             part, langs = texts[lo:hi], extra["lang"][lo:hi]
             got = base_rules(arrays.Words(part, arrays.NOT_SPACE), part)
-            total, n = np.zeros(hi - lo), np.zeros(hi - lo, np.int64)
+            mean, inner, n = np.zeros(hi - lo), np.zeros(hi - lo), np.zeros(hi - lo, np.int64)
             for lang in dict.fromkeys(langs):
                 own = [i for i, x in enumerate(langs) if x == lang]
                 key, bounds = grams([part[i] for i in own], POINTS)
                 seen = np.unique(key)  # looked up once each
                 cost = -model[lang].log_p(seen)[np.searchsorted(seen, key)]
-                total[own], n[own] = trimmed(cost, bounds), np.diff(bounds)
-            got |= {"n_grams": n, "log_perplexity": total}
+                n[own] = np.diff(bounds)
+                mean[own], inner[own] = arrays.sum_by(cost, bounds) / np.maximum(n[own], 1), core(cost, bounds)
+            got |= {"n_grams": n, "log_perplexity": mean, "core": inner}
             for k, v in got.items():
                 out[k].append(v)
         return {k: np.concatenate(v) for k, v in out.items()} | {"lang": extra["lang"]}
@@ -319,22 +321,27 @@ def base_failed():
     return (F.col("res.n_words") < 20) | (F.lit(100) * F.col("res.n_repeat_words") > F.lit(30) * F.col("res.n_words"))
 
 
-def bands(measured: DataFrame) -> dict[str, tuple[float, float, float]]:
-    """Lower quartile, upper quartile and reach per language, by an exact histogram of log-perplexity.
+BANDS = ("log_perplexity", "core")
+
+
+def bands(measured: DataFrame) -> dict[str, tuple[float, ...]]:
+    """Lower quartile, upper quartile and reach per language of each of ``BANDS``, by exact histograms.
 
     ``measured`` has the text's digest in its ``row``: a text counts once, however many copies it has.
     """
-    hist: dict[str, list[tuple[int, int]]] = {}
-    at = F.floor(F.col("res.log_perplexity") * BIN).cast("int").alias("at")
-    once = measured.where(~base_failed()).select(F.col("res.lang").alias("lang"), at, f"row.{_DIGEST}").distinct()
-    for r in once.groupBy("lang", "at").agg(F.count("*").alias("n")).collect():
-        hist.setdefault(r["lang"], []).append((r["at"], r["n"]))
+    hist: dict[str, dict[int, list[tuple[int, int]]]] = {}
+    at = F.posexplode(F.array(*[F.floor(F.col(f"res.{c}") * BIN).cast("int") for c in BANDS])).alias("band", "at")
+    once = measured.where(~base_failed()).select(F.col("res.lang").alias("lang"), f"row.{_DIGEST}", at).distinct()
+    for r in once.groupBy("lang", "band", "at").agg(F.count("*").alias("n")).collect():
+        hist.setdefault(r["lang"], {}).setdefault(r["band"], []).append((r["at"], r["n"]))
     out = {}
-    for lang, h in hist.items():
-        x, n = np.array(sorted(h)).T
-        cum = np.cumsum(n)
-        low, high = ((x[np.searchsorted(cum, q * cum[-1])] + 0.5) / BIN for q in (0.25, 0.75))
-        out[lang] = (float(low), float(high), max(FLOOR, BAND * float(high - low)))
+    for lang, both in hist.items():
+        out[lang] = ()
+        for _, h in sorted(both.items()):
+            x, n = np.array(sorted(h)).T
+            cum = np.cumsum(n)
+            low, high = ((x[np.searchsorted(cum, q * cum[-1])] + 0.5) / BIN for q in (0.25, 0.75))
+            out[lang] += (float(low), float(high), max(FLOOR, BAND * float(high - low)))
     return out
 
 
@@ -362,15 +369,16 @@ def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", r
         return out
 
     limits = bands(measured([_DIGEST]))
-    table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, low double, high double, reach double")
+    table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, " + ", ".join(f"low_{c} double, high_{c} double, reach_{c} double" for c in BANDS))
     got = measured(row if row is not None else [c for c in docs.columns if c != _DIGEST]).join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
-    lp, wide = F.col("res.log_perplexity"), F.col("reach") * F.sqrt(1 + SHORT / F.greatest(F.col("res.n_grams"), F.lit(1)))
-    within = F.coalesce((lp >= F.col("low") - wide) & (lp <= F.col("high") + wide), F.lit(True))
+    more = F.sqrt(1 + SHORT / F.greatest(F.col("res.n_grams"), F.lit(1)))
+    whole, inner = (F.col(f"res.{c}").between(F.col(f"low_{c}") - F.col(f"reach_{c}") * more, F.col(f"high_{c}") + F.col(f"reach_{c}") * more) for c in BANDS)
+    within = F.coalesce(whole | inner, F.lit(True))
     return got.select("row", "res", base_failed().alias("base_failed"), (~base_failed() & within).alias("kept"))
 
 
 def _blank(texts, extra):
-    return {f.name: np.zeros(len(texts), np.float64 if f.name == "log_perplexity" else np.int64) for f in MEASURES if f.name != "lang"} | {"lang": extra["lang"]}
+    return {f.name: np.zeros(len(texts), np.float64 if f.dataType == T.DoubleType() else np.int64) for f in MEASURES if f.name != "lang"} | {"lang": extra["lang"]}
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

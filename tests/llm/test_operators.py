@@ -289,6 +289,18 @@ def test_characters_beyond_ascii_are_told_apart(llm, first):
     assert sum(got[i] for i in range(60)) >= 57 and not got[999]
 
 
+def test_every_part_of_a_text_is_judged(llm):
+    r = random.Random(6)
+    vocabulary = words("vocabulary", 60).split()
+    pairs = [(i, " ".join(r.choice(vocabulary) for _ in range(300))) for i in range(60)]
+    base = pairs[0][1]
+    noise = lambda n: "".join(r.choice("ijklmnopqrstuvwxyz.,;:!? ") for _ in range(n))
+    parts = [(1000 + round(100 * x), base[:round(len(base) * (1 - x))] + noise(round(len(base) * x))) for x in (0.05, 0.3, 0.45)]
+    got = {x.row.doc_id: x.kept for x in perplexity.assess(llm.createDataFrame([(i, t, "en") for i, t in pairs + parts], "doc_id long, text string, lang string")).collect()}
+    assert sum(got[i] for i in range(60)) >= 57
+    assert got[1005] and not got[1030] and not got[1045]
+
+
 # ---- 7
 
 @pytest.mark.parametrize("block", [1 << 20, 7])
