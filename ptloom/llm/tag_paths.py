@@ -5,11 +5,12 @@ path the text length and the punctuation of its blocks are summed and
 divided by their number; both ratios are smoothed over neighbouring paths in
 page order, fused (length times punctuation), and a path is content if its
 fused ratio reaches ``LAMBDA`` standard deviations of all paths' ratios;
-the other unmarked paths of a content path's container (its title, its
-lists) come with it.  Structure is the prior of the fusion: paths below a menu, header, footer,
-sidebar, notice, advert, form or comment (by element, role, or word in class
-or id) and paths of mostly links weigh nothing; below ``article`` or
-``main`` any other path is content.
+the other unmarked paths in a content path's container (its title, its
+lists, its links) come with it.  Structure is a weight of the fusion and no
+more: paths below a menu, header, footer, sidebar, notice, advert, form or
+comment (by element, role, or word in class or id) weigh nothing and never
+come along, paths of mostly links weigh nothing, and paths below ``article``
+or ``main`` weigh ``MAIN_WEIGHT``.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by an empty line.
@@ -34,6 +35,8 @@ from ptloom.llm import rows
 LAMBDA = 0.5
 SMOOTH = (0.25, 0.5, 0.25)
 LINK_SHARE = 0.5
+#: weight of a path below article or main; others weigh 1
+MAIN_WEIGHT = 2.0
 
 # fixed values: elements of HTML, and words that mark a part of a page that is no article
 RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|video|audio|textarea|title"
@@ -168,7 +171,7 @@ def ratios(found: list[tuple[str, str, int, bool, bool]]) -> dict[tuple[str, boo
         s[3] += linked
     keys = list(total)
     s = np.array([total[k] for k in keys], float).reshape(-1, 4)
-    weight = np.array([0.0 if k[1] else 1.0 for k in keys]) * (s[:, 3] <= LINK_SHARE * s[:, 0])
+    weight = np.array([0.0 if k[1] else MAIN_WEIGHT if k[2] else 1.0 for k in keys]) * (s[:, 3] <= LINK_SHARE * s[:, 0])
     length, punct = s[:, 0] / s[:, 2], (s[:, 1] + 1) / s[:, 2]
     smooth = [np.convolve(np.pad(x, 1, "edge"), SMOOTH, "valid") if len(x) else x for x in (length * weight, punct)]
     fused = weight * smooth[0] * np.sqrt(smooth[1])
@@ -183,6 +186,14 @@ def container(path: str) -> str:
     return "/".join(parts)
 
 
+def inside(path: str, chosen: set[str]) -> bool:
+    """Whether a container is chosen or lies below a chosen one; the body as a whole holds no part of a page together."""
+    if path in chosen:
+        return True
+    parts = path.split("/")
+    return any("/".join(parts[:i]) in chosen for i in range(1, len(parts)) if parts[i - 1] not in ("html", "body"))
+
+
 def extract(page: str) -> str:
     """Main text of a page."""
     found = blocks(page)
@@ -190,9 +201,8 @@ def extract(page: str) -> str:
         return ""
     fused = ratios(found)
     limit = LAMBDA * float(np.std(list(fused.values())))
-    has_main = any(main and not marked for _, _, _, marked, main in found)
     chosen = {container(k[0]) for k, v in fused.items() if v > 0 and v >= limit}
-    content = {k for k, v in fused.items() if v > 0 and (k[2] if has_main else container(k[0]) in chosen)}
+    content = {k for k in fused if not k[1] and inside(container(k[0]), chosen)}
     return "\n\n".join(text for path, text, _, marked, main in found if (path, marked, main) in content)
 
 

@@ -165,6 +165,26 @@ def test_pages_of_the_table_give_their_article(llm):
         assert tag_paths.extract(r.html).split() == html.unescape(re.sub(r"<[^>]*>", " ", inner)).split()
 
 
+LINE = "A long line of text, with points. And marks: as text has them, again and again. "
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_ratios_choose_on_pages_with_and_without_article(tag):
+    body = "\n\n".join(f"{i}. {LINE * 3}".strip() for i in range(4))
+    paragraphs = "".join(f"<p>{x}</p>" for x in body.split("\n\n"))
+    # linked text inside the chosen container stays, a chosen container's sections too
+    page = f"<body><{tag} class=story><h1>Title</h1>{paragraphs}<section><h2>Sources</h2><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></section></{tag}><div class=x><p>Top</p></div></body>"
+    assert tag_paths.extract(page) == f"Title\n\n{body}\n\nSources\n\nOne\n\nTwo"
+    # an element called article is no article if the text is elsewhere
+    page = f"<body><{tag}><p>Teaser</p></{tag}><nav><a href=1>Menu</a></nav><div class=story>{paragraphs}</div></body>"
+    assert tag_paths.extract(page) == body
+
+
+def test_pages_of_the_table_give_their_text_without_article_too(llm):
+    for r in frame(llm, table="pages").collect():
+        assert tag_paths.extract(r.html) == tag_paths.extract(re.sub(r"<(/?)article>", r"<\1div>", r.html)) != ""
+
+
 # ---- 5
 
 def plain_chunk_dedup(pairs, min_bytes):
