@@ -4,7 +4,11 @@ A gear hash rolls over the last 16 bytes.  A text is cut before a word (or
 a character of three or four bytes) where the hash is the least among the
 ``REACH`` possible cuts on either side.  So chunks are longer than
 ``REACH`` words, have no fixed places, and fall into step again right after an
-insertion.  Chunks are known by a 64-bit digest.  A chunk whose digest an
+insertion.  A chunk of more than ``LONG`` bytes (text without spaces, a run
+of equal words) is cut again, before any character where the hash is least
+within ``NEAR`` bytes; among equal values, as in a periodic run, at the first
+and at each that lies ``2 * NEAR`` bytes after the last cut, so always at the
+same phase of the period.  Chunks are known by a 64-bit digest.  A chunk whose digest an
 earlier document (smaller id) holds is a copy; runs of copies of ``min_bytes``
 or more are removed, the first document keeps them.
 
@@ -29,12 +33,32 @@ from pyspark.sql import types as T
 from ptloom.llm import arrays, rows
 
 REACH = 3
+#: bytes of a chunk beyond which it is cut before characters, where the hash is least within ``NEAR`` bytes on either side
+LONG, NEAR = 256, 32
 MIN_BYTES = 100
 _WINDOW = 16
 _GEAR = (arrays.mix(np.arange(256, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _GEAR[0] = 0
 
 
+def inner_cuts(flat: np.ndarray, h: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Cuts before characters inside a long chunk."""
+    far = np.iinfo(np.int64).max
+    place = (flat[lo:hi] & 0xC0) != 0x80
+    value = np.where(place, h[lo - 1:hi - 1], far)
+    edge = np.full(NEAR, far)
+    low = np.lib.stride_tricks.sliding_window_view(np.concatenate((edge, value, edge)), NEAR).min(axis=1)
+    before, after = low[:hi - lo], low[NEAR + 1:]
+    least = place & (value <= before) & (value <= after)
+    least[0] = False
+    out, last = [], 0
+    for at, first in zip(np.flatnonzero(least).tolist(), (value < before)[least].tolist()):
+        if first or at - last >= 2 * NEAR:
+            out.append(lo + at)
+            last = at
+    return np.array(out, np.int64)
+
+
 def chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Owner, start and end within the owner, and digest of every chunk, in order; the chunks of a text make it up."""
     pad = b"\0" * _WINDOW  # adds nothing to a gear hash, so no text feels the one before it
@@ -56,13 +80,21 @@ def chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     for j in range(1, REACH + 1):
         least &= (value < gap[spot - j]) & (value <= gap[spot + j])
     full = np.flatnonzero(sizes > 0)
-    starts = np.concatenate((begin[full], at[least]))
-    owner = np.concatenate((full, own[least]))
+    owner, starts, ends = _spans(np.concatenate((full, own[least])), np.concatenate((begin[full], at[least])), begin + sizes)
+    long = np.flatnonzero(ends - starts > LONG)
+    if len(long):
+        more = [inner_cuts(flat, h, lo, hi) for lo, hi in zip(starts[long].tolist(), ends[long].tolist())]
+        owner, starts, ends = _spans(np.concatenate((owner, np.repeat(owner[long], [len(x) for x in more]))), np.concatenate((starts, *more)), begin + sizes)
+    return owner, starts - begin[owner], ends - begin[owner], arrays.span_hashes(flat, starts, ends)
+
+
+def _spans(owner: np.ndarray, starts: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, start and end of the chunks that start there, in order."""
     order = np.argsort(starts, kind="stable")
     starts, owner = starts[order], owner[order]
     last = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.zeros(0, bool)
-    ends = np.where(last, begin[owner] + sizes[owner], np.append(starts[1:], 0)) if len(owner) else starts
-    return owner, starts - begin[owner], ends - begin[owner], arrays.span_hashes(flat, starts, ends)
+    ends = np.where(last, text_ends[owner], np.append(starts[1:], 0)) if len(owner) else starts
+    return owner, starts, ends
 
 
 def _chunks(texts: list[bytes]):

@@ -224,6 +224,30 @@ def test_chunks_resist_an_insertion():
     assert chunk_dedup.chunk([b"zzz", a.encode()])[3][1:].tolist() == chunk_dedup.chunk([a.encode()])[3].tolist()
 
 
+def unspaced(seed, n, alphabet):
+    r = random.Random(str(seed))
+    return "".join(r.choice(alphabet) for _ in range(n))
+
+
+@pytest.mark.parametrize("alphabet", ["".join(map(chr, range(0xE01, 0xE2F))), '{}[]",:0123456789abcdef', "ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/"])
+def test_chunks_of_text_without_spaces(llm, alphabet):
+    passage = unspaced("passage", 3000, alphabet)
+    pairs = [(1, unspaced("a", 5000, alphabet) + passage + unspaced("b", 2000, alphabet)), (2, unspaced("c", 1000, alphabet) + passage + unspaced("d", 5000, alphabet)),
+             (3, passage[:1500] + "x" + passage[1501:])]
+    got = sorted((r.row.doc_id, r.res.n_chunks, r.res.n_removed, r.res.n_spans, bytes(r.res.kept)) for r in chunk_dedup.dedup(llm.createDataFrame(pairs, "doc_id long, text string")).collect())
+    assert got == plain_chunk_dedup([(i, t.encode()) for i, t in pairs], 100)
+    size = len(passage.encode())
+    assert got[0][2] == 0 and 0.9 * size < got[1][2] <= size and 0.85 * size < got[2][2] <= size
+
+
+@pytest.mark.parametrize("unit", ["ab ", "a", "one two three ", "ก"])
+def test_chunks_of_a_run_of_equal_words(unit):
+    run = unit * (6000 // len(unit.encode()))
+    pairs = [(1, words("a", 100) + " " + run + words("b", 100)), (2, words("c", 70) + " " + run + words("d", 100)), (3, words("e", 30) + " " + run[:2000] + "!" + run[2000:])]
+    got = plain_chunk_dedup([(i, t.encode()) for i, t in pairs], 100)
+    assert got[0][2] == 0 and got[1][2] > 5500 and got[2][2] > 5400
+
+
 # ---- 6
 
 def plain_base(text):
