@@ -93,17 +93,23 @@ class Sets:
         return [odd[b // 8:(b + n) // 8].tobytes() for b, n in zip(begin.tolist(), places.tolist())]
 
 
-def members(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``sig`` (the class; null for the empty set) and ``bits``, a row for each document."""
+def _digest(text):
+    """SHA-256 of a text; null has one of its own."""
+    return F.coalesce(F.sha2(text.cast("binary"), 256), F.lit(""))
+
+
+def members(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``sig`` (the class; null for the empty set) and ``bits``, a row for each document; its text's ``digest`` if asked for."""
     def fn(texts, _):
         parts = [Sets(texts[lo:hi]) for lo, hi in arrays.chunks(texts)]
         sizes = np.concatenate([np.zeros(0, np.int64), *(p.sizes for p in parts)])
         sig = np.concatenate([np.zeros(0, _U8), *(p.sig for p in parts)]).view(np.int64)
         return {"n": sizes, "sig": pa.array(sig, mask=sizes == 0), "bits": [x for p in parts for x in p.bitmaps()]}
 
-    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    got = rows.map_texts(src, "text", fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("bits", T.BinaryType())]), row=["doc_id"])
-    return got.select("row.doc_id", F.col("res.n").alias("n_shingles"), "res.sig", "res.bits")
+    names = ["doc_id", "digest"] if digest else ["doc_id"]
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *([_digest(docs[text_col]).alias("digest")] if digest else []))
+    got = rows.map_texts(src, "text", fn, T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.LongType()), T.StructField("bits", T.BinaryType())]), row=names)
+    return got.select(*[f"row.{c}" for c in names], F.col("res.n").alias("n_shingles"), "res.sig", "res.bits")
 
 
 def sketch(texts: DataFrame) -> np.ndarray:
@@ -420,12 +426,17 @@ def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_c
     return first_roots.select(F.col("sig").alias("a"), F.col("root").alias("b")).union(confirmed(pairs))
 
 
-def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``: a row for each document."""
-    who = rows.stored(members(docs, id_col=id_col, text_col=text_col))
+def _rooted(docs: DataFrame, *, id_col: str, text_col: str, digest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The members, and ``sig``, ``least`` (id) and ``root`` of each class."""
+    who = rows.stored(members(docs, id_col=id_col, text_col=text_col, digest=digest))
     classes = rows.stored(who.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
     group = components(links(docs, classes, id_col=id_col, text_col=text_col))
-    rooted = classes.select("sig", "least").join(group, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    return who, classes.select("sig", "least").join(group, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+
+
+def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``: a row for each document."""
+    who, rooted = _rooted(docs, id_col=id_col, text_col=text_col)
     name = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sig", "component_id")
     return who.join(name, "sig", "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("sig").isNotNull(), F.col("component_id")), F.col("doc_id")).alias("component_id"))
 
@@ -436,7 +447,20 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component; rows without an id stay."""
-    named = join(docs, id_col=id_col, text_col=text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(named, docs[id_col].cast("long") == named[id_col], "left_semi")
-    return kept.unionByName(docs.where(docs[id_col].isNull()))
+    """One row of each component: that of the least id, then of the least digest of its text; and one of its rows without an id.
+
+    Of rows that share both, one stays, by a hash of the whole row.  Rows
+    without words are no copies of others: one stays for each id and text,
+    and all that have no id.
+    """
+    who, rooted = _rooted(docs, id_col=id_col, text_col=text_col, digest=True)
+    key = F.struct(F.coalesce("doc_id", F.lit(int(rows.NULL_ID))).alias("id"), F.col("digest"))
+    unnamed = F.col("doc_id").isNull().alias("unnamed")
+    first = who.where("sig IS NOT NULL").groupBy("sig", unnamed).agg(F.min(key).alias("key")).join(rooted, "sig").groupBy("root", "unnamed").agg(F.min("key").alias("key")).select("key.*")
+    named = first.union(who.where("sig IS NULL AND doc_id IS NOT NULL").select(key.alias("key")).select("key.*"))
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    tie = F.xxhash64(*[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    once = docs.groupBy(F.coalesce(docs[id_col].cast("long"), F.lit(int(rows.NULL_ID))).alias("id"), _digest(docs[text_col]).alias("digest")).agg(F.min_by(whole, tie).alias("row"))
+    kept = once.join(named, ["id", "digest"], "left_semi").select("row.*")
+    blank = ~F.coalesce(docs[text_col].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return kept.unionByName(docs.where(docs[id_col].isNull() & blank))

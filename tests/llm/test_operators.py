@@ -476,6 +476,20 @@ def test_components(llm, docs, none):
     assert {r.doc_id for r in kept.collect()} == {c for i, _, c in got if i != -1} | {None}
 
 
+def test_one_row_of_each_component(llm):
+    a, b, c, d = (words(("rep", k), 120) for k in "abcd")
+    pairs = [(1, a), (1, a), (1, a), (None, a), (None, a), (2, a + " more"), (5, a), (5, b), (7, b), (7, b), (None, c), (None, c), (None, c + " end"), (8, d), (None, d + " x"),
+             (9, ""), (9, ""), (9, None), (None, ""), (None, ""), (None, None)]
+    df = llm.createDataFrame([(*p, {"k": str(i)}) for i, p in enumerate(pairs)], "doc_id long, text string, m map<string,string>").repartition(4)
+    kept = jaccard_join.representatives(df)
+    assert kept.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    null_c = [k for k in got if k[0] is None and k[1] in (c, c + " end")]
+    assert len(null_c) == 1 and got.pop(null_c[0]) == 1
+    # a row without an id stays beside its component's named row, but only one
+    assert got == Counter([(1, a), (None, a), (5, b), (8, d), (None, d + " x"), (9, ""), (9, None), (None, ""), (None, ""), (None, None)])
+
+
 @pytest.mark.parametrize("light", [None, 0, 6, 14])
 def test_components_of_small_and_chained_sets(llm, monkeypatch, light):
     if light is not None:
