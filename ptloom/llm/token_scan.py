@@ -2,7 +2,8 @@
 
 A token file is nothing but token ids of fixed width; documents end at an
 end-of-document id, and a document may run across blocks and files.  Each
-block (``block_tokens`` ids) is searched for the separator at once and gives
+block (``block_tokens`` ids, a byte range of its file, read alone by whichever
+task it is dealt to) is searched for the separator at once and gives
 its length and the places of its separators.  Two prefix scans, over the
 blocks of a file and over files (one row each), give every block the number
 of tokens and documents before it and where the document open at its start
@@ -61,20 +62,53 @@ _BLOCK = T.StructType([T.StructField("file", T.StringType()), T.StructField("blo
                        T.StructField("ends", T.ArrayType(T.LongType(), False))])
 
 
-def scan(spark, path: str, *, eod: int = EOD, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Per document of the files: ``doc_no``, ``start`` (token number in the stream) and ``n_tokens``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+#: file systems whose files Python workers read by byte ranges (only ``file`` is tried here); others give whole files
+RANGED = ("file", "hdfs", "viewfs", "s3", "gs")
+
+
+def read_range(path: str, at: int, n: int) -> bytes:
+    """``n`` bytes of a file from ``at`` on, or as many as there are."""
+    from pyarrow import fs
+
+    system, name = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+    with system.open_input_file(name) as f:
+        f.seek(at)
+        return f.read(n)
+
+
+def searched(spark, path: str, *, eod: int = EOD, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Per block of the files: ``file``, ``block``, ``n_tokens`` and the places of the separators; a task holds one block at a time."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    size = block_tokens * np.dtype(dtype).itemsize
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    ranged = target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() in RANGED
+
+    def found(name, block, ids):
+        return rows.table(_BLOCK, [(name, block, len(ids), np.flatnonzero(ids == eod))]).to_batches()
 
     def run(batches):
+        for batch in batches:
+            for name, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield from found(name, block, np.frombuffer(read_range(name, block * size, size), dtype))
+
+    def whole(batches):
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.frombuffer(data.as_buffer(), dtype)
-                found = [(name, b // block_tokens, min(block_tokens, len(ids) - b), np.flatnonzero(ids[b:b + block_tokens] == eod)) for b in range(0, len(ids), block_tokens)]
-                if found:
-                    yield from rows.table(_BLOCK, found).to_batches()
+                for b in range(0, len(ids), block_tokens):
+                    yield from found(name, b // block_tokens, ids[b:b + block_tokens])
+
+    if not ranged:
+        return files.select("path", "content").mapInArrow(whole, _BLOCK)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = files.where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size).cast("long"))).alias("block"))
+    return ranges.repartition(n, "path", "block").mapInArrow(run, _BLOCK)
 
+
+def scan(spark, path: str, *, eod: int = EOD, dtype: str = "<u2", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Per document of the files: ``doc_no``, ``start`` (token number in the stream) and ``n_tokens``."""
     number = F.coalesce(F.try_element_at(F.regexp_extract_all("file", F.lit(r"part-(\d+)"), 1), F.lit(-1)).cast("long"), F.lit(0))
-    blocks = files.mapInArrow(run, _BLOCK).withColumn("number", number)
+    blocks = searched(spark, path, eod=eod, dtype=dtype, block_tokens=block_tokens).withColumn("number", number)
     # prefix scan inside each file; an end lies after the separator
     before = Window.partitionBy("number", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     first, docs = F.coalesce(F.sum("n_tokens").over(before), F.lit(0)), F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0))

@@ -369,6 +369,20 @@ def test_separator_scan_across_files(llm, tmp_path):
     assert got == [(0, 0, 3), (1, 4, 0), (2, 5, 4), (3, 10, 1)]
 
 
+def test_separator_scan_of_a_file_across_tasks(llm, tmp_path):
+    from pyspark.sql import functions as F
+
+    ids = np.random.default_rng(4).integers(0, 50, 50_000).astype("<u2")  # 9 ends a document
+    (tmp_path / "part-00000").write_bytes(ids.tobytes())
+    (tmp_path / "part-00001").write_bytes(b"")
+    tasks = token_scan.searched(llm, str(tmp_path), eod=9, block_tokens=999).select("file", "block", "n_tokens", F.spark_partition_id().alias("task")).collect()
+    assert len({t.task for t in tasks}) > 1 and sorted((t.block, t.n_tokens) for t in tasks) == [(b, min(999, 50_000 - 999 * b)) for b in range(51)]
+    ends = np.flatnonzero(np.append(ids, 9) == 9)
+    starts = np.append(0, ends[:-1] + 1)
+    want = [(i, a, z - a) for i, (a, z) in enumerate(zip(starts.tolist(), ends.tolist())) if z > a or z < len(ids)]
+    assert sorted(rows(token_scan.scan(llm, str(tmp_path), eod=9, block_tokens=999))) == want
+
+
 # ---- 8
 
 def test_codec(docs, none):
