@@ -145,11 +145,12 @@ PAIR_DAMAGE_MOD = 11
 
 
 def raw_pair_lines(t: Tables) -> DataFrame:
-    """Preference records as JSONL text, two files, every damage kind present (V-11 .. V-17).
+    """Preference records as JSONL text, two files, with damage of the kinds below (V-11 .. V-17).
 
     0 truncated, 1 blank line, 2 'rejected' missing, 3 empty chosen list,
     4 rejected equals chosen, 5 chosen role 'bot', 6 blank rejected content;
-    others intact.  ``file`` is the group-safe split of the prompt key.
+    others intact; not_object, not_list and message_not_object do not occur.
+    ``file`` is the group-safe split of the prompt key.
     """
     from ptloom.sources.textio import as_text_lines
 
