@@ -20,6 +20,7 @@ _MODULES = {
     "op9_feistel_shards": ("shards", "op9"),
     "op10_jaccard_join": ("jaccard_join", "op10"),
     "op12_merkle_manifest": ("merkle", "op12"),
+    "op13_chat_format": ("chat_format", "op13"),
 }
 
 
