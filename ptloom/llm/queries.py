@@ -19,6 +19,7 @@ _MODULES = {
     "op8_bpe_codec": ("bpe_codec", "op8"),
     "op9_feistel_shards": ("shards", "op9"),
     "op10_jaccard_join": ("jaccard_join", "op10"),
+    "op11_hard_negatives": ("hard_negatives", "op11"),
     "op12_merkle_manifest": ("merkle", "op12"),
     "op13_chat_format": ("chat_format", "op13"),
 }
