@@ -1,69 +1,115 @@
 """BPE training (A-17): count adjacent symbol pairs weighted by word frequency,
 merge the most frequent pair, repeat.
 
-The corpus is reduced once to a distinct-word table ``(symbols, freq)``; every
-round is one partial+final aggregate over that table plus one row collected to
-the driver (the winning pair).  Merging is a higher-order ``aggregate`` over
-each word's symbol array (greedy, left to right).  Lineage is cut with a
-reliable ``checkpoint`` every few rounds.
+The corpus is reduced once to its distinct words.  An index holds a posting
+for each word and each pair in it, sorted by pair, and a count for each pair.
+A round takes the best pair from the counts, reads that pair's postings (a pushed-down
+filter on sorted files), merges the words found there, and appends what
+changed: postings of the new word under all its old and new pairs (dead where
+a pair is gone) and the differences of the counts.  Words without the pair are
+not read, so a round costs as much as the words it touches; every ``compact_every`` rounds the appended parts
+are rewritten as one.
+
+A word is a string in which every symbol stands between two marks, so a merge is one
+``replace``, from the left and without overlap.  The marks are control
+characters; where a text holds them they are escaped, and a symbol's own
+character stays one symbol.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ptloom.operators.tokens import chars
-from ptloom.session import ensure_checkpoint_dir, reliable_checkpoint
+from ptloom.operators.codec import SPACE, WORD_CHARS
+from ptloom.session import ensure_checkpoint_dir, stored_table
+
+OPEN, CLOSE, ESCAPE = "\x01", "\x02", "\x03"
+MARKS = {ESCAPE: "c", OPEN: "a", CLOSE: "b"}  # the escape itself first
+
+
+def marked(word: Column) -> Column:
+    """The word with each character as a marked symbol."""
+    for mark, letter in MARKS.items():
+        word = F.replace(word, F.lit(mark), F.lit(ESCAPE + letter))
+    return F.regexp_replace(word, f"(?s)({ESCAPE}?.)", f"{OPEN}$1{CLOSE}")
+
+
+def unmarked(symbol: str) -> str:
+    for mark, letter in reversed(MARKS.items()):
+        symbol = symbol.replace(ESCAPE + letter, mark)
+    return symbol
+
+
+def symbols(word: Column) -> Column:
+    """The symbols of a marked word as array<string>."""
+    return F.split(F.substring(word, F.lit(2), F.char_length(word) - 2), CLOSE + OPEN)
+
+
+def pairs(word: Column) -> Column:
+    """The adjacent pairs of a marked word, each as the marked string of its two symbols."""
+    s = symbols(word)
+    return F.when(F.size(s) > 1, F.transform(F.sequence(F.lit(1), F.size(s) - 1), lambda i: F.concat(
+        F.lit(OPEN), F.element_at(s, i), F.lit(CLOSE + OPEN), F.element_at(s, i + 1), F.lit(CLOSE)))).otherwise(F.array().cast("array<string>"))
 
 
 def word_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Distinct words with frequency, each as an array of characters."""
-    words = docs.select(F.explode(F.split(F.col(text_col), r"\s+")).alias("w")).where(F.col("w") != "")
-    return words.groupBy("w").agg(F.count(F.lit(1)).cast("bigint").alias("freq")).select(
-        chars(F.col("w")).alias("symbols"), "freq"
-    )
+    """Distinct words, marked, with their frequency; a run without white space is cut after ``WORD_CHARS`` characters."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"[^{SPACE}]{{1,{WORD_CHARS}}}"), F.lit(0))).alias("w"))
+    return words.groupBy("w").agg(F.count(F.lit(1)).cast("bigint").alias("freq")).select(marked(F.col("w")).alias("word"), "freq")
 
 
-def merge_pair(symbols: Column, a: str, b: str) -> Column:
-    """Replace every non-overlapping adjacent (a, b) by a+b, greedily from the left."""
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
+def _postings(words: DataFrame, generation: int) -> DataFrame:
+    """(pair, word, freq, round, live, diff) of words (old, word, freq): a row for each distinct pair of either form."""
+    d = words.select("word", "freq", pairs(F.col("old")).alias("_old"), pairs(F.col("word")).alias("_new"))
+    d = d.select("word", "freq", F.explode(F.concat(F.transform("_old", lambda p: F.struct(p.alias("pair"), F.lit(-1).alias("n"))),
+                                                    F.transform("_new", lambda p: F.struct(p.alias("pair"), F.lit(1).alias("n"))))).alias("p"))
+    # the pairs of one word lie in one partition, this adds no exchange of its own to the words' grouping
+    g = d.groupBy("word", "freq", F.col("p.pair").alias("pair")).agg(F.sum(F.col("p.n") * F.col("freq")).alias("diff"), F.max("p.n").alias("_live"))
+    return g.select("pair", "word", "freq", F.lit(generation).alias("round"), (F.col("_live") > 0).alias("live"), "diff")
 
-    def step(acc: Column, x: Column) -> Column:
-        merge = acc["open"] & (x == F.lit(b))
-        out = F.when(merge, F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1), F.array(F.lit(a + b)))).otherwise(
-            F.concat(acc["out"], F.array(x))
-        )
-        return F.struct(out.alias("out"), (~merge & (x == F.lit(a))).alias("open"))
 
-    return F.aggregate(symbols, init, step, lambda acc: acc["out"])
+def _sorted(postings: DataFrame, ranged: bool = True) -> DataFrame:
+    """Written in order of pair and word, so that a filter on the pair skips files and row groups; a frequent pair is dealt over several.
+
+    A round's own part is sorted as its words lie (``ranged`` would compute it twice, to sample it).
+    """
+    return stored_table((postings.repartitionByRange("pair", "word") if ranged else postings).sortWithinPartitions("pair", "word"))
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    n = F.size("symbols")
-    z = F.arrays_zip(F.slice("symbols", 1, n - 1).alias("a"), F.slice("symbols", 2, n - 1).alias("b"))
-    return words.where(n > 1).select(F.explode(z).alias("p"), "freq").groupBy(
-        F.col("p.a").alias("a"), F.col("p.b").alias("b")
-    ).agg(F.sum("freq").alias("count"))
+def _total(counts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, counts).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
 
 
-def train_bpe(spark: SparkSession, docs: DataFrame, n_merges: int, text_col: str = "text",
-              checkpoint_every: int = 5) -> DataFrame:
+def train_bpe(spark: SparkSession, docs: DataFrame, n_merges: int, text_col: str = "text", compact_every: int = 16) -> DataFrame:
     """Learn ``n_merges`` merges; returns (rank, a, b, merged, count).
 
-    Ties on the count break on the pair text (a, then b) so the result is
-    deterministic.  Stops early only when no adjacent pair is left.
+    Ties on the count break on the marked pair (its first symbol, then its
+    second) so the result is deterministic.  Stops early only when no adjacent pair is left.
     """
     ensure_checkpoint_dir(spark)
-    words = reliable_checkpoint(word_table(docs, text_col))
+    words = word_table(docs, text_col).select("word", "freq", F.lit("").alias("old"))
+    index = [_sorted(_postings(words, 0))]
+    counts = [stored_table(index[0].groupBy("pair").agg(F.sum("diff").alias("n")))]
     merges = []
     for rank in range(1, n_merges + 1):
-        best = pair_counts(words).orderBy(F.desc("count"), "a", "b").limit(1).collect()
+        best = _total(counts).orderBy(F.desc("n"), "pair").limit(1).collect()
         if not best:
             break
-        a, b, cnt = best[0]["a"], best[0]["b"], int(best[0]["count"])
-        merges.append((rank, a, b, a + b, cnt))
-        words = words.select(merge_pair(F.col("symbols"), a, b).alias("symbols"), "freq")
-        if rank % checkpoint_every == 0:
-            words = reliable_checkpoint(words)
+        pair = best[0]["pair"]
+        a, b = pair[1:-1].split(CLOSE + OPEN)
+        merges.append((rank, unmarked(a), unmarked(b), unmarked(a) + unmarked(b), int(best[0]["n"])))
+        if rank == n_merges:
+            break
+        found = reduce(DataFrame.unionByName, [part.where(F.col("pair") == pair) for part in index])
+        # a word has a posting of each round that changed it; the last one counts
+        latest = found.groupBy(F.translate("word", OPEN + CLOSE, "").alias("_key")).agg(F.max_by(F.struct("word", "freq", "live"), "round").alias("w"))
+        touched = latest.where("w.live").select(F.col("w.word").alias("old"), F.replace(F.col("w.word"), F.lit(pair), F.lit(f"{OPEN}{a}{b}{CLOSE}")).alias("word"), "w.freq")
+        index.append(_sorted(_postings(touched, rank), ranged=False))
+        counts.append(stored_table(index[-1].groupBy("pair").agg(F.sum("diff").alias("n")).where(F.col("n") != 0)))
+        if len(index) > compact_every:
+            index = [index[0], _sorted(reduce(DataFrame.unionByName, index[1:]))]
+            counts = [stored_table(_total(counts))]
     return spark.createDataFrame(merges, "rank int, a string, b string, merged string, count bigint")

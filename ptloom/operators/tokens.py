@@ -2,9 +2,8 @@
 FN-9 .. FN-11, V-23, V-24, W-2, W-3, L-7 .. L-11).
 
 The default tokenizer is characters (code points); a vocabulary is a
-DataFrame ``(ch, id)``.  Encoding explodes characters with their position and
-joins the vocabulary (broadcast only under a checked size); long documents
-are never collected anywhere but their own row.
+DataFrame ``(ch, id)``.  Texts are encoded and decoded inside their own row
+(``ptloom.operators.codec``).
 """
 
 from __future__ import annotations
@@ -13,9 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ptloom import constants as K
-from ptloom.operators.joins import checked_broadcast
-
-VOCAB_BROADCAST_ROWS = 1_200_000  # a code-point vocabulary is at most ~1.1 M rows
+from ptloom.operators import codec
 
 
 def chars(text: Column) -> Column:
@@ -23,11 +20,6 @@ def chars(text: Column) -> Column:
     return F.when(F.char_length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
 
 
-def char_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Long form (id, pos, ch), pos 0-based (the ``tokens`` input)."""
-    return docs.select(id_col, F.posexplode(chars(F.col(text_col))).alias("pos", "ch"))
-
-
 def char_vocab(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """A-16: characters, their frequency and ids in code-point order.
 
@@ -40,49 +32,44 @@ def char_vocab(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counts.withColumn("id", (F.row_number().over(Window.orderBy("ch")) - 1).cast("int"))
 
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    return checked_broadcast(vocab, VOCAB_BROADCAST_ROWS)
-
-
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """FN-9: text → ids (array<int> in position order); unknown characters → null id."""
-    toks = char_tokens(docs, id_col, text_col)
-    j = toks.join(_vocab_side(vocab.select("ch", "id")), "ch", "left")
-    enc = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    enc = enc.select(id_col, F.transform("_p", lambda x: x["id"]).alias("ids"))
-    # documents with no characters have no token rows; give them an empty id list
-    empty = docs.where(F.char_length(text_col) == 0).select(id_col, F.array().cast("array<int>").alias("ids"))
-    return enc.unionByName(empty)
+    """FN-9: text → ids (array<int>), one row for each row of ``docs``; unknown characters → null id."""
+    to_ids = codec.char_encoder(docs.sparkSession, *codec.collect_vocabulary(vocab))
+    return docs.select(id_col, to_ids(F.col(text_col)).alias("ids"))
 
 
-def encode_long(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """FN-9 in long form: one row per token (id, pos, ch, token id) — the token table.
+def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """FN-10: ids → text, one row for each row of ``ids``; unknown (null) ids are skipped."""
+    to_text = codec.decoder(ids.sparkSession, dict(zip(*codec.collect_vocabulary(vocab))))
+    return ids.select(id_col, to_text(F.col("ids")).alias("decoded"))
 
-    One broadcast join, no regrouping: this is the shape token shards and
-    statistics consume at scale."""
-    toks = char_tokens(docs, id_col, text_col)
-    return toks.join(_vocab_side(vocab.select("ch", F.col("id").alias("tok"))), "ch", "left")
 
+def n_words(text: Column) -> Column:
+    """Words between white space."""
+    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
 
-def decode_long(tokens_long: DataFrame, vocab: DataFrame) -> DataFrame:
-    """FN-10 / FN-11 in long form: token id → token string at each position."""
-    v = vocab.select(F.col("id").alias("tok"), F.col("ch").alias("decoded"))
-    return tokens_long.join(_vocab_side(v), "tok", "left")
 
+def counts_by_tokenizer(docs: DataFrame, counts: dict[str, Column], group_col: str = "lang", word: str = "word", char: str = "char") -> DataFrame:
+    """A-15: a row for each group and tokenizer, from one pass over ``docs``; ``counts`` maps a
+    tokenizer to a text's number of tokens and includes ``word`` and ``char``, to which the ratios refer.
 
-def decode(ids: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """FN-10 / FN-11: ids → token strings → text; unknown (null) ids are skipped."""
-    long = ids.select(id_col, F.posexplode_outer("ids").alias("pos", "id"))
-    j = long.join(_vocab_side(vocab.select("ch", "id")), "id", "left")
-    return j.groupBy(id_col).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "ch"))), lambda x: x["ch"]), "").alias("decoded")
-    )
+    A null text counts as a document without tokens; ratios to nothing are null.
+    """
+    d = docs.select(group_col, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"_n_{k}") for k, c in counts.items()])
+    g = d.groupBy(group_col).agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"), *[
+        F.struct(F.sum(f"_n_{k}").alias("n"), F.max(f"_n_{k}").alias("most")).alias(f"_{k}") for k in counts])
+    g = g.select(group_col, "n_docs", F.col(f"_{word}.n").alias("_words"), F.col(f"_{char}.n").alias("_chars"), F.explode(F.array(*[
+        F.struct(F.lit(k).alias("tokenizer"), F.col(f"_{k}.n").alias("n"), F.col(f"_{k}.most").alias("most")) for k in counts])).alias("t"))
+    ratio = lambda a, b: F.round(a / F.nullif(b, F.lit(0)), 6)
+    return g.select(group_col, "t.tokenizer", "n_docs", F.col("t.n").alias("n_tokens"), F.col("t.most").alias("max_tokens"),
+                    ratio(F.col("t.n"), F.col("n_docs")).alias("mean_tokens"), ratio(F.col("t.n"), F.col("_words")).alias("tokens_per_word"),
+                    ratio(F.col("_chars"), F.col("t.n")).alias("chars_per_token"))
 
 
 def length_stats(docs: DataFrame, group_col: str = "lang", text_col: str = "text") -> DataFrame:
     """A-14 / A-15: token (character) and word counts per group: mean, max, median."""
     d = docs.select(group_col, F.char_length(text_col).alias("n_tok"),
-                    F.size(F.filter(F.split(F.col(text_col), r"\s+"), lambda w: w != "")).alias("n_words"))
+                    n_words(F.col(text_col)).alias("n_words"))
     return d.groupBy(group_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_docs"),
         F.sum("n_tok").cast("bigint").alias("n_tokens"),

@@ -447,27 +447,21 @@ def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def encode_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN-9, FN-10, FN-11, V-23: vocabulary from the train split; every document is
-    encoded to token ids and decoded back position by position (long form, two
-    broadcast joins, no regrouping); a document round-trips when every position
-    decodes to its own character."""
-    from ptloom.operators import tokens
+    """FN-9, FN-10, V-23: vocabulary from the train split; every document is encoded
+    to token ids and decoded back inside its own row (a broadcast table of bounded
+    size, no row for a character); a document round-trips when its text comes back."""
+    from ptloom.operators import codec, tokens
 
     d = _docs_split(spark, sf_dir)
-    # the vocabulary is small: materialise it once so the size check and both joins read it
-    vocab = reliable_checkpoint(tokens.char_vocab(d.where(F.col("split") == "train")).select("ch", "id"))
-    dec = tokens.decode_long(tokens.encode_long(d, vocab), vocab)
-    per_doc = dec.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_tok"),
-        F.sum(F.when(F.col("tok").isNull(), 1).otherwise(0)).alias("n_unk"),
-        F.sum(F.when(F.col("decoded") == F.col("ch"), 0).otherwise(1)).alias("n_diff"),
-    )
-    j = d.select("doc_id", "split").join(per_doc, "doc_id", "left")
-    return j.groupBy("split").agg(
+    chars, ids = codec.collect_vocabulary(tokens.char_vocab(d.where(F.col("split") == "train")))
+    enc = d.select("split", "text", codec.char_encoder(spark, chars, ids)(F.col("text")).alias("ids"))
+    dec = enc.select("*", codec.decoder(spark, dict(zip(chars, ids)))(F.col("ids")).alias("decoded"))
+    n_tok = F.coalesce(F.size("ids"), F.lit(0))
+    return dec.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_docs"),
-        F.sum(F.when(F.coalesce(F.col("n_diff"), F.lit(0)) == 0, 1).otherwise(0)).cast("bigint").alias("n_roundtrip_ok"),
-        F.sum(F.coalesce(F.col("n_tok"), F.lit(0))).cast("bigint").alias("n_tokens"),
-        F.sum(F.coalesce(F.col("n_unk"), F.lit(0))).cast("bigint").alias("n_unknown"),
+        F.sum(F.col("decoded").eqNullSafe(F.col("text")).cast("int")).cast("bigint").alias("n_roundtrip_ok"),
+        F.sum(n_tok).cast("bigint").alias("n_tokens"),
+        F.sum(n_tok - F.coalesce(F.size(F.array_compact("ids")), F.lit(0))).cast("bigint").alias("n_unknown"),
     )
 
 
@@ -615,13 +609,59 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BPE_MERGES = 10
+
+
 @query
 def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A-17: the first 10 BPE merges learned on the whole document corpus (iterative:
-    no SQL twin; checked against a brute-force learner in the tests)."""
+    """A-17: the first 10 BPE merges learned on the whole document corpus, by an index
+    from pair to words, so that a round reads only the words it changes."""
     from ptloom.operators.bpe import train_bpe
 
-    return train_bpe(spark, Tables(spark, sf_dir).documents, 10, checkpoint_every=1)
+    return train_bpe(spark, Tables(spark, sf_dir).documents, BPE_MERGES)
+
+
+def _bpe(spark: SparkSession, docs: DataFrame):
+    """The learned tokenizer: encoder column function and the tokens' ids."""
+    from ptloom.operators import bpe, codec, tokens
+
+    chars, ids = codec.collect_vocabulary(tokens.char_vocab(docs))
+    merges = [(r["a"], r["b"]) for r in bpe.train_bpe(spark, docs, BPE_MERGES).orderBy("rank").collect()]
+    return codec.bpe_encoder(spark, chars, ids, merges), dict(zip(chars, ids)) | codec.merged_ids(ids, merges), len(ids)
+
+
+@query
+def bpe_encode_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-9, FN-10, V-23: every document encoded with the merges learned on the corpus and
+    decoded again; tokens, merged tokens, sum of ids and exact round trips per language."""
+    from ptloom.operators import codec
+
+    d = Tables(spark, sf_dir).documents
+    encode, known, n_chars = _bpe(spark, d)
+    enc = d.select("lang", "text", encode(F.col("text")).alias("ids"))
+    enc = enc.select("*", codec.decoder(spark, known)(F.col("ids")).alias("decoded"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return enc.groupBy("lang").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+        total(F.size("ids")).alias("n_tokens"),
+        total(F.size(F.filter("ids", lambda x: x >= n_chars))).alias("n_merged_tokens"),
+        total(F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, x: acc + x)).alias("sum_ids"),
+        F.sum(F.col("decoded").eqNullSafe(F.col("text")).cast("int")).cast("bigint").alias("n_roundtrip_ok"),
+    )
+
+
+@query
+def token_counts_by_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-15: token counts per language and tokenizer (bytes, characters, words, learned BPE),
+    all tokenizers in one pass over the texts, with ratios to words and to characters."""
+    from ptloom.operators import tokens
+
+    d = Tables(spark, sf_dir).documents
+    encode, _, _ = _bpe(spark, d)
+    return tokens.counts_by_tokenizer(d, {
+        "byte": F.octet_length("text"), "char": F.char_length("text"), "word": tokens.n_words(F.col("text")),
+        "bpe": F.size(encode(F.col("text"))),
+    }, "lang")
 
 
 # ----------------------------------------------------------------------- runs
@@ -795,18 +835,19 @@ def model_outputs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-10, FN-9: documents encoded with the corpus vocabulary, written as
-    range-partitioned Parquet token shards, scanned back and counted per split."""
-    from ptloom.operators import tokens
+    range-partitioned Parquet token shards, scanned back and counted per split; ids are
+    made inside the row, so a shard's shuffle moves documents, not characters."""
+    from ptloom.operators import codec, tokens
     from ptloom.sources import textio
 
     d = _docs_split(spark, sf_dir)
-    vocab = reliable_checkpoint(tokens.char_vocab(d).select("ch", "id"))
-    enc = tokens.encode(d, vocab).join(d.select("doc_id", "split"), "doc_id")
+    to_ids = codec.char_encoder(spark, *codec.collect_vocabulary(tokens.char_vocab(d)))
+    enc = d.select("doc_id", "split", to_ids(F.col("text")).alias("ids"))
     path = textio.scratch_path(spark, "token-shards")
     textio.write_token_shards(enc, path)
     back = spark.read.parquet(path)
     return back.groupBy("split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_docs"),
-        F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
-        F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, x: acc + x)).cast("bigint").alias("sum_ids"),
+        F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.coalesce(F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, x: acc + x)), F.lit(0)).cast("bigint").alias("sum_ids"),
     )

@@ -474,20 +474,25 @@ SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg(score), 3) AS mean_score,
 FROM scored GROUP BY model"""
 ORACLE["model_summary"] = EVAL_CTES + MODEL_SUMMARY
 
-COMPARE = """
+# one row per prompt by a group-by, no self-join
+def _side(model: str, col: str) -> str:
+    return f"any_value({col}) FILTER (WHERE model = '{model}')"
+
+
+_FLAGS = ("is_valid_json", "has_tool_key", "tool_correct", "has_arguments", "score")
+COMPARE = f"""
+, sides AS (
+  SELECT prompt_id, any_value(prompt) AS prompt, any_value(expected_tool) AS expected_tool,
+         {", ".join(f"{_side(m, c)} AS {m}_{c}" for m in ("base", "tuned") for c in ("output", *_FLAGS))}
+  FROM scored GROUP BY prompt_id HAVING count(*) FILTER (WHERE model = 'base') > 0 AND count(*) FILTER (WHERE model = 'tuned') > 0)
 , cmp AS (
-  SELECT a.prompt_id, a.prompt, a.expected_tool, a.output AS base_output, b.output AS tuned_output,
-         regexp_replace(a.output, '\\s', '', 'g') <> '' AS base_answered, regexp_replace(b.output, '\\s', '', 'g') <> '' AS tuned_answered,
+  SELECT *, regexp_replace(base_output, '\\s', '', 'g') <> '' AS base_answered, regexp_replace(tuned_output, '\\s', '', 'g') <> '' AS tuned_answered,
          CAST(1 AS BIGINT) AS base_n_outputs, CAST(1 AS BIGINT) AS tuned_n_outputs,
-         a.is_valid_json AS base_is_valid_json, a.has_tool_key AS base_has_tool_key, a.tool_correct AS base_tool_correct,
-         a.has_arguments AS base_has_arguments, a.score AS base_score,
-         b.is_valid_json AS tuned_is_valid_json, b.has_tool_key AS tuned_has_tool_key, b.tool_correct AS tuned_tool_correct,
-         b.has_arguments AS tuned_has_arguments, b.score AS tuned_score,
-         CAST(round((b.score - a.score) * 10) AS BIGINT) AS diff_tenths,
-         CASE WHEN b.score - a.score > 0 THEN '↑' WHEN b.score - a.score < 0 THEN '↓' ELSE '→' END AS direction,
-         CASE WHEN a.is_valid_json THEN '✓' ELSE '✗' END AS tick_a,
-         CASE WHEN b.is_valid_json THEN '✓' ELSE '✗' END AS tick_b
-  FROM scored a JOIN scored b ON a.prompt_id = b.prompt_id AND a.model = 'base' AND b.model = 'tuned')
+         CAST(round((tuned_score - base_score) * 10) AS BIGINT) AS diff_tenths,
+         CASE WHEN tuned_score - base_score > 0 THEN '↑' WHEN tuned_score - base_score < 0 THEN '↓' ELSE '→' END AS direction,
+         CASE WHEN base_is_valid_json THEN '✓' ELSE '✗' END AS tick_a,
+         CASE WHEN tuned_is_valid_json THEN '✓' ELSE '✗' END AS tick_b
+  FROM sides)
 """
 ORACLE["model_compare_detail"] = EVAL_CTES + COMPARE + "SELECT * FROM cmp"
 
@@ -509,9 +514,9 @@ SELECT CAST(count(*) AS BIGINT) AS n,
 FROM cmp"""
 
 ORACLE["improved_regressed"] = EVAL_CTES + COMPARE + """
-SELECT prompt_id, substring(t.prompt, 1, 50) AS prompt_preview, diff_tenths,
+SELECT prompt_id, substring(prompt, 1, 50) AS prompt_preview, diff_tenths,
        CASE WHEN diff_tenths > 0 THEN 'improved' ELSE 'regressed' END AS kind
-FROM cmp JOIN toolcalls t ON t.key = cmp.prompt_id WHERE diff_tenths <> 0"""
+FROM cmp WHERE diff_tenths <> 0"""
 
 ORACLE["reward_average"] = EVAL_CTES + """
 SELECT model, CAST(count(*) AS BIGINT) AS n, round(avg((tool_correct AND args_exact)::INT), 6) AS avg_reward,
@@ -638,6 +643,77 @@ SELECT bucket, pack_id, CAST(count(*) AS BIGINT) AS n_docs,
        CAST(sum(least(before + n_tok, (pack_id + 1) * 4096) - greatest(before, pack_id * 4096)) AS BIGINT) AS n_tokens
 FROM p GROUP BY 1, 2"""
 
+# BPE: words as strings of symbols between two marks, one CTE for each round (as many as the query learns)
+BPE_ROUNDS = 10
+SPACES = r"' \t\n\x0B\f\r'"[1:-1]
+_ESC = "replace(replace(replace(w, chr(3), chr(3) || 'c'), chr(1), chr(3) || 'a'), chr(2), chr(3) || 'b')"
+_SYMS = "string_split(substring(sym, 2, length(sym) - 2), chr(2) || chr(1))"
+
+
+def bpe_ctes(rounds: int = BPE_ROUNDS) -> str:
+    ctes = [rf"""doc_words AS MATERIALIZED (
+  SELECT lang, w, count(*) AS freq FROM (SELECT lang, unnest(regexp_extract_all(text, '[^{SPACES}]{{1,256}}')) AS w FROM documents) GROUP BY lang, w)""",
+            rf"""s0 AS MATERIALIZED (
+  SELECT w, sum(freq) AS freq, regexp_replace({_ESC}, '(?s)(\x03?.)', chr(1) || '\1' || chr(2), 'g') AS sym FROM doc_words GROUP BY w)"""]
+    for r in range(rounds):
+        ctes.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT p[1] AS a, p[2] AS b, n FROM (
+    SELECT p, sum(freq) AS n FROM (
+      SELECT freq, unnest(list_transform(range(1, len(x)), lambda i: [x[i], x[i + 1]])) AS p FROM (SELECT freq, {_SYMS} AS x FROM s{r})) GROUP BY p)
+  ORDER BY n DESC, chr(1) || p[1] || chr(2) || chr(1) || p[2] || chr(2) LIMIT 1)""")
+        ctes.append(f"""s{r + 1} AS MATERIALIZED (
+  SELECT w, freq, coalesce(replace(sym, chr(1) || a || chr(2) || chr(1) || b || chr(2), chr(1) || a || b || chr(2)), sym) AS sym FROM s{r} LEFT JOIN b{r + 1} ON true)""")
+    return ", ".join(ctes)
+
+
+def _plain(x: str) -> str:
+    return f"replace(replace(replace({x}, chr(3) || 'b', chr(2)), chr(3) || 'a', chr(1)), chr(3) || 'c', chr(3))"
+
+
+MERGES = "merges AS (" + " UNION ALL ".join(
+    f"SELECT {r} AS rank, {_plain('a')} AS a, {_plain('b')} AS b, CAST(n AS BIGINT) AS count FROM b{r}" for r in range(1, BPE_ROUNDS + 1)) + ")"
+ORACLE["bpe_merges"] = f"WITH {bpe_ctes()}, {MERGES} SELECT rank, a, b, a || b AS merged, count FROM merges"
+
+# what a word comes to: its symbols after the last round, their ids after the characters' ids
+BPE_WORDS = f"""{bpe_ctes()}, {MERGES}
+, vocab AS (SELECT ch, row_number() OVER (ORDER BY ch) - 1 AS id FROM (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0))
+, n_vocab AS (SELECT count(*) AS v FROM vocab)
+, known AS (
+  SELECT ch AS tok, id FROM vocab
+  UNION ALL SELECT a || b, min(rank) - 1 + any_value(v) FROM merges, n_vocab GROUP BY a || b)
+, word_toks AS (
+  SELECT w, count(*) AS n_tokens, count(*) FILTER (WHERE id >= v) AS n_merged, sum(id) AS sum_ids
+  FROM (SELECT w, unnest(list_transform({_SYMS}, lambda x: {_plain('x')})) AS tok FROM s{BPE_ROUNDS}) JOIN known USING (tok), n_vocab GROUP BY w)
+, lang_words AS (
+  SELECT lang, sum(freq * n_tokens) AS n_tokens, sum(freq * n_merged) AS n_merged, sum(freq * sum_ids) AS sum_ids FROM doc_words JOIN word_toks USING (w) GROUP BY lang)
+, lang_space AS (
+  SELECT lang, count(*) AS n_tokens, sum(id) AS sum_ids
+  FROM (SELECT lang, unnest(regexp_extract_all(text, '[{SPACES}]')) AS ch FROM documents) JOIN vocab USING (ch) GROUP BY lang)
+"""
+ORACLE["bpe_encode_stats"] = f"""WITH {BPE_WORDS}
+SELECT d.lang, CAST(d.n_docs AS BIGINT) AS n_docs, CAST(coalesce(w.n_tokens, 0) + coalesce(s.n_tokens, 0) AS BIGINT) AS n_tokens,
+       CAST(coalesce(n_merged, 0) AS BIGINT) AS n_merged_tokens, CAST(coalesce(w.sum_ids, 0) + coalesce(s.sum_ids, 0) AS BIGINT) AS sum_ids,
+       CAST(d.n_docs AS BIGINT) AS n_roundtrip_ok
+FROM (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang) d
+LEFT JOIN lang_words w ON d.lang IS NOT DISTINCT FROM w.lang LEFT JOIN lang_space s ON d.lang IS NOT DISTINCT FROM s.lang"""
+
+ORACLE["token_counts_by_tokenizer"] = f"""WITH {BPE_WORDS}
+, doc_bpe AS (
+  SELECT rid, lang, text, len(regexp_extract_all(text, '[{SPACES}]')) + coalesce(sum(n_tokens), 0) AS n
+  FROM (SELECT rid, lang, text, unnest(CASE WHEN len(ws) > 0 THEN ws ELSE [NULL] END) AS w
+        FROM (SELECT row_number() OVER () AS rid, lang, text, regexp_extract_all(text, '[^{SPACES}]{{1,256}}') AS ws FROM documents))
+  LEFT JOIN word_toks USING (w) GROUP BY rid, lang, text)
+, per AS (
+  SELECT lang, octet_length(encode(text)) AS byte, length(text) AS char, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS word, n AS bpe FROM doc_bpe)
+, long AS (
+  SELECT lang, unnest(['byte', 'char', 'word', 'bpe']) AS tokenizer, unnest([coalesce(byte, 0), coalesce(char, 0), coalesce(word, 0), coalesce(bpe, 0)]) AS n FROM per)
+, g AS (SELECT lang, tokenizer, count(*) AS n_docs, sum(n) AS n, max(n) AS most FROM long GROUP BY lang, tokenizer)
+SELECT lang, tokenizer, CAST(n_docs AS BIGINT) AS n_docs, CAST(n AS BIGINT) AS n_tokens, CAST(most AS BIGINT) AS max_tokens,
+       round(n / n_docs, 6) AS mean_tokens,
+       round(n / nullif(max(n) FILTER (WHERE tokenizer = 'word') OVER (PARTITION BY lang), 0), 6) AS tokens_per_word,
+       round(max(n) FILTER (WHERE tokenizer = 'char') OVER (PARTITION BY lang) / nullif(n, 0), 6) AS chars_per_token
+FROM g"""
+
 # ----------------------------------------------------------------------- runs
 RUNLOG = """
 runlog AS (

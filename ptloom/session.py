@@ -77,3 +77,21 @@ def reliable_checkpoint(df):
         return p.checkpoint(eager=True)
     finally:
         p.unpersist()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """The package on the Python workers' path, for functions that run there (a no-op where it is installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def stored_table(df):
+    """``df`` written once as Parquet to the session's shared checkpoint folder and read from there."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/ptloom-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

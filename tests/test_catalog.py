@@ -15,7 +15,7 @@ from ptloom.plans.oracle import ORACLE  # noqa: E402
 from ptloom.sources.tables import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"bpe_merges"}  # iterative; checked against a brute-force learner in test_tokens
+NO_ORACLE = set()
 
 
 @pytest.fixture(scope="module")

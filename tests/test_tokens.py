@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ptloom.operators import bpe, split, tokens
+from ptloom.operators import bpe, codec, split, tokens
 
 TEXTS = ["low lower lowest", "newer wider new", "", "é😀 ü", "aaa aaaa"]
 
@@ -66,8 +66,54 @@ def brute_bpe(texts, n):
 
 
 def test_bpe_matches_brute_force(spark):
-    got = bpe.train_bpe(spark, _docs(spark), 8, checkpoint_every=3).orderBy("rank").collect()
-    assert [(r.a, r.b, r["count"]) for r in got] == brute_bpe(TEXTS, 8)
+    for every in (16, 2):
+        got = bpe.train_bpe(spark, _docs(spark), 8, compact_every=every).orderBy("rank").collect()
+        assert [(r.a, r.b, r["count"]) for r in got] == brute_bpe(TEXTS, 8)
+
+
+def test_bpe_stops_without_pairs_and_handles_marks(spark):
+    texts = ["\x01\x02 \x01\x02\x03 \x03a", "ab\x03", None, "x" * 300]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = bpe.train_bpe(spark, d, 40).orderBy("rank").collect()
+    import re
+    words = [w for t in texts if t for w in re.findall(r"\S{1,256}", t)]
+    want = brute_bpe([" ".join(words)], 40)
+    assert len(got) == len(want) and got[0]["count"] == want[0][2] and (got[0].a, got[0].b) == ("x", "x")
+    assert {(r.a, r.b, r["count"]) for r in got} == set(want)
+
+
+def test_bpe_encode_is_greedy_by_rank_and_decodes(spark):
+    texts = [*TEXTS, None, "lower  newest\n\tlow é", "unseen Ω low", "w" * 700, TEXTS[0]]
+    d = spark.createDataFrame([(i % 7, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    chars, ids = codec.collect_vocabulary(tokens.char_vocab(_docs(spark)))
+    merges = [(r.a, r.b) for r in bpe.train_bpe(spark, _docs(spark), 8).orderBy("rank").collect()]
+    known = dict(zip(chars, ids)) | codec.merged_ids(ids, merges)
+    enc, dec = codec.bpe_encoder(spark, chars, ids, merges), codec.decoder(spark, known)
+    got = d.select("text", enc(F.col("text")).alias("ids")).select("*", dec(F.col("ids")).alias("back"), codec.token_strings(spark, known)(F.col("ids")).alias("toks")).collect()
+    assert len(got) == len(texts)
+
+    def plain(text):
+        out = []
+        for piece in codec.PIECES.findall(text):
+            s = list(piece)
+            for a, b in merges:
+                i, m = 0, []
+                while i < len(s):
+                    two = s[i:i + 2] == [a, b]
+                    m.append(a + b if two else s[i])
+                    i += 1 + two
+                s = m
+            out += s
+        return out
+
+    for r in got:
+        if r.text is None:
+            assert r.ids is None and r.back is None and r.toks is None
+            continue
+        assert r.ids == [known.get(t) for t in plain(r.text)]
+        assert r.toks == [t if t in known else None for t in plain(r.text)]
+        assert r.back == "".join(t for t in plain(r.text) if t in known)
+    assert {r.back for r in got if r.text in TEXTS} == set(TEXTS)
 
 
 def test_exact_split_is_partition_and_stable(spark):
@@ -91,9 +137,14 @@ def test_exact_split_with_duplicate_keys(spark):
         assert s.where("split = 'val'").count() == int(900 * ratio)
 
 
-def test_long_form_roundtrip(spark):
-    d = _docs(spark)
-    vocab = tokens.char_vocab(d.where(F.col("doc_id") != 3))  # doc 3 has characters unseen elsewhere
-    dec = tokens.decode_long(tokens.encode_long(d, vocab), vocab)
-    bad = {r.doc_id for r in dec.where(F.col("decoded").isNull() | (F.col("decoded") != F.col("ch"))).collect()}
-    assert bad == {3}
+def test_rows_are_kept_by_encoding(spark):
+    d = spark.createDataFrame([(1, "ab"), (2, None), (3, ""), (4, "ab"), (4, "ba"), (5, "a😀é"), (6, "aΩ")], "doc_id long, text string").repartition(3)
+    vocab = tokens.char_vocab(d.where("doc_id <> 6"))
+    enc = tokens.encode(d, vocab)
+    ids = {c: i for c, i in zip(*codec.collect_vocabulary(vocab))}
+    got = sorted(((r.doc_id, r.ids) for r in enc.collect()), key=str)
+    assert got == sorted([(1, [ids["a"], ids["b"]]), (2, None), (3, []), (4, [ids["a"], ids["b"]]), (4, [ids["b"], ids["a"]]), (5, [ids[c] for c in "a😀é"]), (6, [ids["a"], None])], key=str)
+    back = sorted(((r.doc_id, r.decoded) for r in tokens.decode(enc, vocab).collect()), key=str)
+    assert back == sorted([(1, "ab"), (2, None), (3, ""), (4, "ab"), (4, "ba"), (5, "a😀é"), (6, "a")], key=str)
+    plain = tokens.decode(tokens.encode(spark.createDataFrame([(1, "ab")], "doc_id long, text string"), vocab), vocab)
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
