@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ptloom.functions.hashing import seeded_hash
 from ptloom.operators.joins import checked_broadcast
-from ptloom.operators.ordered import join_null_safe, running_aggregate, row_number_in_group
+from ptloom.operators.ordered import join_null_safe
+from ptloom.operators.scan import asof_join, exact_quantiles, segmented_scan
 
 R6 = lambda c: F.round(c, 6)
 
@@ -78,24 +79,37 @@ def step_time_summary(rl: DataFrame) -> DataFrame:
         R6(F.avg(F.when(tr, F.col("ms")))).alias("train_ms_mean"),
         F.min(F.when(tr, F.col("ms"))).alias("train_ms_min"),
         F.max(F.when(tr, F.col("ms"))).alias("train_ms_max"),
-        R6(F.percentile(F.when(tr, F.col("ms")), 0.5)).alias("train_ms_p50"),
         R6(F.avg(F.when(~tr, F.col("ms")))).alias("eval_ms_mean"),
         F.sum(F.when(~tr, 1).otherwise(0)).cast("bigint").alias("n_eval"),
     )
+    half = exact_quantiles(rl.where(tr), ["run_id"], "ms", {"train_ms_p50": 0.5})
+    g = join_null_safe(g, half, ["run_id"]).withColumn("train_ms_p50", R6(F.col("train_ms_p50")))
     w = Window.partitionBy(F.lit(0))  # over the per-run summary only (one row per run)
     return g.withColumn("train_ms_vs_mean", R6(F.col("train_ms_mean") - F.avg("train_ms_mean").over(w)))
 
 
+def align_runs(rl: DataFrame, base: str, split: str = "train") -> DataFrame:
+    """A-30: every point of every other run beside the base run's last point at or before the same share of progress.
+
+    Progress is the step as a share of the run's last step, so runs of different length are
+    compared over their whole course; a point before the base run's first one has no match (null).  One scan
+    orders all runs' points and the base run's by progress: no run is a join key.
+    """
+    t = rl.where(F.col("split") == split).select("run_id", "step", "loss")
+    ends = rl.groupBy("run_id").agg(F.max("step").alias("_end"))
+    t = join_null_safe(t, ends, ["run_id"]).withColumn("progress", F.col("step") / F.col("_end")).drop("_end")
+    mine = ~F.col("run_id").eqNullSafe(F.lit(base))
+    other = t.where(~mine).select("step", "loss", "progress")
+    a = asof_join(t.where(mine), other, [], "progress", ties=["step"], match="_base")
+    return a.select("run_id", "step", R6(F.col("progress")).alias("progress"), R6(F.col("loss")).alias("loss"), F.col("_base.step").alias("base_step"),
+                    R6(F.col("_base.loss")).alias("base_loss"), R6(F.col("loss") - F.col("_base.loss")).alias("change"), F.col("_base").isNotNull().alias("matched"))
+
+
 def loss_deltas(rl: DataFrame) -> DataFrame:
-    """W-4 / W-5: ordinal inside (run, split), change since the previous point
-    (equi-join on ordinal - 1: the join key is unique, so a hot run does not skew
-    it) and the new-best flag (skew-safe running minimum of earlier points)."""
-    o = row_number_in_group(rl.select("run_id", "split", "step", "loss"), ["run_id", "split"], ["step"], out_col="ord")
-    prev = o.select("run_id", "split", (F.col("ord") + 1).alias("ord"), F.col("loss").alias("prev_loss"))
-    j = join_null_safe(o, prev, ["run_id", "split", "ord"])
-    best = running_aggregate(j, ["run_id", "split"], ["ord"], value_col="loss", how="min", out_col="best_before",
-                             inclusive=False)
-    return best.select(
+    """W-4 / W-5: ordinal inside (run, split), change since the previous point and the new-best
+    flag, from one scan that carries all three (a run that holds a third of the rows is cut into many partitions)."""
+    s = segmented_scan(rl.select("run_id", "split", "step", "loss"), ["run_id", "split"], ["step"], ordinal="ord", previous={"prev_loss": "loss"}, least={"best_before": "loss"})
+    return s.select(
         "run_id", "split", "ord", "step", R6(F.col("loss")).alias("loss"),
         R6(F.col("loss") - F.col("prev_loss")).alias("delta"),
         F.coalesce(F.col("loss") < F.col("best_before"), F.lit(True)).alias("new_best"),
@@ -103,11 +117,13 @@ def loss_deltas(rl: DataFrame) -> DataFrame:
 
 
 def overfit_flags(deltas: DataFrame) -> DataFrame:
-    """W-6: align the i-th train and val point of a run; flag train falling while val rises."""
-    t = deltas.where(F.col("split") == "train").select("run_id", "ord", F.col("delta").alias("d_train"))
-    v = deltas.where(F.col("split") == "val").select("run_id", "ord", F.col("delta").alias("d_val"))
-    j = join_null_safe(t, v, ["run_id", "ord"], "inner")
-    return j.groupBy("run_id").agg(
+    """W-6: align the i-th train and val point of a run; flag train falling while val rises.
+
+    One group-by of the place brings both sides together (a place has one point of either side)."""
+    side = lambda s, c: F.max(F.when(F.col("split") == s, F.col(c)))
+    j = deltas.groupBy("run_id", "ord").agg(side("train", "delta").alias("d_train"), side("val", "delta").alias("d_val"),
+                                            side("train", "ord").alias("t"), side("val", "ord").alias("v"))
+    return j.where(F.col("t").isNotNull() & F.col("v").isNotNull()).groupBy("run_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_aligned"),
         F.sum(F.when((F.col("d_train") < 0) & (F.col("d_val") > 0), 1).otherwise(0)).cast("bigint").alias("n_overfit"),
     )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ptloom import constants as K
 from ptloom.functions.hashing import ratio_threshold_hex, seeded_hex
-from ptloom.operators.ordered import join_null_safe, running_aggregate, row_number_in_group
+from ptloom.operators.ordered import join_null_safe, row_number_in_group
+from ptloom.operators.scan import segmented_scan
 from ptloom.session import reliable_checkpoint
 
 
@@ -128,18 +129,16 @@ def contiguous_split(df: DataFrame, group_col: str, order_col: str, length_col:
     """L-4: per group, rows whose preceding cumulative length is below ``ratio`` of
     the group total are train, the rest val (a cut by position, not by hash).
 
-    Running sum is skew-safe (range-partitioned); the group totals table has
-    one row per group and is broadcast only below a checked size.
+    The running sum is a skew-safe scan; the group totals come from its result,
+    so the input is not read again for them, and are one row per group.
     """
-    cum = running_aggregate(df, [group_col], [order_col], value_col=length_col, how="sum",
-                            out_col="_before", inclusive=False)
-    totals = df.groupBy(group_col).agg(F.sum(length_col).alias("_total"))
-    from ptloom.operators.joins import checked_broadcast
-
-    j = join_null_safe(cum, checked_broadcast(totals), [group_col], "inner")
+    d = df.withColumn("_len", F.coalesce(F.col(length_col), F.lit(0)).cast("bigint"))
+    cum = segmented_scan(d, [group_col], [order_col], total={"_before": "_len"})
+    totals = cum.groupBy(group_col).agg(F.sum("_len").alias("_total"))
+    j = join_null_safe(cum, totals, [group_col])
     return j.withColumn(
         out_col, F.when(F.col("_before") < F.lit(ratio) * F.col("_total"), "train").otherwise("val")
-    ).drop("_before", "_total")
+    ).drop("_before", "_total", "_len")
 
 
 __all__ = [

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ptloom import constants as K
 from ptloom.operators import codec
+from ptloom.operators.ordered import join_null_safe
+from ptloom.operators.scan import exact_quantiles, segmented_scan
+from ptloom.session import stored_table
 
 
 def chars(text: Column) -> Column:
@@ -67,19 +70,23 @@ def counts_by_tokenizer(docs: DataFrame, counts: dict[str, Column], group_col: s
 
 
 def length_stats(docs: DataFrame, group_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """A-14 / A-15: token (character) and word counts per group: mean, max, median."""
-    d = docs.select(group_col, F.char_length(text_col).alias("n_tok"),
-                    n_words(F.col(text_col)).alias("n_words"))
-    return d.groupBy(group_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_docs"),
-        F.sum("n_tok").cast("bigint").alias("n_tokens"),
-        F.round(F.avg("n_tok"), 6).alias("mean_tokens"),
+    """A-14: token (character) and word counts per group: mean, max, median, 90 %.
+
+    The texts are read once, into a histogram of their lengths; everything else comes from it.
+    """
+    d = docs.select(group_col, F.char_length(text_col).cast("bigint").alias("n_tok"), n_words(F.col(text_col)).alias("n_words"))
+    h = stored_table(d.groupBy(group_col, "n_tok").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words")))
+    total = F.sum(F.col("n_tok") * F.col("n"))
+    g = h.groupBy(group_col).agg(
+        F.sum("n").cast("bigint").alias("n_docs"),
+        total.cast("bigint").alias("n_tokens"),
+        F.round(total / F.sum(F.when(F.col("n_tok").isNotNull(), F.col("n"))), 6).alias("mean_tokens"),
         F.max("n_tok").cast("bigint").alias("max_tokens"),
-        F.round(F.percentile("n_tok", 0.5), 6).alias("p50_tokens"),
-        F.round(F.percentile("n_tok", 0.9), 6).alias("p90_tokens"),
         F.sum("n_words").cast("bigint").alias("n_words"),
-        F.round(F.sum("n_tok") / F.sum("n_words"), 6).alias("tokens_per_word"),
+        F.round(total / F.sum("n_words"), 6).alias("tokens_per_word"),
     )
+    q = exact_quantiles(h, [group_col], "n_tok", {"p50_tokens": 0.5, "p90_tokens": 0.9}, weight_col="n")
+    return join_null_safe(g, q.select(group_col, F.round("p50_tokens", 6).alias("p50_tokens"), F.round("p90_tokens", 6).alias("p90_tokens")), [group_col])
 
 
 def truncation(n_tokens: Column, max_length: int) -> tuple[Column, Column]:
@@ -87,6 +94,40 @@ def truncation(n_tokens: Column, max_length: int) -> tuple[Column, Column]:
     return n_tokens > max_length, F.greatest(n_tokens - max_length, F.lit(0))
 
 
+def truncate_chat(messages: Column, max_length: int, pre: str = K.CHATML_PRE, post: str = K.CHATML_POST) -> Column:
+    """L-9 / V-24: a rendered chat cut to ``max_length`` tokens on the side that spares the answer.
+
+    Returns struct(n_tokens, cut_start, input_ids, labels, answer_kept, lost) where ``lost`` gives the role and
+    the lost tokens of each message.  The window of ``max_length`` tokens ends with the last assistant message if that
+    fits behind what comes before it (tokens are cut on the left, and behind the answer), begins with it
+    where it is longer than the window, and is the first ``max_length`` tokens of a chat without an assistant.
+    One prefix sum over the messages places it; null roles and contents are empty.
+    """
+    text = lambda m: F.concat(F.lit(pre), F.coalesce(m["role"], F.lit("")), F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(post))
+    size = lambda m: F.char_length(text(m))
+    is_answer = lambda m: F.coalesce(m["role"] == "assistant", F.lit(False))
+    zero = F.lit(0)
+    # (end of the messages so far, start and end of the last answer)
+    state = F.aggregate(messages, F.struct(zero.alias("end"), F.lit(-1).alias("a"), F.lit(-1).alias("b")), lambda s, m: F.struct(
+        (s["end"] + size(m)).alias("end"), F.when(is_answer(m), s["end"]).otherwise(s["a"]).alias("a"),
+        F.when(is_answer(m), s["end"] + size(m)).otherwise(s["b"]).alias("b")))
+    start = lambda s: F.when((s["end"] <= max_length) | (s["b"] <= max_length), zero).when(s["b"] - s["a"] > max_length, s["a"]).otherwise(s["b"] - max_length)
+    ids = F.flatten(F.transform(messages, lambda m: code_points(text(m))))
+    labels = F.flatten(F.transform(messages, lambda m: F.when(is_answer(m), code_points(text(m))).otherwise(F.array_repeat(F.lit(K.IGNORE_INDEX), size(m)))))
+    # lost tokens of a message: what lies outside [start, start + max_length)
+    spans = lambda: F.aggregate(messages, F.array().cast("array<struct<role:string,a:int,b:int>>"), lambda acc, m: F.concat(acc, F.array(F.struct(
+        F.coalesce(m["role"], F.lit("")).alias("role"), F.coalesce(F.get(acc, F.size(acc) - 1)["b"], zero).alias("a"),
+        (F.coalesce(F.get(acc, F.size(acc) - 1)["b"], zero) + size(m)).alias("b")))))
+    cut = F.struct(state.alias("s"), start(state).alias("at"))
+    return F.transform(F.array(cut), lambda c: F.struct(
+        c["s"]["end"].alias("n_tokens"), c["at"].alias("cut_start"), F.slice(ids, c["at"] + 1, F.lit(max_length)).alias("input_ids"),
+        F.slice(labels, c["at"] + 1, F.lit(max_length)).alias("labels"),
+        F.when(c["s"]["b"] >= 0, (c["s"]["a"] >= c["at"]) & (c["s"]["b"] <= c["at"] + max_length)).alias("answer_kept"),
+        F.transform(spans(), lambda x: F.struct(x["role"].alias("role"), (x["b"] - x["a"] - F.greatest(
+            F.least(x["b"], c["at"] + max_length) - F.greatest(x["a"], c["at"]), zero)).alias("n_lost"))).alias("lost"),
+    ))[0]
+
+
 def next_token_pairs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """W-2: (token, next token) target pairs inside each document, as counts.
 
@@ -113,20 +154,39 @@ def blocks(docs: DataFrame, block_size: int, id_col: str = "doc_id", text_col: s
                     F.col("p.x").alias("input_text"), F.col("p.y").alias("target_text"))
 
 
+def _spans(docs: DataFrame, size: int, bucket_col: str, order_col: str, length_col: str) -> DataFrame:
+    """``docs`` with a row for each pack that a document touches: ``pack_id``, ``start`` and ``end`` (token places in the document)."""
+    c = segmented_scan(docs.where(F.col(length_col) > 0).withColumn("_len", F.col(length_col).cast("bigint")), [bucket_col], [order_col], total={"_before": "_len"})
+    first, last = F.floor(F.col("_before") / size), F.floor((F.col("_before") + F.col("_len") - 1) / size)
+    c = c.withColumn("pack_id", F.explode(F.sequence(first, last)))
+    return c.withColumn("start", F.greatest(F.col("pack_id") * size - F.col("_before"), F.lit(0)).cast("bigint")).withColumn(
+        "end", F.least((F.col("pack_id") + 1) * size - F.col("_before"), F.col("_len")).cast("bigint"))
+
+
 def pack(docs: DataFrame, size: int, bucket_col: str, order_col: str, length_col: str) -> DataFrame:
     """L-11: concat-and-chunk packing, a row (bucket, pack_id, order column, start, end) for
     each pack that a document touches; ``start`` and ``end`` are token places in the document.
 
     The running sum is skew-safe; documents without tokens touch no pack.
     """
-    from ptloom.operators.ordered import running_aggregate
-
-    c = running_aggregate(docs.where(F.col(length_col) > 0), [bucket_col], [order_col], value_col=length_col, how="sum", out_col="_before", inclusive=False)
-    first, last = F.floor(F.col("_before") / size), F.floor((F.col("_before") + F.col(length_col) - 1) / size)
-    c = c.select(bucket_col, order_col, length_col, "_before", F.explode(F.sequence(first, last)).alias("pack_id"))
-    return c.select(bucket_col, "pack_id", order_col,
-                    F.greatest(F.col("pack_id") * size - F.col("_before"), F.lit(0)).cast("bigint").alias("start"),
-                    F.least((F.col("pack_id") + 1) * size - F.col("_before"), F.col(length_col)).cast("bigint").alias("end"))
+    return _spans(docs.select(bucket_col, order_col, length_col), size, bucket_col, order_col, length_col).select(bucket_col, "pack_id", order_col, "start", "end")
+
+
+def packed_sequences(docs: DataFrame, size: int, bucket_col: str, order_col: str, ids_col: str = "ids") -> DataFrame:
+    """L-11: the packs themselves, (bucket, pack_id, input_ids, segment_ids, position_ids).
+
+    Every pack holds ``size`` tokens but the last one of a bucket; ``segment_ids`` number the documents of a pack from 1 and
+    ``position_ids`` restart at 0 in each segment.  A pack is gathered in one row, which ``size`` bounds;
+    documents that tie in ``order_col`` lie in no defined order.  Null ids (unknown tokens) are tokens; null or empty arrays are no part of a pack.
+    """
+    d = docs.select(bucket_col, order_col, F.col(ids_col).alias("_ids"), F.size(ids_col).alias("_n"))
+    s = _spans(d, size, bucket_col, order_col, "_n")
+    piece = F.struct((F.col("pack_id") * size - F.col("_before")).alias("at"), F.slice("_ids", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("ids"))
+    # at falls as the documents of a pack follow each other: all but the first start behind the pack's start
+    g = s.select(bucket_col, "pack_id", piece.alias("p")).groupBy(bucket_col, "pack_id").agg(F.sort_array(F.collect_list("p"), asc=False).alias("_p"))
+    return g.select(bucket_col, "pack_id", F.flatten("_p.ids").alias("input_ids"),
+                    F.flatten(F.transform("_p", lambda p, i: F.array_repeat(i + 1, F.size(p["ids"])))).alias("segment_ids"),
+                    F.flatten(F.transform("_p", lambda p: F.sequence(F.lit(0), F.size(p["ids"]) - 1))).alias("position_ids"))
 
 
 def code_points(text: Column) -> Column:

@@ -612,6 +612,36 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 BPE_MERGES = 10
 
 
+@query
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-11: the packs of ``packing`` as sequences of 4096 character ids, with segment
+    numbers and positions that restart in each document; digests of all three."""
+    from ptloom.functions.hashing import seeded_hash
+    from ptloom.operators import codec, tokens
+
+    d = Tables(spark, sf_dir).documents
+    to_ids = codec.char_encoder(spark, *codec.collect_vocabulary(tokens.char_vocab(d)))
+    d = d.select("doc_id", F.pmod(seeded_hash(F.col("doc_id").cast("string")), F.lit(8)).alias("bucket"), to_ids(F.col("text")).alias("ids"))
+    p = tokens.packed_sequences(d, 4096, "bucket", "doc_id")
+    digest = lambda c: F.md5(F.array_join(F.col(c).cast("array<string>"), ",")).alias(f"{c}_md5")
+    return p.select("bucket", "pack_id", F.size("input_ids").cast("bigint").alias("n_tokens"), F.array_max("segment_ids").cast("bigint").alias("n_segments"),
+                    digest("input_ids"), digest("segment_ids"), digest("position_ids"))
+
+
+@query
+def truncated_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-9, V-24: every chat sample cut to 512 tokens on the side that spares the answer:
+    where the cut lies, the ids that are left and the tokens lost per role."""
+    from ptloom.operators import tokens
+
+    t = derived.chat(Tables(spark, sf_dir)).select("conv_id", tokens.truncate_chat(F.col("messages"), 512).alias("t"))
+    lost = lambda role: F.aggregate("t.lost", F.lit(0), lambda acc, x: acc + F.when(x["role"] == role, x["n_lost"]).otherwise(0)).cast("bigint").alias(f"lost_{role}")
+    return t.select("conv_id", F.col("t.n_tokens").cast("bigint").alias("n_tokens"), F.col("t.cut_start").cast("bigint").alias("cut_start"),
+                    F.size("t.input_ids").cast("bigint").alias("n_kept"), F.md5(F.array_join(F.col("t.input_ids").cast("array<string>"), ",")).alias("ids_md5"),
+                    F.size(F.filter("t.labels", lambda x: x != K.IGNORE_INDEX)).cast("bigint").alias("n_label_tokens"), "t.answer_kept",
+                    *[lost(r) for r in ("system", "user", "assistant")])
+
+
 @query
 def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-17: the first 10 BPE merges learned on the whole document corpus, by an index
@@ -712,10 +742,18 @@ def step_time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.step_time_summary(_runlog(spark, sf_dir))
 
 
+@query
+def run_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-30: every training point of the other runs beside the last point of the run ``click`` at or before
+    the same share of progress (as-of join), with the change; points without a match are reported."""
+    from ptloom.operators import runs
+
+    return runs.align_runs(_runlog(spark, sf_dir), "click")
+
+
 @query
 def loss_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W-4, W-5: change since the previous evaluation and new-best flag (skew-safe
-    ordering, previous row by an equi-join on the ordinal)."""
+    """W-4, W-5: change since the previous evaluation and new-best flag (one skew-safe scan)."""
     from ptloom.operators import runs
 
     return runs.loss_deltas(_runlog(spark, sf_dir))

@@ -714,6 +714,32 @@ SELECT lang, tokenizer, CAST(n_docs AS BIGINT) AS n_docs, CAST(n AS BIGINT) AS n
        round(max(n) FILTER (WHERE tokenizer = 'char') OVER (PARTITION BY lang) / nullif(n, 0), 6) AS chars_per_token
 FROM g"""
 
+ORACLE["packed_sequences"] = f"""
+WITH vocab AS (SELECT ch, row_number() OVER (ORDER BY ch) - 1 AS id FROM (SELECT DISTINCT unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0)),
+t AS (SELECT bucket, doc_id, generate_subscripts(c, 1) AS i, unnest(c) AS ch FROM (
+  SELECT {H('doc_id')} % 8 AS bucket, doc_id, string_split(text, '') AS c FROM documents WHERE length(text) > 0)),
+p AS (SELECT bucket, doc_id, id, row_number() OVER (PARTITION BY bucket ORDER BY doc_id, i) - 1 AS gp FROM t JOIN vocab USING (ch)),
+q AS (SELECT *, gp // 4096 AS pack_id, row_number() OVER (PARTITION BY bucket, gp // 4096, doc_id ORDER BY gp) - 1 AS pos,
+             dense_rank() OVER (PARTITION BY bucket, gp // 4096 ORDER BY doc_id) AS seg FROM p)
+SELECT bucket, CAST(pack_id AS BIGINT) AS pack_id, CAST(count(*) AS BIGINT) AS n_tokens, CAST(max(seg) AS BIGINT) AS n_segments,
+       md5(string_agg(id, ',' ORDER BY gp)) AS input_ids_md5, md5(string_agg(seg, ',' ORDER BY gp)) AS segment_ids_md5, md5(string_agg(pos, ',' ORDER BY gp)) AS position_ids_md5
+FROM q GROUP BY bucket, pack_id"""
+
+ORACLE["truncated_chat"] = f"""
+WITH p AS (SELECT conv_id, turn, role, {CHATML} AS piece FROM conversations),
+o AS (SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn) AS b, sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn) - length(piece) AS a FROM p),
+c AS (SELECT conv_id, max(b) AS n, arg_max(a, turn) FILTER (WHERE role = 'assistant') AS aa, arg_max(b, turn) FILTER (WHERE role = 'assistant') AS ab,
+             string_agg(piece, '' ORDER BY turn) AS whole FROM o GROUP BY conv_id),
+w AS (SELECT *, CASE WHEN n <= 512 OR coalesce(ab, -1) <= 512 THEN 0 WHEN ab - aa > 512 THEN aa ELSE ab - 512 END AS cut FROM c),
+l AS (SELECT conv_id, role, b - a AS n_tok, greatest(least(b, cut + 512) - greatest(a, cut), 0) AS kept FROM o JOIN w USING (conv_id)),
+r AS (SELECT conv_id, sum(n_tok - kept) FILTER (WHERE role = 'system') AS s, sum(n_tok - kept) FILTER (WHERE role = 'user') AS u,
+             sum(n_tok - kept) FILTER (WHERE role = 'assistant') AS x, sum(kept) FILTER (WHERE role = 'assistant') AS lab FROM l GROUP BY conv_id)
+SELECT conv_id, CAST(n AS BIGINT) AS n_tokens, CAST(cut AS BIGINT) AS cut_start, CAST(least(n - cut, 512) AS BIGINT) AS n_kept,
+       md5(array_to_string(list_transform(string_split(substring(whole, CAST(cut AS BIGINT) + 1, 512), ''), lambda ch: unicode(ch)), ',')) AS ids_md5,
+       CAST(coalesce(lab, 0) AS BIGINT) AS n_label_tokens, aa >= cut AND ab <= cut + 512 AS answer_kept,
+       CAST(coalesce(s, 0) AS BIGINT) AS lost_system, CAST(coalesce(u, 0) AS BIGINT) AS lost_user, CAST(coalesce(x, 0) AS BIGINT) AS lost_assistant
+FROM w JOIN r USING (conv_id)"""
+
 # ----------------------------------------------------------------------- runs
 RUNLOG = """
 runlog AS (
@@ -768,6 +794,14 @@ ORACLE["step_time_summary"] = with_ctes(RUNLOG) + """
   FROM runlog GROUP BY run_id)
 SELECT *, round(train_ms_mean - avg(train_ms_mean) OVER (), 6) AS train_ms_vs_mean FROM g"""
 
+ORACLE["run_alignment"] = with_ctes(RUNLOG) + """
+, t AS (SELECT run_id, step, loss, split, step / max(step) OVER (PARTITION BY run_id) AS progress FROM runlog)
+, a AS (SELECT * FROM t WHERE split = 'train' AND run_id <> 'click')
+, b AS (SELECT * FROM t WHERE split = 'train' AND run_id = 'click')
+SELECT a.run_id, a.step, round(a.progress, 6) AS progress, round(a.loss, 6) AS loss, b.step AS base_step, round(b.loss, 6) AS base_loss,
+       round(a.loss - b.loss, 6) AS change, b.step IS NOT NULL AS matched
+FROM a ASOF LEFT JOIN b ON a.progress >= b.progress"""
+
 LOSS_DELTAS = """
 , o AS (SELECT run_id, split, step, loss, row_number() OVER (PARTITION BY run_id, split ORDER BY step) AS ord FROM runlog)
 , deltas AS (
