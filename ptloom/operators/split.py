@@ -28,9 +28,14 @@ def hash_split(df: DataFrame, key_col: str, ratio: float, seed: int = K.SEED,
     return df.withColumn(out_col, F.when(h < F.lit(ratio_threshold_hex(ratio)), names[1]).otherwise(names[0]))
 
 
-def seeded_shuffle(df: DataFrame, key_col: str, seed: int = K.SEED) -> DataFrame:
-    """L-1: deterministic permutation (total order md5(seed|key), key)."""
-    return df.withColumn("_ord", seeded_order_key(key_col, seed)).orderBy("_ord", key_col).drop("_ord")
+def seeded_shuffle(df: DataFrame, key_col: str, seed: int = K.SEED, pos_col: str | None = None) -> DataFrame:
+    """L-1: deterministic permutation (total order md5(seed|key), key).
+
+    ``pos_col`` adds each row's place in it, from 1, by a scan that cuts the order into partitions."""
+    d = df.withColumn("_ord", seeded_order_key(key_col, seed))
+    if pos_col:
+        return segmented_scan(d, [], ["_ord", key_col], ordinal=pos_col).drop("_ord")
+    return d.orderBy("_ord", key_col).drop("_ord")
 
 
 def head(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:

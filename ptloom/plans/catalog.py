@@ -104,6 +104,21 @@ def pref_validate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("line_id", "file", "n_errors", "n_warnings", "rejected_type", _rules().alias("rules"))
 
 
+@query
+def pref_rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-12, V-14, V-17: the rules and labels that ``pref_validate_lines`` does not meet (not_object, not_list,
+    message_not_object, missing_role, missing_content, content_not_string, extra_text_pollution, other)."""
+    v = validate.validate_preference(derived.pref_rule_lines(Tables(spark, sf_dir)))
+    return v.select("line_id", "file", "n_errors", "n_warnings", "rejected_type", _rules().alias("rules"))
+
+
+@query
+def pref_strict_role_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-13: the same lines under the role list of each field (``strict_roles``)."""
+    v = validate.validate_preference(derived.pref_rule_lines(Tables(spark, sf_dir)), strict_roles=True)
+    return v.select("line_id", "n_errors", _rules().alias("rules"))
+
+
 @query
 def pref_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-2, SRC-8, U-5: examples, errors and warnings per file in one multi-file pass."""
@@ -150,6 +165,14 @@ def chat_validate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("line_id", "n_errors", _rules().alias("rules"))
 
 
+@query
+def chat_rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-4..V-6: the rules that ``chat_validate_lines`` does not meet (messages that are no objects,
+    roles and contents that are no text)."""
+    v = validate.validate_chat(derived.chat_rule_lines(Tables(spark, sf_dir)))
+    return v.select("line_id", "n_errors", _rules().alias("rules"))
+
+
 @query
 def chat_validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-1: checked count, failed records, errors, OK/FAILED verdict."""
@@ -278,6 +301,14 @@ def seeded_shuffle_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("pair_id", "rejected", F.row_number().over(Window.orderBy("_ord", "pair_id")).cast("bigint").alias("pos"))
 
 
+@query
+def seeded_shuffle_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-1: every pair's place in the seeded permutation."""
+    from ptloom.operators.split import seeded_shuffle
+
+    return seeded_shuffle(derived.pairs(Tables(spark, sf_dir)).select("pair_id"), "pair_id", pos_col="pos").select("pair_id", "pos")
+
+
 @query
 def contiguous_split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L-4: per source, first 90 % of characters (by doc_id) train, rest val."""
@@ -834,10 +865,36 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_pair_lines(Tables(spark, sf_dir))
     path = textio.scratch_path(spark, "pairs-jsonl")
     textio.write_text_lines(raw, "value", path, partition_by=["file"])
-    lines = spark.read.text(path)  # partition discovery restores ``file``
+    # a line names its file by its path
+    lines = textio.read_lines(spark, path).withColumn("file", F.regexp_extract("file", "file=([^/]+)/", 1))
     return validate.preference_file_summary(validate.validate_preference(lines))
 
 
+LINES_PER_FILE = 1000
+
+
+@query
+def line_error_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1, SRC-7, SRC-8, U-3: the damaged preference lines written in order as files of 1000 lines, several of
+    one name in different folders, and read back with path and line number; one row per
+    error that names both, and one for each file asked for that does not exist."""
+    from ptloom.operators.scan import segmented_scan
+    from ptloom.sources import textio
+
+    raw = derived.raw_pair_lines(Tables(spark, sf_dir)).select("file", "line_id", "value")
+    raw = segmented_scan(raw, ["file"], ["line_id"], ordinal="pos").withColumn("part", F.floor((F.col("pos") - 1) / LINES_PER_FILE))
+    path = textio.scratch_path(spark, "numbered-lines")
+    textio.write_text_lines(raw.repartition("file", "part").sortWithinPartitions("file", "part", "pos"), "value", path, partition_by=["file", "part"])
+    asked = {f: f"{path}/file={f}" for f in ("preference_train.jsonl", "preference_val.jsonl", "preference_test.jsonl")}
+    missing = textio.missing_paths(spark, list(asked.values()))
+    gone = {r.path for r in missing.collect()}
+    lines = textio.read_lines(spark, [p for p in asked.values() if p not in gone], line_numbers=True)
+    errors = validate.error_table(validate.validate_preference(lines), ["file", "line_no"])
+    name = lambda c: F.regexp_replace(F.regexp_extract(c, "/file=([^/]+(?:/part=[0-9]+)?)", 1), "/part=", "/")
+    return errors.select(name("file").alias("path"), "line_no", "rule").unionByName(
+        missing.select(name("path").alias("path"), F.lit(None).cast("bigint").alias("line_no"), "rule"))
+
+
 @query
 def training_curve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-11: the run log written as a CSV history and scanned back with a declared

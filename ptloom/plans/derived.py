@@ -187,6 +187,50 @@ def raw_pair_lines(t: Tables) -> DataFrame:
     )
 
 
+def chat_rule_lines(t: Tables) -> DataFrame:
+    """Chat lines with the damage that ``raw_chat_lines`` lacks (V-4 .. V-6), by pmod(seeded hash, 9).
+
+    0 a text, 1 a null, 2 a message without a role, 3 one with a numeric role or 4 a
+    numeric content before the messages, 5 an object in place of the list, 6 a null line object; others intact.
+    """
+    from ptloom.sources.textio import as_text_lines
+
+    rid = F.concat(F.lit("conv-"), _s("conv_id"))
+    c = chat(t).select(rid.alias("line_id"), F.to_json("messages").alias("_m"), F.pmod(seeded_hash(F.lit("chatrule"), rid), F.lit(9)).alias("damage"))
+    first = {0: '"a text"', 1: "null", 2: '{"content": "no role"}', 3: '{"role": 7, "content": "x"}', 4: '{"role": "user", "content": 5}'}
+    msgs = F.when(F.col("damage") == 5, F.lit('{"role": "user", "content": "x"}'))
+    for d, x in first.items():
+        msgs = msgs.when(F.col("damage") == d, F.concat(F.lit(f"[{x}, "), F.expr("substring(_m, 2)")))
+    line = F.when(F.col("damage") == 6, F.lit("null")).otherwise(F.concat(F.lit('{"id": "'), F.col("line_id"), F.lit('", "messages": '), msgs.otherwise(F.col("_m")), F.lit("}")))
+    return as_text_lines(c, line, ["line_id", "damage"])
+
+
+#: a long text without the key of a tool (extra_text_pollution)
+LONG_OBJECT = '{"note": "' + "many words " * 20 + '"}'
+
+
+def pref_rule_lines(t: Tables) -> DataFrame:
+    """Preference lines with the damage that ``raw_pair_lines`` lacks (V-12 .. V-14, V-17), by pmod(seeded hash, 13).
+
+    0 a list at the top, 1 chosen a text, 2 a text in chosen, 3 rejected content a number, 4 prompt without role, 5 chosen without
+    content, 6 chosen by a user, 7 prompt by an assistant (both wrong under strict roles only), 8 rejected a long object without
+    a tool, 9 a short one, 10 rejected null; others intact.
+    """
+    from ptloom.sources.textio import as_text_lines
+
+    p = build.preference_record(pairs(t)).select(
+        F.col("pair_id").alias("line_id"), F.to_json("prompt_messages").alias("_p"), F.to_json("chosen_messages").alias("_c"), F.to_json("rejected_messages").alias("_r"),
+        F.pmod(seeded_hash(F.lit("prefrule"), F.col("pair_id")), F.lit(13)).alias("damage"), preference_split_file("key").alias("file"))
+    d = F.col("damage")
+    said = lambda role, text: F.to_json(F.array(build.message(role, F.lit(text))))
+    prompt = F.when(d == 4, F.lit('[{"content": "x"}]')).when(d == 7, said("assistant", "x")).otherwise(F.col("_p"))
+    chosen = F.when(d == 1, F.lit('"a text"')).when(d == 2, F.lit('["a text"]')).when(d == 5, F.lit('[{"role": "assistant"}]')).when(d == 6, said("user", "x")).otherwise(F.col("_c"))
+    rejected = F.when(d == 3, F.lit('[{"role": "assistant", "content": 5}]')).when(d == 8, said("assistant", LONG_OBJECT)).when(
+        d == 9, said("assistant", '{"a": 1}')).when(d == 10, F.lit("null")).otherwise(F.col("_r"))
+    js = F.concat(F.lit('{"prompt": '), prompt, F.lit(', "chosen": '), chosen, F.lit(', "rejected": '), rejected, F.lit("}"))
+    return as_text_lines(p.select("line_id", "damage", "file", js.alias("_js")), F.when(d == 0, F.concat(F.lit("["), F.col("_js"), F.lit("]"))).otherwise(F.col("_js")), ["line_id", "damage", "file"])
+
+
 MODELS = [("base", 3), ("tuned", 7)]  # model name, chosen share in tenths
 
 

@@ -179,7 +179,13 @@ raw_pairs AS (
   )
 )"""
 
-PREF_VALIDATE = f"""
+# the roles of a message; by field under strict roles
+ANY_ROLE = "(m ->> '$.role') IN ('system', 'user', 'assistant')"
+STRICT_ROLE = "CASE WHEN name = 'prompt' THEN (m ->> '$.role') IN ('system', 'user') ELSE (m ->> '$.role') = 'assistant' END"
+
+
+def pref_validate_sql(role_ok: str) -> str:
+    return f"""
 , lines AS (SELECT line_id, file, {STRIP('value')} AS s FROM raw_pairs WHERE {STRIP('value')} <> '')
 , pj AS (SELECT line_id, file, CASE WHEN json_valid(s) THEN s::JSON END AS j, json_valid(s) AS ok FROM lines)
 , st AS (
@@ -209,7 +215,7 @@ PREF_VALIDATE = f"""
   UNION ALL SELECT line_id, 'missing_role' FROM msgs WHERE json_type(m) = 'OBJECT' AND NOT json_exists(m, '$.role')
   UNION ALL SELECT line_id, 'bad_role' FROM msgs
             WHERE json_type(m) = 'OBJECT' AND json_exists(m, '$.role')
-              AND NOT coalesce(json_type(m, '$.role') = 'VARCHAR' AND (m ->> '$.role') IN ('system', 'user', 'assistant'), false)
+              AND NOT coalesce(json_type(m, '$.role') = 'VARCHAR' AND {role_ok}, false)
   UNION ALL SELECT line_id, 'missing_content' FROM msgs WHERE json_type(m) = 'OBJECT' AND NOT json_exists(m, '$.content')
   UNION ALL SELECT line_id, 'content_not_string' FROM msgs
             WHERE json_type(m) = 'OBJECT' AND json_exists(m, '$.content') AND json_type(m, '$.content') <> 'VARCHAR'
@@ -233,11 +239,44 @@ PREF_VALIDATE = f"""
   FROM st LEFT JOIN errs USING (line_id) GROUP BY st.line_id, st.file)
 """
 
+
+PREF_VALIDATE = pref_validate_sql(ANY_ROLE)
+
 ORACLE["pref_validate_lines"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, RAW_PAIRS) + PREF_VALIDATE + f"""
 SELECT p.line_id, p.file, p.n_errors, p.n_warnings,
        CASE WHEN rej.line_id IS NULL THEN NULL ELSE {CLASSIFY('rej.rej_text')} END AS rejected_type, p.rules
 FROM per_line p LEFT JOIN rej USING (line_id)"""
 
+PREF_RULE_PAIRS = f"""
+raw_pairs AS (
+  SELECT line_id, file, CASE WHEN d = 0 THEN '[' || js || ']' ELSE js END AS value FROM (
+    SELECT pair_id AS line_id, d, file, '{{"prompt": '
+        || CASE d WHEN 4 THEN '[{{"content": "x"}}]' WHEN 7 THEN '[{{"role": "assistant", "content": "x"}}]'
+                  ELSE to_json([{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': prompt}}])::VARCHAR END
+        || ', "chosen": '
+        || CASE d WHEN 1 THEN '"a text"' WHEN 2 THEN '["a text"]' WHEN 5 THEN '[{{"role": "assistant"}}]' WHEN 6 THEN '[{{"role": "user", "content": "x"}}]'
+                  ELSE to_json([{{'role': 'assistant', 'content': chosen}}])::VARCHAR END
+        || ', "rejected": '
+        || CASE d WHEN 3 THEN '[{{"role": "assistant", "content": 5}}]'
+                  WHEN 8 THEN to_json([{{'role': 'assistant', 'content': '{{"note": "' || repeat('many words ', 20) || '"}}'}}])::VARCHAR
+                  WHEN 9 THEN to_json([{{'role': 'assistant', 'content': '{{"a": 1}}'}}])::VARCHAR
+                  WHEN 10 THEN 'null' ELSE to_json([{{'role': 'assistant', 'content': rejected}}])::VARCHAR END || '}}' AS js
+    FROM (SELECT *, {H("'prefrule'", 'pair_id')} % 13 AS d,
+                 CASE WHEN substr(md5('42|' || key), 1, 8) < {VAL_HEX} THEN 'preference_val.jsonl' ELSE 'preference_train.jsonl' END AS file FROM pairs)))"""
+
+ORACLE["pref_rule_lines"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, PREF_RULE_PAIRS) + PREF_VALIDATE + f"""
+SELECT p.line_id, p.file, p.n_errors, p.n_warnings,
+       CASE WHEN rej.line_id IS NULL THEN NULL ELSE {CLASSIFY('rej.rej_text')} END AS rejected_type, p.rules
+FROM per_line p LEFT JOIN rej USING (line_id)"""
+
+ORACLE["pref_strict_role_lines"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, PREF_RULE_PAIRS) + pref_validate_sql(STRICT_ROLE) + """
+SELECT line_id, n_errors, rules FROM per_line"""
+
+ORACLE["line_error_table"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, RAW_PAIRS) + PREF_VALIDATE + """
+, places AS (SELECT line_id, file, row_number() OVER (PARTITION BY file ORDER BY line_id) - 1 AS n FROM raw_pairs)
+SELECT file || '/' || (n // 1000) AS path, CAST(n % 1000 + 1 AS BIGINT) AS line_no, rule FROM errs JOIN places USING (line_id)
+UNION ALL SELECT 'preference_test.jsonl', NULL, 'file_missing'"""
+
 ORACLE["pref_file_summary"] = with_ctes(TOOLCALLS, VARIANTS, PAIRS, RAW_PAIRS) + PREF_VALIDATE + """
 SELECT file, CAST(count(*) AS BIGINT) AS n_examples, CAST(sum(n_errors) AS BIGINT) AS n_errors,
        CAST(sum(n_warnings) AS BIGINT) AS n_warnings
@@ -332,6 +371,16 @@ SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["chat_validate_lines"] = with_ctes(CHAT, RAW_CHAT) + chat_validate_sql("raw_chat") + """
 SELECT line_id, n_errors, rules FROM per_line"""
 
+CHAT_RULES = f"""
+raw_chat AS (
+  SELECT line_id, CASE WHEN d = 6 THEN 'null' ELSE '{{"id": "' || line_id || '", "messages": ' || CASE d
+           WHEN 0 THEN '["a text", ' || substring(js, 2) WHEN 1 THEN '[null, ' || substring(js, 2) WHEN 2 THEN '[{{"content": "no role"}}, ' || substring(js, 2)
+           WHEN 3 THEN '[{{"role": 7, "content": "x"}}, ' || substring(js, 2) WHEN 4 THEN '[{{"role": "user", "content": 5}}, ' || substring(js, 2)
+           WHEN 5 THEN '{{"role": "user", "content": "x"}}' ELSE js END || '}}' END AS value
+  FROM (SELECT 'conv-' || conv_id AS line_id, to_json(messages)::VARCHAR AS js, {H("'chatrule'", "'conv-' || conv_id")} % 9 AS d FROM chat))"""
+ORACLE["chat_rule_lines"] = with_ctes(CHAT, CHAT_RULES) + chat_validate_sql("raw_chat") + """
+SELECT line_id, n_errors, rules FROM per_line"""
+
 ORACLE["chat_validate_summary"] = with_ctes(CHAT, RAW_CHAT) + chat_validate_sql("raw_chat") + """
 SELECT CAST(count(*) AS BIGINT) AS n_checked, CAST(count(*) FILTER (WHERE n_errors > 0) AS BIGINT) AS n_failed,
        CAST(sum(n_errors) AS BIGINT) AS n_errors, CASE WHEN sum(n_errors) = 0 THEN 'OK' ELSE 'FAILED' END AS verdict
@@ -425,6 +474,9 @@ ORACLE["seeded_shuffle_head"] = PAIR_CTES + """
 SELECT pair_id, rejected, CAST(row_number() OVER (ORDER BY md5('42|' || pair_id), pair_id) AS BIGINT) AS pos
 FROM pairs ORDER BY md5('42|' || pair_id), pair_id LIMIT 8"""
 
+ORACLE["seeded_shuffle_pairs"] = PAIR_CTES + """
+SELECT pair_id, CAST(row_number() OVER (ORDER BY md5('42|' || pair_id), pair_id) AS BIGINT) AS pos FROM pairs"""
+
 ORACLE["contiguous_split_docs"] = """
 SELECT doc_id, source,
        CASE WHEN coalesce(sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)

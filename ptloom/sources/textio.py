@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ptloom.session import ensure_checkpoint_dir
+from ptloom.operators.joins import checked_broadcast
+from ptloom.session import ensure_checkpoint_dir, stored_table
+
+
+#: splits whose offsets are broadcast; beyond them the lines are joined by a shuffle
+SPLITS_BROADCAST = 1_000_000
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], line_numbers: bool = False) -> DataFrame:
@@ -23,17 +28,27 @@ def read_lines(spark: SparkSession, paths: str | list[str], line_numbers: bool =
 
     Several files are one scan (U-5); the path comes from the hidden
     ``_metadata`` column, so files of one name in two folders stay apart.
-    ``line_numbers`` adds the 1-based ``line_no`` in the file, by a skew-safe
-    numbering of splits in file order (a shuffle of the lines).
+    ``line_numbers`` adds the 1-based ``line_no`` in the file: a first scan
+    counts the lines of each split, a prefix sum over the splits of a file (one row
+    for each) gives the lines before it, and the number is that plus the line's place in its split.
+    No line is shuffled or sorted.  Both scans must cut the files alike, so the session's
+    ``spark.sql.files.minPartitionNum``, where unset, is fixed to its default of now.
     """
     ps = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.text(ps).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"))
-    df = df.withColumn("line_key", F.sha2(F.concat_ws("\n", "file", "value"), 256))
-    if line_numbers:
-        from ptloom.operators.ordered import row_number_in_group
-
-        df = row_number_in_group(df.withColumn("_at", F.monotonically_increasing_id()), ["file"], ["_start", "_at"], out_col="line_no").drop("_at")
-    return df.drop("_start")
+    if line_numbers and not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    # folders are read as they are: a folder's name is part of the path, not a column
+    df = spark.read.option("recursiveFileLookup", "true").text(ps).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"))
+    if not line_numbers:
+        return df.select("value", "file", F.sha2(F.concat_ws("\n", "file", "value"), 256).alias("line_key"))
+    df = df.withColumn("_at", F.monotonically_increasing_id())
+    splits = df.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    w = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = stored_table(splits.select("file", "_start", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")))
+    j = df.join(checked_broadcast(before, SPLITS_BROADCAST), ["file", "_start"], "left")
+    lost = F.raise_error("the files were cut into other splits by the second scan")
+    return j.select("value", "file", F.sha2(F.concat_ws("\n", "file", "value"), 256).alias("line_key"),
+                    F.when(F.col("_before").isNull(), lost).otherwise(F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint").alias("line_no"))
 
 
 def read_jsonl_typed(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:

@@ -56,3 +56,34 @@ def test_strict_json_parity_property(spark, cases):
 
     for i, t in enumerate(texts):
         assert got[i] == py_ok(t), t
+
+
+def test_line_numbers_follow_splits_and_paths(spark, tmp_path):
+    """Files of one name in two folders, cut into many splits; blank lines count, no line is shuffled."""
+    texts = {"a/x.txt": ["l%d " % i + "y" * (i % 17) for i in range(900)], "b/x.txt": ["m%d" % i if i % 3 else "" for i in range(500)], "b/y.txt": [], "c/one.txt": ["only"]}
+    for name, lines in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700b")
+    try:
+        df = textio.read_lines(spark, [str(tmp_path / d) for d in "abc"], line_numbers=True)
+        got = df.collect()
+        assert df.select("file").rdd.getNumPartitions() > 8
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    mine = {}
+    for r in got:
+        mine.setdefault("/".join(r.file.split("/")[-2:]), {})[r.line_no] = r.value
+    assert mine == {name: {i + 1: x for i, x in enumerate(lines)} for name, lines in texts.items() if lines}
+    assert len(got) == sum(map(len, texts.values()))
+
+
+def test_seeded_shuffle_positions(spark):
+    from ptloom.operators import split
+
+    df = spark.range(500).select(F.format_string("k%d", "id").alias("k"))
+    order = [r.k for r in split.seeded_shuffle(df, "k").collect()]
+    assert {r.k: r.pos for r in split.seeded_shuffle(df.repartition(6), "k", pos_col="pos").collect()} == {k: i + 1 for i, k in enumerate(order)}
