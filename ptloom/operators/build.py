@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ptloom import constants as K
 from ptloom.functions import jsonx
 from ptloom.functions.hashing import seeded_hash
+from ptloom.operators.joins import checked_broadcast
 
 
 def json_string(c: Column) -> Column:
@@ -37,7 +38,7 @@ def tool_registry(spark: SparkSession) -> DataFrame:
 
 def check_tools(df: DataFrame, registry: DataFrame, tool_col: str = "tool") -> DataFrame:
     """Rows whose tool is not in the registry (the reference's KeyError), as a report."""
-    return df.join(F.broadcast(registry.select(F.col("tool").alias(tool_col))), tool_col, "left_anti")
+    return df.join(checked_broadcast(registry.select(F.col("tool").alias(tool_col))), tool_col, "left_anti")
 
 
 def wrong_tool_choice(key: Column, tool: Column, tools: list[str] | None = None, seed: int = K.SEED) -> Column:

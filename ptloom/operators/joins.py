@@ -14,7 +14,7 @@ BROADCAST_ROWS = 200_000
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is.
 
-    The count is an action; use it on small derived tables (vocabularies,
-    per-group totals, offsets), not on a large input.
+    The check is an action that stops above the limit; use it on small
+    narrow tables that are stored or cheap to derive (vocabularies, per-group totals, offsets), not on a large input.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ptloom import constants as K
 from ptloom.operators import build, classify, validate
 from ptloom.plans import derived
-from ptloom.session import reliable_checkpoint
+from ptloom.session import stored_table
 from ptloom.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -443,23 +443,24 @@ def output_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ptloom.operators import evaluate as ev
 
     t = Tables(spark, sf_dir)
-    o = ev.text_stats(derived.outputs(t), "output")
-    corpus_words = t.documents.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "").distinct()
-    out_words = o.select("model", F.explode(F.split(F.lower("output"), r"[^\p{L}]+")).alias("w")).where(F.col("w") != "")
-    # pre-aggregate before the join: a very common word becomes one row per model
-    # instead of a hot join key
-    word_counts = out_words.groupBy("model", "w").agg(F.count(F.lit(1)).alias("c"))
-    known = word_counts.join(corpus_words, "w", "left_semi").groupBy("model").agg(F.sum("c").alias("_known"))
-    total = word_counts.groupBy("model").agg(F.sum("c").alias("_total"))
-    shares = total.join(known, "model", "left").select(
-        "model", F.round(F.coalesce(F.col("_known"), F.lit(0)) / F.col("_total"), 6).alias("known_word_share"))
-    per_model = o.groupBy("model").agg(
-        F.round(F.avg("repetition"), 6).alias("mean_repetition"),
-        F.round(F.avg(F.char_length("output")), 6).alias("mean_len"),
-        F.sum("n_line_breaks").cast("bigint").alias("n_line_breaks"),
-        F.sum("n_speaker_lines").cast("bigint").alias("n_speaker_lines"),
-        F.round(F.avg("punct_share"), 6).alias("mean_punct_share"),
+    # the outputs are derived once: each distinct text of a model with its number of rows
+    o = stored_table(derived.outputs(t).groupBy("model", "output").agg(F.count(F.lit(1)).alias("c")))
+    s = ev.text_stats(o, "output")
+    n, all_n = F.col("c"), F.sum("c")
+    per_model = s.groupBy("model").agg(
+        F.round(F.sum(F.col("repetition") * n) / all_n, 6).alias("mean_repetition"),
+        F.round(F.sum(F.char_length("output") * n) / all_n, 6).alias("mean_len"),
+        F.sum(F.col("n_line_breaks") * n).cast("bigint").alias("n_line_breaks"),
+        F.sum(F.col("n_speaker_lines") * n).cast("bigint").alias("n_speaker_lines"),
+        F.round(F.sum(F.col("punct_share") * n) / all_n, 6).alias("mean_punct_share"),
     )
+    # words are counted before the join, so a very common one is a row per model, not a hot key
+    words = lambda d, c: d.withColumn("w", F.explode(F.split(F.lower(c), r"[^\p{L}]+"))).where(F.col("w") != "")
+    counts = words(o, "output").groupBy("w", "model").agg(F.sum("c").alias("c")).withColumn("seen", F.lit(0))
+    corpus = words(t.documents.select("text"), "text").groupBy("w").agg(F.lit(1).alias("seen")).select("w", F.lit(None).cast("string").alias("model"), F.lit(0).cast("bigint").alias("c"), "seen")
+    of = counts.unionByName(corpus).groupBy("w").agg(F.max("seen").alias("seen"), F.collect_list(F.when(F.col("model").isNotNull(), F.struct("model", "c"))).alias("m"))
+    shares = of.select("seen", F.explode("m").alias("m")).groupBy("m.model").agg(
+        F.round(F.sum(F.when(F.col("seen") == 1, F.col("m.c")).otherwise(0)) / F.sum("m.c"), 6).alias("known_word_share"))
     return per_model.join(shares, "model", "left")
 
 
