@@ -3,20 +3,25 @@
 A page is cut into blocks of text, each with its root-to-leaf tag path.  Per
 path the text length and the punctuation of its blocks are summed and
 divided by their number; both ratios are smoothed over neighbouring paths in
-page order, fused (length times punctuation), and a path is content if its
-fused ratio reaches ``LAMBDA`` standard deviations of all paths' ratios;
-the other unmarked paths in a content path's container (its title, its
-lists, its links) come with it.  Structure is a weight of the fusion and no
-more: paths below a menu, header, footer, sidebar, notice, advert, form or
-comment (by element, role, or word in class or id) weigh nothing and never
-come along, paths of mostly links weigh nothing, and paths below ``article``
-or ``main`` weigh ``MAIN_WEIGHT``.
+page order, fused (length times punctuation times the path's weight), and a path is content if its
+fused ratio reaches the mean of all paths' ratios and ``LAMBDA`` standard deviations more, or
+``TOP`` of the highest.  The path's container brings along the other paths below it
+(its title, its lists, its links) that nothing between the container and them marks as no article.
+
+Structure is a weight of the fusion.  Menus, headers, footers, sidebars, notices, adverts, forms and
+comments (by element, by role, or by the word that heads a class or id) weigh ``STRONG``; such a word
+elsewhere in a class or id (``with-sidebar``, ``comment-policy``) weighs ``WEAK``; text below ``article`` or ``main`` weighs
+``MAIN_WEIGHT``.  The weights along a path multiply, and the threshold is relative to the page's own ratios: a
+mark around everything changes nothing, and a marked path of enough length and punctuation is content
+like any other.  Paths of mostly links choose nothing.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by an empty line.
 
 Cases: null and empty pages give empty text, as do pages without content;
 unclosed elements, comments and raw elements end where the page ends;
+paths are numbered by parent and name and the parser keeps places of open elements, so long and
+deeply nested pages take time in proportion to their length;
 repeated pages are rows like any other; extra columns are carried.
 """
 
@@ -32,11 +37,13 @@ from pyspark.sql import types as T
 
 from ptloom.llm import rows
 
-LAMBDA = 0.5
-SMOOTH = (0.25, 0.5, 0.25)
+LAMBDA, TOP = 0.5, 0.6
+SMOOTH = (0.15, 0.7, 0.15)
 LINK_SHARE = 0.5
 #: weight of a path below article or main; others weigh 1
 MAIN_WEIGHT = 2.0
+#: weight of a path for each mark on it, and the least weight below a container that comes along with it
+STRONG, WEAK, ALONG = 0.15, 0.8, 0.5
 
 # fixed values: elements of HTML, and words that mark a part of a page that is no article
 RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|video|audio|textarea|title"
@@ -49,6 +56,10 @@ SKIP_WORDS = frozenset("ad ads advert adverts advertisement advertising banner b
                        "footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notification pagination popup promo "
                        "promoted promotion recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe "
                        "subscription toolbar topbar widget widgets".split())
+#: words before a mark that speak of the page's state, and words behind one that only name its box
+STATES = frozenset("has with without no is js show hide can allow enable disable toggle".split())
+BOXES = frozenset("area bar block body box buttons column container content footer group header holder inner item items label link links list message outer panel region row "
+                  "section text title top unit wrap wrapper zone".split())
 MAIN = frozenset(("article", "main"))
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SCOPE = frozenset("article aside blockquote body button caption div dl fieldset figure footer form header html li main nav ol section table td th ul".split())
@@ -65,59 +76,104 @@ _PUNCT = re.compile(r"[.,;:!?…。，、；：！？]")
 _BREAK = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _marked(tag: str, attrs: str) -> bool:
-    """Whether an element's name, role, class or id says that it is no article text."""
+def _named(value: str) -> float:
+    """Weight of a class or id: strong if a word that heads it marks a part that is no article, weak if one is anywhere in it."""
+    weight = 1.0
+    for token in value.split():
+        words = _WORD.findall(_BREAK.sub(" ", token).lower())
+        if SKIP_WORDS.isdisjoint(words):
+            continue
+        head = len(words) - 1
+        while head and words[head] in BOXES and words[head] not in ("footer", "header"):
+            head -= 1
+        state = STATES.isdisjoint(words[:head]) is False
+        weight = min(weight, STRONG if words[head] in SKIP_WORDS and not state else WEAK)
+    return weight
+
+
+def mark(tag: str, attrs: str) -> float:
+    """Weight of an element by its name, role, class and id; 1 where nothing says that it is no article text."""
     if tag in SKIP:
-        return True
+        return STRONG
+    weight = 1.0
     if attrs and tag not in ("html", "body"):
         for name, *values in _ATTR.findall(attrs):
             value = "".join(values)
-            if name.lower() == "role":
-                if value.strip().lower() in SKIP_ROLES:
-                    return True
-            elif tag not in MAIN and not SKIP_WORDS.isdisjoint(_WORD.findall(_BREAK.sub(" ", value).lower())):
-                return True
-            elif tag in MAIN and {"comment", "comments", "reply", "ad", "ads", "related", "sponsored"} & set(_WORD.findall(_BREAK.sub(" ", value).lower())):
-                return True
-    return False
-
-
-def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
-    """Blocks in page order: path, text, characters inside links, marked as no article, below article or main."""
-    stack: list[tuple[str, bool, bool, str]] = []  # element, marked, in the main part, name in a path
-    out: list[tuple[str, str, int, bool, bool]] = []
+            if name.lower() != "role":
+                weight = min(weight, _named(value))
+            elif value.strip().lower() in SKIP_ROLES:
+                weight = STRONG
+    return weight
+
+
+class Paths:
+    """The tag paths of a page, numbered in the order in which they open; number 0 is the page itself."""
+
+    def __init__(self):
+        self.number: dict[tuple, int] = {}
+        self.parent, self.name, self.own, self.weight, self.main = [0], [""], [1.0], [1.0], [False]
+
+    def below(self, parent: int, tag: str, name: str, weight: float, main: bool) -> int:
+        key = (parent, name, weight, main)
+        if key not in self.number:
+            self.number[key] = len(self.parent)
+            self.parent.append(parent)
+            self.name.append(tag)
+            self.own.append(weight)
+            self.weight.append(self.weight[parent] * weight)
+            self.main.append(main)
+        return self.number[key]
+
+
+def blocks(page: str) -> tuple[Paths, list[tuple[int, str, int]]]:
+    """The paths, and the blocks in page order: path, text, characters inside links."""
+    paths = Paths()
+    stack: list[tuple[str, int]] = []  # element, path
+    places: dict[str, list[int]] = {}  # where each element is open in the stack
+    scopes = [-1]  # where elements are open that end the search for an open paragraph
+    out: list[tuple[int, str, int]] = []
     parts: list[str] = []
-    linked = 0
-    where: tuple = ("", False, False)
-    links = 0
+    linked = where = 0
+    filled = False
 
     def close():
-        nonlocal linked
+        nonlocal linked, filled
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((where[0], text, linked, where[1], where[2]))
+            out.append((where, text, linked))
         parts.clear()
-        linked = 0
+        linked, filled = 0, False
 
     def add(text: str):
-        nonlocal linked, where
+        nonlocal linked, where, filled
         if text:
-            if not parts or not "".join(parts).strip():
-                top = stack[-1] if stack else ("", False, False, "")
-                where = ("/".join(s[3] for s in stack if s[0] not in INLINE), top[1], top[2])
+            if not filled:
+                where = stack[-1][1] if stack else 0
             parts.append(text)
-            if links:
-                linked += len(text.strip())
-
-    def pop():
-        nonlocal links
-        if stack.pop()[0] == "a":
-            links -= 1
-
-    at = 0
-    for m in _TOKEN.finditer(page):
+            said = text.strip()
+            filled = filled or bool(said)
+            if places.get("a"):
+                linked += len(said)
+
+    def push(tag: str, path: int):
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _SCOPE:
+            scopes.append(len(stack))
+        stack.append((tag, path))
+
+    def cut(to: int):
+        while len(stack) > to:
+            tag, _ = stack.pop()
+            places[tag].pop()
+            if tag in _SCOPE:
+                scopes.pop()
+
+    at, end = 0, page.rfind(">") + 1  # no element can end behind the last bracket
+    for m in _TOKEN.finditer(page, 0, end):
         add(page[at:m.start()])
         at = m.end()
+        if at == end and (m["raw"] and not m[0].rstrip(" >").lower().endswith("</" + m["raw"].lower()) or m[0].startswith("<!--") and not m[0].endswith("-->")):
+            at = len(page)  # a raw element or a comment that nothing ends
         tag = m["tag"]
         if tag is None:
             continue
@@ -127,83 +183,77 @@ def blocks(page: str) -> list[tuple[str, str, int, bool, bool]]:
                 close()
             elif tag in ("td", "th"):
                 parts.append(" ")
-            if any(s[0] == tag for s in reversed(stack)):
-                while stack[-1][0] != tag:
-                    pop()
-                pop()
+            if places.get(tag):
+                cut(places[tag][-1])
             continue
         if tag not in INLINE:
             close()
         elif tag in ("br", "td", "th"):
             parts.append(" ")
         if tag in _ENDS_P or tag == "li":
-            ends = "p" if tag != "li" else "li"
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == ends:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i][0] in _SCOPE:
-                    break
+            ends = places.get("p" if tag != "li" else "li")
+            if ends and ends[-1] >= scopes[-1]:
+                cut(ends[-1])
         if tag in VOID or m["attrs"].endswith("/"):
             continue
-        up = stack[-1] if stack else ("", False, False, "")
-        main = up[2] or tag in MAIN
+        up = stack[-1][1] if stack else 0
+        if tag in INLINE:
+            push(tag, up)
+            continue
         # a header inside an article holds its title
-        marked = up[1] or (_marked(tag, m["attrs"]) and not (tag == "header" and up[2]))
-        if tag == "a":
-            links += 1
+        weight = 1.0 if tag == "header" and paths.main[up] else mark(tag, m["attrs"])
         name = re.search(r"\bclass\s*=\s*[\"']?\s*([^\s\"'>]+)", m["attrs"], re.I) if m["attrs"] and tag in ("div", "section") else None
-        stack.append((tag, marked, main and not marked, f"{tag}.{name[1]}" if name else tag))
-    add(page[at:])
+        main = tag in MAIN or (paths.main[up] and weight >= ALONG)
+        push(tag, paths.below(up, tag, f"{tag}.{name[1]}" if name else tag, weight, main))
+    add(page[at:].split("<!--", 1)[0])
     close()
-    return out
+    return paths, out
 
 
-def ratios(found: list[tuple[str, str, int, bool, bool]]) -> dict[tuple[str, bool, bool], float]:
-    """Fused, smoothed ratio of each path (with its marks), in page order of the paths."""
-    total: dict[tuple[str, bool, bool], list[float]] = {}
-    for path, text, linked, marked, main in found:
-        s = total.setdefault((path, marked, main), [0, 0, 0, 0])
+def ratios(paths: Paths, found: list[tuple[int, str, int]]) -> dict[int, float]:
+    """Fused, smoothed ratio of each path that has text, in page order of the paths."""
+    total: dict[int, list[float]] = {}
+    for path, text, linked in found:
+        s = total.setdefault(path, [0, 0, 0, 0])
         s[0] += len(text)
         s[1] += len(_PUNCT.findall(text))
         s[2] += 1
         s[3] += linked
     keys = list(total)
     s = np.array([total[k] for k in keys], float).reshape(-1, 4)
-    weight = np.array([0.0 if k[1] else MAIN_WEIGHT if k[2] else 1.0 for k in keys]) * (s[:, 3] <= LINK_SHARE * s[:, 0])
+    weight = np.array([paths.weight[k] * (MAIN_WEIGHT if paths.main[k] else 1.0) for k in keys]) * (s[:, 3] <= LINK_SHARE * s[:, 0])
     length, punct = s[:, 0] / s[:, 2], (s[:, 1] + 1) / s[:, 2]
     smooth = [np.convolve(np.pad(x, 1, "edge"), SMOOTH, "valid") if len(x) else x for x in (length * weight, punct)]
     fused = weight * smooth[0] * np.sqrt(smooth[1])
     return dict(zip(keys, fused.tolist()))
 
 
-def container(path: str) -> str:
-    """The path without its trailing elements of text."""
-    parts = path.split("/")
-    while parts and parts[-1] in _TEXTUAL:
-        parts.pop()
-    return "/".join(parts)
-
-
-def inside(path: str, chosen: set[str]) -> bool:
-    """Whether a container is chosen or lies below a chosen one; the body as a whole holds no part of a page together."""
-    if path in chosen:
-        return True
-    parts = path.split("/")
-    return any("/".join(parts[:i]) in chosen for i in range(1, len(parts)) if parts[i - 1] not in ("html", "body"))
-
-
-def extract(page: str) -> str:
-    """Main text of a page."""
-    found = blocks(page)
+def content(paths: Paths, fused: dict[int, float], spread: float | None = None) -> set[int]:
+    """The paths whose text is content: those whose ratio reaches the threshold, and what their containers bring along."""
+    values = np.array(list(fused.values()))
+    limit = min(float(values.mean() + (LAMBDA if spread is None else spread) * values.std()), TOP * float(values.max()))
+    chosen = {k for k, v in fused.items() if v > 0 and v >= limit}
+    containers = set()
+    for k in chosen:
+        while paths.name[k] in _TEXTUAL:
+            k = paths.parent[k]
+        containers.add(k)
+    # weight of a path below the nearest container around it; the page and its body as a whole hold no part together
+    along = [0.0] * len(paths.parent)
+    for k in range(len(along)):
+        up = paths.parent[k]
+        whole = paths.name[up] in ("", "html", "body") and paths.name[k] not in _TEXTUAL
+        along[k] = 1.0 if k in containers else 0.0 if k == 0 or whole else along[up] * paths.own[k]
+    return chosen | {k for k in fused if along[k] >= ALONG}
+
+
+def extract(page: str, spread: float | None = None) -> str:
+    """Main text of a page; ``spread`` stands for ``LAMBDA``."""
+    paths, found = blocks(page)
     if not found:
         return ""
-    fused = ratios(found)
-    limit = LAMBDA * float(np.std(list(fused.values())))
-    chosen = {container(k[0]) for k, v in fused.items() if v > 0 and v >= limit}
-    content = {k for k in fused if not k[1] and inside(container(k[0]), chosen)}
-    return "\n\n".join(text for path, text, _, marked, main in found if (path, marked, main) in content)
+    kept = content(paths, ratios(paths, found), spread)
+    return "\n\n".join(text for path, text, _ in found if path in kept)
 
 
 def main_text(pages: DataFrame, *, html_col: str = "html", row: list[str] | None = None) -> DataFrame:

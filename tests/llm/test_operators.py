@@ -185,6 +185,45 @@ def test_pages_of_the_table_give_their_text_without_article_too(llm):
         assert tag_paths.extract(r.html) == tag_paths.extract(re.sub(r"<(/?)article>", r"<\1div>", r.html)) != ""
 
 
+ARTICLE = [f"{i}. {LINE * 2}".strip() for i in range(8)]
+SHELL = "<html><body><nav><ul><li><a href=1>Home</a></li></ul></nav>%s<footer>&copy; The footer, with a text.</footer></body></html>"
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "has-sidebar", "no-sidebar", "header-fixed", "login-required", "site widget-area", "search-results", "sidebar", "comments", "ad"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_no_word_on_a_wrapper_removes_the_article(name, tag):
+    body = "".join(f"<p>{x}</p>" for x in ARTICLE)
+    assert tag_paths.extract(SHELL % f'<div class="{name}"><{tag}>{body}</{tag}></div>') == "\n\n".join(ARTICLE)
+
+
+def test_marks_inside_an_article():
+    body, text = "".join(f"<p>{x}</p>" for x in ARTICLE), "\n\n".join(ARTICLE)
+    assert tag_paths.extract(SHELL % f'<article class="post related">{body}</article>') == text
+    for name in ("social-policy", "comment-policy"):
+        assert tag_paths.extract(SHELL % f'<article>{body}<section class="{name}"><h2>Policy</h2><p>Short.</p></section></article>') == text + "\n\nPolicy\n\nShort."
+    junk = f'<section class="reader-comments"><h3>Comments</h3><div class="comment"><p>{LINE * 3}</p></div></section><div class="share-buttons"><p>Share this, now.</p></div>'
+    assert tag_paths.extract(SHELL % f"<article>{body}{junk}</article>") == tag_paths.extract(SHELL % f"<article>{body}</article>{junk}<aside><p>Read this, too.</p></aside>") == text
+    # length and punctuation outvote a mark
+    assert tag_paths.extract(SHELL % f'<div class="x"><p>Tiny.</p></div><div class="comments">{body}</div>') == text
+
+
+def test_the_threshold_decides(llm):
+    page = SHELL % ("<div class=story>%s</div><div class=teaser><p>Half as long a line, with points. And marks, too.</p></div>" % "".join(f"<p>{x}</p>" for x in ARTICLE))
+    assert tag_paths.extract(page) == "\n\n".join(ARTICLE) != tag_paths.extract(page, 0.0)
+    # without the ratios the longest text would be no better than the others
+    paths, found = tag_paths.blocks(page)
+    assert len(tag_paths.content(paths, {k: 1.0 for k in tag_paths.ratios(paths, found)})) > len(tag_paths.content(paths, tag_paths.ratios(paths, found)))
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    import time
+    start = time.time()
+    for page in ("<div>a" * 60_000, "<b>x" * 60_000 + "</i>" * 60_000 + "<p>y" * 20_000, "<p><button>" + "<b>x" * 60_000 + "<h1>y" * 20_000, "<a" * 100_000, "<a " * 50_000 + ">", " " * 500_000 + "<p>x"):
+        tag_paths.extract(page)
+    assert time.time() - start < 20
+    assert tag_paths.extract("<div>a" * 3) == "a\n\na\n\na" and tag_paths.extract("<p>a</p><script>b > c") == "a" and tag_paths.extract("<p>a</p><!-- b > c") == "a"
+
+
 # ---- 5
 
 def plain_chunk_dedup(pairs, min_bytes):
