@@ -5,10 +5,13 @@ fixed size; files above ``MAX_RANK_BYTES`` are refused).  Long texts are cut
 at boundaries where the splitting pattern always cuts: before a space or
 line feed that follows a character other than white space.  No alternative of the
 pattern reaches across such a place, so the pieces encode to the same ids.
+The pattern matches a run of white space up to its last character (all of it at the end of a text) as one
+piece; a run of ``RUN_CHARS`` or more, on which the library's matcher would recurse, is handed over as that piece.
 Decoding joins the raw bytes of the ids, so any ids decode.
 
 Cases: null and empty texts have no ids and decode to no bytes; special
-tokens are ordinary text; extra columns are carried.
+tokens are ordinary text; very long texts are encoded in parts, long runs of any one kind of character too; equal and repeated rows
+are rows of their own; extra columns are carried.
 """
 
 from __future__ import annotations
@@ -26,7 +29,10 @@ from ptloom.llm import rows
 
 MAX_RANK_BYTES = 64 << 20
 PIECE_CHARS = 1 << 16
+RUN_CHARS = 4096
 _CUT = re.compile(r"(?<=\S)[ \n]")
+#: fixed values: the characters of the Unicode property White_Space, which the pattern's \s stands for
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
 _encodings: dict[tuple[str, bytes], object] = {}
 
 
@@ -66,10 +72,18 @@ def pieces(text: str, size: int = PIECE_CHARS):
 
 
 def encode_text(enc, text: str) -> list[int]:
-    if len(text) <= PIECE_CHARS:
+    if len(text) < RUN_CHARS:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for part in pieces(text):
+    at = 0
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() >= RUN_CHARS:
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            for part in pieces(text[at:m.start()]):
+                ids.extend(enc.encode_ordinary(part))
+            ids.extend(enc._encode_single_piece(text[m.start():end]))
+            at = end
+    for part in pieces(text[at:]):
         ids.extend(enc.encode_ordinary(part))
     return ids
 
