@@ -9,7 +9,8 @@ at most, slots are gapless, and both follow from the row number, N and the seed
 
 Cases: null ids come first; rows that agree in every order column are
 interchangeable, so their order does not show in the result; an empty table gives none;
-extra columns are ignored.
+input columns are carried in a struct, so they may
+have any names.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ptloom.operators.ordered import row_number_in_group
 
@@ -75,21 +77,25 @@ def inverse(p: np.ndarray, n: int, seed: int, rounds: int = ROUNDS) -> np.ndarra
     return out
 
 
+PLACE = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+
+
 def shard(df: DataFrame, order_cols: list[str], *, shards: int = 8, seed: int = 42) -> DataFrame:
-    """``df`` with ``row_no``, ``shard`` and ``slot``; keep ``df`` narrow, it is sorted by ``order_cols``."""
+    """Columns ``row`` (struct of ``df``'s columns) and ``res`` (row_no, shard, slot); keep ``df`` narrow, it is sorted by ``order_cols``."""
     # rows alike in every order column are told apart by where they lie, so that they too are dealt over tasks
-    numbered = row_number_in_group(df.withColumn("_at", F.monotonically_increasing_id()), [], [*order_cols, "_at"], out_col="row_no") \
-        .drop("_at").withColumn("row_no", F.col("row_no") - 1)
+    keys = [f"o{i}" for i in range(len(order_cols))]
+    src = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[df[c].alias(k) for k, c in zip(keys, order_cols)], F.monotonically_increasing_id().alias("at"))
+    numbered = row_number_in_group(src, [], [*keys, "at"], out_col="row_no").select("row", F.col("row_no") - 1)
     n = df.count()
-    out = numbered.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
 
     def run(batches):
         for batch in batches:
-            place = permute(batch.column("row_no").to_numpy(zero_copy_only=False), n, seed)
-            cols = batch.columns[:-2] + [pa.array((place % shards).astype(np.int32)), pa.array(place // shards)]
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+            number = batch.column(1)
+            place = permute(number.to_numpy(zero_copy_only=False), n, seed)
+            res = pa.StructArray.from_arrays([number, pa.array((place % shards).astype(np.int32)), pa.array(place // shards)], names=PLACE.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), res], names=["row", "res"])
 
-    return out.mapInArrow(run, out.schema)
+    return numbered.mapInArrow(run, T.StructType([numbered.schema["row"], T.StructField("res", PLACE)]))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
@@ -98,7 +104,7 @@ def op9(spark, sf_dir: str) -> DataFrame:
     text = F.coalesce(docs["text"].cast("binary"), F.lit(b""))
     narrow = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     got = shard(narrow, ["doc_id", "size", "text_crc32"])
-    return got.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return got.select("row.*", F.lit("rows").alias("law"), "res.shard", "res.slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 #: round keys and multipliers as above; CRC-32 by its bytewise rule
