@@ -189,9 +189,9 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 def shorten(docs: DataFrame, *, text_col: str = "text", **kw) -> DataFrame:
-    """The documents without their copied spans; a document of which nothing but white space is left goes."""
+    """The documents without their copied spans; a document of which nothing but ASCII white space is left goes."""
     got = dedup(docs, text_col=text_col, **kw)
     cut = F.col("res.n_removed") > 0
-    left = got.where(~cut | (F.length(F.trim(F.col("res.kept").cast("string"))) > 0))
+    left = got.where(~cut | F.col("res.kept").cast("string").rlike(r"[^\x20\x09-\x0D]"))
     return left.select(*[F.when(cut, F.col("res.kept").cast("string")).otherwise(F.col(f"row.`{c}`")).alias(c) if c == text_col else F.col(f"row.`{c}`")
                          for c in docs.columns])
