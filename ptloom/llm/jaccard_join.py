@@ -447,20 +447,16 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component: that of the least id, then of the least digest of its text; and one of its rows without an id.
+    """One row of each component: that of the least id (a null id is the greatest), then of the least digest of its text.
 
     Of rows that share both, one stays, by a hash of the whole row.  Rows
-    without words are no copies of others: one stays for each id and text,
-    and all that have no id.
+    without words are no copies of others: one stays for each id, and one of those that have no id.
     """
     who, rooted = _rooted(docs, id_col=id_col, text_col=text_col, digest=True)
     key = F.struct(F.coalesce("doc_id", F.lit(int(rows.NULL_ID))).alias("id"), F.col("digest"))
-    unnamed = F.col("doc_id").isNull().alias("unnamed")
-    first = who.where("sig IS NOT NULL").groupBy("sig", unnamed).agg(F.min(key).alias("key")).join(rooted, "sig").groupBy("root", "unnamed").agg(F.min("key").alias("key")).select("key.*")
-    named = first.union(who.where("sig IS NULL AND doc_id IS NOT NULL").select(key.alias("key")).select("key.*"))
+    first = who.where("sig IS NOT NULL").groupBy("sig").agg(F.min(key).alias("key")).join(rooted, "sig").groupBy("root").agg(F.min("key").alias("key")).select("key.*")
+    blank = who.where("sig IS NULL").groupBy("doc_id").agg(F.min(key).alias("key")).select("key.*")
     whole = F.struct(*[docs[c] for c in docs.columns])
     tie = F.xxhash64(*[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()])
     once = docs.groupBy(F.coalesce(docs[id_col].cast("long"), F.lit(int(rows.NULL_ID))).alias("id"), _digest(docs[text_col]).alias("digest")).agg(F.min_by(whole, tie).alias("row"))
-    kept = once.join(named, ["id", "digest"], "left_semi").select("row.*")
-    blank = ~F.coalesce(docs[text_col].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return kept.unionByName(docs.where(docs[id_col].isNull() & blank))
+    return once.join(first.union(blank), ["id", "digest"], "left_semi").select("row.*")

@@ -10,7 +10,8 @@ SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
     # names that operators use themselves
-    *[T.StructField(c, T.StringType()) for c in ("row", "res", "cell", "id", "sig", "kept", "ids", "decoded", "n_words", "component_id", "score")],
+    *[T.StructField(c, T.StringType()) for c in ("row", "res", "cell", "id", "sig", "kept", "ids", "decoded", "n_words", "component_id", "score",
+                                                      "row_no", "shard", "slot", "_at", "_val", "_pid", "_mid")],
 ])
 
 
@@ -42,7 +43,7 @@ def llm(spark):
 
 @pytest.fixture(scope="module")
 def docs(llm):
-    rows = [(i, t, None if i == 6 else "en", "s", None if t is None else len(t), *["x"] * 11) for i, t in texts()]
+    rows = [(i, t, None if i == 6 else "en", "s", None if t is None else len(t), *["x"] * 18) for i, t in texts()]
     return llm.createDataFrame(rows, SCHEMA).repartition(5)
 
 
