@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, the one with the least id, and one of the group's rows without an id."""
+    """One row of each group of near copies, the one with the least id."""
     prepare(spark)
     return jaccard_join.representatives(docs)
 
