@@ -32,6 +32,8 @@ FEATURES = ("log_bytes", "log_words", "word_length", "word_spread", "upper", "di
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 MIN_SHRINK = 0.01
+#: labelled ids that are broadcast, to measure only their texts; beyond them all texts outside the fold are measured
+MAX_IDS = 5_000_000
 
 _KIND = {
     "upper": np.isin(np.arange(256), np.arange(0x41, 0x5B)),
@@ -145,6 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col
     known = labels.where(labels[label_col].isin(0, 1)).select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label"))
     known = known.where(~held_out(F.col("id")))
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(~held_out(F.col("id")))
+    ids = known.select("id").distinct()
+    if ids.limit(MAX_IDS + 1).count() <= MAX_IDS:  # texts without a label are not measured; without the broadcast they would have to travel
+        src = src.join(F.broadcast(ids), "id", "left_semi")
     x = measure(src, row=["id"]).select("row.id", "res.x")
     return Discriminant(moments(x.join(known, "id")))
 
