@@ -4,7 +4,8 @@ The model is of order ``ORDER`` over characters: ASCII by ``SYMBOLS``
 classes (the 26 lower-case letters, space, line feed, digits, upper case,
 single classes of punctuation), every other character by its own code point.
 So a language's n-grams grow with its text.  Spark takes the counts over
-every character of every distinct text; a task sends what it counted once it
+every character of every distinct text that passes the base rules (what they reject teaches
+the model nothing); a task sends what it counted once it
 holds ``HELD`` n-grams.  A model keeps, per order, the sorted hashes of its
 n-grams beside their log-probabilities and back-off weights.  Languages are
 scored in blocks whose models hold ``BLOCK_NGRAMS`` n-grams together (one
@@ -20,8 +21,8 @@ the model and the quartiles count a text of a language once, whatever the
 number of its copies; every row is read and judged.
 
 Cases: null and empty texts have no words and fail the base rules; a null
-language is a language of its own; a text without characters has perplexity
-1; extra columns are carried.
+language is the language ``''``; a text without characters has perplexity
+1, as has every text of a language in which none passes the base rules; very long texts are counted and scored whole; equal and repeated rows get the same verdict; an empty table gives none; extra columns are carried.
 """
 
 from __future__ import annotations
@@ -215,8 +216,14 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[first], arrays.sum_by(counts, np.append(first, len(keys)))
 
 
-def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", symbols: int = SYMBOLS) -> DataFrame:
-    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every document."""
+def passes(texts: list[bytes | None]) -> np.ndarray:
+    """Whether each text passes the base rules."""
+    got = base_rules(arrays.Words(texts, arrays.NOT_SPACE), texts)
+    return (got["n_words"] >= 20) & (100 * got["n_repeat_words"] <= 30 * got["n_words"])
+
+
+def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", symbols: int = SYMBOLS, passing: bool = False) -> DataFrame:
+    """Corpus counts: ``lang``, ``gram``, ``n`` over every character of every document; with ``passing``, of those that pass the base rules."""
     src = docs.select(_lang(docs, lang_col).alias("lang"), docs[text_col].cast("binary").alias("text"))
 
     def run(batches):
@@ -238,7 +245,10 @@ def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sy
                 own = [t for x, t in zip(langs, texts) if x == lang]
                 parts = held.setdefault(lang, [])
                 for lo, hi in arrays.chunks(own):
-                    parts.append(np.unique(grams(own[lo:hi], symbols)[0], return_counts=True))
+                    part = own[lo:hi]
+                    if passing:
+                        part = [t for t, ok in zip(part, passes(part)) if ok]
+                    parts.append(np.unique(grams(part, symbols)[0], return_counts=True))
                     if sum(len(k) for k, _ in parts[1:]) > max(500_000, len(parts[0][0])):
                         parts[:] = [_added(parts)]
             if sum(len(k) for parts in held.values() for k, _ in parts) > HELD:
@@ -301,6 +311,8 @@ def _measure(shared):
             mean, inner, n = np.zeros(hi - lo), np.zeros(hi - lo), np.zeros(hi - lo, np.int64)
             for lang in dict.fromkeys(langs):
                 own = [i for i, x in enumerate(langs) if x == lang]
+                if lang not in model:
+                    continue
                 key, bounds = grams([part[i] for i in own], POINTS)
                 seen = np.unique(key)  # looked up once each
                 cost = -model[lang].log_p(seen)[np.searchsorted(seen, key)]
@@ -348,39 +360,39 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, ...]]:
 def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", row: list[str] | None = None) -> DataFrame:
     """Columns ``row``, ``res`` (measures), ``base_failed`` and ``kept``, a row for each document."""
     spark = docs.sparkSession
-    counts = count(distinct_texts(docs, text_col=text_col, lang_col=lang_col), symbols=POINTS).persist()
+    counts = count(distinct_texts(docs, text_col=text_col, lang_col=lang_col), symbols=POINTS, passing=True).persist()
     known: list[tuple[list[str], object]] = [(list(m), spark.sparkContext.broadcast(m)) for m in models(counts)]
     counts.unpersist()
-    empty = spark.sparkContext.broadcast({})
+    names = row if row is not None else docs.columns
     docs = docs.withColumn(_DIGEST, F.sha2(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")), 256))
     lang = _lang(docs, lang_col)
     unknown = ~lang.isin([x for langs, _ in known for x in langs]) if known else F.lit(True)
 
     def measured(names):
         parts = []
-        for langs, model in [*known, (None, empty)]:
+        for langs, model in [*known, (None, spark.sparkContext.broadcast({}))]:
             own = docs.where(lang.isin(langs) if langs else unknown)
-            if langs is None and known:
-                own = own.where(F.coalesce(F.length(docs[text_col].cast("binary")), F.lit(0)) == 0)  # languages without any text
-            parts.append(rows.map_texts(own, text_col, _blank if langs is None else _measure(model), MEASURES, row=names, extra={"lang": _lang(own, lang_col)}))
+            parts.append(rows.map_texts(own, text_col, _measure(model), MEASURES, row=names, extra={"lang": _lang(own, lang_col)}))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
 
-    limits = bands(measured([_DIGEST]))
+    if text_col not in names:  # narrow rows: one pass, written and read for the bands and for the verdict
+        all_of = rows.stored(measured([*names, _DIGEST]))
+        limits = bands(all_of)
+        all_of = all_of.select(F.struct(*[F.col(f"row.`{c}`") for c in names]).alias("row"), "res")
+    else:
+        limits = bands(measured([_DIGEST]))
+        all_of = measured(names)
     table = spark.createDataFrame([(k, *v) for k, v in limits.items()], "lang string, " + ", ".join(f"low_{c} double, high_{c} double, reach_{c} double" for c in BANDS))
-    got = measured(row if row is not None else [c for c in docs.columns if c != _DIGEST]).join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
+    got = all_of.join(F.broadcast(table), F.col("res.lang") == table["lang"], "left")
     more = F.sqrt(1 + SHORT / F.greatest(F.col("res.n_grams"), F.lit(1)))
     whole, inner = (F.col(f"res.{c}").between(F.col(f"low_{c}") - F.col(f"reach_{c}") * more, F.col(f"high_{c}") + F.col(f"reach_{c}") * more) for c in BANDS)
     within = F.coalesce(whole | inner, F.lit(True))
     return got.select("row", "res", base_failed().alias("base_failed"), (~base_failed() & within).alias("kept"))
 
 
-def _blank(texts, extra):
-    return {f.name: np.zeros(len(texts), np.float64 if f.dataType == T.DoubleType() else np.int64) for f in MEASURES if f.name != "lang"} | {"lang": extra["lang"]}
-
-
 def op6(spark, sf_dir: str) -> DataFrame:
     """Contract columns over the whole table."""
     got = assess(spark.read.parquet(f"{sf_dir}/documents.parquet"), row=["doc_id"])

@@ -1,6 +1,7 @@
 """Each operator against a plain version of its definition, on the edge cases of ``conftest.texts`` and on sf0.001."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -62,6 +63,50 @@ def test_discriminant_matches_densities():
     assert np.allclose(m.score(b[:5]), 1 / (1 + np.exp(np.array(logs[0]) - logs[1])))
 
 
+def plain_statistics(t):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", t)
+    n, nw, lines = max(len(t), 1), max(len(w), 1), t.count(b"\n") + 1
+    sizes = [len(x) for x in w]
+    mean = sum(sizes) / nw
+    text = t.decode()
+    _, _, _, dup, again = plain_base(text)
+    share = lambda chars: math.sqrt(sum(c in chars for c in t) / n)
+    letter = lambda c: chr(c).isascii() and chr(c).isalpha() or c >= 0x80
+    return [math.log1p(len(t)), math.log1p(len(w)), math.log1p(mean), math.log1p(math.sqrt(max(sum(x * x for x in sizes) / nw - mean**2, 0))),
+            share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share(b"0123456789"), share(b"#*$%&<>@^_~=+\\/{}[]"), share(b"|"), share(b"!?"), share(b",;:"), share(b"."), share(b"\n"),
+            share(bytes(range(0xC0, 0x100))), math.sqrt(len(set(w)) / nw), math.sqrt(dup / lines), math.sqrt(again / nw),
+            math.sqrt(sum(not letter(x[-1]) for x in w) / nw), math.log1p(max(sizes, default=0))]
+
+
+def test_discriminant_against_a_plain_one(llm, docs):
+    """Statistics text by text, moments by numpy, shrinkage and densities from their formulas."""
+    import zlib
+    some = [(t or "").encode() for _, t in texts()]
+    assert np.allclose(quality_qda.statistics(some), [plain_statistics(t) for t in some], atol=1e-9)
+    table = [(r.doc_id, (r.text or "").encode()) for r in frame(llm).collect()]
+    known = [(r.doc_id, r.quality) for r in frame(llm, table="labels").collect()]
+    x = {i: plain_statistics(t) for i, t in table}
+    learn = {k: np.array([x[i] for i, q in known if q == k and zlib.crc32(str(i).encode()) % 5]) for k in (0, 1)}
+    both = np.concatenate([learn[0], learn[1]])
+    mean, scale = both.mean(0), 1 / np.sqrt(np.maximum(both.var(0), 1e-6))
+    d = both.shape[1]
+
+    def density(z, k):
+        mine = (learn[k] - mean) * scale
+        n, s = len(mine), np.cov(mine.T, bias=True)
+        # oracle-approximating shrinkage towards the scaled identity
+        rho = ((1 - 2 / d) * np.trace(s @ s) + np.trace(s)**2) / ((n + 1 - 2 / d) * (np.trace(s @ s) - np.trace(s)**2 / d))
+        rho = min(1, max(quality_qda.MIN_SHRINK, rho))
+        cov = (1 - rho) * s + rho * max(np.trace(s) / d, 1e-3) * np.eye(d)
+        off = z - mine.mean(0)
+        return math.log((n + 1) / (len(both) + 2)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * off @ np.linalg.solve(cov, off)
+
+    for r in quality_qda.op1(llm, SF).collect():
+        z = (np.array(x[r.doc_id]) - mean) * scale
+        odds = density(z, 1) - density(z, 0)
+        assert abs(r.score - 1 / (1 + math.exp(-max(-700, min(700, odds))))) < 1e-6
+
+
 # ---- 2
 
 def plain_hits(text, items, n=13):
@@ -346,6 +391,58 @@ def test_counts_and_kneser_ney_against_a_plain_model(llm):
     assert abs(sum(own) - 1) < 1e-6
 
 
+def plain_kept(pairs):
+    """Verdicts by the definition: one model of each language over its distinct texts that pass, bands from sorted values."""
+    langs = {}
+    for lang, text in pairs:
+        langs.setdefault(lang or "", set()).add(text or "")
+    good = lambda t: (b := plain_base(t))[0] >= 20 and 100 * b[4] <= 30 * b[0]
+    out = {}
+    for lang, own in langs.items():
+        S, N, fit = perplexity.POINTS, perplexity.ORDER, sorted(t for t in own if good(t))
+        symbol = lambda c: int(perplexity._CLASS[ord(c)]) if ord(c) < 0x80 else perplexity.SYMBOLS + (ord(c) - 0x80) % (S - perplexity.SYMBOLS)
+
+        def grams(t):
+            s = [0] * (N - 1) + [symbol(c) for c in t]
+            return [sum(s[i - k] * S**k for k in range(N)) for i in range(N - 1, len(s))]
+
+        counts = Counter(g for t in fit for g in grams(t))
+        if not fit:
+            out |= {(lang, t): False for t in own}
+            continue
+        keys = sorted(counts)
+        model = perplexity.KneserNey(np.array(keys), np.array([counts[k] for k in keys]), S)
+        measures = {}
+        for t in own:
+            cost = (-model.log_p(np.array(grams(t), np.int64))).tolist() if t else []
+            cut = sorted((cost[i:i + 64] for i in range(0, len(cost), 64)), key=lambda b: sum(b) / len(b))
+            cut = cut[:len(cut) - int(len(cut) * 0.1)]
+            measures[t] = (sum(cost) / max(len(cost), 1), sum(map(sum, cut)) / max(sum(map(len, cut)), 1))
+        limits = []
+        for k in (0, 1):
+            v = sorted(math.floor(measures[t][k] * 1000) for t in fit)
+            low, high = ((next(x for i, x in enumerate(v, 1) if i >= q * len(v)) + 0.5) / 1000 for q in (0.25, 0.75))
+            limits.append((low, high, max(0.03, 2.5 * (high - low))))
+        for t in own:
+            more = math.sqrt(1 + 500 / max(len(t), 1))
+            out[lang, t] = good(t) and any(low - reach * more <= m <= high + reach * more for m, (low, high, reach) in zip(measures[t], limits))
+    return out
+
+
+def test_verdicts_against_a_plain_version(llm, docs):
+    r = random.Random(8)
+    noise = [("en", "".join(r.choice("#$%xq zvkj\n") for _ in range(900))) for _ in range(3)]
+    half = [("en", words("half", 80) + " " + "".join(r.choice("#$% zxq") for _ in range(500)))]
+    pairs = [(r.lang, r.text) for r in frame(llm).collect()] + noise + half + [("nn", "too short"), ("nn", None), (None, words("none", 60)), (None, words("non", 50)), (None, "x")] * 2
+    df = llm.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(pairs)], "doc_id long, text string, lang string").repartition(5)
+    want = plain_kept(pairs)
+    got = {x.row.doc_id: x.kept for x in perplexity.assess(df, row=["doc_id"]).collect()}
+    assert got == {i: want[lang or "", t or ""] for i, (lang, t) in enumerate(pairs)} and {True, False} == set(got.values())
+    assert got == {x.row.doc_id: x.kept for x in perplexity.assess(df).collect()}  # whole rows: two passes
+    for x in perplexity.assess(df).where("res.lang = 'nn'").collect():
+        assert x.base_failed and x.res.n_words == len((x.row.text or "").split())
+
+
 @pytest.mark.parametrize("share", [0.3, 0.6, 0.8])
 def test_copies_move_no_band(llm, share):
     pairs = [(i, words(("clean", i), 150)) for i in range(60)]
