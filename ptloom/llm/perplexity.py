@@ -42,7 +42,7 @@ BLOCK_NGRAMS = 5_200_000
 #: n-grams that a task counts before it sends them
 HELD = 4_000_000
 #: share of the interquartile range that a band reaches beyond the quartiles, its least reach, and the length at which a text gets sqrt(2) of it
-BAND, FLOOR, SHORT = 2.5, 0.03, 500
+BAND, FLOOR, SHORT = 1.75, 0.03, 500
 BIN = 1000
 #: blocks of characters, and the costliest share of a text's that may be a quotation, an address, a passage in another language
 BLOCK, QUOTED = 64, 0.1

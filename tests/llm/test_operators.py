@@ -422,7 +422,7 @@ def plain_kept(pairs):
         for k in (0, 1):
             v = sorted(math.floor(measures[t][k] * 1000) for t in fit)
             low, high = ((next(x for i, x in enumerate(v, 1) if i >= q * len(v)) + 0.5) / 1000 for q in (0.25, 0.75))
-            limits.append((low, high, max(0.03, 2.5 * (high - low))))
+            limits.append((low, high, max(0.03, 1.75 * (high - low))))
         for t in own:
             more = math.sqrt(1 + 500 / max(len(t), 1))
             out[lang, t] = good(t) and any(low - reach * more <= m <= high + reach * more for m, (low, high, reach) in zip(measures[t], limits))
