@@ -203,6 +203,11 @@ class KneserNey:
         return out
 
 
+def _digest(text):
+    """128 bits of a text's SHA-256."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def _lang(df: DataFrame, lang_col: str):
     return F.coalesce(df[lang_col].cast("string"), F.lit("")) if lang_col in df.columns else F.lit("")
 
@@ -262,7 +267,7 @@ def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sy
 def distinct_texts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang`` and ``text`` of every distinct text of a language, once; copies meet in their task before they travel."""
     src = docs.select(_lang(docs, lang_col).alias("lang"), docs[text_col].cast("binary").alias("text")).where("length(text) > 0")
-    return src.withColumn("digest", F.sha2("text", 256)).dropDuplicates(["lang", "digest"]).select("lang", "text")
+    return src.withColumn("digest", _digest(F.col("text"))).dropDuplicates(["lang", "digest"]).select("lang", "text")
 
 
 def models(counts: DataFrame):
@@ -342,8 +347,9 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, ...]]:
     ``measured`` has the text's digest in its ``row``: a text counts once, however many copies it has.
     """
     hist: dict[str, dict[int, list[tuple[int, int]]]] = {}
-    at = F.posexplode(F.array(*[F.floor(F.col(f"res.{c}") * BIN).cast("int") for c in BANDS])).alias("band", "at")
-    once = measured.where(~base_failed()).select(F.col("res.lang").alias("lang"), f"row.{_DIGEST}", at).distinct()
+    at = F.array(*[F.floor(F.col(f"res.{c}") * BIN).cast("int") for c in BANDS])
+    once = measured.where(~base_failed()).select(F.col("res.lang").alias("lang"), F.col(f"row.{_DIGEST}").alias("digest"), at.alias("at")).dropDuplicates(["lang", "digest"])
+    once = once.select("lang", F.posexplode("at").alias("band", "at"))
     for r in once.groupBy("lang", "band", "at").agg(F.count("*").alias("n")).collect():
         hist.setdefault(r["lang"], {}).setdefault(r["band"], []).append((r["at"], r["n"]))
     out = {}
@@ -364,7 +370,7 @@ def assess(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", r
     known: list[tuple[list[str], object]] = [(list(m), spark.sparkContext.broadcast(m)) for m in models(counts)]
     counts.unpersist()
     names = row if row is not None else docs.columns
-    docs = docs.withColumn(_DIGEST, F.sha2(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")), 256))
+    docs = docs.withColumn(_DIGEST, _digest(F.coalesce(docs[text_col].cast("binary"), F.lit(b""))))
     lang = _lang(docs, lang_col)
     unknown = ~lang.isin([x for langs, _ in known for x in langs]) if known else F.lit(True)
 
