@@ -18,9 +18,11 @@ leader: within a task, then task leaders among each other, so a list of very
 many members reaches its bucket as one entry per task.  The links are
 verified on the whole sets and give components.  Then only lists that still
 span several components matter: members outside a list's largest component
-are compared with all members of other components.  A pair is first tried on
-parity bitmaps of about half a bit for each shingle, which bound how much two sets differ, and only
-pairs that pass are verified on their whole sets.  Any linked pair shares a list, so
+are compared with all members of other components.  A large list is dealt to cells of two
+blocks of about ``BLOCK`` members, and a bucket compares the members of its cells in numpy, by size, by
+place in the order and by parity bitmaps of about half a bit for each shingle, which bound how much two sets differ; only
+pairs that pass leave the bucket and are verified on their whole sets, so texts that share lists but are not
+similar write no pairs.  Any linked pair shares a list, so
 it is either in one component already or compared here: no link between
 components is lost.
 
@@ -49,6 +51,8 @@ THRESHOLD = (80, 100)  # intersection * 100 >= union * 80
 SLOTS = 1 << 22
 _BLOCK = 1 << 15
 MAX_LIGHT = 14
+#: members of a block of a large list, and pairs that a bucket holds at a time
+BLOCK, PAIRS = 1024, 1 << 20
 _U8 = np.uint64
 
 
@@ -393,36 +397,129 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("sig"), F.col("v").alias("root")).union(e.select(F.col("v").alias("sig"), F.col("v").alias("root")).distinct())
 
 
-def _reaches(n: str, place: str, other: str):
-    """A set's shingles from this place on can make up the overlap, as they must where two sets meet first."""
+def _fits(n: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the members ``a`` and ``b`` can link by their sizes, and by what is left of their sets behind the places where they meet first."""
     num, den = THRESHOLD
-    return (F.col(n) - F.col(place)) * (num + den) >= F.lit(num) * (F.col(n) + F.col(other))
-
-
-def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    x, y, total = n[a], n[b], num * (n[a] + n[b])
+    reach = ((x - place[a]) * (num + den) >= total) & ((y - place[b]) * (num + den) >= total)
+    return (num * np.maximum(x, y) <= den * np.minimum(x, y)) & (reach | (np.maximum(place[a], place[b]) == 65535))
+
+
+class Bitmaps:
+    """Parity bitmaps of some sets; those of two sizes, one double the other, are compared at the smaller size."""
+
+    def __init__(self, bits: list[bytes]):
+        self.size = np.array([len(x) for x in bits], np.int64)
+        self.row, self.at_size = np.zeros(len(bits), np.int64), {}
+        for size in np.unique(self.size).tolist():
+            own = np.flatnonzero(self.size == size)
+            self.row[own] = np.arange(len(own))
+            self.at_size[size] = np.frombuffer(b"".join(bits[i] for i in own.tolist()), np.uint8).reshape(len(own), size)
+        self.half = {size // 2: x[:, :size // 2] ^ x[:, size // 2:] for size, x in self.at_size.items()}
+
+    def _at(self, size: int, sets: np.ndarray) -> np.ndarray:
+        """The bitmaps of the sets at this size, of sets of this or the double one."""
+        out = np.empty((len(sets), size), np.uint8)
+        whole = self.size[sets] == size
+        out[whole] = self.at_size[size][self.row[sets[whole]]]
+        if not whole.all():
+            out[~whole] = self.half[size][self.row[sets[~whole]]]
+        return out
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places in which the bitmaps of each pair differ; 0 where their sizes are further apart."""
+        out = np.zeros(len(a), np.int64)
+        low, high = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        for size in np.unique(low).tolist():
+            pairs = np.flatnonzero((low == size) & (high <= 2 * size))
+            step = max(1, (8 << 20) // size)
+            for i in range(0, len(pairs), step):
+                part = pairs[i:i + step]
+                out[part] = np.bitwise_count(self._at(size, a[part]) ^ self._at(size, b[part])).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _compare(t):
+    """Pairs ``a``, ``b`` of the cells of a bucket that sizes, places and bitmaps do not rule out."""
+    num, den = THRESHOLD
+    col = {c: t.column(c).to_numpy() for c in ("list", "few", "x", "y", "block", "sig", "n_shingles", "place", "root")}
+    inner = col["few"] & (col["x"] == col["y"])  # both sides of these cells are the same block
+    right = np.where(col["few"], col["block"] != col["x"], t.column("is_main").to_numpy()) & ~inner
+    order = np.lexsort((right, col["y"], col["x"], col["few"], col["list"]))
+    col, inner, right = {c: x[order] for c, x in col.items()}, inner[order], right[order]
+    bitmaps = Bitmaps(t.column("bits").take(pa.array(order)).to_pylist())
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in ("list", "few", "x", "y"):
+        new[1:] |= col[c][1:] != col[c][:-1]
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(order)))
+    n_right = np.add.reduceat(right.astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    n_left = size - n_right
+    same = inner[start]
+    right_at = np.where(same, start, start + n_left)
+    n_right = np.where(same, n_left, n_right)
+    left = np.flatnonzero(~right)
+    cell = np.cumsum(new)[left] - 1
+    count = n_right[cell]
+    n, place = col["n_shingles"].astype(np.int64), col["place"].astype(np.int64)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    total = np.cumsum(count)
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, "right")))
+        k = count[lo:hi]
+        a = np.repeat(left[lo:hi], k)
+        b = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k) + np.repeat(right_at[cell[lo:hi]], k)
+        keep = (col["root"][a] != col["root"][b]) & (~inner[a] | (a < b)) & _fits(n, place, a, b)
+        a, b = a[keep], b[keep]
+        need = -(-num * (n[a] + n[b]) // (num + den))
+        keep = (need <= np.minimum(n[a], n[b])) & (bitmaps.differ(a, b) <= n[a] + n[b] - 2 * need)
+        found.append((col["sig"][a[keep]], col["sig"][b[keep]]))
+        lo = hi
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    pairs = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def across(mixed: DataFrame, classes: DataFrame, n_buckets: int, block: int = BLOCK) -> DataFrame:
+    """Pairs ``a``, ``b`` of members (list, sig, place, root) of one list in different components, that sizes, places and bitmaps allow."""
+    sizes = mixed.groupBy("list", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("list").agg(
+        F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("n_main"), F.sum("k").alias("n_all"))
+    m = mixed.join(sizes, "list").withColumn("is_main", F.col("root") == F.col("main"))
+    blocks = lambda k: F.greatest(F.ceil(k / block), F.lit(1)).cast("int")
+    m = m.withColumn("n_few", blocks(F.col("n_all") - F.col("n_main"))).withColumn("n_main", blocks(F.col("n_main")))
+    m = m.withColumn("block", F.pmod(F.xxhash64("sig"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_few"))).cast("int"))
+    cell = lambda few, x, y: F.struct(F.lit(few).alias("few"), x.cast("int").alias("x"), y.cast("int").alias("y"))
+    upto = lambda k: F.sequence(F.lit(0), k - 1)
+    own = F.col("block")
+    cells = F.when(F.col("is_main"), F.transform(upto(F.col("n_few")), lambda k: cell(False, k, own))).otherwise(F.concat(
+        F.transform(upto(F.col("n_few")), lambda k: cell(True, F.least(k, own), F.greatest(k, own))), F.transform(upto(F.col("n_main")), lambda k: cell(False, own, k))))
+    m = m.select("list", "sig", "place", "root", "is_main", "block", F.explode(cells).alias("c")).select("list", "sig", "place", "root", "is_main", "block", "c.*")
+    m = m.join(classes.select("sig", "n_shingles", "bits"), "sig")
+    return m.withColumn("bucket", F.pmod(F.xxhash64("list", "few", "x", "y"), F.lit(n_buckets))).groupBy("bucket").applyInArrow(_compare, "a long, b long")
+
+
+def links(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Edges ``a``, ``b`` that connect every component: stars of the components that the first links give, and the later links."""
     texts = docs.select(docs[text_col].cast("binary").alias("text"))
 
     def confirmed(pairs):
-        pairs = rows.stored(plausible(pairs, classes))
+        pairs = rows.stored(pairs)
         wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
         return rows.stored(verify(pairs, rows.stored(whole_sets(docs, wanted, classes, id_col=id_col, text_col=text_col))))
 
     counts = sketch(texts)
     found = rows.stored(lists(texts, counts, boundary(counts)))
-    one = confirmed(found.where((F.col("sig") != F.col("leader")) & _size_fits("n", "leader_n"))
-                    .select(F.least("sig", "leader").alias("a"), F.greatest("sig", "leader").alias("b")).distinct())
+    one = confirmed(plausible(found.where((F.col("sig") != F.col("leader")) & _size_fits("n", "leader_n"))
+                              .select(F.least("sig", "leader").alias("a"), F.greatest("sig", "leader").alias("b")).distinct(), classes))
     # lists that still span components: members outside the largest one against all others
     first_roots = components(one)
-    part = found.groupBy("list", "sig").agg(F.first("n").alias("n"), F.first("place").alias("place")) \
+    part = found.groupBy("list", "sig").agg(F.first("place").alias("place")) \
         .join(first_roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     spans = part.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
     mixed = rows.stored(part.join(spans, "list", "left_semi"))
-    largest = mixed.groupBy("list", "root").count().groupBy("list").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    few = mixed.join(largest, "list").select("list", F.col("sig").alias("a"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("a_root"), "main").where("a_root <> main")
-    first = (_reaches("n", "place", "m") & _reaches("m", "spot", "n")) | (F.greatest("n", "m") == 65535)
-    pairs = mixed.join(few, "list").where((F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("sig"))) & _size_fits("n", "m") & first) \
-        .select(F.least("a", "sig").alias("a"), F.greatest("a", "sig").alias("b")).distinct()
+    pairs = across(mixed, classes, rows.parts(docs)[1], block).distinct()
     return first_roots.select(F.col("sig").alias("a"), F.col("root").alias("b")).union(confirmed(pairs))
 
 

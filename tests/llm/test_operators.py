@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ptloom.llm import arrays, bpe_codec, chunk_dedup, decontaminate, jaccard_join, lpf_dedup, perplexity, quality_qda, shards, tag_paths, token_scan
 
@@ -657,6 +658,40 @@ def test_components(llm, docs, none):
     assert {r.doc_id for r in kept.collect()} == {c for i, _, c in got if i != -1} | {None}
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_texts_of_a_pool_of_sentences(llm, block):
+    """Texts that share lists without linking write no pairs; linked ones among them are found, whatever the blocks."""
+    r = random.Random(9)
+    pool = [words(("sentence", i), 14) for i in range(60)]
+    pairs = [(i, ". ".join(r.sample(pool, 12))) for i in range(400)]
+    pairs += [(1000 + i, t + " " + words(("end", i), 9)) for i, (_, t) in enumerate(pairs[:20])]
+    pairs += [(2000 + i, t.replace(" ", "  ", 3) + " more") for i, (_, t) in enumerate(pairs[10:30])]
+    df = llm.createDataFrame(pairs, "doc_id long, text string").repartition(6)
+    who = jaccard_join.rows.stored(jaccard_join.members(df))
+    classes = jaccard_join.rows.stored(who.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits")))
+    group = jaccard_join.components(jaccard_join.links(df, classes, block=block))
+    root = {x.sig: x.root for x in group.collect()}
+    mine = defaultdict(set)
+    for x in who.collect():
+        mine[root.get(x.sig, x.sig)].add(x.doc_id)
+    want = defaultdict(set)
+    for (i, _), k in zip(pairs, plain_roots(pairs)[1]):
+        want[k].add(i)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values())) and max(map(len, want.values())) > 1
+
+
+def test_pairs_of_a_pool_of_sentences_grow_in_proportion(llm, monkeypatch):
+    written = []
+    real = jaccard_join.across
+    monkeypatch.setattr(jaccard_join, "across", lambda *a, **k: written.append(jaccard_join.rows.stored(real(*a, **k))) or written[-1])
+    r = random.Random(9)
+    pool = [words(("sentence", i), 14) for i in range(60)]
+    for n in (250, 1000):
+        df = llm.createDataFrame([(i, ". ".join(r.sample(pool, 12))) for i in range(n)], "doc_id long, text string")
+        assert jaccard_join.join(df).select("component_id").distinct().count() == n
+    assert written[0].count() <= 25 and written[1].count() <= 100
+
+
 def test_one_row_of_each_component(llm):
     a, b, c, d = (words(("rep", k), 120) for k in "abcd")
     pairs = [(1, a), (1, a), (1, a), (None, a), (None, a), (2, a + " more"), (5, a), (5, b), (7, b), (7, b), (None, c), (None, c), (None, c + " end"), (8, d), (None, d + " x"),
