@@ -33,7 +33,7 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 MIN_SHRINK = 0.01
 #: labelled ids that are broadcast, to measure only their texts; beyond them all texts outside the fold are measured
-MAX_IDS = 5_000_000
+MAX_IDS = 1_000_000
 
 _KIND = {
     "upper": np.isin(np.arange(256), np.arange(0x41, 0x5B)),
