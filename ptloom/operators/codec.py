@@ -33,10 +33,17 @@ WORD_CHARS = 256
 PIECES = re.compile(rf"[^{SPACE}]{{1,{WORD_CHARS}}}|[{SPACE}]")
 
 
+def _places(texts: pa.Array) -> np.ndarray:
+    """Byte offsets of the texts, of strings with 32-bit or 64-bit offsets."""
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    return np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+
+
 def _sliced(fn: Callable[[pa.Array], pa.Array], col: pa.Array) -> pa.Array:
     """``fn`` over slices of about ``SLICE`` bytes, one row at least."""
-    at = np.asarray(col.offsets) if pa.types.is_list(col.type) else np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
-    part = (at[:-1] - at[0]).astype(np.int64) // (SLICE // (8 if pa.types.is_list(col.type) else 1)) if len(col) else np.empty(0, np.int64)
+    lists = pa.types.is_list(col.type) or pa.types.is_large_list(col.type)
+    at = np.asarray(col.offsets) if lists else _places(col)
+    part = (at[:-1] - at[0]).astype(np.int64) // (SLICE // (8 if lists else 1))
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(col)]
     return pa.concat_arrays([fn(col.slice(lo, hi - lo)) for lo, hi in zip(edges, edges[1:])])
 
@@ -66,7 +73,7 @@ def char_encoder(spark: SparkSession, chars: list[str], ids: list[int]) -> Calla
     table = spark.sparkContext.broadcast(dense)
 
     def run(texts: pa.Array) -> pa.Array:
-        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        at = _places(texts)
         data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.empty(0, np.uint8)
         codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         starts = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
