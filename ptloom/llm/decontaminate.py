@@ -6,9 +6,11 @@ of fewer words (but not none) is one window.  The windows of a block of items
 are hashed into sorted arrays and broadcast; a document's word windows are
 looked up in them and every hit is verified word by word.
 
-The broadcast is bounded: the benchmark is cut into blocks of up to
-``block_bytes`` of text (one item at least), and the documents are scanned
-once per block, carrying what earlier blocks found.
+The broadcast is bounded: a benchmark of up to ``block_bytes`` of text is
+broadcast as its windows.  A larger one is broadcast as a bitmap of the hashes of its windows (16
+bits for each, ``MAX_BITS`` at most); one scan of the documents marks the windows that may be in it, and only
+these travel, with their words, to the buckets of a join with the benchmark's windows, which verifies them and names the items.  Documents
+without a marked window do not travel.
 
 Cases: null or empty text has no words and is never contaminated; items
 without words match nothing; items with equal windows all count; repeated
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ptloom.llm import arrays, rows
-from ptloom.session import reliable_checkpoint
+
+#: bits of the bitmap of a large benchmark, 128 MB
+MAX_BITS = 1 << 30
 
 RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -67,36 +71,31 @@ class NgramIndex:
                     yield b, size, found
 
 
-def _scan(index: NgramIndex, last: bool):
-    def fn(texts, extra):
-        before = extra.get("hit")
-        out = {k: [] for k in RESULT.names}
-        for lo, hi in arrays.chunks(texts):
-            words = arrays.Words(texts[lo:hi], arrays.ALNUM, lower=True)
-            mask = np.zeros(len(words.starts), bool)
-            items: list[set[str]] = [set(extra["items"][lo + i]) if before else set() for i in range(hi - lo)]
-            for i in range(hi - lo) if before else ():
-                mask[words.first[i] + np.asarray(before[lo + i], np.int64)] = True
-            for b, size, found in index.hits(words):
-                mask[b:b + size] = True
-                items[words.owner[b]].update(index.ids[o] for o in found if index.ids[o] is not None)
-            n_hit = arrays.sum_by(mask.astype(np.int64), words.first)
-            for i in range(hi - lo):
-                own = slice(words.first[i], words.first[i + 1])
-                text = texts[lo + i]
-                if last and n_hit[i]:  # cut the runs of hit words, up to the next word that stays
-                    a, z = arrays.runs(mask[own])
-                    at = np.append(words.starts[own], words.text_starts[i + 1] - 1) - words.text_starts[i]
-                    cut = np.concatenate(([0], np.ravel(np.column_stack((at[a], at[z]))), [len(text)]))
-                    text = b"".join(text[cut[j]:cut[j + 1]] for j in range(0, len(cut), 2))
-                out["clean_text"].append(text if last else None)
-                out["hit_words"].append(np.flatnonzero(mask[own]))
-                out["items"].append(sorted(items[i]))
-            out["n_words"].extend(words.counts.tolist())
-            out["n_hit"].extend(n_hit.tolist())
-        return out
-
-    return fn
+def _found(texts: list[bytes | None], hits) -> dict[str, list]:
+    """The result columns; ``hits`` gives the first word, the length and the items of every hit of some words, the texts from a given one on."""
+    out: dict[str, list] = {k: [] for k in RESULT.names}
+    for lo, hi in arrays.chunks(texts):
+        words = arrays.Words(texts[lo:hi], arrays.ALNUM, lower=True)
+        mask = np.zeros(len(words.starts), bool)
+        items: list[set[str]] = [set() for _ in range(hi - lo)]
+        for b, size, found in hits(words, lo):
+            mask[b:b + size] = True
+            items[words.owner[b]].update(i for i in found if i is not None)
+        n_hit = arrays.sum_by(mask.astype(np.int64), words.first)
+        for i in range(hi - lo):
+            own = slice(words.first[i], words.first[i + 1])
+            text = texts[lo + i]
+            if n_hit[i]:  # cut the runs of hit words, up to the next word that stays
+                a, z = arrays.runs(mask[own])
+                at = np.append(words.starts[own], words.text_starts[i + 1] - 1) - words.text_starts[i]
+                cut = np.concatenate(([0], np.ravel(np.column_stack((at[a], at[z]))), [len(text)]))
+                text = b"".join(text[cut[j]:cut[j + 1]] for j in range(0, len(cut), 2))
+            out["clean_text"].append(text)
+            out["hit_words"].append(np.flatnonzero(mask[own]))
+            out["items"].append(sorted(items[i]))
+        out["n_words"].extend(words.counts.tolist())
+        out["n_hit"].extend(n_hit.tolist())
+    return out
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -106,28 +105,110 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     item = benchmark.select(benchmark[item_col].cast("string").alias("id"), benchmark[item_text_col].cast("binary").alias("text")) \
         .where("length(text) > 0").distinct()
     total = item.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
-    block = item if n_blocks == 1 else item.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)))
-    out = None
-    for b in range(n_blocks):
-        part = (block if n_blocks == 1 else block.where(F.col("block") == b)).select("id", "text").toArrow().to_pydict()
-        index = spark.sparkContext.broadcast(NgramIndex(list(zip(part["id"], map(bytes, part["text"]))), n))
-
-        def fn(texts, extra, index=index, last=b == n_blocks - 1):
-            return _scan(index.value, last)(texts, extra)
-
-        if out is None:
-            src, extra, names, text = docs, {}, row, text_col
-        else:
-            src = reliable_checkpoint(out.select("row", "text", "res"))
-            extra, names, text = {"hit": src["res.hit_words"], "items": src["res.items"]}, ["row", "text"], "text"
-        if n_blocks > 1 and out is None:
-            src = docs.select(F.struct(*[docs[c] for c in (row or docs.columns)]).alias("row"), docs[text_col].cast("binary").alias("text"))
-            names, text = ["row", "text"], "text"
-        out = rows.map_texts(src, text, fn, RESULT, row=names, extra=extra)
-        if n_blocks > 1:
-            out = out.select(F.col("row.row").alias("row"), F.col("row.text").alias("text"), "res")
-    return out.select("row", "res")
+    if total > block_bytes:
+        return _bucketed(docs, item, n, text_col=text_col, row=row)
+    part = item.toArrow().to_pydict()
+    index = spark.sparkContext.broadcast(NgramIndex(list(zip(part["id"], map(bytes, part["text"]))), n))
+    return rows.map_texts(docs, text_col, lambda texts, _: _found(texts, lambda words, _: [
+        (b, size, [index.value.ids[o] for o in found]) for b, size, found in index.value.hits(words)]), RESULT, row=row)
+
+
+GRAM = T.StructType([T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("gram", T.BinaryType())])
+MARKED = T.StructType([T.StructField("at", T.ArrayType(T.LongType(), False)), T.StructField("grams", T.ArrayType(GRAM, False))])
+
+
+def _gram(words: arrays.Words, at: int, size: int) -> bytes:
+    return b" ".join(words.word(at + j) for j in range(size))
+
+
+def windows(items: DataFrame, n: int) -> DataFrame:
+    """``id``, ``hash``, ``size`` and ``gram`` (its words) of every window of the items (id, text), each once."""
+    def fn(texts, _):
+        out: list[list] = [[] for _ in texts]
+        for lo, hi in arrays.chunks(texts):
+            words = arrays.Words(texts[lo:hi], arrays.ALNUM, lower=True)
+            for size in np.unique(np.minimum(words.counts, n)).tolist():
+                if size:
+                    first, h = words.windows(size)
+                    own = words.owner[first]
+                    for i in np.flatnonzero((words.counts[own] == size) | (size == n)).tolist():
+                        out[lo + int(own[i])].append({"hash": int(h[i].astype(np.int64)), "size": size, "gram": _gram(words, int(first[i]), size)})
+        return {"grams": out}
+
+    got = rows.map_texts(items, "text", fn, T.StructType([T.StructField("grams", T.ArrayType(GRAM))]), row=["id"])
+    return got.select("row.id", F.explode("res.grams").alias("g")).select("id", "g.*").distinct()
+
+
+def _spots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each hash in a bitmap of ``bits``."""
+    h = hashes.view(np.int64)
+    return h & (bits - 1), (h >> 32) & (bits - 1)
+
+
+def bitmap(grams: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the places of all hashes, gathered as blocks of fixed size."""
+    part = min(bits, 1 << 15)
+    spot = F.explode(F.array(F.col("hash").bitwiseAND(bits - 1), F.shiftright("hash", 32).bitwiseAND(bits - 1))).alias("spot")
+    blocks = grams.select(spot).groupBy(F.floor(F.col("spot") / part).alias("block")).agg(F.collect_set((F.col("spot") % part).cast("int")).alias("at"))
+
+    def pack(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for at in batch.column(1):
+                own = np.zeros(part, np.uint8)
+                own[at.values.to_numpy()] = 1
+                out.append(np.packbits(own, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["block", "bits"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    got = blocks.mapInArrow(pack, "block long, bits binary").toArrow()  # of fixed size, whatever the benchmark
+    for b, x in zip(got.column(0).to_pylist(), got.column(1)):
+        out[b * part // 8:(b + 1) * part // 8] = np.frombuffer(x.as_buffer(), np.uint8)
+    return out
+
+
+def _bucketed(docs: DataFrame, items: DataFrame, n: int, *, text_col: str, row: list[str] | None) -> DataFrame:
+    """``scan`` for a benchmark of any size."""
+    grams = rows.stored(windows(items, n))
+    sizes = sorted(r[0] for r in grams.select("size").distinct().collect())
+    bits = min(MAX_BITS, max(1 << 16, 1 << (16 * max(grams.count(), 1) - 1).bit_length()))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(grams.select("hash").distinct(), bits))
+
+    def mark(texts, _):
+        seen = lambda spot: (shared.value[spot >> 3] >> (spot & 7)) & 1 == 1
+        at, found = [[] for _ in texts], [[] for _ in texts]
+        for lo, hi in arrays.chunks(texts):
+            words = arrays.Words(texts[lo:hi], arrays.ALNUM, lower=True)
+            for size in sizes:
+                begin, h = words.windows(size)
+                x, y = _spots(h, bits)
+                for i in np.flatnonzero(seen(x) & seen(y)).tolist():
+                    b = int(begin[i])
+                    own = int(words.owner[b])
+                    at[lo + own].append(b - int(words.first[own]))
+                    found[lo + own].append({"hash": int(h[i].astype(np.int64)), "size": size, "gram": _gram(words, b, size)})
+        return {"at": at, "grams": found}
+
+    src = docs.select(F.struct(*[docs[c] for c in (row or docs.columns)]).alias("row"), docs[text_col].cast("binary").alias("text"))
+    marked = rows.stored(rows.map_texts(src, "text", mark, MARKED, row=["row", "text"]).select("row.*", "res").withColumn("key", F.monotonically_increasing_id()))
+    asked = marked.where(F.size("res.at") > 0).select("key", F.explode(F.arrays_zip(F.col("res.at").alias("at"), F.col("res.grams").alias("g"))).alias("m")).select("key", "m.at", "m.g.*")
+    hits = asked.join(grams, ["hash", "size", "gram"]).groupBy("key").agg(
+        F.collect_set(F.struct("at", "size")).alias("places"), F.collect_set("id").alias("items"))  # of one document, as many as its windows
+    none = marked.where(F.size("res.at") == 0).select("row", "text", F.lit(None).cast("array<struct<at: bigint, size: int>>").alias("places"), F.lit(None).cast("array<string>").alias("items"))
+    some = marked.where(F.size("res.at") > 0).join(hits, "key", "left").select("row", "text", "places", "items")
+
+    def fn(texts, extra):
+        def hits(words, lo):
+            for i in range(words.n_texts):
+                for p in extra["places"][lo + i] or ():
+                    yield int(words.first[i]) + p["at"], p["size"], extra["items"][lo + i]
+
+        return _found(texts, hits)
+
+    both = none.unionByName(some)
+    return rows.map_texts(both, "text", fn, RESULT, row=["row"], extra={"places": both["places"], "items": both["items"]}).select("row.row", "res")
 
 
 def contaminated(share: int = 20):

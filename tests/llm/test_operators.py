@@ -143,6 +143,19 @@ def test_decontamination(llm, docs, none, block_bytes):
     assert decontaminate.scan(docs, bench.limit(0)).where("res.n_hit > 0").count() == 0
 
 
+def test_a_large_benchmark_is_found_in_one_scan(llm, monkeypatch):
+    table, bench = frame(llm), frame(llm, table="benchmark")
+    key = lambda r: (r.row.doc_id, r.res.n_words, r.res.n_hit, tuple(r.res["items"]), tuple(r.res.hit_words), bytes(r.res.clean_text or b""))
+    want = sorted(key(r) for r in decontaminate.scan(table, bench).collect())
+    assert any(w[2] for w in want)
+    scans = []
+    real = decontaminate.rows.map_texts
+    monkeypatch.setattr(decontaminate.rows, "map_texts", lambda df, *a, **k: scans.append(df.columns) or real(df, *a, **k))
+    assert sorted(key(r) for r in decontaminate.scan(table, bench, block_bytes=100).collect()) == want
+    # the benchmark's windows, the marks of the documents, and the results from the marked table
+    assert scans == [["id", "text"], ["row", "text"], ["row", "text", "places", "items"]]
+
+
 # ---- 3
 
 def plain_repeats(pairs, length):
