@@ -55,12 +55,16 @@ def is_strict_json(s: Column) -> Column:
 PARSER_BYTES, PARSER_DEPTH = 1 << 24, 1000
 
 
-def beyond_parser(s: Column) -> Column:
+def beyond_parser(s: Column, max_bytes: int = PARSER_BYTES, max_depth: int = PARSER_DEPTH) -> Column:
     """Whether a text that failed to parse is one that the parser may refuse by size or depth,
-    so that nothing is known about it.  The brackets are counted only for texts that could nest so deep."""
+    so that nothing is known about it.  The brackets are counted only for texts that could nest so deep.
+
+    The limits are parameters: the defaults are the parser's own, lower ones put more texts in this class, never fewer."""
+    if max_bytes > PARSER_BYTES or max_depth > PARSER_DEPTH:
+        raise ValueError("limits above the parser's own would call texts invalid that it cannot judge")
     n = F.octet_length(s)
     opened = F.char_length(F.regexp_replace(s, r"[^\[{]", ""))
-    return F.when(n > PARSER_BYTES, True).when(n >= PARSER_DEPTH, opened >= PARSER_DEPTH - 1).otherwise(False)
+    return F.when(n > max_bytes, True).when(n >= max_depth, opened >= max_depth - 1).otherwise(False)
 
 
 def with_strict_json(df: DataFrame, src: str, prefix: str) -> DataFrame:

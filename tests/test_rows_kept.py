@@ -43,6 +43,12 @@ def test_parser_limit_is_its_own_rule(spark):
     df = spark.createDataFrame([(1, long), (2, deep), (3, '{"id":'), (4, "[" * 900 + "]" * 900)], "n int, value string")
     got = {r.n: [e.rule for e in r.errors] for r in validate.validate_chat(df).select("n", "errors").collect()}
     assert got == {1: ["parser_limit"], 2: ["parser_limit"], 3: ["invalid_json"], 4: ["not_object"]}
+    # the limits are parameters; a text that parses is judged whatever its size
+    low = spark.createDataFrame([(1, '{"id":' + "x" * 100), (2, '{"id":'), (3, "[" * 60 + "]" * 59), (4, "[" * 900 + "]" * 900)], "n int, value string")
+    got = {r.n: [e.rule for e in r.errors] for r in validate.validate_chat(low, max_bytes=100, max_depth=50).collect()}
+    assert got == {1: ["parser_limit"], 2: ["invalid_json"], 3: ["parser_limit"], 4: ["not_object"]}
+    with pytest.raises(ValueError):
+        validate.validate_preference(low, max_bytes=1 << 30)
 
 
 def test_duplicate_keys_do_not_depend_on_the_session(spark):
