@@ -301,6 +301,43 @@ def plain_chunk_dedup(pairs, min_bytes):
     return sorted(out)
 
 
+def plain_cuts(x):
+    """Starts of the chunks of a text, byte by byte."""
+    gear, space = chunk_dedup._GEAR.tolist(), b" \t\n\x0b\x0c\r"
+    h = [sum(gear[x[i - j]] << j for j in range(16) if i >= j) % 2**32 for i in range(len(x))] + [0]  # the last one stands before the text
+    far = float("inf")
+    y = x + b"\0"  # behind white space the end of a text is a place too: an empty chunk may end it
+    places = [i for i in range(1, len(y)) if (y[i] not in space and y[i - 1] in space) or y[i] >= 0xE3]
+    value = [h[i - 1] for i in places]
+    cuts = [0] * bool(x) + [p for k, p in enumerate(places) if all(value[k] < v for v in value[max(0, k - 3):k]) and all(value[k] <= v for v in value[k + 1:k + 4])]
+    more = []
+    for lo, hi in zip(cuts, [*cuts[1:], len(x)]):
+        if hi - lo <= 256:
+            continue
+        v = [h[p - 1] if x[p] & 0xC0 != 0x80 else far for p in range(lo, hi)]
+        last = 0
+        for k in range(1, hi - lo):
+            before, after = min(v[max(0, k - 32):k], default=far), min(v[k + 1:k + 33], default=far)
+            if v[k] != far and v[k] <= before and v[k] <= after and (v[k] < before or k - last >= 64):
+                more.append(lo + k)
+                last = k
+    return sorted(cuts + more)
+
+
+def test_chunks_against_plain_cuts():
+    r = random.Random(11)
+    some = [(t or "").encode()[:6000] for _, t in texts()] + [bytes(r.choice(b"{}:,abc01") for _ in range(3000)), b"ab" * 900, "ก".encode() * 500, b"same " * 300, "日本語".encode() * 200,
+            "".join(r.choice("กขคงจ") for _ in range(800)).encode()]
+    owner, starts, ends, digests = chunk_dedup.chunk(some)
+    for i, x in enumerate(some):
+        mine = starts[owner == i].tolist()
+        assert mine == plain_cuts(x) and ends[owner == i].tolist() == [*mine[1:], len(x)][:len(mine)]
+    parts = defaultdict(set)
+    for i, a, z, d in zip(owner.tolist(), starts.tolist(), ends.tolist(), digests.tolist()):
+        parts[some[i][a:z]].add(d)
+    assert all(len(d) == 1 for d in parts.values()) and len(set().union(*parts.values())) == len(parts)
+
+
 def test_chunk_dedup(docs, none):
     got = sorted((BIG if r.row.doc_id is None else r.row.doc_id, r.res.n_chunks, r.res.n_removed, r.res.n_spans, bytes(r.res.kept)) for r in chunk_dedup.dedup(docs).collect())
     want = plain_chunk_dedup([(BIG if i is None else i, (t or "").encode()) for i, t in texts()], 100)
