@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ptloom.operators.joins import checked_broadcast
 from ptloom.session import reliable_checkpoint
-from ptloom.operators.tokens import VOCAB_BROADCAST_ROWS, chars
+from ptloom.operators.codec import CODE_POINTS
+from ptloom.operators.tokens import chars
 
 R6 = lambda c: F.round(c, 6)
 
@@ -56,7 +57,7 @@ def unigram_cross_entropy(docs: DataFrame, split_col: str, train_value: str, tex
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over the small per-character table
     model = train.select("ch", (-F.log(F.col("n") / total)).alias("nll"))
     # one row per character of the training split: broadcast only under the checked bound
-    j = counts.join(checked_broadcast(model, VOCAB_BROADCAST_ROWS), "ch", "left")
+    j = counts.join(checked_broadcast(model, CODE_POINTS), "ch", "left")
     per = j.groupBy(split_col).agg(
         (F.sum(F.when(F.col("nll").isNotNull(), F.col("n") * F.col("nll"))) /
          F.sum(F.when(F.col("nll").isNotNull(), F.col("n")))).alias("ce"),
