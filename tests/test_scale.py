@@ -54,3 +54,39 @@ def test_lines_of_keys_are_the_raw_lines(spark, tables):
     t = Tables(spark, tables)
     a = sorted(map(str, derived.raw_pair_lines(t).select("file", "line_id", "value").collect()))
     assert a == sorted(map(str, derived.lines_of_keys(derived.raw_pair_keys(t)).select("file", "line_id", "value").collect()))
+
+
+def test_counts_make_no_row_for_an_occurrence(spark):
+    from ptloom.operators import bpe, codec, tokens
+
+    d = spark.createDataFrame([("ab ab\ta\x01",), (None,), ("",), ("é😀 ab",)], "text string").coalesce(1)
+    assert codec.char_counts(d, "text").where("ch = 'a'").collect() == [("a", 4)]
+    assert codec.word_counts(d, "text").where("w = 'ab'").collect() == [("ab", 3)]
+    assert {(r.ch, r.n) for r in tokens.char_vocab(d).collect()} == {("\t", 1), (" ", 2), ("\x01", 1), ("a", 4), ("b", 3), ("é", 1), ("😀", 1)}
+    got = bpe._postings(bpe.word_table(d).select("word", "freq", F.lit("").alias("old")), 0)
+    assert sorted((r.pair, r.diff) for r in got.collect() if "b" in r.pair) == [("\x01a\x02\x01b\x02", 3)]
+
+
+def test_batches_for_workers_are_small(spark):
+    from ptloom.operators import codec
+
+    spark.conf.set(codec.BATCH_SETTING, str(64 << 20))
+    codec.char_encoder(spark, ["a"], [0])
+    assert spark.conf.get(codec.BATCH_SETTING) == f"{codec.BATCH_BYTES}b"
+
+
+def test_id_totals(spark):
+    from ptloom.operators import codec
+
+    total, from_least = codec.id_totals(spark, 2)
+    d = spark.createDataFrame([(1, [1, 2, 3]), (2, []), (3, None), (4, [None, 5])], "i int, ids array<int>")
+    got = d.select("i", total("ids"), from_least("ids")).collect()
+    assert {tuple(r) for r in got} == {(1, 6, 2), (2, 0, 0), (3, None, None), (4, None, 1)}
+
+
+def test_blank_and_object_white_space(spark):
+    from ptloom.functions.text import is_blank, strip_object_ws, strip_ws
+
+    d = spark.createDataFrame([(x,) for x in ("", " 　\x0b", None, " a ", "{}", " {} ", "{ ", "\xa0{\"a\": 1}")], "s string")
+    got = d.select("s", is_blank(F.col("s")).alias("b"), strip_object_ws(F.col("s")).alias("o"), strip_ws(F.col("s")).alias("t")).collect()
+    assert all(r.o == r.t and r.b == (not (r.s or "").strip()) for r in got)
