@@ -73,6 +73,16 @@ def rejected_texts(key: Column, tool: Column, args_json: Column, chosen: Column,
     return [prose, wrong_key, wrong_tool, extra, empty_args, truncated]
 
 
+def rejected_text(
+    variant: Column, key: Column, tool: Column, args_json: Column, chosen: Column, seed: int = K.SEED
+) -> Column:
+    """The answer of ``rejected_texts`` that ``variant`` (1 to 6) numbers; the others are not made."""
+    out = F.lit(None).cast("string")
+    for i, text in reversed(list(enumerate(rejected_texts(key, tool, args_json, chosen, seed=seed), 1))):
+        out = F.when(variant == i, text).otherwise(out)
+    return out
+
+
 def rejected_variants(
     key: Column, tool: Column, args_json: Column, chosen: Column, seed: int = K.SEED
 ) -> Column:

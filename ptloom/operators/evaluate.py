@@ -137,15 +137,17 @@ def text_stats(df: DataFrame, text_col: str, known_words: DataFrame | None = Non
     lines ('Name:' at a line start), punctuation share."""
     from ptloom.functions.text import word_ngrams
 
-    words = F.filter(F.split(F.lower(F.col(text_col)), r"\s+"), lambda w: w != "")
-    grams = word_ngrams(words, n)
-    rep = F.when(F.size(grams) > 0, 1 - F.size(F.array_distinct(grams)) / F.size(grams)).otherwise(F.lit(0.0))
+    # the words are a column of their own: inside the n-grams' lambda the text would be split again for each n-gram
+    d = df.withColumn("_w", F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"\S+"), F.lit(0)))
+    words = F.col("_w")
+    # a text of at most n words has one n-gram or none
+    rep = F.when(F.size(words) > n, 1 - F.size(F.array_distinct(word_ngrams(words, n))) / (F.size(words) - (n - 1))).otherwise(F.lit(0.0))
     nchar = F.char_length(F.col(text_col))
-    punct = F.char_length(F.regexp_replace(F.col(text_col), r"[^\p{Punct}]", ""))
-    return df.withColumns({
+    punct = F.char_length(F.regexp_replace(F.col(text_col), r"[^\p{Punct}]+", ""))
+    return d.withColumns({
         "n_words": F.size(words).cast("bigint"),
         "repetition": rep.cast("double"),
-        "n_line_breaks": F.regexp_count(F.col(text_col), F.lit("\n")).cast("bigint"),
+        "n_line_breaks": (nchar - F.char_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))).cast("bigint"),
         "n_speaker_lines": F.regexp_count(F.col(text_col), F.lit(r"(?m)^[A-Z][A-Za-z]*:")).cast("bigint"),
         "punct_share": F.when(nchar > 0, punct / nchar).otherwise(F.lit(0.0)),
-    })
+    }).drop("_w")

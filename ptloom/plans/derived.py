@@ -8,6 +8,8 @@ shuffle on ``conv_id``) and ``runlog`` (skew-safe ordered numbering).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,10 +200,7 @@ def lines_of_keys(keys: DataFrame) -> DataFrame:
     """``keys`` (rows of ``raw_pair_keys``, with any more columns) with their line as ``value``; a projection, the order of rows stays."""
     chosen = build.tool_call_json(F.col("tool"), F.col("arguments_json"))
     p = keys.select("*", F.col("line_id").alias("pair_id"), chosen.alias("chosen"))
-    texts = build.rejected_texts(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"))
-    rejected = F.lit(None).cast("string")
-    for i, text in reversed(list(enumerate(texts, 1))):
-        rejected = F.when(F.col("variant") == i, text).otherwise(rejected)
+    rejected = build.rejected_text(F.col("variant"), F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"))
     p, line = _damaged_pair(p.withColumn("rejected", rejected))
     return p.select(*[F.col(f"`{c}`") for c in keys.columns], line.alias("value"))
 
@@ -257,21 +256,24 @@ def outputs(t: Tables) -> DataFrame:
     """Model outputs: (base, tuned) × toolcalls; chosen text or one rejected variant.
 
     The pick is an md5 bucket of ``model|key``; the tuned model gets the
-    chosen answer more often.  No join: the variants are an array column.
+    chosen answer more often.  No join: a model's outputs are a projection of
+    the tool calls, which makes only the text that is picked.
     """
     tc = toolcalls(t)
-    variants = build.rejected_variants(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"))
-    model = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(s).alias("share")) for m, s in MODELS]))
-    d = tc.select("*", variants.alias("_vars")).select("*", model.alias("_m"))
-    h = seeded_hex(F.col("_m.model"), F.col("key"))
-    bucket = F.pmod(hex8_to_long(h, 1), F.lit(10))
+    return reduce(DataFrame.unionByName, [_outputs_of(tc, m, s) for m, s in MODELS])
+
+
+def _outputs_of(tc: DataFrame, model: str, share: int) -> DataFrame:
+    """The outputs of one model; variant 0 is the chosen text, picked before any text is made."""
+    h = seeded_hex(F.lit(model), F.col("key"))
     pick = (F.pmod(hex8_to_long(h, 9), F.lit(6)) + 1).cast("int")
-    out = F.when(bucket < F.col("_m.share"), F.col("chosen")).otherwise(F.element_at("_vars", pick)["text"])
+    d = tc.select("*", F.when(F.pmod(hex8_to_long(h, 1), F.lit(10)) < share, 0).otherwise(pick).alias("_pick"))
+    rejected = build.rejected_text(F.col("_pick"), F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"))
     return d.select(
-        F.col("_m.model").alias("model"),
+        F.lit(model).alias("model"),
         F.col("key").alias("prompt_id"),
         "prompt",
-        out.alias("output"),
+        F.when(F.col("_pick") == 0, F.col("chosen")).otherwise(rejected).alias("output"),
         F.col("tool").alias("expected_tool"),
         F.col("arguments_json").alias("expected_arguments"),
         "answer",

@@ -1,6 +1,8 @@
 """Scorer edges against a plain-Python statement of the scoring rules."""
 
 import json
+import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -70,3 +72,21 @@ def test_text_stats(spark):
     df = spark.createDataFrame([("a b c a b c",), ("x",)], "t string")
     r = ev.text_stats(df, "t").collect()
     assert abs(r[0].repetition - (1 - 3 / 4)) < 1e-12 and r[1].repetition == 0.0
+
+
+def test_text_stats_split_a_text_once_and_match_plain_python(spark):
+    texts = ["a b a b a b", "A b\na B\ra b a", "x", "x y z", "x y z x y z", " \t ", "", None, "Bob: hi\nAnn: ho\n\nno: x!", "\xa0é　É é é 😀 😀 😀 😀,", "{\"tool\": \"a\"}\r\n\x0b\f.", "Sure: \nX1: y"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for n in (1, 2, 3):
+        stats = ev.text_stats(df, "t", n=n)
+        # the n-grams' lambda must not split the text again for each n-gram
+        assert stats._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+        assert stats.columns == ["i", "t", "n_words", "repetition", "n_line_breaks", "n_speaker_lines", "punct_share"]
+        for r in stats.where("t IS NOT NULL").collect():
+            w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", r.t.lower()) if x]
+            g = [tuple(w[k:k + n]) for k in range(len(w) - n + 1)]
+            assert (r.n_words, r.repetition) == (len(w), 1 - len(set(g)) / len(g) if g else 0.0), (r.t, n)
+            assert r.n_line_breaks == r.t.count("\n") and r.n_speaker_lines == len(re.findall(r"(?:^|[\n\r])[A-Z][A-Za-z]*:", r.t))
+            assert r.punct_share == (sum(c in string.punctuation for c in r.t) / len(r.t) if r.t else 0.0)
+        none = stats.where("t IS NULL").first()
+        assert (none.repetition, none.n_line_breaks, none.punct_share) == (0.0, None, 0.0)

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,45 @@ def test_blank_and_object_white_space(spark):
     d = spark.createDataFrame([(x,) for x in ("", " 　\x0b", None, " a ", "{}", " {} ", "{ ", "\xa0{\"a\": 1}")], "s string")
     got = d.select("s", is_blank(F.col("s")).alias("b"), strip_object_ws(F.col("s")).alias("o"), strip_ws(F.col("s")).alias("t")).collect()
     assert all(r.o == r.t and r.b == (not (r.s or "").strip()) for r in got)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_outputs_make_only_the_text_they_pick(spark, tables):
+    from ptloom.functions.hashing import hex8_to_long, seeded_hex
+    from ptloom.operators import build
+
+    t = Tables(spark, tables)
+    o = derived.outputs(t)
+    assert "named_struct(variant" not in _plan(o) and "Generate" not in _plan(o)
+    d = derived.toolcalls(t).withColumn("vars", build.rejected_variants(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen")))
+    for model, share in derived.MODELS:
+        h = seeded_hex(F.lit(model), F.col("key"))
+        pick = (F.pmod(hex8_to_long(h, 9), F.lit(6)) + 1).cast("int")
+        out = F.when(F.pmod(hex8_to_long(h, 1), F.lit(10)) < share, F.col("chosen")).otherwise(F.element_at("vars", pick)["text"])
+        made = d.select("key", "prompt", out.alias("output"), "tool", "arguments_json", "answer")
+        assert sorted(map(repr, map(tuple, made.collect()))) == sorted(repr(tuple(r)[1:]) for r in o.where(F.col("model") == model).collect())
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_output_words_meet_the_corpus_in_a_semi_join(spark, tables, tmp_path, broadcast):
+    for name in ("orders", "nation", "region", "part", "customer"):
+        os.symlink(f"{tables}/{name}.parquet", tmp_path / f"{name}.parquet")
+    texts = ["The TOOL, the tool; the tool's \n", "unseen words été 😀x2", None, "", "  ", "ASIA part-expression"]
+    spark.createDataFrame([(t,) for t in texts * 3], "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df = QUERIES["output_text_stats"](spark, str(tmp_path))
+        plan, got = _plan(df), {r.model: r.known_word_share for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the words of the corpus are no lists of one group each, and those no output has go no further
+    assert "collect_list" not in plan and "LeftSemi" in plan
+    letters = re.compile(r"[^\W\d_]+")
+    known = {w for t in texts if t for w in letters.findall(t.lower())}
+    for model, _ in derived.MODELS:
+        words = [w for r in derived.outputs(Tables(spark, str(tmp_path))).where(F.col("model") == model).collect() for w in letters.findall((r.output or "").lower())]
+        assert got[model] == pytest.approx(sum(w in known for w in words) / len(words), abs=1e-6)
