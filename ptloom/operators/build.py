@@ -97,20 +97,14 @@ def expand_pairs(toolcalls: DataFrame, seed: int = K.SEED) -> DataFrame:
 
     Input columns: key, prompt, tool, arguments_json, chosen.  Output adds
     ``variant``, ``rejected`` and ``pair_id = key || '-' || variant``.
-    Narrow: a ``Generate`` after the scan, no shuffle.
+    Narrow: a ``Generate`` after the scan, no shuffle; it makes numbers only, and a pair makes the one text it has.
     """
-    v = rejected_variants(F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"), seed=seed)
-    return (
-        toolcalls.select("*", F.explode(v).alias("_v"))
-        .where(F.col("_v.text").isNotNull() | (F.col("_v.variant") != 3))
-        .select(
-            "*",
-            F.col("_v.variant").alias("variant"),
-            F.col("_v.text").alias("rejected"),
-            F.concat_ws("-", F.col("key"), F.col("_v.variant").cast("string")).alias("pair_id"),
-        )
-        .drop("_v")
-    )
+    variants = [F.lit(i + 1) for i in range(K.N_REJECTED_VARIANTS)]
+    no_other = wrong_tool_choice(F.col("key"), F.col("tool"), seed=seed).isNull()
+    v = F.when(no_other, F.array(*[x for i, x in enumerate(variants, 1) if i != 3])).otherwise(F.array(*variants))
+    rejected = rejected_text(F.col("variant"), F.col("key"), F.col("tool"), F.col("arguments_json"), F.col("chosen"), seed=seed)
+    return toolcalls.select("*", F.explode(v).alias("variant")).select(
+        "*", rejected.alias("rejected"), F.concat_ws("-", F.col("key"), F.col("variant").cast("string")).alias("pair_id"))
 
 
 def message(role: Column | str, content: Column) -> Column:
