@@ -133,3 +133,33 @@ def test_output_words_meet_the_corpus_in_a_semi_join(spark, tables, tmp_path, br
     for model, _ in derived.MODELS:
         words = [w for r in derived.outputs(Tables(spark, str(tmp_path))).where(F.col("model") == model).collect() for w in letters.findall((r.output or "").lower())]
         assert got[model] == pytest.approx(sum(w in known for w in words) / len(words), abs=1e-6)
+
+
+def test_round_trip_keeps_ids_in_the_worker(spark, tmp_path):
+    from ptloom.operators import codec
+
+    encode = codec.bpe_encoder(spark, ["a", "b", " "], [0, 1, 2], [("a", "b")])
+    known = {"a": 0, "b": 1, " ": 2, "ab": 3}
+    told = codec.round_trip(encode, codec.decoder(spark, known), *codec.id_totals(spark, 3))
+    d = spark.createDataFrame([(1, "ab a"), (2, ""), (3, None), (4, "abx"), (5, "ab" * 300)], "i int, text string")
+    got = {r.i: tuple(r.s) for r in d.select("i", told(F.col("text")).alias("s")).collect()}
+    assert got == {1: (3, 1, 5, True), 2: (0, 0, 0, True), 3: (None, None, None, True), 4: (2, 1, None, False), 5: (300, 300, 900, True)}
+    d.selectExpr("text", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = QUERIES["bpe_encode_stats"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "array<int>" not in plan and plan.count("ArrowEvalPython [") <= 2
+
+
+def test_roundtrip_lines_are_not_sorted_by_folder(spark, tmp_path):
+    from ptloom.sources import textio
+
+    before = spark.conf.get(textio.OPEN_FOLDERS)
+    d = spark.range(1000).selectExpr("concat('line ', id) AS value", "concat('f', id % 3) AS file").coalesce(1)
+    textio.write_text_lines(d, "value", f"{tmp_path}/lines", partition_by=["file"], compression="gzip", open_folders=3)
+    assert spark.conf.get(textio.OPEN_FOLDERS) == before
+    assert sorted(r.value for r in textio.read_lines(spark, f"{tmp_path}/lines").collect()) == sorted(f"line {i}" for i in range(1000))
+    assert spark.read.text(f"{tmp_path}/lines/file=f0").collect()[0].value == "line 0"
+
+
+def test_pairs_are_made_from_numbers(spark, tables):
+    plan = _plan(derived.pairs(Tables(spark, tables)))
+    assert "named_struct(variant" not in plan and "Generate" in plan
